@@ -7,12 +7,13 @@
    paired with the smallest and the largest member only, so a bucket of n
    gives under 2n pairs. Pairs are verified by signature, then confirmed on the
    full sets, and the confirmed links are closed by alternating stars.
-3. Buckets of four or more members whose members are still in different
-   components are compared completely, in blocks of fixed size: first by
-   signature, which names the rows that have a likely partner elsewhere, then
-   these rows again with their texts, where a union-find inside the task keeps
-   only links that join something. Nothing emits all pairs of a bucket.
-4. Links from 3 are closed over the components of 2.
+3. In buckets of four or more whose members are still in different components,
+   twice, one member is drawn at random and paired with those elsewhere.
+4. What is mixed even then is compared completely, in blocks of fixed size:
+   first by signature, which names the rows that have a likely partner in
+   another component, then these rows again with their texts, where a
+   union-find inside the task keeps only links that join something. Nothing
+   emits all pairs of a bucket, and no bucket is capped.
 """
 
 from __future__ import annotations
@@ -217,13 +218,41 @@ def _join_up(least: float, percent: int, width: int):
     return work
 
 
-def _blocks(members: DataFrame, block: int) -> DataFrame:
-    """Deal the members of each bucket (columns bucket, rep, size) to all
-    pairs of blocks of about ``block`` rows that hold the member."""
-    n = F.ceil(F.col("size") / F.lit(block)).cast("int")
-    dealt = members.withColumn("nb", n).withColumn("blk", F.pmod(F.xxhash64("rep", F.lit(3)), F.col("nb")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("other")
-    return dealt.select("bucket", "rep", "blk", other).select("bucket", "rep", "blk", F.least("blk", "other").alias("lo"), F.greatest("blk", "other").alias("hi"))
+def _apart(column: str):
+    """Join key from a bucket that no partitioning is known for, so that both
+    sides of the join are exchanged and a hot bucket can be split."""
+    return (-F.col(column).cast("decimal(20,0)")).alias("k")
+
+
+def _mixed(members: DataFrame, comps: DataFrame) -> DataFrame:
+    """(bucket, rep, comp) of the buckets of four or more members that are not
+    all in one component; smaller buckets were compared completely."""
+    known = members.where("size > 3").select("bucket", "rep")
+    known = known.join(comps.toDF("rep", "comp"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
+    known = materialise(known, "known")
+    ends = known.groupBy("bucket").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b").select(_apart("bucket"))
+    out = materialise(known.withColumn("k", _apart("bucket")).join(ends, "k", "left_semi").drop("k"), "mixed")
+    discard(known)
+    return out
+
+
+def _blocks(rows: DataFrame, block: int) -> DataFrame:
+    """Deal the rows (bucket, rep, comp) of each bucket to pairs of blocks.
+
+    The largest component of a bucket is dealt against all others only, the
+    others also among themselves: rows of one component need no comparison.
+    A task (bucket, lo, hi) gets about ``block`` rows of either block.
+    """
+    sizes = rows.groupBy("bucket", "comp").agg(F.count("*").alias("n"))
+    shape = sizes.groupBy("bucket").agg(F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("all"))
+    most = lambda c: F.ceil(c / F.lit(block)).cast("int")
+    shape = shape.select(_apart("bucket"), F.col("top.comp").alias("top"), most(F.col("all") - F.col("top.n")).alias("outer"), most(F.col("top.n")).alias("inner"))
+    dealt = rows.withColumn("k", _apart("bucket")).join(shape, "k")
+    main = F.col("comp") == F.col("top")
+    spread = F.xxhash64("rep", F.lit(3))
+    blk = F.when(main, F.col("outer") + F.pmod(spread, F.col("inner"))).otherwise(F.pmod(spread, F.col("outer"))).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.when(main, F.col("outer")).otherwise(F.col("outer") + F.col("inner")) - 1)).alias("other")
+    return dealt.select("bucket", "rep", blk.alias("blk"), other).select("bucket", "rep", "blk", F.least("blk", "other").alias("lo"), F.greatest("blk", "other").alias("hi"))
 
 
 def _compare(dealt: DataFrame, payload: DataFrame, work, schema: str) -> DataFrame:
@@ -273,47 +302,58 @@ def near_duplicates(
 
     rows_of = reps.select("rep", F.explode("bands").alias("bucket"))
     ends = rows_of.groupBy("bucket").agg(F.min("rep").alias("low"), F.max("rep").alias("high"), F.count("*").alias("size"))
-    ends = ends.where("size > 1").select((-F.col("bucket").cast("decimal(20,0)")).alias("k"), "low", "high", "size")
-    members = materialise(rows_of.withColumn("k", -F.col("bucket").cast("decimal(20,0)")).join(ends, "k").select("bucket", "rep", "low", "high", "size"), "members")
+    ends = ends.where("size > 1").select(_apart("bucket"), "low", "high", "size")
+    members = materialise(rows_of.withColumn("k", _apart("bucket")).join(ends, "k").select("bucket", "rep", "low", "high", "size"), "members")
 
-    pairs = members.select("rep", F.explode(F.array("low", "high")).alias("other")).where("rep <> other")
-    pairs = pairs.select(F.greatest("rep", "other").alias("u"), F.least("rep", "other").alias("v")).distinct()
     side = reps.select("rep", "n", "sig")
-    both = pairs.join(side.toDF("u", "n_a", "sig_a"), "u").join(side.toDF("v", "n_b", "sig_b"), "v")
-    both = both.where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
-    likely = materialise(both.mapInPandas(_signatures_agree(least), "u long, v long"), "likely")
 
-    texts = _texts(docs, likely.select("u").union(likely.select("v")))
-    joined = likely.join(texts.toDF("u", "text_a"), "u").join(texts.toDF("v", "text_b"), "v").select("u", "v", "text_a", "text_b")
-    links = materialise(joined.mapInPandas(_confirmed(percent, width), "u long, v long"), "links")
+    def linked_pairs(pairs: DataFrame) -> DataFrame:
+        """Of the candidates (u, v): those that are links, as a table."""
+        pairs = pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+        both = pairs.join(side.toDF("u", "n_a", "sig_a"), "u").join(side.toDF("v", "n_b", "sig_b"), "v")
+        both = both.where(percent * F.greatest("n_a", "n_b") <= 100 * F.least("n_a", "n_b"))
+        likely = materialise(both.mapInPandas(_signatures_agree(least), "u long, v long"), "likely")
+        texts = _texts(docs, likely.select("u").union(likely.select("v")))
+        joined = likely.join(texts.toDF("u", "text_a"), "u").join(texts.toDF("v", "text_b"), "v").select("u", "v", "text_a", "text_b")
+        links = materialise(joined.mapInPandas(_confirmed(percent, width), "u long, v long"), "links")
+        discard(texts, likely)
+        return links
+
+    def merged(comps: DataFrame, links: DataFrame) -> DataFrame:
+        """``comps`` after ``links`` between their classes."""
+        moved = links.join(comps.toDF("u", "cu"), "u", "left").join(comps.toDF("v", "cv"), "v", "left")
+        moved = connected_components(moved.select(F.coalesce("cu", "u").alias("u"), F.coalesce("cv", "v").alias("v")))
+        old = comps.join(moved.toDF("component", "to"), "component", "left").select("node", F.coalesce("to", "component").alias("component"))
+        out = materialise(old.union(moved.join(comps.select("node"), "node", "left_anti").select("node", "component")), "components")
+        discard(comps, links, moved)
+        return out
+
+    links = linked_pairs(members.select(F.col("rep").alias("u"), F.explode(F.array("low", "high")).alias("v")).where("u <> v"))
     comps = connected_components(links)
-    discard(texts, likely, links)
-
-    # Buckets of four or more whose members are not all in one component yet.
-    known = members.where("size > 3").select("bucket", "rep", "size")
-    known = known.join(comps.toDF("rep", "comp"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
-    known = materialise(known, "known")
-    mixed = known.groupBy("bucket").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b").select((-F.col("bucket").cast("decimal(20,0)")).alias("k"))
-    left = materialise(known.withColumn("k", -F.col("bucket").cast("decimal(20,0)")).join(mixed, "k", "left_semi").drop("k"), "left")
-    discard(known)
+    discard(links)
+    left = _mixed(members, comps)
+    for turn in range(2):
+        if left.isEmpty():
+            break
+        # A pivot drawn anew for each bucket: a class that shares many buckets
+        # with a component meets as many different members of it.
+        drawn = left.groupBy("bucket").agg(F.min_by(F.struct("rep", "comp"), F.xxhash64("rep", "bucket", F.lit(turn))).alias("p"))
+        drawn = drawn.select(_apart("bucket"), F.col("p.rep").alias("v"), F.col("p.comp").alias("c"))
+        pairs = left.withColumn("k", _apart("bucket")).join(drawn, "k").where("comp <> c").select(F.col("rep").alias("u"), "v")
+        comps = merged(comps, linked_pairs(pairs))
+        discard(left)
+        left = _mixed(members, comps)
+
+    # What is still mixed is compared completely.
     if not left.isEmpty():
-        comp_of = left.select("rep", "comp").distinct()
-        facts = comp_of.join(side, "rep")
+        facts = left.select("rep", "comp").distinct().join(side, "rep")
         flagged = materialise(_compare(_blocks(left, block), facts, _flag(least, percent), "bucket long, rep long").distinct(), "flagged")
         if not flagged.isEmpty():
-            sizes = flagged.groupBy("bucket").agg(F.count("*").alias("size")).select((-F.col("bucket").cast("decimal(20,0)")).alias("k"), "size")
-            again = flagged.withColumn("k", -F.col("bucket").cast("decimal(20,0)")).join(sizes, "k").drop("k")
             texts = _texts(docs, flagged.select("rep"))
-            more = _compare(_blocks(again, max(64, block // 4)), facts.join(texts.toDF("rep", "text"), "rep"), _join_up(least, percent, width), "u long, v long")
-            # Links hold class ids; move their ends to the components of before.
-            more = more.distinct().join(comps.toDF("u", "cu"), "u", "left").join(comps.toDF("v", "cv"), "v", "left")
-            more = materialise(more.select(F.coalesce("cu", "u").alias("u"), F.coalesce("cv", "v").alias("v")), "links")
-            merged = connected_components(more)
-            old = comps.join(merged.toDF("component", "to"), "component", "left")
-            alone = merged.join(comps.select("node"), "node", "left_anti")
-            both = materialise(old.select("node", F.coalesce("to", "component").alias("component")).unionByName(alone.select("node", "component")), "components")
-            discard(texts, more, merged, comps)
-            comps = both
+            again = flagged.join(left.select("rep", "comp").distinct(), "rep")
+            found = _compare(_blocks(again, max(64, block // 4)), facts.join(texts.toDF("rep", "text"), "rep"), _join_up(least, percent, width), "u long, v long")
+            comps = merged(comps, materialise(found.distinct(), "links"))
+            discard(texts)
         discard(flagged)
     discard(left, members, reps)
 
