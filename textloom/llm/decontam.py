@@ -106,6 +106,15 @@ def _merge(text: str | None, parts: list) -> tuple:
 _NAMES = [x.split()[0] for x in RESULT.split(", ")]
 
 
+def _scanner(shared, window: int):
+    @F.pandas_udf(RESULT)
+    def scan(texts: pd.Series) -> pd.DataFrame:
+        machine = automaton(shared.value, window)
+        return pd.DataFrame([scan_text(t, machine) for t in texts], columns=_NAMES)
+
+    return scan.asNondeterministic()
+
+
 def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, into: str = "contamination", most_bytes: int = MOST_BYTES) -> DataFrame:
     """``documents`` with a struct column ``into`` of what was found.
 
@@ -132,13 +141,8 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WIND
         own = items if shards == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)) == shard)
         shared = spark.sparkContext.broadcast(tuple((r[0], r[1]) for r in own.collect()))
 
-        @F.pandas_udf(RESULT)
-        def scan(texts: pd.Series, shared=shared) -> pd.DataFrame:
-            machine = automaton(shared.value, window)
-            return pd.DataFrame([scan_text(t, machine) for t in texts], columns=_NAMES)
-
         parts.append(f"_part{shard}")
-        docs = docs.withColumn(parts[-1], scan.asNondeterministic()("_text"))
+        docs = docs.withColumn(parts[-1], _scanner(shared, window)("_text"))
     if shards == 1:
         return docs.withColumn(into, F.col("_part0")).drop("_text", "_part0")
 

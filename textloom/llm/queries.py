@@ -3,20 +3,120 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .decontam import contamination
 from .minhash import near_duplicates
+from .poisson_mix import mix
+from .quality_rules import quality
+from .secrets import secret_spans
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents at square-root source weights, as many rows as came in."""
+    return mix(_read(spark, sf_dir, "documents"))
+
+
 def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document at similarity 0.75 of five-word shingles."""
     return near_duplicates(_read(spark, sf_dir, "documents"))
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secret spans of every document; repositories are its sources."""
+    return secret_spans(_read(spark, sf_dir, "documents")).drop("labels")
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows found in every document."""
+    found = contamination(_read(spark, sf_dir, "documents").select("doc_id", "text"), _read(spark, sf_dir, "benchmark"))
+    c = F.col("contamination")
+    return found.select(
+        "doc_id",
+        c["n_words"].alias("n_words"),
+        c["n_hit"].alias("n_hit"),
+        F.size(c["items"]).cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort(F.transform(c["items"], lambda x: x.cast("string"))), ","), 256).alias("items_sha256"),
+        (c["n_hit"] > 0).alias("contaminated"),
+    )
+
+
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of every document."""
+    judged = quality(_read(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
+    return judged.select("doc_id", "quality.*")
+
+
 QUERIES = {
+    "op1_poisson_mix": op1_poisson_mix,
     "op2_minhash_dedup": op2_minhash_dedup,
+    "op3_secret_scan": op3_secret_scan,
+    "op8_decontamination": op8_decontamination,
+    "op9_quality_rules": op9_quality_rules,
 }
 
 ORACLE_SQL: dict[str, str] = {}
+
+ORACLE_SQL["op1_poisson_mix"] = """
+WITH RECURSIVE sizes AS (
+  SELECT source, count(*) AS n, pow(count(*)::DOUBLE, 0.5) AS w FROM documents GROUP BY source
+), rate AS (
+  SELECT source, w * (sum(n) OVER ()::DOUBLE / sum(w) OVER ()) / n AS rate FROM sizes
+), steps AS (
+  SELECT source, rate, unnest(range(0, (ceil(rate + 12 * sqrt(rate) + 30) + 1)::BIGINT)) AS k FROM rate
+), facts AS (
+  SELECT *, sum(CASE WHEN k > 1 THEN ln(k::DOUBLE) ELSE 0.0 END) OVER (PARTITION BY source ORDER BY k) AS lf FROM steps
+), cdf AS (
+  SELECT source, k, sum(exp(k * ln(rate) - rate - lf)) OVER (PARTITION BY source ORDER BY k) AS c FROM facts
+), lists AS (
+  SELECT source, list(c) AS cs FROM cdf GROUP BY source
+), drawn AS (
+  SELECT d.*, ('0x' || substr(sha256('mix-1:' || coalesce(d.doc_id::VARCHAR, 'null')), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0 AS u, cs
+  FROM documents d JOIN lists ON lists.source IS NOT DISTINCT FROM d.source
+), counted AS (
+  SELECT *, len(list_filter(cs, lambda c: c <= u))::BIGINT AS n_copies FROM drawn
+)
+SELECT doc_id, text, lang, source, n_chars, n_copies, unnest(range(1, n_copies + 1))::BIGINT AS copy FROM counted WHERE n_copies > 0
+"""
+
+ORACLE_SQL["op3_secret_scan"] = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text, split_part(coalesce(source, ''), '/', 1) AS owner, coalesce(source, '') AS repo FROM documents
+), hits AS (
+  SELECT rid, owner, repo, 0 AS kind, regexp_split_to_array(text, p) AS pieces, regexp_extract_all(text, p, 0) AS ms, regexp_extract_all(text, p, 2) AS vs
+  FROM docs, (SELECT '((?i:password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)' AS p)
+  UNION ALL
+  SELECT rid, owner, repo, 1, regexp_split_to_array(text, 'AKIA[A-Z0-9]+'), regexp_extract_all(text, 'AKIA[A-Z0-9]+'), regexp_extract_all(text, 'AKIA[A-Z0-9]+') FROM docs
+  UNION ALL
+  SELECT rid, owner, repo, 2, regexp_split_to_array(text, '[0-9a-f]{24,}'), regexp_extract_all(text, '[0-9a-f]{24,}'), regexp_extract_all(text, '[0-9a-f]{24,}') FROM docs
+  UNION ALL
+  SELECT rid, owner, repo, 3, regexp_split_to_array(text, '[A-Za-z0-9+/_-]{20,}'), regexp_extract_all(text, '[A-Za-z0-9+/_-]{20,}'), regexp_extract_all(text, '[A-Za-z0-9+/_-]{20,}') FROM docs
+), parts AS (
+  SELECT rid, owner, repo, kind, i, length(pieces[i]) AS lp, length(ms[i]) AS lm, vs[i] AS v
+  FROM (SELECT *, unnest(range(1, len(ms) + 1)) AS i FROM hits WHERE len(ms) > 0)
+), spans AS (
+  SELECT rid, owner, repo, kind, lm, v,
+    sum(lp + lm) OVER (PARTITION BY rid, kind ORDER BY i) - lm AS a, sum(lp + lm) OVER (PARTITION BY rid, kind ORDER BY i) AS b
+  FROM parts
+), found AS (
+  SELECT * FROM spans WHERE (kind = 0 AND length(v) >= 6) OR (kind = 1 AND length(v) >= 20) OR kind = 2
+    OR (kind = 3 AND regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]') AND len(list_distinct(string_split(v, ''))) >= 10)
+), owners AS (
+  SELECT v, count(DISTINCT owner) AS owners FROM found GROUP BY v
+), shown AS (
+  SELECT f.*, owners, ['assign', 'access', 'hex', 'owned'][kind + 1] || ':' || a || ':' || b AS span FROM found f JOIN owners USING (v)
+  WHERE kind < 3 OR (owners = 1 AND NOT EXISTS (SELECT 1 FROM found x WHERE x.rid = f.rid AND x.kind < 3 AND x.a < f.b AND x.b > f.a))
+), per AS (
+  SELECT rid, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
+    string_agg(span, ',' ORDER BY a, kind) FILTER (kind < 3) AS base, string_agg(span, ',' ORDER BY a, kind) AS spans,
+    count(*) FILTER (kind < 3 AND owners = 1) AS n_live, count(*) FILTER (kind < 3 AND owners >= 3) AS n_copied
+  FROM shown GROUP BY rid
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_copied, 0) AS n_copied
+FROM docs LEFT JOIN per USING (rid)
+"""

@@ -21,7 +21,7 @@ ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']
 ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]{24,}"
 #: Runs that may be a credential of an unknown kind.
-GENERIC = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}(?![A-Za-z0-9+/_-])"
+GENERIC = r"[A-Za-z0-9+/_-]{20,}"
 KINDS = ["assign", "access", "hex", "owned"]
 
 
@@ -33,7 +33,7 @@ def _spans(text: Column) -> Column:
     assign = F.when(named, F.filter(match_spans(text, ASSIGN, 2), lambda x: F.length(x["value"]) >= 6)).otherwise(none)
     access = F.when(text.contains("AKIA"), F.filter(match_spans(text, ACCESS), lambda x: F.length(x["value"]) >= 20)).otherwise(none)
     hexes = F.when(text.rlike(HEX), match_spans(text, HEX)).otherwise(none)
-    varied = lambda x: x["value"].rlike("[0-9]") & x["value"].rlike("[A-Za-z]") & (F.size(F.array_distinct(F.split(x["value"], ""))) >= 10)
+    varied = lambda x: x["value"].rlike("[0-9]") & x["value"].rlike("[A-Za-z]") & (F.size(F.array_distinct(F.regexp_extract_all(x["value"], F.lit("."), F.lit(0)))) >= 10)
     generic = F.when(text.rlike(GENERIC), F.filter(match_spans(text, GENERIC), varied)).otherwise(none)
     return F.concat(*(_of_kind(k, a) for k, a in enumerate((assign, access, hexes, generic))))
 
