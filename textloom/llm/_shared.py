@@ -59,6 +59,17 @@ def discard(*tables: DataFrame) -> None:
             where.getFileSystem(jsc.hadoopConfiguration()).delete(where, True)
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Hand Python workers at most ``rows`` rows at once from now on.
+
+    Rows hold whole texts here, so the default of 10,000 rows would size a
+    worker's memory by the longest texts. A smaller setting is kept.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))
+
+
 # --- word hashing -----------------------------------------------------------
 
 #: Bytes that separate words: space and \t \n \v \f \r.

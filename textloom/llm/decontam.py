@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ._shared import small_batches
+
 WINDOW = 10
 #: Bytes of benchmark text that one automaton (and one broadcast) may hold.
 MOST_BYTES = 16 << 20
@@ -132,6 +134,7 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WIND
     benchmark hits nothing; empty documents give no rows.
     """
     spark = documents.sparkSession
+    small_batches(spark)
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id is not null and text is not null")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, -(-size // most_bytes))

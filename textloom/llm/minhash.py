@@ -8,7 +8,7 @@
    gives under 2n pairs. Pairs are verified by signature, then confirmed on the
    full sets, and the confirmed links are closed by alternating stars.
 3. In buckets of four or more whose members are still in different components,
-   twice, one member is drawn at random and paired with those elsewhere.
+   one member is drawn at random and paired with those elsewhere.
 4. What is mixed even then is compared completely, in blocks of fixed size:
    first by signature, which names the rows that have a likely partner in
    another component, then these rows again with their texts, where a
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bloom
-from ._shared import ASCII_LOWER, PLACES, discard, materialise, mix64, text_batches, window_hashes, word_bounds, word_hashes
+from ._shared import ASCII_LOWER, PLACES, discard, materialise, mix64, small_batches, text_batches, window_hashes, word_bounds, word_hashes
 from .components import connected_components
 
 WIDTH, BANDS, ROWS = 5, 54, 6
@@ -284,7 +284,7 @@ def near_duplicates(
     (1 - s^rows)^bands: 2.5e-5 at 0.75, 1e-9 at 0.85; chains make a lost
     component rarer still.
     """
-    spark = documents.sparkSession
+    small_batches(documents.sparkSession)
     count = bands * rows
     # Five standard errors below the threshold: a true link fails with p < 1e-6.
     s = percent / 100
@@ -332,12 +332,10 @@ def near_duplicates(
     comps = connected_components(links)
     discard(links)
     left = _mixed(members, comps)
-    for turn in range(2):
-        if left.isEmpty():
-            break
+    if not left.isEmpty():
         # A pivot drawn anew for each bucket: a class that shares many buckets
         # with a component meets as many different members of it.
-        drawn = left.groupBy("bucket").agg(F.min_by(F.struct("rep", "comp"), F.xxhash64("rep", "bucket", F.lit(turn))).alias("p"))
+        drawn = left.groupBy("bucket").agg(F.min_by(F.struct("rep", "comp"), F.xxhash64("rep", "bucket")).alias("p"))
         drawn = drawn.select(_apart("bucket"), F.col("p.rep").alias("v"), F.col("p.comp").alias("c"))
         pairs = left.withColumn("k", _apart("bucket")).join(drawn, "k").where("comp <> c").select(F.col("rep").alias("u"), "v")
         comps = merged(comps, linked_pairs(pairs))

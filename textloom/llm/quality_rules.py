@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import text_batches, window_hashes, word_bounds, word_hashes
+from ._shared import small_batches, text_batches, window_hashes, word_bounds, word_hashes
 
 # Characters counted as symbols.
 SYMBOLS = "#*$%&|<>"
@@ -174,6 +174,7 @@ def quality(documents: DataFrame, limits: dict | None = None, into: str = "quali
     reference (an empty table, unknown languages) only the base rules judge.
     Texts are processed whole, whatever their length.
     """
+    small_batches(documents.sparkSession)
     bound = LIMITS | (limits or {})
     refs = references(documents) if refs is None else refs
     langs = [k for k in LANGS if k in refs]
