@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 
 from .decontam import contamination
 from .minhash import near_duplicates
+from .pii import pseudonymise
 from .poisson_mix import mix
 from .quality_rules import quality
 from .secrets import secret_spans
+from .urlfilter import judge_urls
+from .warc import read_archives, write_archives
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -31,6 +34,21 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_spans(_read(spark, sf_dir, "documents")).drop("labels")
 
 
+def op5_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with surrogates, and what was replaced."""
+    new = pseudonymise(_read(spark, sf_dir, "documents"))
+    return new.select("doc_id", "lang", "source", "text", F.size("pii").cast("long").alias("n_entities"), F.transform("pii", lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])).alias("entities"))
+
+
+# The rules that every page is judged by.
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict of every page by the fixed rules."""
+    return judge_urls(_read(spark, sf_dir, "pages"), spark.createDataFrame(URL_RULES, "host string, path string, verdict string"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows found in every document."""
     found = contamination(_read(spark, sf_dir, "documents").select("doc_id", "text"), _read(spark, sf_dir, "benchmark"))
@@ -51,12 +69,21 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "quality.*")
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of all pages, read back from the archives they were written to."""
+    records = read_archives(write_archives(_read(spark, sf_dir, "pages")))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES = {
     "op1_poisson_mix": op1_poisson_mix,
     "op2_minhash_dedup": op2_minhash_dedup,
     "op3_secret_scan": op3_secret_scan,
+    "op5_pii_surrogates": op5_pii_surrogates,
+    "op7_url_filter": op7_url_filter,
     "op8_decontamination": op8_decontamination,
     "op9_quality_rules": op9_quality_rules,
+    "op10_warc": op10_warc,
 }
 
 ORACLE_SQL: dict[str, str] = {}
@@ -120,3 +147,28 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
   sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_copied, 0) AS n_copied
 FROM docs LEFT JOIN per USING (rid)
 """
+
+ORACLE_SQL["op7_url_filter"] = r"""
+WITH rules(rh, rp, rv) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+parts AS (
+  SELECT row_number() OVER () AS rid, page_id,
+    CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
+), split AS (
+  SELECT rid, page_id, translate(regexp_extract(coalesce(rest, ''), '\A[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(rest, ''), '\A[^/?#]*([^?#]*)', 1) AS path FROM parts
+), best AS (
+  SELECT rid, arg_max(rh || rp, length(rh || rp)) AS rule, arg_max(rv, length(rh || rp)) AS rv
+  FROM split JOIN rules ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY rid
+)
+SELECT page_id, host, path, rule, coalesce(rv, 'allow') AS verdict FROM split LEFT JOIN best USING (rid)
+"""
+
+ORACLE_SQL["op10_warc"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY html) AS top FROM
+  (SELECT page_id, html, encode(html) AS b FROM p))
+SELECT page_id, octet_length(b)::BIGINT AS payload_bytes, sha1(html) AS payload_digest,
+  CASE WHEN octet_length(b) >= 1000 AND page_id IS DISTINCT FROM top THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN octet_length(b) >= 1000 AND page_id IS DISTINCT FROM top THEN top END AS refers_to
+FROM m
+"""
