@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import os
 import shutil
 import tempfile
 import uuid
@@ -70,6 +71,26 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set(key, str(rows))
 
 
+def open_shared(url: str, mode: str):
+    """Binary stream of a file in a shared folder, local or not."""
+    if url.startswith("file:"):
+        path = "/" + url.split(":", 1)[1].lstrip("/")
+        if "w" in mode:
+            os.makedirs(os.path.dirname(path), exist_ok=True)
+        return open(path, mode)
+    if "://" not in url:
+        if "w" in mode:
+            os.makedirs(os.path.dirname(url), exist_ok=True)
+        return open(url, mode)
+    from pyarrow import fs
+
+    store, path = fs.FileSystem.from_uri(url)
+    if "w" in mode:
+        store.create_dir(path.rsplit("/", 1)[0], recursive=True)
+        return store.open_output_stream(path)
+    return store.open_input_stream(path)
+
+
 # --- word hashing -----------------------------------------------------------
 
 #: Bytes that separate words: space and \t \n \v \f \r.

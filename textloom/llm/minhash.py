@@ -362,6 +362,29 @@ def near_duplicates(
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+def deduplicate(documents: DataFrame, **settings) -> DataFrame:
+    """``documents`` with one row of each component: that of its smallest id.
+
+    Rows that repeat a doc_id count as one document. Only rows that may have
+    to go are shuffled: a Bloom filter of bounded size, followed by an exact
+    anti-join, tells them from the rest. Null ids stay.
+    """
+    ids = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    verdict = materialise(near_duplicates(ids, **settings).select("doc_id", "kept"), "verdict")
+    gone = verdict.where("not kept").select("doc_id").distinct()
+    repeated = verdict.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    listed = materialise(gone.withColumn("again", F.lit(False)).union(repeated.withColumn("again", F.lit(True))), "listed")
+    if listed.isEmpty():
+        return documents
+    words = bloom.build(listed, F.xxhash64("doc_id"), bloom.blocks_for(listed.count()))
+    maybe = bloom.prober(documents.sparkSession, words)(F.xxhash64(F.col("doc_id").cast("long")))
+    marked = documents.withColumn("_maybe", F.coalesce(maybe, F.lit(False)) & F.col("doc_id").isNotNull())
+    sure = marked.where(~F.col("_maybe")).drop("_maybe")
+    checked = marked.where("_maybe").drop("_maybe").join(listed.withColumnRenamed("doc_id", "_id"), F.col("doc_id").cast("long") == F.col("_id"), "left")
+    once = checked.where("again").drop("_id", "again").dropDuplicates(["doc_id"])
+    return sure.unionByName(checked.where("again is null").drop("_id", "again")).unionByName(once)
+
+
 def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """(id, text) of the given ids, one row each, as a scratch table.
 

@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from .decontam import contamination
 from .minhash import near_duplicates
+from .nbsvm import fit, score
 from .pii import pseudonymise
 from .poisson_mix import mix
 from .quality_rules import quality
 from .secrets import secret_spans
+from .token_counts import token_counts
 from .urlfilter import judge_urls
 from .warc import read_archives, write_archives
 
@@ -34,12 +36,27 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_spans(_read(spark, sf_dir, "documents")).drop("labels")
 
 
+#: Ranks of the public byte-pair vocabulary, and an id above all of its own.
+VOCABULARY, END_OF_DOCUMENT = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken", 50256
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, counted in flat token files."""
+    return token_counts(_read(spark, sf_dir, "documents"), VOCABULARY, END_OF_DOCUMENT)
+
+
 def op5_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with surrogates, and what was replaced."""
     new = pseudonymise(_read(spark, sf_dir, "documents"))
     return new.select("doc_id", "lang", "source", "text", F.size("pii").cast("long").alias("n_entities"), F.transform("pii", lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])).alias("entities"))
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learnt from labels not held out."""
+    documents = _read(spark, sf_dir, "documents")
+    return score(documents, fit(documents, _read(spark, sf_dir, "labels")))
+
+
 # The rules that every page is judged by.
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
@@ -79,7 +96,9 @@ QUERIES = {
     "op1_poisson_mix": op1_poisson_mix,
     "op2_minhash_dedup": op2_minhash_dedup,
     "op3_secret_scan": op3_secret_scan,
+    "op4_token_counts": op4_token_counts,
     "op5_pii_surrogates": op5_pii_surrogates,
+    "op6_quality_classifier": op6_quality_classifier,
     "op7_url_filter": op7_url_filter,
     "op8_decontamination": op8_decontamination,
     "op9_quality_rules": op9_quality_rules,

@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import os
 import uuid
 import zlib
 from datetime import datetime, timezone
@@ -21,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import materialise, scratch_path, small_batches
+from ._shared import materialise, open_shared, scratch_path, small_batches
 
 #: A file is closed by the record that takes it over this many bytes.
 FILE_BYTES = 32 << 20
@@ -34,26 +33,6 @@ class WarcError(ValueError):
     """A record that breaks the format or fails a digest."""
 
 
-def _open(url: str, mode: str):
-    """Binary stream of a file in a shared folder, local or not."""
-    if url.startswith("file:"):
-        path = "/" + url.split(":", 1)[1].lstrip("/")
-        if "w" in mode:
-            os.makedirs(os.path.dirname(path), exist_ok=True)
-        return open(path, mode)
-    if "://" not in url:
-        if "w" in mode:
-            os.makedirs(os.path.dirname(url), exist_ok=True)
-        return open(url, mode)
-    from pyarrow import fs
-
-    store, path = fs.FileSystem.from_uri(url)
-    if "w" in mode:
-        store.create_dir(path.rsplit("/", 1)[0], recursive=True)
-        return store.open_output_stream(path)
-    return store.open_input_stream(path)
-
-
 def _sha1(data: bytes) -> str:
     return "sha1:" + base64.b32encode(hashlib.sha1(data).digest()).decode()
 
@@ -207,7 +186,7 @@ def _writer(folder: str, file_bytes: int):
             for page, url, html, refers in zip(pdf["page_id"], pdf["url"], pdf["html"], pdf["refers_to"]):
                 if out is None:
                     name, n, size = f"{folder}/{uuid.uuid4().hex}.warc.gz", 0, 0
-                    out = _open(name, "wb")
+                    out = open_shared(name, "wb")
                 raw = record(None if pd.isna(page) else int(page), url, html.encode("utf-8", "surrogatepass"), None if pd.isna(refers) else int(refers))
                 out.write(raw)
                 n, size = n + 1, size + len(raw)
@@ -268,7 +247,7 @@ def read_archives(manifest: DataFrame, keep_payload: bool = False) -> DataFrame:
         for pdf in batches:
             for path in pdf["path"]:
                 rows, held = [], 0
-                with _open(path, "rb") as stream:
+                with open_shared(path, "rb") as stream:
                     for r in read_records(stream, keep_payload):
                         rows.append([r[k] for k in names])
                         held += len(r["payload"] or b"")
