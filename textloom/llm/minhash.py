@@ -7,13 +7,14 @@
    paired with the smallest and the largest member only, so a bucket of n
    gives under 2n pairs. Pairs are verified by signature, then confirmed on the
    full sets, and the confirmed links are closed by alternating stars.
-3. In buckets of four or more whose members are still in different components,
-   one member is drawn at random and paired with those elsewhere.
-4. What is mixed even then is compared completely, in blocks of fixed size:
-   first by signature, which names the rows that have a likely partner in
-   another component, then these rows again with their texts, where a
-   union-find inside the task keeps only links that join something. Nothing
-   emits all pairs of a bucket, and no bucket is capped.
+3. Buckets of four or more whose members are still in different components
+   are compared completely, in blocks of fixed size: the largest component of
+   a bucket against all others, and these among themselves. Signatures come
+   first and name the rows that have a likely partner in another component;
+   these rows are compared again with their texts, where a union-find inside
+   the task keeps only links that join something. Nothing emits all pairs of
+   a bucket, and no bucket is capped.
+4. Links from 3 are closed over the components of 2.
 """
 
 from __future__ import annotations
@@ -185,7 +186,7 @@ def _flag(least: float, percent: int):
         for a, b in _likely(group, least, percent):
             hit[a] = hit[b] = True
         if hit.any():
-            yield pd.DataFrame({"bucket": group["bucket"].to_numpy()[hit], "rep": group["rep"].to_numpy()[hit]})
+            yield group.loc[hit, ["bucket", "rep", "comp"]]
 
     return work
 
@@ -236,6 +237,15 @@ def _mixed(members: DataFrame, comps: DataFrame) -> DataFrame:
     return out
 
 
+def _with_top(rows: DataFrame) -> DataFrame:
+    """``rows`` (bucket, rep, comp) with the largest component ``top`` of the
+    bucket, its rows ``inner`` and all others ``outer``."""
+    sizes = rows.groupBy("bucket", "comp").agg(F.count("*").alias("n"))
+    shape = sizes.groupBy("bucket").agg(F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("all"))
+    shape = shape.select(_apart("bucket"), F.col("top.comp").alias("top"), F.col("top.n").alias("inner"), (F.col("all") - F.col("top.n")).alias("outer"))
+    return rows.withColumn("k", _apart("bucket")).join(shape, "k").drop("k")
+
+
 def _blocks(rows: DataFrame, block: int) -> DataFrame:
     """Deal the rows (bucket, rep, comp) of each bucket to pairs of blocks.
 
@@ -243,11 +253,8 @@ def _blocks(rows: DataFrame, block: int) -> DataFrame:
     others also among themselves: rows of one component need no comparison.
     A task (bucket, lo, hi) gets about ``block`` rows of either block.
     """
-    sizes = rows.groupBy("bucket", "comp").agg(F.count("*").alias("n"))
-    shape = sizes.groupBy("bucket").agg(F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("all"))
-    most = lambda c: F.ceil(c / F.lit(block)).cast("int")
-    shape = shape.select(_apart("bucket"), F.col("top.comp").alias("top"), most(F.col("all") - F.col("top.n")).alias("outer"), most(F.col("top.n")).alias("inner"))
-    dealt = rows.withColumn("k", _apart("bucket")).join(shape, "k")
+    most = lambda c: F.ceil(F.col(c) / F.lit(block)).cast("int")
+    dealt = _with_top(rows).withColumns({"inner": most("inner"), "outer": most("outer")})
     main = F.col("comp") == F.col("top")
     spread = F.xxhash64("rep", F.lit(3))
     blk = F.when(main, F.col("outer") + F.pmod(spread, F.col("inner"))).otherwise(F.pmod(spread, F.col("outer"))).cast("int")
@@ -332,24 +339,13 @@ def near_duplicates(
     comps = connected_components(links)
     discard(links)
     left = _mixed(members, comps)
-    if not left.isEmpty():
-        # A pivot drawn anew for each bucket: a class that shares many buckets
-        # with a component meets as many different members of it.
-        drawn = left.groupBy("bucket").agg(F.min_by(F.struct("rep", "comp"), F.xxhash64("rep", "bucket")).alias("p"))
-        drawn = drawn.select(_apart("bucket"), F.col("p.rep").alias("v"), F.col("p.comp").alias("c"))
-        pairs = left.withColumn("k", _apart("bucket")).join(drawn, "k").where("comp <> c").select(F.col("rep").alias("u"), "v")
-        comps = merged(comps, linked_pairs(pairs))
-        discard(left)
-        left = _mixed(members, comps)
-
-    # What is still mixed is compared completely.
+    # Mixed buckets are compared completely.
     if not left.isEmpty():
         facts = left.select("rep", "comp").distinct().join(side, "rep")
-        flagged = materialise(_compare(_blocks(left, block), facts, _flag(least, percent), "bucket long, rep long").distinct(), "flagged")
+        flagged = materialise(_compare(_blocks(left, block), facts, _flag(least, percent), "bucket long, rep long, comp long").distinct(), "flagged")
         if not flagged.isEmpty():
             texts = _texts(docs, flagged.select("rep"))
-            again = flagged.join(left.select("rep", "comp").distinct(), "rep")
-            found = _compare(_blocks(again, max(64, block // 4)), facts.join(texts.toDF("rep", "text"), "rep"), _join_up(least, percent, width), "u long, v long")
+            found = _compare(_blocks(flagged, max(64, block // 4)), facts.join(texts.toDF("rep", "text"), "rep"), _join_up(least, percent, width), "u long, v long")
             comps = merged(comps, materialise(found.distinct(), "links"))
             discard(texts)
         discard(flagged)
