@@ -11,6 +11,8 @@ import uuid
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
+from ..shipping import ensure_on_executors
+
 _LOCAL: dict[str, str] = {}
 
 
@@ -64,8 +66,10 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Hand Python workers at most ``rows`` rows at once from now on.
 
     Rows hold whole texts here, so the default of 10,000 rows would size a
-    worker's memory by the longest texts. A smaller setting is kept.
+    worker's memory by the longest texts. A smaller setting is kept. The
+    package itself is sent along, in case executors do not have it.
     """
+    ensure_on_executors(spark)
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key)) <= rows:
         spark.conf.set(key, str(rows))
@@ -118,7 +122,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_POWERS[0]) < n:
         for i, base in enumerate((_BASE, _BASE_INV)):
-            steps = np.full(max(n, 1 << 20), base, dtype=np.uint64)
+            steps = np.full(max(n, 1 << 19), base, dtype=np.uint64)
             steps[0] = 1
             _POWERS[i] = np.multiply.accumulate(steps)
     return _POWERS[0], _POWERS[1]
@@ -156,7 +160,7 @@ def window_hashes(words: np.ndarray, width: int) -> np.ndarray:
     return mix64(total)
 
 
-def text_batches(texts, most: int = 1 << 21):
+def text_batches(texts, most: int = 1 << 19):
     """Slices of a column of texts that hold about ``most`` bytes each, as
     (first row, list of UTF-8 bytes); one longer text stands alone."""
     first, held, size = 0, [], 0

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import bloom
-from ._shared import materialise
+from ._shared import materialise, small_batches
 
 # Query parameters that do not change a page.
 TRACKING = r"(?:utm_[a-z]+|ref|fbclid|gclid|sessionid|sid)"
@@ -82,6 +82,7 @@ def judge_urls(
     filter is sent to all machines, at most ``max_bytes`` however long the
     lists are; a fuller filter passes more keys to the join and loses none.
     """
+    small_batches(pages.sparkSession, 10_000)
     rules = rules.select(F.col("host").cast("string").alias("h"), F.col("path").cast("string").alias("p"), F.col("verdict").alias("v")).where("h is not null and p is not null")
     known = rules.select(_key("r", F.col("h"), F.col("p")).alias("key"), F.concat("h", "p").alias("rule"), F.length("h").alias("longer"), "v")
     if listed is not None:
