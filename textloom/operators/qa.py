@@ -138,8 +138,16 @@ def coverage_of(pairs: DataFrame, keys: Sequence[str] = (), phrases: Sequence[st
 
 def table_issues(source: DataFrame, output: DataFrame, pairs: DataFrame, expected_rows: int | None = None, expected_ids: int | None = None, phrases: Sequence[str] = ()) -> DataFrame:
     """Issues of whole tables: counts and coverage, without a row."""
-    n_s = source.agg(F.count("*").alias("n_source"))
-    facts = n_s.crossJoin(output.agg(F.count("*").alias("n_output"))).crossJoin(pairs.agg(F.countDistinct(F.nullif("content_id", F.lit(""))).alias("n_ids"))).crossJoin(coverage_of(pairs, (), phrases))
+    parts = [
+        source.agg(F.count("*").alias("n_source")),
+        output.agg(F.count("*").alias("n_output")),
+        pairs.agg(F.countDistinct(F.nullif("content_id", F.lit(""))).alias("n_ids")),
+        coverage_of(pairs, (), phrases),
+    ]
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part, allowMissingColumns=True)
+    facts = rows.agg(*(F.max(c).alias(c) for c in rows.columns))
     say = lambda bad, code, text_: F.when(bad, F.struct(F.lit(code).alias("code"), text_.alias("message")))
     checks = [
         say(F.col("n_source") == 0, "WORKBOOK_EMPTY", F.lit("no data rows")),
