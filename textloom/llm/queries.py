@@ -191,3 +191,49 @@ SELECT page_id, octet_length(b)::BIGINT AS payload_bytes, sha1(html) AS payload_
   CASE WHEN octet_length(b) >= 1000 AND page_id IS DISTINCT FROM top THEN top END AS refers_to
 FROM m
 """
+
+ORACLE_SQL["op2_minhash_dedup"] = r"""
+WITH RECURSIVE w AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i : i + 4], chr(0)) AS g FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM w WHERE len(ws) > 0)
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2
+), link AS (
+  SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 75 * (x.n + y.n - k)
+), edge AS (
+  SELECT a, b FROM link UNION SELECT b, a FROM link
+), reach AS (
+  SELECT a AS node, a AS other FROM edge UNION SELECT node, edge.b FROM reach JOIN edge ON edge.a = other
+), comp AS (
+  SELECT node, min(other) AS component FROM reach GROUP BY node
+)
+SELECT w.doc_id, coalesce(n, 0) AS n_shingles, coalesce(component, w.doc_id) AS component_id, w.doc_id = coalesce(component, w.doc_id) AS kept
+FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN comp ON comp.node = w.doc_id
+"""
+
+_WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\\x{80}-\\x{10FFFF}]+')"
+
+ORACLE_SQL["op8_decontamination"] = f"""
+WITH b AS (
+  SELECT item_id, {_WORDS} AS ws FROM benchmark
+), win AS (
+  SELECT DISTINCT item_id, least(len(ws), 10) AS width, array_to_string(ws[i : i + least(len(ws), 10) - 1], ' ') AS g
+  FROM (SELECT item_id, ws, unnest(range(1, greatest(len(ws) - 9, 1) + 1)) AS i FROM b WHERE len(ws) > 0)
+), d AS (
+  SELECT row_number() OVER () AS rid, doc_id, {_WORDS} AS ws FROM documents
+), hit AS (
+  SELECT rid, i, width, item_id FROM (
+    SELECT rid, i, width, array_to_string(ws[i : i + width - 1], ' ') AS g
+    FROM (SELECT rid, ws, width, unnest(range(1, len(ws) - width + 2)) AS i FROM d, (SELECT DISTINCT width FROM win) WHERE len(ws) >= width)
+  ) JOIN win USING (width, g)
+), words AS (
+  SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(i, i + width)) AS p FROM hit) GROUP BY rid
+), items AS (
+  SELECT rid, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT rid, item_id::VARCHAR AS item_id FROM hit) GROUP BY rid
+)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (rid) LEFT JOIN items USING (rid)
+"""
