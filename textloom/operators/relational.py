@@ -82,8 +82,8 @@ def select_styles(paragraphs: DataFrame, selectors: Sequence[str]) -> tuple[Data
 
 def merge_strings(base: DataFrame, more: DataFrame, value: str = "value", order: str = "ord") -> DataFrame:
     """Ordered union, case-insensitive, the first spelling stays."""
-    both = base.withColumn("_part", F.lit(0)).unionByName(more.withColumn("_part", F.lit(1))).withColumn("_k", F.lower(value)).withColumn("_o", F.struct("_part", order))
-    return first_of(both, ["_k"], "_o").orderBy("_o").drop("_part", "_k", "_o")
+    both = base.withColumn("_part", F.lit(0)).unionByName(more.withColumn("_part", F.lit(1))).withColumn("_k", F.lower(value)).withColumn("_place", F.struct("_part", order))
+    return first_of(both, ["_k"], "_place").orderBy("_place").drop("_part", "_k", "_place")
 
 
 def merge_rules(base: DataFrame, more: DataFrame, key: str = "id", order: str = "ord") -> DataFrame:

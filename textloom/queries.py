@@ -179,11 +179,11 @@ def orphan_rows(spark, sf_dir):
 
 
 @query("""
-SELECT (doc_id % 300)::VARCHAR AS content_id, count(*) AS n FROM documents GROUP BY 1 HAVING count(*) > 1
+SELECT (doc_id % 90)::VARCHAR AS content_id, count(*) AS n FROM documents GROUP BY 1 HAVING count(*) > 1
 """)
 def content_id_dups(spark, sf_dir):
     """Padded ids that are the same content id."""
-    d = table(spark, sf_dir, "documents").select(F.concat(F.lit(" "), F.repeat(F.lit("0"), (F.col("doc_id") % 4).cast("int")), F.col("doc_id") % 300).alias("content_tag"))
+    d = table(spark, sf_dir, "documents").select(F.concat(F.lit(" "), F.repeat(F.lit("0"), (F.col("doc_id") % 4).cast("int")), F.col("doc_id") % 90).alias("content_tag"))
     return relational.by_content_id(d).groupBy("content_id").agg(F.count("*").alias("n")).where("n > 1")
 
 

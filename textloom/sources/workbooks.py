@@ -97,7 +97,7 @@ def workbook_faults(found: DataFrame, headers: Sequence[str] = CONTENT_HEADERS)
     text, other headers, no data row, content beyond the last header column."""
     good = found.where("error is null")
     say = lambda df, fault: df.select("path", fault.alias("fault"))
-    head = good.where("row = 1").groupBy("path").agg(F.map_from_entries(F.collect_list(F.struct("column", trim(F.col("value"))))).alias("h"))
+    head = good.where("row = 1").groupBy("path", "sheet").agg(F.map_from_entries(F.collect_list(F.struct("column", trim(F.col("value"))))).alias("h"))
     # The condition is spelled per column, so any missing header counts.
     other = head.where(F.exists(F.array(*(~F.coalesce(F.try_element_at("h", F.lit(i + 1)), F.lit("")).eqNullSafe(F.lit(n)) for i, n in enumerate(headers))), lambda x: x))
     beyond = good.where((F.col("column") > len(headers)) & (text(F.col("value")) != "")).groupBy("path").agg(F.min(F.struct("row", "column")).alias("at"))
