@@ -284,7 +284,8 @@ def near_duplicates(
 
     Null, empty and word-less texts have no shingles: they are linked with
     nothing, are their own component and are kept. Rows that repeat a doc_id
-    get the component of that id. A null doc_id takes no part in linking: its
+    get the component of that id; if their texts differ, the text of the
+    smallest digest stands for the id. A null doc_id takes no part in linking: its
     component is null and it is kept. Empty tables give no rows.
 
     At similarity s a pair shares no band with probability
@@ -302,6 +303,12 @@ def near_duplicates(
         "minhash",
     )
     linked = feats.where("digest is not null and doc_id is not null")
+    # Ids whose rows have different texts: the first digest stands for them.
+    several = linked.groupBy("doc_id").agg(F.min("digest").alias("first"), F.max("digest").alias("last")).where("first <> last")
+    several = materialise(several.select("doc_id", "first"), "several")
+    mixed_ids = not several.isEmpty()
+    if mixed_ids:
+        linked = linked.join(several, "doc_id", "left").where("first is null or first = digest").drop("first")
     # One class for each different set; a class is its smallest id.
     classes = materialise(linked.groupBy("digest").agg(F.min("doc_id").alias("rep")), "classes")
     reps = linked.join(classes.select(F.col("rep").alias("doc_id"), "digest"), ["doc_id", "digest"], "left_semi")
@@ -353,7 +360,10 @@ def near_duplicates(
 
     where = classes.join(comps.toDF("rep", "component"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("component"))
     where = where.select(F.concat(F.lit("="), "digest").alias("k"), "component")
-    out = feats.select("doc_id", "n_shingles", F.concat(F.lit("="), "digest").alias("k")).join(where, "k", "left")
+    rows = feats.select("doc_id", "n_shingles", "digest")
+    if mixed_ids:
+        rows = rows.join(several, "doc_id", "left").withColumn("digest", F.when(F.col("digest").isNotNull(), F.coalesce("first", "digest")))
+    out = rows.select("doc_id", "n_shingles", F.concat(F.lit("="), "digest").alias("k")).join(where, "k", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 

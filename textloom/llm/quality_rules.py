@@ -84,7 +84,7 @@ def _counts(raws: list[bytes]):
     for i, (raw, last) in enumerate(zip(raws, upto.tolist())):
         n = last - first
         repeated = 0
-        if n >= 10 or n > 5:
+        if n > 5:
             own = windows[first : last - 4]
             order = np.argsort(own, kind="stable")
             same = own[order][1:] == own[order][:-1]
