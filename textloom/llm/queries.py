@@ -148,14 +148,17 @@ WITH docs AS (
   SELECT rid, owner, repo, kind, lm, v,
     sum(lp + lm) OVER (PARTITION BY rid, kind ORDER BY i) - lm AS a, sum(lp + lm) OVER (PARTITION BY rid, kind ORDER BY i) AS b
   FROM parts
-), found AS (
+), base AS (
   SELECT * FROM spans WHERE (kind = 0 AND length(v) >= 6) OR (kind = 1 AND length(v) >= 20) OR kind = 2
-    OR (kind = 3 AND regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]') AND len(list_distinct(string_split(v, ''))) >= 10)
+), found AS (
+  SELECT * FROM base UNION ALL
+  SELECT * FROM spans s WHERE kind = 3 AND regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]') AND len(list_distinct(string_split(v, ''))) >= 10
+    AND NOT EXISTS (SELECT 1 FROM base x WHERE x.rid = s.rid AND x.a < s.b AND x.b > s.a)
 ), owners AS (
   SELECT v, count(DISTINCT owner) AS owners FROM found GROUP BY v
 ), shown AS (
   SELECT f.*, owners, ['assign', 'access', 'hex', 'owned'][kind + 1] || ':' || a || ':' || b AS span FROM found f JOIN owners USING (v)
-  WHERE kind < 3 OR (owners = 1 AND NOT EXISTS (SELECT 1 FROM found x WHERE x.rid = f.rid AND x.kind < 3 AND x.a < f.b AND x.b > f.a))
+  WHERE kind < 3 OR owners = 1
 ), per AS (
   SELECT rid, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
     string_agg(span, ',' ORDER BY a, kind) FILTER (kind < 3) AS base, string_agg(span, ',' ORDER BY a, kind) AS spans,

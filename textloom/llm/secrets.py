@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._native import match_spans
+from ._native import let, match_spans
 from ._shared import materialise
 
 # The patterns of the base kinds, in the order of the report.
@@ -35,7 +35,8 @@ def _spans(text: Column) -> Column:
     hexes = F.when(text.rlike(HEX), match_spans(text, HEX)).otherwise(none)
     varied = lambda x: x["value"].rlike("[0-9]") & x["value"].rlike("[A-Za-z]") & (F.size(F.array_distinct(F.regexp_extract_all(x["value"], F.lit("."), F.lit(0)))) >= 10)
     generic = F.when(text.rlike(GENERIC), F.filter(match_spans(text, GENERIC), varied)).otherwise(none)
-    return F.concat(*(_of_kind(k, a) for k, a in enumerate((assign, access, hexes, generic))))
+    base = F.concat(*(_of_kind(k, a) for k, a in enumerate((assign, access, hexes))))
+    return let(base, lambda b: F.concat(b, F.filter(_of_kind(3, generic), lambda x: ~F.exists(b, lambda y: (y["start"] < x["end"]) & (y["end"] > x["start"])))))
 
 
 def _of_kind(k: int, spans: Column) -> Column:
@@ -93,8 +94,7 @@ def secret_spans(documents: DataFrame, repository: str = "source", owner: str |
     joined = rows.select("rid", "doc_id").join(known, "rid", "left")
     labels = F.coalesce("labels", F.array().cast(known.schema["labels"].dataType))
     base = F.filter(labels, lambda x: x["kind"] < 3)
-    clear = lambda x: ~F.exists(base, lambda b: (b["start"] < x["end"]) & (b["end"] > x["start"]))
-    owned = F.filter(labels, lambda x: (x["kind"] == 3) & (x["owners"] == 1) & clear(x))
+    owned = F.filter(labels, lambda x: (x["kind"] == 3) & (x["owners"] == 1))
     return joined.select(
         "doc_id",
         *[_count_kind(base, k).alias(f"n_{KINDS[k]}") for k in range(3)],
