@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from .functions import hashing, markup, typography
 from .functions import text as tx
 from .functions.text import NBSP
-from .operators import audit, glossary, ledger, locks, packing, qa, relational, segments, structure
+from .operators import audit, glossary, ledger, locks, packing, qa, relational, segments, structure, validation
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -664,3 +664,119 @@ def recover_segments(spark, sf_dir):
     return structure.recover_groups(n).select("k", F.array_join("recovered", "|").alias("recovered"))
 
 
+
+
+# --- contracts and reconciliation -------------------------------------------
+
+
+@query("""
+SELECT doc_id, 'token' AS source FROM documents WHERE regexp_matches(text, '(^|[^\\p{L}\\p{M}\\p{N}_])(?i:token)($|[^\\p{L}\\p{M}\\p{N}_])') AND doc_id % 2 = 0
+UNION ALL SELECT doc_id, 'disgusting' FROM documents WHERE regexp_matches(text, '(^|[^\\p{L}\\p{M}\\p{N}_])(?i:disgusting)($|[^\\p{L}\\p{M}\\p{N}_])')
+""")
+def qa_glossary_targets(spark, sf_dir):
+    """Documents whose translation lacks the target of a term they hold."""
+    c = glossary.compile_entries(spark.createDataFrame([("token", "jeton", "word", "", 0), ("disgusting", "répugné", "definition", "", 1)], "source string, target string, kind string, source_term string, ord long"))
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("row_no"), F.col("doc_id").cast("string").alias("content_id"), F.col("text").alias("content"), F.when(F.col("doc_id") % 2 == 1, "le Jeton").otherwise("jetons, répugnant").alias("o_content"))
+    m = glossary.match_terms(d, c)
+    found = qa.glossary_issues(m, c, "French")
+    return found.select(F.col("row_no").alias("doc_id"), F.regexp_extract("message", r"for (\w+)", 1).alias("source"))
+
+
+@query("""
+SELECT doc_id, p AS phrase, count(*) AS expected, CASE WHEN doc_id % 2 = 0 THEN 0 ELSE len(string_split(any_value(text), p)) - 1 END::BIGINT AS actual
+FROM (SELECT doc_id, text, unnest(regexp_extract_all(text, '(?:Apache|Public) License')) AS p FROM documents) GROUP BY doc_id, p
+""")
+def preserved_names(spark, sf_dir):
+    """Protected names counted in a text and its translation."""
+    d = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("source"), F.when(F.col("doc_id") % 2 == 0, F.replace("text", F.lit("License"), F.lit("Licence"))).otherwise(F.col("text")).alias("target"))
+    return glossary.preserved_counts(d, [("license", "(?:Apache|Public) License")]).select("doc_id", "phrase", "expected", "actual")
+
+
+@query("""
+SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN ' T-' || p_brand || ' ' || chr(9) || p_type WHEN p_partkey % 3 = 1 THEN NULL END AS expected FROM part
+""")
+def glossary_table_rows(spark, sf_dir):
+    """Two-cell rows whose pair is in the glossary, as they must read."""
+    p = table(spark, sf_dir, "part")
+    pairs = p.select(F.col("p_brand").alias("term"), F.col("p_type").alias("definition"), F.concat(F.lit("T-"), "p_brand").alias("target_term"), F.lit("").alias("target_definition")).distinct()
+    k = F.col("p_partkey") % 3
+    rows = p.select("p_partkey", F.when(k == 0, F.concat(F.lit(" "), "p_brand", F.lit(" \t"), "p_type")).when(k == 1, F.concat("p_brand", F.lit("\t"), "p_type", F.lit("\t"))).otherwise(F.col("p_brand")).alias("content"))
+    return glossary.expected_table_rows(rows, pairs).select("p_partkey", "expected")
+
+
+@query("""
+WITH a AS (SELECT o_orderkey AS k, o_custkey AS v FROM orders WHERE o_orderkey % 5 <> 0), b AS (SELECT o_orderkey AS k, o_custkey + CASE WHEN o_orderkey % 7 = 0 THEN 1 ELSE 0 END AS v FROM orders WHERE o_orderkey % 6 <> 0)
+SELECT coalesce(a.k, b.k) AS k, CASE WHEN b.k IS NULL THEN 'left only' WHEN a.k IS NULL THEN 'right only' ELSE 'differs' END AS state FROM a FULL JOIN b ON a.k = b.k WHERE a.k IS NULL OR b.k IS NULL OR a.v <> b.v
+""")
+def keyed_differences(spark, sf_dir):
+    """Full-outer reconciliation of two versions of a table."""
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("v"))
+    a = o.where("k % 5 <> 0")
+    b = o.where("k % 6 <> 0").withColumn("v", F.col("v") + F.when(F.col("k") % 7 == 0, 1).otherwise(0))
+    return relational.differences(a, b, ["k"], "v")
+
+
+@query("""
+SELECT p_partkey::VARCHAR AS id, CASE WHEN p_partkey % 2 = 0 THEN 'new ' || p_brand ELSE p_brand END AS pattern FROM part UNION ALL SELECT 'x' || n_nationkey, n_name FROM nation
+""")
+def rule_upsert(spark, sf_dir):
+    """Rules with exceptions upserted by id."""
+    base = table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("id"), F.col("p_brand").alias("pattern"), F.col("p_partkey").alias("ord"))
+    more = base.where("ord % 2 = 0").withColumn("pattern", F.concat(F.lit("new "), "pattern"))
+    extra = table(spark, sf_dir, "nation").select(F.concat(F.lit("x"), "n_nationkey").alias("id"), F.col("n_name").alias("pattern"), (F.col("n_nationkey") + 10**9).cast("long").alias("ord"))
+    return relational.merge_rules(base, more.union(extra)).select("id", "pattern")
+
+
+@query("""
+SELECT c_name AS path, CASE WHEN c_custkey % 10 = 0 THEN 'changed' ELSE 'missing' END AS fault FROM customer WHERE c_custkey % 10 IN (0, 1)
+""")
+def inventory_check(spark, sf_dir):
+    """Listed files that are missing or differ."""
+    c = table(spark, sf_dir, "customer").select(F.col("c_name").alias("path"), "c_custkey", F.sha2("c_name", 256).alias("sha256"))
+    present = c.where("c_custkey % 10 <> 1").withColumn("sha256", F.when(F.col("c_custkey") % 10 == 0, F.sha2(F.lit("x"), 256)).otherwise(F.upper("sha256")))
+    return relational.inventory_faults(c.select("path", "sha256"), present.select("path", "sha256"))
+
+
+@query("""
+SELECT c_custkey AS frame_index, CASE WHEN c_custkey % 5 = 0 THEN c_name ELSE '<' || substr(c_name, 1, 3) || '>' || substr(c_name, 5, 2) || '-' || substr(c_name, 8) END AS text, CASE WHEN c_custkey % 5 = 0 THEN 'ranges overlap' END AS fault FROM customer
+""")
+def range_replacement(spark, sf_dir):
+    """Ranges of frames replaced in one pass, overlaps refused."""
+    c = table(spark, sf_dir, "customer")
+    frames = c.select(F.col("c_custkey").cast("int").alias("frame_index"), F.col("c_name").alias("text"))
+    second = F.when(F.col("c_custkey") % 5 == 0, 3).otherwise(6)
+    both = F.array(F.struct(second.alias("start"), F.lit(1).alias("length"), F.lit("-").alias("target")), F.struct(F.lit(0).alias("start"), F.lit(4).alias("length"), F.concat(F.lit("<"), F.substring("c_name", 1, 3), F.lit(">")).alias("target")))
+    items = c.select(F.col("c_custkey").cast("int").alias("frame_index"), F.explode(both).alias("x")).select("frame_index", "x.*")
+    return validation.apply_ranges(frames, items).select(F.col("frame_index").cast("long").alias("frame_index"), "text", "fault")
+
+
+@query("""
+SELECT c_mktsegment AS file, c_name AS id, CASE WHEN c_custkey % 3 = 0 THEN 'local' ELSE 'T' || n END AS translated FROM (SELECT *, sum(CASE WHEN c_custkey % 3 = 0 THEN 0 ELSE 1 END) OVER (PARTITION BY c_mktsegment ORDER BY c_custkey) AS n FROM customer)
+""")
+def alias_round_trip(spark, sf_dir):
+    """Units under short names, and their answers mapped back."""
+    items = table(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("file"), F.col("c_custkey").alias("pos"), F.col("c_name").alias("id"), F.when(F.col("c_custkey") % 3 == 0, "local").alias("local"))
+    named = ledger.compact(items)
+    answers = named.where("alias is not null").select("file", "alias", F.upper("alias").alias("translated"))
+    return ledger.expand(named, answers)[0]
+
+
+@query("""
+SELECT n_nationkey::VARCHAR AS key, f AS fault FROM (SELECT n_nationkey, unnest(list_filter([CASE WHEN n_nationkey % 3 = 0 THEN 'untrimmed cell' END, CASE WHEN n_nationkey % 4 = 0 THEN 'unknown kind' END, CASE WHEN n_nationkey % 5 = 0 THEN 'error literal' END], lambda x: x IS NOT NULL)) AS f FROM nation)
+""")
+def publication_contract(spark, sf_dir):
+    """Faults of published glossary rows."""
+    n = table(spark, sf_dir, "nation")
+    k = F.col("n_nationkey")
+    entry = F.struct(F.when(k % 3 == 0, " x").otherwise("x").alias("term"), F.when(k % 5 == 0, "#N/A").otherwise("").alias("definition"), F.lit("").alias("combined_definition"))
+    p = n.select(F.lit("b").alias("book"), k.cast("int").alias("row"), F.when(k % 4 == 0, "verbs").otherwise("words").alias("kind"), F.col("n_name").alias("english"), F.lit("").alias("english_definition"), F.create_map(F.lit("French"), entry).alias("translations"))
+    return validation.published_faults(p, ["French"]).select(F.regexp_replace("key", "^b#", "").alias("key"), "fault")
+
+
+@query("""
+SELECT n_nationkey AS k, 'é' || n_name AS repaired, 'a &lt; b &amp; <b>' || n_name || '</b>&amp;' AS escaped FROM nation
+""")
+def text_repairs(spark, sf_dir):
+    """Repaired encodings, and escapes that keep markup."""
+    n = table(spark, sf_dir, "nation")
+    return n.select(F.col("n_nationkey").alias("k"), tx.repair_mojibake(F.concat(F.lit("Ã©"), "n_name")).alias("repaired"), markup.escape_xml(F.concat(F.lit("a < b & <b>"), "n_name", F.lit("</b>&amp;"))).alias("escaped"))
