@@ -248,6 +248,11 @@ def test_relational(spark):
     s = spark.createDataFrame([("Aa", 1), ("b", 2)], "value string, ord int")
     t = spark.createDataFrame([("aA", 1), ("c", 2)], "value string, ord int")
     assert [r.value for r in relational.merge_strings(s, t).collect()] == ["Aa", "b", "c"]
+    from re import search
+
+    assert search(relational.effective_pattern("official_unit_type_abbreviation", "[A-Z]Co"), "the Headquarters and Service BCo")[0] == "Headquarters and Service BCo"
+    stages = spark.createDataFrame([("All", "a", ["text"]), ("French", "b", ["text"]), ("French", "c", ["icml"]), ("German", "d", ["text"])], "language string, id string, stages array<string>")
+    assert {r.id for r in relational.stage_rules(stages, "french", "text").collect()} == {"a", "b"}
     p = spark.createDataFrame([("ParagraphStyle/G%3aCredits",), ("ParagraphStyle/H%3aCredits",), ("Body",)], "style string")
     found, faults = relational.select_styles(p, ["credits", "body", "G:Credits", "none"])
     assert {(r.selector, r.fault) for r in faults.collect()} == {("credits", "ambiguous"), ("none", "not found")} and found.count() == 4

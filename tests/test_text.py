@@ -62,6 +62,11 @@ def test_term_patterns(spark):
     assert not spark.createDataFrame([("kelvin", "Kelvin")], "a string, b string").where(tx.contains_term(F.col("b"), F.col("a"))).count()
 
 
+def test_normal_form_and_blanks(spark, values):
+    assert values(spark, ["e\u0301", None, "a"], tx.nfc) == ["é", None, "a"]
+    assert values(spark, ["a HQ Co b", "", None], lambda c: tx.blank_out(c, "HQ Co")) == ["a       b", "", ""]
+
+
 def test_sizes_and_columns(spark, values):
     got = values(spark, ["10 pt / 12 pt or 13 pt", "9.5pt/11", "x"], tx.size_pair)
     assert [tuple(g) if g else None for g in got] == [(10.0, 12.0, [13.0]), (9.5, 11.0, []), None]

@@ -58,6 +58,20 @@ def fold(c: Column) -> Column:
     return F.lower(text(c))
 
 
+def nfc(c: Column) -> Column:
+    """Composed form. Spark has no normalisation of its own, so this is an
+    Arrow function; call it once, when text comes in."""
+    import unicodedata
+
+    import pandas as pd
+
+    @F.pandas_udf("string")
+    def run(values: pd.Series) -> pd.Series:
+        return pd.Series([None if v is None else unicodedata.normalize("NFC", v) for v in values], dtype=object)
+
+    return run(c.cast("string"))
+
+
 def content_id(c: Column) -> Column:
     """Trimmed id; of digits only, without leading zeros."""
     t = trim(c)
@@ -270,6 +284,13 @@ def count_exact(c: Column, value: Column) -> Column:
     return F.when(F.length(v) == 0, F.lit(0)).otherwise(((F.length(t) - F.length(F.replace(t, v, F.lit("")))) / F.greatest(F.length(v), F.lit(1))).cast("int"))
 
 
+def blank_out(c: Column, pattern: str) -> Column:
+    """Matches replaced by as many spaces, so that offsets stay."""
+    between = F.split(text(c), pattern, -1)
+    blanks = F.transform(F.regexp_extract_all(text(c), F.lit(pattern), F.lit(0)), lambda m: F.repeat(F.lit(" "), F.length(m)))
+    return F.array_join(F.zip_with(between, blanks, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
+
+
 def utf16_length(c: Column) -> Column:
     return (F.octet_length(F.encode(text(c), "UTF-16BE")) / 2).cast("long")
 

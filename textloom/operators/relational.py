@@ -111,6 +111,20 @@ def rule_set(rules: DataFrame, book: str, language: str) -> DataFrame:
     return keep.unionByName(more)
 
 
+def effective_pattern(rule_id: str, pattern: str) -> str:
+    """Pattern as it is searched: an abbreviated unit type takes a preceding
+    headquarters qualifier into the match."""
+    if rule_id != "official_unit_type_abbreviation":
+        return pattern
+    return rf"(?:(?<![A-Za-z0-9_])Headquarters(?:\s+and\s+(?:Headquarters|Service|Support))?\s+)?(?:{pattern})"
+
+
+def stage_rules(rules: DataFrame, language: str, stage: str) -> DataFrame:
+    """Shared rules and those of a language that hold at a stage; ``rules``
+    has language ("All" for shared ones) and stages."""
+    return rules.where(F.lower("language").isin("all", language.strip().lower()) & F.array_contains("stages", stage))
+
+
 def pattern_faults(rules: DataFrame) -> DataFrame:
     """Rules with a blank or repeated id, or a pattern that does not compile
     (tested by the engine that will run it)."""
