@@ -6,6 +6,9 @@ offsets count code points unless a name says UTF-16.
 
 from __future__ import annotations
 
+import unicodedata
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -61,9 +64,6 @@ def fold(c: Column) -> Column:
 def nfc(c: Column) -> Column:
     """Composed form. Spark has no normalisation of its own, so this is an
     Arrow function; call it once, when text comes in."""
-    import unicodedata
-
-    import pandas as pd
 
     @F.pandas_udf("string")
     def run(values: pd.Series) -> pd.Series:
