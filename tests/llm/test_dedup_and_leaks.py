@@ -63,6 +63,10 @@ def corpus(seed, groups, sizes=(1, 3, 30), length=120):
     return list(enumerate(docs))
 
 
+def test_dedup_query(against_sql):
+    against_sql(queries.op2_minhash_dedup, queries.ORACLE_SQL["op2_minhash_dedup"], SF)
+
+
 def as_result(df):
     return {r.doc_id: (r.n_shingles, r.component_id) for r in df.collect()}
 

@@ -52,14 +52,17 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete scratch tables that no lazy result reads any more."""
     for t in tables:
         path = getattr(t, "_scratch", None)
         if path:
-            jvm, jsc = t.sparkSession._jvm, t.sparkSession.sparkContext._jsc
-            where = jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(jsc.hadoopConfiguration()).delete(where, True)
+            remove_path(t.sparkSession, path)
 
 
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from ._shared import materialise, open_shared, scratch_path, small_batches
+from ._shared import materialise, open_shared, remove_path, scratch_path, small_batches
 
 #: Tokens of a block; bytes after which a written file is closed.
 BLOCK_TOKENS = 1 << 20
@@ -139,8 +139,10 @@ def separator_scan(files: DataFrame, eod: int, width: int = 2, block_tokens: int
 def token_counts(documents: DataFrame, vocabulary: str, eod: int, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """(doc_id, n_tokens) of every row of ``documents``, read off the flat
     files that the rows were written to. Repeated ids give repeated rows; an
-    empty table gives none."""
-    files = write_token_files(documents, vocabulary, eod)
+    empty table gives none. The files are deleted once they have been scanned."""
+    folder = scratch_path(documents.sparkSession, "tokens")
+    files = write_token_files(documents, vocabulary, eod, folder)
     scanned = separator_scan(files, eod, dtype_for(eod + 1).itemsize, block_tokens)
+    remove_path(documents.sparkSession, folder)
     names = files.select("path", F.posexplode("doc_ids").alias("ordinal", "doc_id"))
     return scanned.join(names.withColumn("ordinal", F.col("ordinal").cast("long")), ["path", "ordinal"]).select("doc_id", "n_tokens")
