@@ -111,12 +111,15 @@ def rule_set(rules: DataFrame, book: str, language: str) -> DataFrame:
     return keep.unionByName(more)
 
 
+# The rule whose matches take a qualifier, and the qualifier.
+QUALIFIED_RULE = "official_unit_type_abbreviation"
+QUALIFIER = r"(?<![A-Za-z0-9_])Headquarters(?:\s+and\s+(?:Headquarters|Service|Support))?\s+"
+
+
 def effective_pattern(rule_id: str, pattern: str) -> str:
     """Pattern as it is searched: an abbreviated unit type takes a preceding
     headquarters qualifier into the match."""
-    if rule_id != "official_unit_type_abbreviation":
-        return pattern
-    return rf"(?:(?<![A-Za-z0-9_])Headquarters(?:\s+and\s+(?:Headquarters|Service|Support))?\s+)?(?:{pattern})"
+    return rf"(?:{QUALIFIER})?(?:{pattern})" if rule_id == QUALIFIED_RULE else pattern
 
 
 def stage_rules(rules: DataFrame, language: str, stage: str) -> DataFrame:
