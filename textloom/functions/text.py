@@ -26,6 +26,11 @@ def text(c: Column) -> Column:
     return F.coalesce(c.cast("string"), F.lit(""))
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), lambda x: body(x)), 1)
+
+
 def cell(c: Column) -> Column:
     """Workbook cell: null to empty, CRLF to LF."""
     return F.replace(text(c), F.lit("\r\n"), F.lit("\n"))

@@ -15,7 +15,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .text import NARROW, NBSP, SPACE, text
+from .text import NARROW, NBSP, SPACE, let, text
 
 # Locale facts (code, decimal, grouping, gap before a percent
 # sign or None where it precedes the number, quotes, unit system).
@@ -147,24 +147,51 @@ def unmask(masked: Column, kept: Column) -> Column:
     return F.array_join(F.zip_with(between, kept, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
 
 
+def _marks(pattern: str) -> str:
+    """Characters of which a text must have one for a punctuation rule to
+    match; none where the rule asks for no such character."""
+    for held, marks in (("[;:!?%]", ";:!?%"), ("[;!?]", ";!?"), (":(?!", ":"), ("«", "«"), ("»", "»"), ("—", "—")):
+        if held in pattern:
+            return marks
+    return "%" if pattern.endswith("%") else ""
+
+
 def apply_rules(c: Column, rules) -> Column:
+    """The rules in order; those about a mark are tried only on texts that
+    have it, by a plain search."""
     for _, pattern, put in rules:
-        c = F.regexp_replace(c, pattern, put)
+        marks = _marks(pattern)
+        if marks:
+            c = _guarded_rule(c, pattern, put, marks)
+        else:
+            c = F.regexp_replace(c, pattern, put)
     return c
 
 
+def _guarded_rule(c: Column, pattern: str, put: str, marks: str) -> Column:
+    def one(x: Column) -> Column:
+        there = x.contains(marks[0])
+        for mark in marks[1:]:
+            there = there | x.contains(mark)
+        return F.when(there, F.regexp_replace(x, pattern, put)).otherwise(x)
+
+    return let(c, one)
+
+
 def normalise(c: Column, language: str) -> Column:
     """Typography of one language. Null becomes empty. Texts without a digit
     or one of the marks that rules look for are passed through untested."""
-    language = language_of(language)
-    t = text(c)
+    name = language_of(language)
+    return let(text(c), lambda t: _normalised(t, name))
+
+
+def _normalised(t: Column, language: str) -> Column:
     dates = [s for s in steps(language) if s[0] in ("dates", f"date_{language.lower()}")]
     rest = [s for s in steps(language) if s[0] not in ("dates", f"date_{language.lower()}")]
 
     def ruled(x: Column) -> Column:
         # Month rules see a text only if it has a year: each needs one.
-        dated = F.when(x.rlike(r"[0-9]{4}"), apply_rules(x, dates)).otherwise(x)
-        return apply_rules(dated, rest)
+        return let(x, lambda y: apply_rules(F.when(y.rlike(r"[0-9]{4}"), apply_rules(y, dates)).otherwise(y), rest))
 
     if language == "French":
         # The order of the list counts here: matrix punctuation precedes its
@@ -173,8 +200,7 @@ def normalise(c: Column, language: str) -> Column:
     else:
         relevant = t.rlike("[0-9]|[" + OPERATORS + "] ")
     literal = t.rlike(r"[<&⟦@_]|https?://|www\.")
-    m = mask(t)
-    with_mask = unmask(ruled(m["masked"]), m["kept"])
+    with_mask = let(mask(t), lambda m: unmask(ruled(m["masked"]), m["kept"]))
     return F.when(~relevant, t).when(literal, with_mask).otherwise(ruled(t))
 
 

@@ -208,13 +208,12 @@ def candidates(texts: DataFrame, compiled: DataFrame, key: str, value: str, extr
     """(key, terms): for each text the terms that could match it, found by an
     equi-join of the text's tokens with each term's first token. Terms without
     such a token, or that fold onto ASCII, are candidates of every text."""
-    folded = F.lower(F.translate(F.col(value), "ſK", "sk"))
-    tokens = texts.select(key, F.explode(F.array_distinct(F.concat(F.regexp_extract_all(folded, F.lit("[a-z0-9]+"), F.lit(0)), F.array(F.lit(""))))).alias("t"))
+    tokens = _text_tokens(texts, key, F.lower(F.translate(F.col(value), "ſK", "sk")))
     # Substrings matter: a term's first token may follow a non-ASCII letter,
     # where the text's token starts at the same place, so runs agree.
     item = F.struct(F.length("source").alias("n"), "ord", "source", *extra)
-    named = compiled.select(_token(F.col("source")).alias("t"), item.alias("e"))
-    return tokens.join(named, "t").groupBy(key).agg(F.array_sort(F.collect_list("e")).alias("terms"))
+    named = compiled.select(_token(F.col("source")).alias("_t"), item.alias("e"))
+    return tokens.join(named, "_t").groupBy(key).agg(F.array_sort(F.collect_list("e")).alias("terms"))
 
 
 def match_terms(texts: DataFrame, compiled: DataFrame, key: str = "row_no", value: str = "content", most_bytes: int = MOST_BYTES) -> DataFrame:
@@ -250,12 +249,20 @@ def term_pairs(texts: DataFrame, pairs: DataFrame, key: str, value: str) -> Data
     """(key, source, target): every pair whose source occurs in the text
     between ASCII boundaries, in any ASCII case; overlaps are allowed.
 
-    An equi-join on the source's first token and a filter, no product.
+    An equi-join of the texts' tokens with each source's first token gives the
+    candidates, as narrow rows; only these meet the texts again for the test.
     """
-    tokens = texts.select(key, F.col(value).alias("_v"), F.explode(F.array_distinct(F.concat(F.regexp_extract_all(F.lower(F.col(value)), F.lit("[a-z0-9]+"), F.lit(0)), F.array(F.lit(""))))).alias("_t"))
     named = pairs.withColumn("_t", _token(F.col("source")))
-    hit = F.lower(F.col("_v")).contains(F.lower("source")) & F.regexp_like(F.col("_v"), ascii_term_pattern(F.col("source")))
-    return tokens.join(named, "_t").where(hit).select(key, "source", "target").distinct()
+    found = _text_tokens(texts, key, F.lower(F.col(value))).join(named, "_t").select(key, "source", "target").distinct()
+    hit = F.lower(F.col(value)).contains(F.lower("source")) & F.regexp_like(F.col(value), ascii_term_pattern(F.col("source")))
+    return found.join(texts.select(key, value), key).where(hit).select(key, "source", "target").distinct()
+
+
+def _text_tokens(texts: DataFrame, key: str, folded: Column) -> DataFrame:
+    """(key, _t): the distinct tokens of each text, and an empty one for terms
+    that have none. The text itself is not repeated."""
+    every = F.array_distinct(F.concat(F.regexp_extract_all(folded, F.lit("[a-z0-9]+"), F.lit(0)), F.array(F.lit(""))))
+    return texts.select(key, F.explode(every).alias("_t"))
 
 
 def applies(value: Column, source: Column, contextual: Column, allow_ci: Column) -> Column:
@@ -403,10 +410,12 @@ def select_for_delta(groups: DataFrame, changed: DataFrame, source: str = "sourc
     return groups.join(hit, "group_id", "left").withColumn("queried", F.coalesce("queried", F.lit(False)))
 
 
-def match_candidates(groups: DataFrame, terms: DataFrame, value: str) -> DataFrame:
-    """Groups beside the terms whose first token they hold."""
-    tokens = groups.withColumn("_t", F.explode(F.array_distinct(F.concat(F.regexp_extract_all(F.lower(F.translate(F.col(value), "ſK", "sk")), F.lit("[a-z0-9]+"), F.lit(0)), F.array(F.lit(""))))))
-    return tokens.join(terms.withColumn("_t", _token(F.col("source"))), "_t").drop("_t")
+def match_candidates(groups: DataFrame, terms: DataFrame, value: str, key: str = "group_id") -> DataFrame:
+    """Groups beside the terms whose first token they hold: the pairs are made
+    from keys and tokens only, then joined with the groups."""
+    folded = F.lower(F.translate(F.col(value), "ſK", "sk"))
+    found = _text_tokens(groups, key, folded).join(terms.withColumn("_t", _token(F.col("source"))), "_t").drop("_t")
+    return groups.join(found, key)
 
 
 def preserved_counts(rows: DataFrame, rules: Sequence[tuple[str, str]], source: str = "source", target: str = "target") -> DataFrame:

@@ -13,7 +13,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import BREAK, line_breaks, text
+from ..functions.text import BREAK, let, line_breaks, text
 from .glossary import claims, pattern_of
 
 TOKEN = "⟦[A-Z]_[^⟧]+⟧"
@@ -26,6 +26,10 @@ def _interleave(between: Column, marks: Column) -> Column:
 def lock_breaks(value: Column, group_id: Column, segment: Column) -> Column:
     """struct(text, locks): each separator becomes a numbered token; locks are
     (token, source). ``segment`` counts from 0."""
+    return let(text(value), lambda v: _locked(v, group_id, segment))
+
+
+def _locked(value: Column, group_id: Column, segment: Column) -> Column:
     found = line_breaks(value)
     token = lambda i: F.concat(F.lit("⟦L_"), group_id, F.lit("_"), (segment + 1).cast("string"), F.lit("_"), (i + 1).cast("string"), F.lit("⟧"))
     tokens = F.transform(found, lambda _, i: token(i))
