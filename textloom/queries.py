@@ -35,6 +35,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores. A small table is one row group, hence one task;
+    where there are fewer splits than cores its rows are dealt out before
+    costly text work. Larger tables have splits enough and stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def whole(c: str):
     """A double column as a whole number."""
     return F.col(c).cast("int")
@@ -50,7 +58,7 @@ SELECT l_linenumber, count(*) AS n, count(*) FILTER (r <> s) AS changed, sum(len
 """)
 def typography_unit_nbsp(spark, sf_dir):
     """English units and percentages of every order line."""
-    t = table(spark, sf_dir, "lineitem").select("l_linenumber", F.concat(whole("l_quantity"), F.lit(" kg of "), "l_partkey", F.lit(" at "), "l_linenumber", F.lit(" % off")).alias("s"))
+    t = spread(table(spark, sf_dir, "lineitem")).select("l_linenumber", F.concat(whole("l_quantity"), F.lit(" kg of "), "l_partkey", F.lit(" at "), "l_linenumber", F.lit(" % off")).alias("s"))
     n = t.withColumn("r", typography.normalise(F.col("s"), "English"))
     return n.groupBy("l_linenumber").agg(F.count("*").alias("n"), F.count_if(F.col("r") != F.col("s")).alias("changed"), F.sum(F.length("r").cast("long")).alias("chars"))
 
@@ -63,7 +71,7 @@ FROM orders
 """)
 def typography_dates_by_locale(spark, sf_dir):
     """Order dates in full month names, set by the rules of three languages."""
-    o = table(spark, sf_dir, "orders").select("o_orderkey", F.dayofmonth("o_orderdate").alias("d"), F.month("o_orderdate").alias("m"), F.year("o_orderdate").alias("y"))
+    o = spread(table(spark, sf_dir, "orders")).select("o_orderkey", F.dayofmonth("o_orderdate").alias("d"), F.month("o_orderdate").alias("m"), F.year("o_orderdate").alias("y"))
 
     def spelled(language, form):
         names = [x.split("|")[form if "|" in x else 0].replace("\\.?", "") for x in typography.MONTHS[language].split()]
@@ -85,7 +93,7 @@ SELECT language, count(*) AS n, count(*) FILTER (a <> b) AS changed, min(b) AS l
 def typography_percent_by_locale(spark, sf_dir):
     """Discounts and taxes as percentages in all ten languages."""
     names = F.array(*map(F.lit, typography.LOCALES))
-    l = table(spark, sf_dir, "lineitem").select(F.get(names, (F.col("l_orderkey") % 10).cast("int")).alias("language"), F.concat(F.round(F.col("l_discount") * 100).cast("int"), F.lit(" %/"), F.round(F.col("l_tax") * 100).cast("int"), F.lit("%")).alias("a"))
+    l = spread(table(spark, sf_dir, "lineitem")).select(F.get(names, (F.col("l_orderkey") % 10).cast("int")).alias("language"), F.concat(F.round(F.col("l_discount") * 100).cast("int"), F.lit(" %/"), F.round(F.col("l_tax") * 100).cast("int"), F.lit("%")).alias("a"))
     r = l.withColumn("b", typography.normalise_by(F.col("a"), F.col("language")))
     return r.groupBy("language").agg(F.count("*").alias("n"), F.count_if(F.col("a") != F.col("b")).alias("changed"), F.min("b").alias("least"), F.max("b").alias("most"))
 
@@ -95,7 +103,7 @@ SELECT c_custkey, c_name || chr(8239) || ': «' || chr(8239) || c_mktsegment ||
 """)
 def typography_french_punct(spark, sf_dir):
     """French punctuation of a phrase about every customer."""
-    c = table(spark, sf_dir, "customer")
+    c = spread(table(spark, sf_dir, "customer"))
     s = F.concat("c_name", F.lit(" : « "), "c_mktsegment", F.lit("» ; oui — non ?"))
     return c.select("c_custkey", typography.normalise(s, "French").alias("set"))
 
@@ -105,7 +113,7 @@ SELECT l_orderkey, l_linenumber, l_quantity::INT || chr(160) || '+' || chr(160)
 """)
 def typography_math(spark, sf_dir):
     """Operators between numbers, on every order line."""
-    l = table(spark, sf_dir, "lineitem")
+    l = spread(table(spark, sf_dir, "lineitem"))
     s = F.concat(whole("l_quantity"), F.lit(" + "), "l_linenumber", F.lit(" = "), whole("l_quantity") + F.col("l_linenumber"))
     return l.select("l_orderkey", "l_linenumber", typography.normalise(s, "German").alias("sum"))
 
@@ -119,7 +127,7 @@ SELECT place, language, rule, language IN ('All', 'English') AS applies,
 """)
 def grep_rule_report(spark, sf_dir):
     """Matches of each rule of the matrix, also of those without any."""
-    l = table(spark, sf_dir, "lineitem").select(F.concat(whole("l_quantity"), F.lit(" km "), "l_linenumber", F.lit(" + "), "l_linenumber").alias("s"))
+    l = spread(table(spark, sf_dir, "lineitem")).select(F.concat(whole("l_quantity"), F.lit(" km "), "l_linenumber", F.lit(" + "), "l_linenumber").alias("s"))
     counted = l.agg(*(F.sum(F.regexp_count("s", F.lit(p))).alias(k) for k, p, _ in typography.matrix("English")))
     long = counted.select(F.explode(F.array(*(F.struct(F.lit(k).alias("rule"), F.col(k).cast("long").alias("matches"), F.lit(0).cast("long").alias("changes")) for k, _, _ in typography.matrix("English")))).alias("x")).select("x.*")
     rules = typography.rules_for(typography.rule_table(spark), "English")
@@ -131,7 +139,7 @@ SELECT 'German' AS language, count(*) AS n, 0::BIGINT AS untidy FROM lineitem
 """)
 def typography_idempotence(spark, sf_dir):
     """Texts that a second run would still change: none."""
-    l = table(spark, sf_dir, "lineitem")
+    l = spread(table(spark, sf_dir, "lineitem"))
     s = F.concat(whole("l_quantity"), F.lit(" kg + "), "l_linenumber", F.lit(" % = 3 Mai 2010"))
     once = l.select(typography.normalise(s, "German").alias("t"))
     return once.agg(F.count("*").alias("n"), F.count_if(typography.is_untidy(F.col("t"), "German")).alias("untidy")).select(F.lit("German").alias("language"), "n", "untidy")
@@ -303,7 +311,7 @@ def fingerprint_fnv1a(spark, sf_dir):
 
 
 def _content_tables(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").select("doc_id", "lang", F.substring(F.regexp_replace("text", "[^A-Za-z ]", ""), 1, 80).alias("t"))
+    d = spread(table(spark, sf_dir, "documents")).select("doc_id", "lang", F.substring(F.regexp_replace("text", "[^A-Za-z ]", ""), 1, 80).alias("t"))
     base = d.select("lang", F.col("doc_id").alias("row_no"), F.when(F.col("doc_id") % 5 == 0, F.concat(F.lit("p"), "doc_id")).otherwise("").alias("psr_id"), F.lit("").alias("psr_content"), F.format_string("%06d", F.col("doc_id") - F.when(F.col("doc_id") % 100 == 7, 1).otherwise(0)).alias("content_tag"), F.concat(F.lit("Text "), F.trim("t"), F.lit("<b/>")).alias("content"))
     k, c = F.col("row_no"), F.col("content")
     new = F.when(k % 7 == 0, " ").when(k % 11 == 0, F.concat(c, F.lit("<i/>"))).when(k % 13 == 0, F.concat(c, F.lit(" "))).when(k % 17 == 0, F.concat(F.lit("&amp;lt; "), c)).when(k % 19 == 0, F.concat(F.lit("<?x?>"), c)).when(k % 23 == 0, F.concat(F.lit("a\n"), c)).when(k % 3 == 0, c).otherwise(F.concat(F.lit("Neu "), c))
@@ -351,7 +359,7 @@ SELECT page_id, len(regexp_extract_all(html, '</?[A-Za-z][^>]*>'))::INT AS n_tag
 def qa_markup_inventory(spark, sf_dir):
     """Markup inventories of all pages."""
     h = F.col("html")
-    return table(spark, sf_dir, "pages").select("page_id", F.size(markup.tags(h)).alias("n_tags"), F.regexp_count(h, F.lit(markup.ENTITY)).alias("n_entities"), F.length(markup.visible_letters(h)).alias("letters"))
+    return spread(table(spark, sf_dir, "pages")).select("page_id", F.size(markup.tags(h)).alias("n_tags"), F.regexp_count(h, F.lit(markup.ENTITY)).alias("n_entities"), F.length(markup.visible_letters(h)).alias("letters"))
 
 
 @query("""
@@ -602,7 +610,7 @@ SELECT doc_id, len(string_split(text, chr(10))) - 1 AS n_locks, true AS same, tr
 """)
 def lock_restore_roundtrip(spark, sf_dir):
     """Line breaks locked as tokens and restored, in every document."""
-    d = table(spark, sf_dir, "documents").select("doc_id", "text", locks.lock_breaks(F.col("text"), F.col("doc_id").cast("string"), F.lit(0)).alias("l"))
+    d = spread(table(spark, sf_dir, "documents")).select("doc_id", "text", locks.lock_breaks(F.col("text"), F.col("doc_id").cast("string"), F.lit(0)).alias("l"))
     back = locks.restore_breaks(F.col("l.text"), F.col("l.locks"))
     kinds = locks.restore_break_kinds(F.col("text"), F.replace("text", F.lit("\n"), F.lit("\x0b")))
     return d.select("doc_id", F.size("l.locks").cast("long").alias("n_locks"), (back == F.col("text")).alias("same"), (kinds == F.col("text")).alias("kinds"))
