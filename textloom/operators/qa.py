@@ -15,7 +15,7 @@ from pyspark.sql import Window as W
 
 from ..functions import markup
 from ..functions.text import boundary_whitespace, content_id, count_exact, is_blank, line_breaks, text, trim
-from ..functions.typography import is_untidy
+from ..functions.typography import is_untidy, normalise_by
 from .glossary import contains_target
 from .segments import composites
 
@@ -73,8 +73,9 @@ def eligible(pairs: DataFrame, phrases: Sequence[str] = ()) -> Column:
     return ~F.col("is_protected") & F.col("panel_text").isNull() & (F.length(markup.visible_letters(seen)) >= 4)
 
 
-def row_issues(pairs: DataFrame, keys: Sequence[str] = (), language: str | None = None, forbidden: Sequence[tuple[str, str, str]] = (), preserved: Sequence[tuple[str, str]] = ()) -> DataFrame:
-    """Issues of all rules that look at one row pair."""
+def row_issues(pairs: DataFrame, keys: Sequence[str] = (), language: str | Column | None = None, forbidden: Sequence[tuple[str, str, str]] = (), preserved: Sequence[tuple[str, str]] = ()) -> DataFrame:
+    """Issues of all rules that look at one row pair. ``language`` is a name, or
+    a column of names; rows of an unknown one have no typography rule."""
     s, o = F.col("s_content"), F.col("o_content")
     free = ~F.col("is_protected") & F.col("panel_text").isNull()
     checks: list[tuple[str, Column, Column]] = [
@@ -92,8 +93,9 @@ def row_issues(pairs: DataFrame, keys: Sequence[str] = (), language: str | None
         ("DOUBLE_ESCAPED_ENTITY", markup.double_escaped(o), F.lit("entity is escaped twice")),
         ("UNCHANGED_SOURCE_TEXT", eligible(pairs, [p for _, p in preserved]) & (trim(s) == trim(o)), F.lit("text is unchanged")),
     ]
-    if language:
-        checks.append(("EDITORIAL_TYPOGRAPHY", free & is_untidy(o, language), F.lit("typography differs from the language's")))
+    if language is not None:
+        untidy = normalise_by(o, language) != o if isinstance(language, Column) else is_untidy(o, language)
+        checks.append(("EDITORIAL_TYPOGRAPHY", free & untidy, F.lit("typography differs from the language's")))
     for rule, pattern, message in forbidden:
         checks.append(("BOOK_INSTRUCTION_FORBIDDEN_TARGET", free & o.rlike(pattern), F.lit(message or f"forbidden by {rule}")))
     for rule, pattern in preserved:

@@ -310,15 +310,20 @@ def fingerprint_fnv1a(spark, sf_dir):
 # --- quality checks ---------------------------------------------------------
 
 
-def _content_tables(spark, sf_dir):
-    d = spread(table(spark, sf_dir, "documents")).select("doc_id", "lang", F.substring(F.regexp_replace("text", "[^A-Za-z ]", ""), 1, 80).alias("t"))
-    base = d.select("lang", F.col("doc_id").alias("row_no"), F.when(F.col("doc_id") % 5 == 0, F.concat(F.lit("p"), "doc_id")).otherwise("").alias("psr_id"), F.lit("").alias("psr_content"), F.format_string("%06d", F.col("doc_id") - F.when(F.col("doc_id") % 100 == 7, 1).otherwise(0)).alias("content_tag"), F.concat(F.lit("Text "), F.trim("t"), F.lit("<b/>")).alias("content"))
+def _mutated(base):
+    """``base`` and a copy with the faults that the row rules look for."""
     k, c = F.col("row_no"), F.col("content")
     new = F.when(k % 7 == 0, " ").when(k % 11 == 0, F.concat(c, F.lit("<i/>"))).when(k % 13 == 0, F.concat(c, F.lit(" "))).when(k % 17 == 0, F.concat(F.lit("&amp;lt; "), c)).when(k % 19 == 0, F.concat(F.lit("<?x?>"), c)).when(k % 23 == 0, F.concat(F.lit("a\n"), c)).when(k % 3 == 0, c).otherwise(F.concat(F.lit("Neu "), c))
     out = base.withColumn("content", new).withColumn("psr_id", F.when(k % 50 == 0, F.lit("q")).otherwise(F.col("psr_id")))
     return base, out
 
 
+def _content_tables(spark, sf_dir, t=None):
+    """Content of the whole texts, or of a column of theirs, and its mutated copy."""
+    d = spread(table(spark, sf_dir, "documents")).select("doc_id", "lang", (F.coalesce("text", F.lit("")) if t is None else t).alias("t"))
+    return _mutated(d.select("lang", F.col("doc_id").alias("row_no"), F.when(F.col("doc_id") % 5 == 0, F.concat(F.lit("p"), "doc_id")).otherwise("").alias("psr_id"), F.lit("").alias("psr_content"), F.format_string("%06d", F.col("doc_id") - F.when(F.col("doc_id") % 100 == 7, 1).otherwise(0)).alias("content_tag"), F.concat(F.lit("Text "), "t", F.lit("<b/>")).alias("content")))
+
+
 _PAIRS = """WITH b AS (SELECT doc_id AS k, lang, 'Text ' || trim(substr(regexp_replace(text, '[^A-Za-z ]', '', 'g'), 1, 80)) || '<b/>' AS s, doc_id - CASE WHEN doc_id % 100 = 7 THEN 1 ELSE 0 END AS tag FROM documents),
 p AS (SELECT *, min(k) OVER (PARTITION BY tag) AS first_row, CASE WHEN k % 7 = 0 THEN ' ' WHEN k % 11 = 0 THEN s || '<i/>' WHEN k % 13 = 0 THEN s || ' ' WHEN k % 17 = 0 THEN '&amp;lt; ' || s WHEN k % 19 = 0 THEN '<?x?>' || s WHEN k % 23 = 0 THEN 'a' || chr(10) || s WHEN k % 3 = 0 THEN s ELSE 'Neu ' || s END AS o FROM b)"""
 
@@ -337,11 +342,37 @@ p AS (SELECT *, min(k) OVER (PARTITION BY tag) AS first_row, CASE WHEN k % 7 = 0
 SELECT code, severity, count(*) AS n FROM i GROUP BY ALL
 """)
 def qa_issue_counts(spark, sf_dir):
-    """Issues of all row rules between documents and a mutated copy."""
-    pairs = qa.paired(*_content_tables(spark, sf_dir))
+    """Issues of nine row rules between the first 80 letters and blanks of each
+    document and a mutated copy. The SQL fixes that prefix: it counts a line
+    break only where the copy has one, so it cannot state the result for texts
+    with breaks of their own. ``qa_all_row_rules`` reads the whole texts."""
+    prefix = F.trim(F.substring(F.regexp_replace("text", "[^A-Za-z ]", ""), 1, 80))
+    pairs = qa.paired(*_content_tables(spark, sf_dir, prefix))
     return qa.row_issues(pairs).groupBy("code", "severity").agg(F.count("*").alias("n"))
 
 
+# What the rules of qa_all_row_rules are given.
+QA_LANGUAGES = {"de": "German", "en": "English", "es": "Spanish", "fr": "French"}
+QA_FORBIDDEN = [("no_new", "Neu", "not to be used")]
+QA_PRESERVED = [("head", "Text")]
+
+
+@query()
+def qa_all_row_rules(spark, sf_dir):
+    """Issues of all row rules on whole documents, by language; some rows have
+    no content id, some are protected, and some show a panel's text."""
+    k = F.col("row_no")
+    tag = F.when(k % 199 == 5, "").otherwise(F.col("content_tag"))
+    s, o = (t.withColumn("content_tag", tag) for t in _content_tables(spark, sf_dir))
+    ids = s.where("content_tag <> ''").withColumnRenamed("content_tag", "content_id")
+    # Ids, protection and panel are found on narrow rows; then each text moves once.
+    bare = [x.withColumn("content", F.lit("")) for x in (s, o)]
+    facts = qa.paired(*bare, protected=ids.where(k % 29 == 0).select("content_id"), panel=ids.where(k % 31 == 0).select("content_id", F.col("content").alias("text")))
+    pairs = facts.drop("s_content", "o_content").join(s.select("row_no", "lang", F.col("content").alias("s_content")), "row_no").join(o.select("row_no", F.col("content").alias("o_content")), "row_no")
+    language = F.create_map(*(F.lit(x) for kv in QA_LANGUAGES.items() for x in kv))[F.col("lang")]
+    return qa.row_issues(pairs, ["lang"], language, QA_FORBIDDEN, QA_PRESERVED).groupBy("lang", "code", "severity").agg(F.count("*").alias("n"))
+
+
 @query(_PAIRS + """
 SELECT lang, count(*) AS eligible, count(*) FILTER (trim(o) = s) AS unchanged, round(count(*) FILTER (trim(o) = s) / count(*), 6) AS share, count(*) FILTER (trim(o) = s) >= 10 AND count(*) FILTER (trim(o) = s) / count(*) >= 0.2 AS low FROM p GROUP BY lang
 """)
