@@ -162,15 +162,16 @@ LIMITS = {"least_chars": 200, "least_words": 40, "class_distance": 0.27, "long_w
 def quality(documents: DataFrame, limits: dict | None = None, into: str = "quality", refs: dict | None = None) -> DataFrame:
     """``documents`` with a struct column ``into``: counts and verdict.
 
-    Reads ``text`` and, for the references, ``lang`` (may be absent). A text
+    Reads ``text`` and ``lang`` (may be absent). A text
     passes if no base rule fails and, where it has ``least_chars`` word
     characters and ``least_words`` words, the distance of its classes to the
     nearest reference stays within its limit. From ``long_words`` words on, a
     stricter limit holds, and one for the distance of its common words. The
-    nearest of all references counts, so a wrong or null lang does no harm.
+    nearest of all references counts, so a null or confused lang does no harm.
+    Texts of a lang without a reference get no distances.
 
     A null text counts as empty: it has no words, so the base rules fail it.
-    An input column named ``into`` is replaced, others stay. Without any
+    An input column named ``into`` is replaced, others stay. Without a
     reference (an empty table, unknown languages) only the base rules judge.
     Texts are processed whole, whatever their length.
     """
@@ -181,15 +182,15 @@ def quality(documents: DataFrame, limits: dict | None = None, into: str = "quali
     classes = np.array([refs[k][0] for k in langs])
 
     @F.pandas_udf(RESULT)
-    def judge(texts: pd.Series) -> pd.DataFrame:
+    def judge(texts: pd.Series, known: pd.Series) -> pd.DataFrame:
         parts = []
-        for _, raws in text_batches(texts.array):
+        for first, raws in text_batches(texts.array):
             rows = list(_counts(raws))
             base = np.array([r[:5] for r in rows], dtype=np.int64)
             failed = _failed(base[:, 0], base[:, 4])
             near_class = np.full(len(rows), np.nan)
             near_word, nearest = near_class.copy(), np.full(len(rows), None, dtype=object)
-            long = np.flatnonzero((base[:, 1] >= bound["least_chars"]) & (base[:, 0] >= bound["least_words"]))
+            long = np.flatnonzero((base[:, 1] >= bound["least_chars"]) & (base[:, 0] >= bound["least_words"]) & known.iloc[first : first + len(raws)].to_numpy(dtype=bool))
             if len(langs) and len(long):
                 own = np.array([rows[i][5] for i in long], dtype=float)
                 seen = np.array([rows[i][6] for i in long], dtype=float)
@@ -203,4 +204,5 @@ def quality(documents: DataFrame, limits: dict | None = None, into: str = "quali
             parts.append(pd.DataFrame({**{k: base[:, i] for i, k in enumerate(_NAMES[:5])}, "base_failed": failed, "class_distance": near_class, "word_distance": near_word, "nearest": nearest, "kept": ~failed & ~bad}))
         return pd.concat(parts, ignore_index=True) if parts else pd.DataFrame(columns=_NAMES)
 
-    return documents.withColumn(into, judge.asNondeterministic()(F.col("text").cast("string")))
+    lang = F.col("lang").cast("string") if "lang" in documents.columns else F.lit(None).cast("string")
+    return documents.withColumn(into, judge.asNondeterministic()(F.col("text").cast("string"), F.coalesce(lang.isin(langs), F.lit(True))))
