@@ -49,6 +49,17 @@ def test_matching_joined_equals_broadcast(spark):
     assert key(glossary.match_terms(docs, c)) == key(glossary.match_terms(docs, c, most_bytes=1))
 
 
+def test_terms_that_fold_onto_ascii(spark):
+    c = glossary.compile_entries(entries(spark, [(s, "t", "word", "") for s in ["\u017ftar", "\u212aelvin"]]))
+    docs = spark.createDataFrame(enumerate(["a star", "a \u017ftar", "one kelvin", "one \u212aelvin", "tar"]), "row_no long, content string")
+    key = lambda df: {r.row_no: [m.source for m in r.matches] for r in df.collect()}
+    want = {0: ["\u017ftar"], 1: ["\u017ftar"], 2: ["\u212aelvin"], 3: ["\u212aelvin"], 4: []}
+    assert key(glossary.match_terms(docs, c)) == want and key(glossary.match_terms(docs, c, most_bytes=1)) == want
+    groups = docs.selectExpr("row_no AS group_id", "content AS source_text", "'' AS target_text")
+    queried = {r.group_id for r in glossary.select_for_delta(groups, c).where("queried").collect()}
+    assert {1, 3} <= queried and 4 not in queried
+
+
 def test_targets(spark):
     rows = [("German", "Kompanien kamen", "Kompanie", "definition", True), ("German", "Zugang", "Zug", "definition", False), ("German", "fortgeschrittenes", "fortgeschritten", "acronym", True), ("German", "Aufklärungs- und", "Aufklärung", "definition", True), ("French", "blessées", "blessé", "definition", True), ("French", "blessées", "blessé", "word", False), ("English", "a b", "b", "word", True)]
     for language, text, target, kind, want in rows:

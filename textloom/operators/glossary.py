@@ -204,15 +204,20 @@ def _token(c: Column) -> Column:
     return F.regexp_extract(F.lower(c), "[a-z0-9]+", 0)
 
 
+def _ascii_fold(c: Column) -> Column:
+    """Lower case, with the letters that fold onto ASCII put as ASCII."""
+    return F.lower(F.translate(c, "\u017f\u212a", "sk"))
+
+
 def candidates(texts: DataFrame, compiled: DataFrame, key: str, value: str, extra: Sequence[str] = ("contextual", "allow_ci")) -> DataFrame:
     """(key, terms): for each text the terms that could match it, found by an
     equi-join of the text's tokens with each term's first token. Terms without
-    such a token, or that fold onto ASCII, are candidates of every text."""
-    tokens = _text_tokens(texts, key, F.lower(F.translate(F.col(value), "ſK", "sk")))
+    such a token are candidates of every text; both sides are folded alike."""
+    tokens = _text_tokens(texts, key, _ascii_fold(F.col(value)))
     # Substrings matter: a term's first token may follow a non-ASCII letter,
     # where the text's token starts at the same place, so runs agree.
     item = F.struct(F.length("source").alias("n"), "ord", "source", *extra)
-    named = compiled.select(_token(F.col("source")).alias("_t"), item.alias("e"))
+    named = compiled.select(_token(_ascii_fold(F.col("source"))).alias("_t"), item.alias("e"))
     return tokens.join(named, "_t").groupBy(key).agg(F.array_sort(F.collect_list("e")).alias("terms"))
 
 
@@ -413,8 +418,8 @@ def select_for_delta(groups: DataFrame, changed: DataFrame, source: str = "sourc
 def match_candidates(groups: DataFrame, terms: DataFrame, value: str, key: str = "group_id") -> DataFrame:
     """Groups beside the terms whose first token they hold: the pairs are made
     from keys and tokens only, then joined with the groups."""
-    folded = F.lower(F.translate(F.col(value), "ſK", "sk"))
-    found = _text_tokens(groups, key, folded).join(terms.withColumn("_t", _token(F.col("source"))), "_t").drop("_t")
+    folded = _ascii_fold(F.col(value))
+    found = _text_tokens(groups, key, folded).join(terms.withColumn("_t", _token(_ascii_fold(F.col("source")))), "_t").drop("_t")
     return groups.join(found, key)
 
 
