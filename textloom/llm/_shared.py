@@ -7,9 +7,11 @@ import os
 import shutil
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..shipping import ensure_on_executors
 
@@ -20,23 +22,63 @@ def shared_dir(spark: SparkSession) -> str:
     """Folder that the driver and all executors see.
 
     It is ``spark.checkpoint.dir`` of the session. Where that is unset, a
-    local master gets a temporary folder of its own (tests) and any other
-    master a folder beside the warehouse, never a machine-local one.
+    local master gets a temporary folder of its own (tests); any other master
+    is refused, since no folder is known that all its machines share.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return base.rstrip("/")
-    if spark.sparkContext.master.startswith("local[") or spark.sparkContext.master == "local":
-        app = spark.sparkContext.applicationId
-        if app not in _LOCAL:
-            _LOCAL[app] = tempfile.mkdtemp(prefix="textloom-")
-            atexit.register(shutil.rmtree, _LOCAL[app], ignore_errors=True)
-        return "file://" + _LOCAL[app]
-    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    if not (spark.sparkContext.master.startswith("local[") or spark.sparkContext.master == "local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL:
+        _LOCAL[app] = tempfile.mkdtemp(prefix="textloom-")
+        atexit.register(shutil.rmtree, _LOCAL[app], ignore_errors=True)
+    return "file://" + _LOCAL[app]
+
+
+#: Scratch paths written since each open ``scratch_scope`` began.
+_SCOPES: list[list[str]] = []
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new path in the shared folder. What is written there goes with the
+    enclosing ``scratch_scope``, else at the end of the application."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    for scope in _SCOPES:
+        scope.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Delete, on leaving, all scratch tables written inside but the paths
+    that the body puts in the set it is given."""
+    written: list[str] = []
+    keep: set[str] = set()
+    _SCOPES.append(written)
+    try:
+        yield keep
+    finally:
+        _SCOPES.remove(written)
+        for path in written:
+            if path not in keep:
+                remove_path(spark, path)
+
+
+def _until_exit(spark: SparkSession, path: str) -> None:
+    """Let the driver's file system delete an existing path when it closes."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """An empty folder that lives as long as a scratch table."""
+    path = scratch_path(spark, name)
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(where)
+    _until_exit(spark, path)
+    return path
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
@@ -47,6 +89,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
+    _until_exit(spark, path)
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch = path
     return out
@@ -65,6 +108,28 @@ def discard(*tables: DataFrame) -> None:
             remove_path(t.sparkSession, path)
 
 
+def free_names(df: DataFrame, *stems: str) -> list[str]:
+    """For each stem a column name that ``df`` does not have in any case."""
+    used, out = {c.lower() for c in df.columns}, []
+    for stem in stems:
+        name, n = stem, 0
+        while name.lower() in used:
+            n += 1
+            name = f"{stem}_{n}"
+        used.add(name.lower())
+        out.append(name)
+    return out
+
+
+def own(name: str) -> Column:
+    """The top-level column of this name, whatever characters it has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def own_columns(df: DataFrame) -> list[Column]:
+    return [own(c) for c in df.columns]
+
+
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Hand Python workers at most ``rows`` rows at once from now on.
 

@@ -2,7 +2,7 @@
 
 1. Every text becomes its set of distinct five-word shingles (64-bit hashes),
    ``bands * rows`` universal-hash minima of it and one hash per band. Texts
-   with equal sets form a class; from here on a class is its smallest doc_id.
+   with equal sets form a class, which is a node of its own from here on.
 2. Classes that share a band bucket are candidates. Per bucket each member is
    paired with the smallest and the largest member only, so a bucket of n
    gives under 2n pairs. Pairs are verified by signature, then confirmed on the
@@ -28,12 +28,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bloom
-from ._shared import ASCII_LOWER, PLACES, discard, materialise, mix64, small_batches, text_batches, window_hashes, word_bounds, word_hashes
+from ._shared import ASCII_LOWER, PLACES, discard, free_names, materialise, mix64, own, own_columns, small_batches, text_batches, window_hashes, word_bounds, word_hashes
 from .components import connected_components
 
 WIDTH, BANDS, ROWS = 5, 54, 6
 #: Rows of one side of a block comparison.
 BLOCK = 512
+#: Numbers below this name classes of which no id is free.
+LOWEST = -(2**62)
 
 
 @lru_cache(maxsize=4)
@@ -45,6 +47,12 @@ def _family(count: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def minima(shingles: np.ndarray, count: int) -> np.ndarray:
+    """Least values of the functions over the upper halves of the hashes.
+
+    Two shingles agree in these 32 bits with p = 2.3e-10 a pair: a set of a
+    million shingles has about a hundred such pairs, which shifts the share
+    of equal minima by 1e-4 at most. Links are confirmed on all 64 bits.
+    """
     a, b = _family(count)
     x = (shingles >> np.uint64(32)).astype(np.uint32)
     least = np.full(count, 2**32 - 1, dtype=np.uint32)
@@ -92,7 +100,7 @@ def _features(bands: int, rows: int, width: int):
                     if len(s):
                         sig = minima(s, bands * rows)
                         band = (sig.reshape(bands, rows).astype(np.uint64) * places[None, :]).sum(axis=1, dtype=np.uint64)
-                        digest.append(hashlib.blake2b(s.tobytes(), digest_size=16).hexdigest())
+                        digest.append(_set_digest(s))
                         keys.append(mix64(band + names).view(np.int64))
                         sigs.append(sig.astype(np.uint8).tobytes())
                     else:
@@ -268,30 +276,54 @@ def _compare(dealt: DataFrame, payload: DataFrame, work, schema: str) -> DataFra
     return rows.mapInPandas(_grouped(work), schema)
 
 
-def near_duplicates(
+def _set_digest(s: np.ndarray) -> str | None:
+    return hashlib.blake2b(s.tobytes(), digest_size=16).hexdigest() if len(s) else None
+
+
+def _digester(width: int):
+    """Column function: name of the set of shingles of a text, as _features."""
+
+    @F.pandas_udf("string")
+    def digest(texts: pd.Series) -> pd.Series:
+        return pd.Series([_set_digest(s) for _, raws in text_batches(texts.array) for s in shingle_sets(raws, width)], dtype=object)
+
+    return digest.asNondeterministic()
+
+
+def _classes(linked: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """(digest, node, least) of every different set, and the ids that have
+    several sets (None if there are none).
+
+    ``least`` is the smallest doc_id that has the set. The node is that too,
+    unless an id with several sets is among its ids: then it is the smallest
+    of the others or, without others, a number below LOWEST of its own.
+    """
+    several = linked.groupBy("doc_id").agg(F.min("digest").alias("a"), F.max("digest").alias("b")).where("a <> b")
+    several = materialise(several.select(F.col("doc_id").alias("id")), "several")
+    if several.isEmpty():
+        discard(several)
+        one = linked.groupBy("digest").agg(F.min("doc_id").alias("node"))
+        return materialise(one.withColumn("least", F.col("node")), "classes"), None
+    small = materialise(several.union(linked.where(F.col("doc_id") < LOWEST).select("doc_id")).distinct(), "several")
+    discard(several)
+    several = small
+    marked = linked.select("doc_id", "digest").join(several.withColumn("shared", F.lit(True)), F.col("doc_id") == F.col("id"), "left")
+    plain = F.when(F.col("shared").isNull(), F.col("doc_id"))
+    found = marked.groupBy("digest").agg(F.min(plain).alias("node"), F.min("doc_id").alias("least"))
+    # The number lasts because the table is written at once.
+    return materialise(found.withColumn("node", F.coalesce("node", F.monotonically_increasing_id() + F.lit(1 - 2**63))), "classes"), several
+
+
+def assign(
     documents: DataFrame,
     percent: int = 75,
     width: int = WIDTH,
     bands: int = BANDS,
     rows: int = ROWS,
     block: int = BLOCK,
-) -> DataFrame:
-    """Component of every document under shingle similarity.
-
-    Input: columns ``doc_id`` long and ``text``; others are ignored. Output:
-    ``doc_id, n_shingles, component_id, kept``, one row for each input row.
-    Two documents are linked if 100 * |A & B| >= percent * |A | B|.
-
-    Null, empty and word-less texts have no shingles: they are linked with
-    nothing, are their own component and are kept. Rows that repeat a doc_id
-    get the component of that id; if their texts differ, the text of the
-    smallest digest stands for the id. A null doc_id takes no part in linking: its
-    component is null and it is kept. Empty tables give no rows.
-
-    At similarity s a pair shares no band with probability
-    (1 - s^rows)^bands: 2.5e-5 at 0.75, 1e-9 at 0.85; chains make a lost
-    component rarer still.
-    """
+) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, n_shingles, digest) of every row, and (digest, component,
+    component_id) of every set that has a doc_id: two scratch tables."""
     small_batches(documents.sparkSession)
     count = bands * rows
     # Five standard errors below the threshold: a true link fails with p < 1e-6.
@@ -303,16 +335,15 @@ def near_duplicates(
         "minhash",
     )
     linked = feats.where("digest is not null and doc_id is not null")
-    # Ids whose rows have different texts: the first digest stands for them.
-    several = linked.groupBy("doc_id").agg(F.min("digest").alias("first"), F.max("digest").alias("last")).where("first <> last")
-    several = materialise(several.select("doc_id", "first"), "several")
-    mixed_ids = not several.isEmpty()
-    if mixed_ids:
-        linked = linked.join(several, "doc_id", "left").where("first is null or first = digest").drop("first")
-    # One class for each different set; a class is its smallest id.
-    classes = materialise(linked.groupBy("digest").agg(F.min("doc_id").alias("rep")), "classes")
-    reps = linked.join(classes.select(F.col("rep").alias("doc_id"), "digest"), ["doc_id", "digest"], "left_semi")
-    reps = materialise(reps.select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "bands", "sig").dropDuplicates(["rep"]), "reps")
+    classes, several = _classes(linked)
+    if several is None:
+        reps = linked.join(classes.select(F.col("node").alias("doc_id"), "node"), "doc_id")
+    else:
+        # Any row of a class has its signature; the first one seen stands.
+        once = linked.groupBy("digest").agg(F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"), F.first("sig").alias("sig"))
+        reps = once.join(classes.select("digest", "node"), "digest")
+    reps = materialise(reps.select(F.col("node").alias("rep"), F.col("n_shingles").alias("n"), "bands", "sig").dropDuplicates(["rep"]), "reps")
+    stored = _Texts(docs, classes, several, width)
 
     rows_of = reps.select("rep", F.explode("bands").alias("bucket"))
     ends = rows_of.groupBy("bucket").agg(F.min("rep").alias("low"), F.max("rep").alias("high"), F.count("*").alias("size"))
@@ -327,7 +358,7 @@ def near_duplicates(
         both = pairs.join(side.toDF("u", "n_a", "sig_a"), "u").join(side.toDF("v", "n_b", "sig_b"), "v")
         both = both.where(percent * F.greatest("n_a", "n_b") <= 100 * F.least("n_a", "n_b"))
         likely = materialise(both.mapInPandas(_signatures_agree(least), "u long, v long"), "likely")
-        texts = _texts(docs, likely.select("u").union(likely.select("v")))
+        texts = stored.of(likely.select("u").union(likely.select("v")))
         joined = likely.join(texts.toDF("u", "text_a"), "u").join(texts.toDF("v", "text_b"), "v").select("u", "v", "text_a", "text_b")
         links = materialise(joined.mapInPandas(_confirmed(percent, width), "u long, v long"), "links")
         discard(texts, likely)
@@ -351,57 +382,128 @@ def near_duplicates(
         facts = left.select("rep", "comp").distinct().join(side, "rep")
         flagged = materialise(_compare(_blocks(left, block), facts, _flag(least, percent), "bucket long, rep long, comp long").distinct(), "flagged")
         if not flagged.isEmpty():
-            texts = _texts(docs, flagged.select("rep"))
+            texts = stored.of(flagged.select("rep"))
             found = _compare(_blocks(flagged, max(64, block // 4)), facts.join(texts.toDF("rep", "text"), "rep"), _join_up(least, percent, width), "u long, v long")
             comps = merged(comps, materialise(found.distinct(), "links"))
             discard(texts)
         discard(flagged)
     discard(left, members, reps)
 
-    where = classes.join(comps.toDF("rep", "component"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("component"))
-    where = where.select(F.concat(F.lit("="), "digest").alias("k"), "component")
-    rows = feats.select("doc_id", "n_shingles", "digest")
-    if mixed_ids:
-        rows = rows.join(several, "doc_id", "left").withColumn("digest", F.when(F.col("digest").isNotNull(), F.coalesce("first", "digest")))
-    out = rows.select("doc_id", "n_shingles", F.concat(F.lit("="), "digest").alias("k")).join(where, "k", "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    where = classes.join(comps.toDF("node", "component"), "node", "left").select("digest", F.coalesce("component", "node").alias("component"), "least")
+    if several is None:  # then a component is its smallest doc_id
+        where = where.select("digest", "component", F.col("component").alias("component_id"))
+    else:
+        where = materialise(where, "where")
+        lowest = where.groupBy((-F.col("component").cast("decimal(20,0)")).alias("k")).agg(F.min("least").alias("component_id"))
+        where = where.withColumn("k", _apart("component")).join(lowest, "k").select("digest", "component", "component_id")
+    stored.close()
+    return feats.select("doc_id", "n_shingles", "digest"), materialise(where, "where")
+
 
+def _components_of(feats: DataFrame, where: DataFrame) -> DataFrame:
+    """``feats`` (doc_id, n_shingles, digest) with component and component_id."""
+    keyed = where.select(F.concat(F.lit("="), "digest").alias("k"), "component", "component_id")
+    out = feats.withColumn("k", F.concat(F.lit("="), "digest")).join(keyed, "k", "left").drop("k")
+    return out.withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")))
 
-def deduplicate(documents: DataFrame, **settings) -> DataFrame:
-    """``documents`` with one row of each component: that of its smallest id.
 
-    Rows that repeat a doc_id count as one document. Only rows that may have
-    to go are shuffled: a Bloom filter of bounded size, followed by an exact
-    anti-join, tells them from the rest. Null ids stay.
+def near_duplicates(documents: DataFrame, **settings) -> DataFrame:
+    """Component of every document under shingle similarity.
+
+    Input: columns ``doc_id`` long and ``text``; others are ignored. Output:
+    ``doc_id, n_shingles, component_id, kept``, one row for each input row.
+    Two documents are linked if 100 * |A & B| >= percent * |A | B|. Settings
+    (``percent, width, bands, rows, block``) are those of ``assign``.
+
+    Null, empty and word-less texts have no shingles: they are linked with
+    nothing, are their own component and are kept. Very long texts are hashed
+    whole. Rows that repeat a doc_id with one text are one document; rows that
+    repeat it with different texts are compared as different documents, so
+    their components may differ; the order of rows decides nothing, and ties
+    go to the smallest doc_id. A null doc_id takes no part in linking: its
+    component is null and it is kept. Empty tables give no rows.
+
+    At similarity s a pair shares no band with probability
+    (1 - s^rows)^bands: 2.5e-5 at 0.75, 1e-9 at 0.85; chains make a lost
+    component rarer still.
     """
-    small_batches(documents.sparkSession)
-    ids = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    verdict = materialise(near_duplicates(ids, **settings).select("doc_id", "kept"), "verdict")
-    gone = verdict.where("not kept").select("doc_id").distinct()
-    repeated = verdict.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    listed = materialise(gone.withColumn("again", F.lit(False)).union(repeated.withColumn("again", F.lit(True))), "listed")
+    out = _components_of(*assign(documents, **settings)).select("doc_id", "n_shingles", "component_id")
+    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def deduplicate(documents: DataFrame, width: int = WIDTH, **settings) -> DataFrame:
+    """``documents`` with one row of each component: one of its smallest id.
+
+    Columns of any name pass unchanged. Of several rows of that id in one
+    component, the least by content stands, so the order of rows decides
+    nothing; rows of an id that are in different components all stay, being
+    no copies. Rows without shingles stay once per id. Null ids stay.
+
+    Only rows that may have to go are shuffled: a Bloom filter of bounded
+    size, followed by an exact join, tells them from the rest.
+    """
+    spark = documents.sparkSession
+    small_batches(spark)
+    feats, where = assign(documents.select(own("doc_id"), own("text")), width=width, **settings)
+    verdict = _components_of(feats, where).select("doc_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+    ids = verdict.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n"), F.bool_or("kept").alias("kept"))
+    listed = materialise(ids.where("n > 1 or not kept").select("doc_id", (F.col("kept") & (F.col("n") > 1)).alias("again")), "listed")
     if listed.isEmpty():
         return documents
     words = bloom.build(listed, F.xxhash64("doc_id"), bloom.blocks_for(listed.count()))
-    maybe = bloom.prober(documents.sparkSession, words)(F.xxhash64(F.col("doc_id").cast("long")))
-    marked = documents.withColumn("_maybe", F.coalesce(maybe, F.lit(False)) & F.col("doc_id").isNotNull())
-    sure = marked.where(~F.col("_maybe")).drop("_maybe")
-    checked = marked.where("_maybe").drop("_maybe").join(listed.withColumnRenamed("doc_id", "_id"), F.col("doc_id").cast("long") == F.col("_id"), "left")
-    once = checked.where("again").drop("_id", "again").dropDuplicates(["doc_id"])
-    return sure.unionByName(checked.where("again is null").drop("_id", "again")).unionByName(once)
-
+    maybe, key, again, digest, component, first = free_names(documents, "maybe", "key", "again", "digest", "component", "first")
+    doc_id = F.col("doc_id").cast("long")
+    marked = documents.withColumn(maybe, F.coalesce(bloom.prober(spark, words)(F.xxhash64(doc_id)), F.lit(False)) & doc_id.isNotNull())
+    sure = marked.where(~own(maybe)).drop(maybe)
+    checked = marked.where(own(maybe)).drop(maybe).join(listed.toDF(key, again), doc_id == own(key), "left")
+    out = sure.unionByName(checked.where(own(again).isNull()).drop(key, again))
+    if listed.where("again").isEmpty():
+        return out
+    # Rows of repeated ids: one of each component whose smallest id they have.
+    several = checked.where(own(again)).drop(key, again).withColumn(digest, _digester(width)(F.col("text").cast("string")))
+    known = where.select(F.col("digest").alias(key), F.col("component").alias(component), F.col("component_id").alias(again))
+    several = several.join(known, own(digest) == own(key), "left").where(own(again).isNull() | (own(again) == doc_id))
+    row = F.struct(*own_columns(documents))
+    content = F.struct(own(digest), F.sha2(F.concat_ws("\x1f", *(F.coalesce(c.cast("string"), F.lit("\x00")) for c in own_columns(documents))), 256))
+    once = several.groupBy(doc_id.alias(key), own(component).alias(component)).agg(F.min_by(row, content).alias(first))
+    return out.unionByName(once.select(own(first)).select(f"`{first}`.*"))
+
+
+class _Texts:
+    """Texts of classes by node, each read from one of its rows.
+
+    A node from LOWEST on is a doc_id with a single set, so any
+    row of that id will do. The other classes' texts, those of ids with
+    several sets only, are found by digest once and kept as a table.
+    """
 
-def _texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(id, text) of the given ids, one row each, as a scratch table.
+    def __init__(self, docs: DataFrame, classes: DataFrame, several: DataFrame | None, width: int):
+        self.docs = docs.where(F.col("doc_id").isNotNull())
+        self.shared = None
+        if several is not None:
+            rows = self.docs.join(several, F.col("doc_id") == F.col("id"), "left_semi").withColumn("digest", _digester(width)("text"))
+            own_classes = classes.where(F.col("node") < LOWEST).select("digest", F.col("node").alias("id"))
+            found = rows.select("digest", "text").join(own_classes, "digest").groupBy("id").agg(F.min("text").alias("text"))
+            self.shared = materialise(found, "shared")
+            self.single = several
+
+    def of(self, nodes: DataFrame) -> DataFrame:
+        """(id, text) of the given nodes, one row each, as a scratch table.
+
+        A Bloom filter of bounded size thins the documents before they are
+        shuffled; the semi-join that follows is exact.
+        """
+        ids = materialise(nodes.toDF("id").distinct(), "ids")
+        words = bloom.build(ids, F.xxhash64("id"), bloom.blocks_for(ids.count()))
+        maybe = bloom.prober(self.docs.sparkSession, words)
+        found = self.docs.where(maybe(F.xxhash64("doc_id"))).join(ids.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi")
+        found = found.select(F.col("doc_id").alias("id"), F.coalesce("text", F.lit("")).alias("text")).dropDuplicates(["id"])
+        if self.shared is not None:
+            found = found.unionByName(self.shared.join(ids, "id", "left_semi"))
+        out = materialise(found, "texts")
+        discard(ids)
+        return out
 
-    A Bloom filter of bounded size thins the documents before they are
-    shuffled; the semi-join that follows is exact.
-    """
-    ids = materialise(ids.toDF("id").distinct(), "ids")
-    words = bloom.build(ids, F.xxhash64("id"), bloom.blocks_for(ids.count()))
-    maybe = bloom.prober(docs.sparkSession, words)
-    found = docs.where(F.col("doc_id").isNotNull()).where(maybe(F.xxhash64("doc_id"))).join(ids.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi")
-    out = materialise(found.select(F.col("doc_id").alias("id"), F.coalesce("text", F.lit("")).alias("text")).dropDuplicates(["id"]), "texts")
-    discard(ids)
-    return out
+    def close(self) -> None:
+        if self.shared is not None:
+            discard(self.shared, self.single)

@@ -45,9 +45,15 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_read(spark, sf_dir, "documents"), VOCABULARY, END_OF_DOCUMENT)
 
 
+def surrogate_key(spark: SparkSession) -> str:
+    """Key of the surrogates: the session's setting or, for the synthetic
+    tables of tests and checks only, a public one."""
+    return spark.conf.get("spark.textloom.surrogate.key", "synthetic tables only")
+
+
 def op5_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with surrogates, and what was replaced."""
-    new = pseudonymise(_read(spark, sf_dir, "documents"))
+    new = pseudonymise(_read(spark, sf_dir, "documents"), surrogate_key(spark))
     return new.select("doc_id", "lang", "source", "text", F.size("pii").cast("long").alias("n_entities"), F.transform("pii", lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])).alias("entities"))
 
 
@@ -61,9 +67,20 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
 
+def listed_urls(pages: DataFrame) -> DataFrame:
+    """URLs to block in all their spellings: those of pages whose html has a
+    run of three symbols for each two hundred characters or fewer."""
+    html = F.col("html").cast("string")
+    junk = 200 * F.regexp_count(html, F.lit(r"[#*$%&]{3}")) >= F.length(html)
+    return pages.where(junk & (F.length(html) > 0)).select("url", F.lit("block").alias("verdict"))
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Verdict of every page by the fixed rules."""
-    return judge_urls(_read(spark, sf_dir, "pages"), spark.createDataFrame(URL_RULES, "host string, path string, verdict string"))
+    """Verdict of every page by the fixed rules and, where none fits, by the
+    list of canonical URLs that the pages themselves give."""
+    pages = _read(spark, sf_dir, "pages")
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return judge_urls(pages, rules, listed_urls(pages))
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,7 +92,7 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         c["n_words"].alias("n_words"),
         c["n_hit"].alias("n_hit"),
         F.size(c["items"]).cast("long").alias("n_items"),
-        F.sha2(F.array_join(F.array_sort(F.transform(c["items"], lambda x: x.cast("string"))), ","), 256).alias("items_sha256"),
+        F.sha2(F.array_join(F.array_sort(c["items"]), ","), 256).alias("items_sha256"),
         (c["n_hit"] > 0).alias("contaminated"),
     )
 
@@ -108,23 +125,26 @@ QUERIES = {
 ORACLE_SQL: dict[str, str] = {}
 
 ORACLE_SQL["op1_poisson_mix"] = """
-WITH RECURSIVE sizes AS (
+WITH sizes AS (
   SELECT source, count(*) AS n, pow(count(*)::DOUBLE, 0.5) AS w FROM documents GROUP BY source
 ), rate AS (
   SELECT source, w * (sum(n) OVER ()::DOUBLE / sum(w) OVER ()) / n AS rate FROM sizes
+), span AS (
+  SELECT source, rate, greatest(floor(rate - 12 * sqrt(rate) - 30), 0)::BIGINT AS first, ceil(rate + 12 * sqrt(rate) + 30)::BIGINT AS last FROM rate
 ), steps AS (
-  SELECT source, rate, unnest(range(0, (ceil(rate + 12 * sqrt(rate) + 30) + 1)::BIGINT)) AS k FROM rate
-), facts AS (
-  SELECT *, sum(CASE WHEN k > 1 THEN ln(k::DOUBLE) ELSE 0.0 END) OVER (PARTITION BY source ORDER BY k) AS lf FROM steps
+  SELECT source, rate, first, unnest(range(first, last + 1)) AS k FROM span
 ), cdf AS (
-  SELECT source, k, sum(exp(k * ln(rate) - rate - lf)) OVER (PARTITION BY source ORDER BY k) AS c FROM facts
+  SELECT source, first, k, sum(exp(k * ln(rate) - rate - lgamma(k + 1))) OVER (PARTITION BY source ORDER BY k) AS c FROM steps
 ), lists AS (
-  SELECT source, list(c) AS cs FROM cdf GROUP BY source
+  SELECT source, first, list(c) AS cs FROM cdf GROUP BY source, first
+), numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id, text, lang, source, n_chars) AS occurrence FROM documents
 ), drawn AS (
-  SELECT d.*, ('0x' || substr(sha256('mix-1:' || coalesce(d.doc_id::VARCHAR, 'null')), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0 AS u, cs
-  FROM documents d JOIN lists ON lists.source IS NOT DISTINCT FROM d.source
+  SELECT d.*, ('0x' || substr(sha256('mix-1:' || coalesce(doc_id::VARCHAR, 'null') || ':' || coalesce(text, 'null') || ':' || coalesce(lang, 'null') || ':'
+    || coalesce(d.source, 'null') || ':' || coalesce(n_chars::VARCHAR, 'null') || ':' || occurrence), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0 AS u, first, cs
+  FROM numbered d JOIN lists ON lists.source IS NOT DISTINCT FROM d.source
 ), counted AS (
-  SELECT *, len(list_filter(cs, lambda c: c <= u))::BIGINT AS n_copies FROM drawn
+  SELECT *, (first + len(list_filter(cs, lambda c: c <= u)))::BIGINT AS n_copies FROM drawn
 )
 SELECT doc_id, text, lang, source, n_chars, n_copies, unnest(range(1, n_copies + 1))::BIGINT AS copy FROM counted WHERE n_copies > 0
 """
@@ -152,37 +172,49 @@ WITH docs AS (
   SELECT * FROM spans WHERE (kind = 0 AND length(v) >= 6) OR (kind = 1 AND length(v) >= 20) OR kind = 2
 ), found AS (
   SELECT * FROM base UNION ALL
-  SELECT * FROM spans s WHERE kind = 3 AND regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]') AND len(list_distinct(string_split(v, ''))) >= 10
+  SELECT * FROM spans s WHERE kind = 3 AND regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]') AND length(v) <= 200
+    AND length(v) * length(v) >= 9 * list_sum(list_transform(list_distinct(string_split(v, '')), lambda c: (length(v) - length(replace(v, c, ''))) ** 2))
+    AND 4 * len(regexp_extract_all(v, '[a-z]+|[A-Z]+|[0-9]+|[+/_-]+')) >= length(v)
     AND NOT EXISTS (SELECT 1 FROM base x WHERE x.rid = s.rid AND x.a < s.b AND x.b > s.a)
 ), owners AS (
-  SELECT v, count(DISTINCT owner) AS owners FROM found GROUP BY v
+  SELECT v, count(DISTINCT owner) AS owners, count(DISTINCT (owner, repo)) AS repos FROM found GROUP BY v
 ), shown AS (
-  SELECT f.*, owners, ['assign', 'access', 'hex', 'owned'][kind + 1] || ':' || a || ':' || b AS span FROM found f JOIN owners USING (v)
-  WHERE kind < 3 OR owners = 1
+  SELECT f.*, owners, repos, ['assign', 'access', 'hex', 'owned'][kind + 1] || ':' || a || ':' || b AS span FROM found f JOIN owners USING (v)
+  WHERE kind < 3 OR (owners = 1 AND repos <= 5)
 ), per AS (
   SELECT rid, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
     string_agg(span, ',' ORDER BY a, kind) FILTER (kind < 3) AS base, string_agg(span, ',' ORDER BY a, kind) AS spans,
-    count(*) FILTER (kind < 3 AND owners = 1) AS n_live, count(*) FILTER (kind < 3 AND owners >= 3) AS n_copied
+    count(*) FILTER (kind < 3 AND owners = 1 AND repos <= 5) AS n_live, count(*) FILTER (kind < 3 AND owners >= 3) AS n_copied,
+    max(repos) FILTER (kind < 3) AS n_repositories
   FROM shown GROUP BY rid
 )
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
-  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_copied, 0) AS n_copied
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_copied, 0) AS n_copied,
+  coalesce(n_repositories, 0) AS n_repositories
 FROM docs LEFT JOIN per USING (rid)
 """
 
 ORACLE_SQL["op7_url_filter"] = r"""
 WITH rules(rh, rp, rv) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
 parts AS (
-  SELECT row_number() OVER () AS rid, page_id,
+  SELECT row_number() OVER () AS rid, page_id, url, html,
     CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
 ), split AS (
-  SELECT rid, page_id, translate(regexp_extract(coalesce(rest, ''), '\A[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
-    regexp_extract(coalesce(rest, ''), '\A[^/?#]*([^?#]*)', 1) AS path FROM parts
+  SELECT rid, page_id, url, html, translate(regexp_extract(coalesce(rest, ''), '\A[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(rest, ''), '\A[^/?#]*([^?#]*)', 1) AS path, regexp_extract(coalesce(rest, ''), '\A[^?#]*\?([^#]*)', 1) AS query FROM parts
+), cut AS (
+  SELECT *, regexp_replace(regexp_replace(host, '\A[^@]*@', ''), '\A(?:www\.)?(.*?)\.?(?::(?:80|443))?\z', '\1') AS plain,
+    array_to_string(list_sort(list_filter(string_split(query, '&'), lambda q: q <> '' AND NOT regexp_matches(q, '(?i)\A(?:utm_[a-z]+|ref|fbclid|gclid|sessionid|sid)(?:=|\z)'))), '&') AS asked FROM split
+), named AS (
+  SELECT *, CASE WHEN instr(url, '://') > 0 THEN plain || CASE WHEN path = '' THEN '/' ELSE path END || CASE WHEN asked = '' THEN '' ELSE '?' || asked END END AS c FROM cut
+), marked AS (
+  SELECT DISTINCT c FROM named WHERE length(html) > 0 AND 200 * len(regexp_extract_all(html, '[#*$%&]{3}')) >= length(html)
 ), best AS (
   SELECT rid, arg_max(rh || rp, length(rh || rp)) AS rule, arg_max(rv, length(rh || rp)) AS rv
   FROM split JOIN rules ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY rid
 )
-SELECT page_id, host, path, rule, coalesce(rv, 'allow') AS verdict FROM split LEFT JOIN best USING (rid)
+SELECT page_id, host, path, rule, coalesce(rv, CASE WHEN marked.c IS NOT NULL THEN 'block' END, 'allow') AS verdict
+FROM named LEFT JOIN best USING (rid) LEFT JOIN marked ON marked.c = named.c
 """
 
 ORACLE_SQL["op10_warc"] = """

@@ -3,7 +3,9 @@
 Candidate credentials are located by fixed patterns. Their values, hashed, are
 then counted over the whole corpus by distinct repositories and owners: a
 value that many owners hold is a copied example, one that a single owner holds
-looks live. Generic high-variety strings become spans only if they look live.
+in few repositories looks live. Generic strings become spans only if they look
+live and have the form of a key: characters spread over a large alphabet, and
+letters and digits that alternate as they do in random strings, not in paths.
 """
 
 from __future__ import annotations
@@ -23,6 +25,26 @@ HEX = r"[0-9a-f]{24,}"
 #: Runs that may be a credential of an unknown kind.
 GENERIC = r"[A-Za-z0-9+/_-]{20,}"
 KINDS = ["assign", "access", "hex", "owned"]
+#: Runs of one class of characters; characters of the longest generic key.
+RUNS = r"[a-z]+|[A-Z]+|[0-9]+|[+/_-]+"
+LONGEST = 200
+
+
+def key_like(value: Column) -> Column:
+    """Whether a string has the form of a random key, in whole numbers.
+
+    It has a letter and a digit and is no longer than LONGEST. Two characters
+    drawn from it agree with p <= 1/9 (collision entropy of log2(9) bits), and
+    a run of equal classes (lower, upper, digit, other) is at most four
+    characters long on average.
+    """
+    n = F.length(value)
+    agree = let(
+        F.array_distinct(F.split(value, "")),
+        lambda letters: F.aggregate(letters, F.lit(0).cast("long"), lambda acc, c: acc + F.pow(F.length(value) - F.length(F.replace(value, c, F.lit(""))), F.lit(2)).cast("long")),
+    )
+    runs = F.size(F.regexp_extract_all(value, F.lit(RUNS), F.lit(0)))
+    return value.rlike("[0-9]") & value.rlike("[A-Za-z]") & (n <= LONGEST) & (n.cast("long") * n >= 9 * agree) & (4 * runs >= n)
 
 
 def _spans(text: Column) -> Column:
@@ -33,8 +55,7 @@ def _spans(text: Column) -> Column:
     assign = F.when(named, F.filter(match_spans(text, ASSIGN, 2), lambda x: F.length(x["value"]) >= 6)).otherwise(none)
     access = F.when(text.contains("AKIA"), F.filter(match_spans(text, ACCESS), lambda x: F.length(x["value"]) >= 20)).otherwise(none)
     hexes = F.when(text.rlike(HEX), match_spans(text, HEX)).otherwise(none)
-    varied = lambda x: x["value"].rlike("[0-9]") & x["value"].rlike("[A-Za-z]") & (F.size(F.array_distinct(F.regexp_extract_all(x["value"], F.lit("."), F.lit(0)))) >= 10)
-    generic = F.when(text.rlike(GENERIC), F.filter(match_spans(text, GENERIC), varied)).otherwise(none)
+    generic = F.when(text.rlike(GENERIC), F.filter(match_spans(text, GENERIC), lambda x: key_like(x["value"]))).otherwise(none)
     base = F.concat(*(_of_kind(k, a) for k, a in enumerate((assign, access, hexes))))
     return let(base, lambda b: F.concat(b, F.filter(_of_kind(3, generic), lambda x: ~F.exists(b, lambda y: (y["start"] < x["end"]) & (y["end"] > x["start"])))))
 
@@ -58,21 +79,28 @@ def _listed(spans: Column) -> Column:
     return F.array_join(F.transform(order, lambda x: F.concat_ws(":", F.element_at(names, x["kind"] + 1), x["start"], x["end"])), ",")
 
 
-def secret_spans(documents: DataFrame, repository: str = "source", owner: str | None = None, copied_owners: int = 3) -> DataFrame:
+def secret_spans(documents: DataFrame, repository: str = "source", owner: str | None = None, copied_owners: int = 3, live_repositories: int = 5) -> DataFrame:
     """Spans and ownership counts of every document.
 
     Reads ``doc_id``, ``text`` and the repository column; ``owner`` names a
     column too, or is None: then an owner is what stands before the first "/"
-    of the repository. Returns, one row for each input row, doc_id, n_assign,
-    n_access, n_hex, base_sha256, spans (base spans, and ``owned`` ones:
-    generic candidates outside all base spans whose value belongs to a single
-    owner), n_live and n_copied (base spans whose value belongs to one owner,
-    or to ``copied_owners`` and more), and ``labels``: an array of
-    (start, end, kind, value_sha256, repositories, owners, occurrences).
+    of the repository. A value looks live if one owner holds it in at most
+    ``live_repositories`` repositories (a vendored example of a single owner
+    is in more), and is copied if ``copied_owners`` owners or more hold it.
+
+    Returns, one row for each input row, doc_id, n_assign, n_access, n_hex,
+    base_sha256, spans (base spans, and ``owned`` ones: generic candidates of
+    the form of a key outside all base spans whose value looks live), n_live
+    and n_copied (base spans whose value looks live, or is copied),
+    n_repositories (the most repositories that hold one of the base values, 0
+    without any), and ``labels``: an array of (start, end, kind, value_sha256,
+    repositories, owners, occurrences).
 
     Null and empty texts have no spans, null repositories and owners count as
     one of their own, repeated rows are counted again as occurrences but not
-    as owners. Other columns are ignored. An empty table gives no rows.
+    as owners. Very long texts are searched whole. Spans that start at one
+    place are listed by kind. Other columns are ignored, whatever their names.
+    An empty table gives no rows.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     repo = F.coalesce(F.col(repository).cast("string"), F.lit("")) if repository in documents.columns else F.lit("")
@@ -94,13 +122,15 @@ def secret_spans(documents: DataFrame, repository: str = "source", owner: str |
     joined = rows.select("rid", "doc_id").join(known, "rid", "left")
     labels = F.coalesce("labels", F.array().cast(known.schema["labels"].dataType))
     base = F.filter(labels, lambda x: x["kind"] < 3)
-    owned = F.filter(labels, lambda x: (x["kind"] == 3) & (x["owners"] == 1))
+    live = lambda x: (x["owners"] == 1) & (x["repositories"] <= live_repositories)
+    owned = F.filter(labels, lambda x: (x["kind"] == 3) & live(x))
     return joined.select(
         "doc_id",
         *[_count_kind(base, k).alias(f"n_{KINDS[k]}") for k in range(3)],
         F.sha2(_listed(base), 256).alias("base_sha256"),
         _listed(F.concat(base, owned)).alias("spans"),
-        _count(base, lambda x: x["owners"] == 1).alias("n_live"),
+        _count(base, live).alias("n_live"),
         _count(base, lambda x: x["owners"] >= copied_owners).alias("n_copied"),
+        F.coalesce(F.array_max(F.transform(base, lambda x: x["repositories"])), F.lit(0).cast("long")).alias("n_repositories"),
         F.array_sort(F.concat(base, owned)).alias("labels"),
     )

@@ -20,11 +20,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from ._shared import materialise, open_shared, remove_path, scratch_path, small_batches
+from ._shared import materialise, open_shared, remove_path, scratch_folder, small_batches
 
 #: Tokens of a block; bytes after which a written file is closed.
 BLOCK_TOKENS = 1 << 20
 FILE_BYTES = 64 << 20
+#: Documents after which a file is closed: its ids are one row.
+FILE_ROWS = 1 << 17
 #: Blocks that the lower level of the prefix scan holds together.
 GROUP = 256
 # Fixed value: how a text is cut before byte pairs are merged.
@@ -45,7 +47,7 @@ def encoder(path: str):
     return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def _writer(folder: str, vocabulary: str, eod: int, file_bytes: int):
+def _writer(folder: str, vocabulary: str, eod: int, file_bytes: int, file_rows: int):
     def run(batches):
         kind = dtype_for(eod + 1)
         out, name, ids, size = None, None, [], 0
@@ -64,7 +66,7 @@ def _writer(folder: str, vocabulary: str, eod: int, file_bytes: int):
                 out.write(raw)
                 ids.append(None if pd.isna(doc) else int(doc))
                 size += len(raw)
-                if size >= file_bytes:
+                if size >= file_bytes or len(ids) >= file_rows:
                     out.close()
                     out = None
                     yield row()
@@ -75,19 +77,22 @@ def _writer(folder: str, vocabulary: str, eod: int, file_bytes: int):
     return run
 
 
-def write_token_files(documents: DataFrame, vocabulary: str, eod: int, folder: str | None = None, file_bytes: int = FILE_BYTES) -> DataFrame:
+def write_token_files(documents: DataFrame, vocabulary: str, eod: int, folder: str | None = None, file_bytes: int = FILE_BYTES, file_rows: int = FILE_ROWS) -> DataFrame:
     """Encode ``documents`` (doc_id, text) to flat token files.
 
     Returns (path, bytes, doc_ids in file order), a table in the shared
-    folder. Null and empty texts are documents of no tokens. File names are
+    folder. A file is closed after ``file_bytes`` bytes or ``file_rows``
+    documents, whichever comes first, so a row of the table is bounded. Null
+    and empty texts are documents of no tokens; a very long text is encoded
+    whole and may make its file longer. File names are
     drawn anew by each attempt of a task, so a repeated task leaves files that
     the table does not name. ``eod`` must be above every id of the vocabulary.
     """
     spark = documents.sparkSession
     small_batches(spark)
-    folder = folder or scratch_path(spark, "tokens")
+    folder = folder or scratch_folder(spark, "tokens")
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    return materialise(rows.mapInPandas(_writer(folder, vocabulary, eod, file_bytes), "path string, bytes long, doc_ids array<long>"), "token-files")
+    return materialise(rows.mapInPandas(_writer(folder, vocabulary, eod, file_bytes, file_rows), "path string, bytes long, doc_ids array<long>"), "token-files")
 
 
 def _search(eod: int, width: int, block_tokens: int):
@@ -128,9 +133,11 @@ def separator_scan(files: DataFrame, eod: int, width: int = 2, block_tokens: int
     lower = summary.select("path", "grp", "block", F.sum("n").over(before("path", "grp", "block")).alias("n1"), F.max("end").over(before("path", "grp", "block")).alias("end1"))
     carry = lower.join(upper, ["path", "grp"]).select("path", "block", (F.col("n0") + F.coalesce("n1", F.lit(0))).alias("ended"), F.coalesce("end1", "end0").alias("last"))
 
-    rows = found.join(carry, ["path", "block"]).select("path", "ended", "last", "at", F.posexplode("at").alias("k", "end"))
-    start = F.when(F.col("k") == 0, F.col("last")).otherwise(F.element_at("at", F.greatest(F.col("k"), F.lit(1)))) + 1
-    closed = rows.select("path", (F.col("ended") + F.col("k")).alias("ordinal"), start.alias("start"), (F.col("end") - start).alias("n_tokens"), F.lit(True).alias("closed"))
+    # Each separator beside the one before it, so an exploded row is two numbers.
+    ends = F.arrays_zip(F.concat(F.array(F.col("last")), F.slice("at", F.lit(1), F.greatest(F.size("at") - 1, F.lit(0)))).alias("before"), F.col("at").alias("end"))
+    rows = found.join(carry, ["path", "block"]).where(F.size("at") > 0).select("path", "ended", F.posexplode(ends).alias("k", "x"))
+    start = F.col("x.before") + 1
+    closed = rows.select("path", (F.col("ended") + F.col("k")).alias("ordinal"), start.alias("start"), (F.col("x.end") - start).alias("n_tokens"), F.lit(True).alias("closed"))
     whole = summary.groupBy("path").agg(F.sum("n").alias("ordinal"), F.coalesce(F.max("end"), F.lit(-1)).alias("end"), F.sum("tokens").alias("tokens"))
     open_ = whole.where("tokens > end + 1").select("path", "ordinal", (F.col("end") + 1).alias("start"), (F.col("tokens") - F.col("end") - 1).alias("n_tokens"), F.lit(False).alias("closed"))
     return closed.unionByName(open_)
@@ -138,9 +145,13 @@ def separator_scan(files: DataFrame, eod: int, width: int = 2, block_tokens: int
 
 def token_counts(documents: DataFrame, vocabulary: str, eod: int, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """(doc_id, n_tokens) of every row of ``documents``, read off the flat
-    files that the rows were written to. Repeated ids give repeated rows; an
-    empty table gives none. The files are deleted once they have been scanned."""
-    folder = scratch_path(documents.sparkSession, "tokens")
+    files that the rows were written to. Null and empty texts have no tokens,
+    very long ones are counted whole over several blocks. Repeated ids give
+    repeated rows and a null id stays null; other columns are ignored,
+    whatever their names. Ties do not occur: a document is its place in a
+    file. An empty table gives no rows. The files are deleted once they have
+    been scanned."""
+    folder = scratch_folder(documents.sparkSession, "tokens")
     files = write_token_files(documents, vocabulary, eod, folder)
     scanned = separator_scan(files, eod, dtype_for(eod + 1).itemsize, block_tokens)
     remove_path(documents.sparkSession, folder)

@@ -19,6 +19,10 @@ from ._shared import materialise, small_batches
 TRACKING = r"(?:utm_[a-z]+|ref|fbclid|gclid|sessionid|sid)"
 
 
+#: Rules and listed URLs that are broadcast to the join at most.
+BROADCAST_KEYS = 10_000
+
+
 def _rest(url: Column) -> Column:
     """What follows the first "://" (empty without one)."""
     return F.when(F.instr(url, "://") > 0, F.substring(url, F.instr(url, "://") + 3, F.length(url))).otherwise(F.lit(""))
@@ -76,9 +80,10 @@ def judge_urls(
     verdict. Without a rule, rule is null and the verdict is that of the
     listed canonical URL (``block`` if it has several), else ``default``.
 
-    A null url, or one without "://", has an empty host and path, which no
-    rule fits. Repeated rows are judged alike, other columns are ignored,
-    empty tables give no rows, empty rules leave the default. Only the Bloom
+    A null or empty url, or one without "://", has an empty host and path,
+    which no rule fits. A very long url is judged whole. Repeated rows are
+    judged alike, other columns are ignored whatever their names, empty tables
+    give no rows, empty rules leave the default. Only the Bloom
     filter is sent to all machines, at most ``max_bytes`` however long the
     lists are; a fuller filter passes more keys to the join and loses none.
     """
@@ -89,7 +94,8 @@ def judge_urls(
         whole = listed.select(canonical_url(F.col("url")).alias("c"), F.col("verdict").alias("v")).where("c is not null")
         known = known.unionByName(whole.select(_key("u", F.col("c"), F.lit("")).alias("key"), F.lit(None).cast("string").alias("rule"), F.lit(-1).alias("longer"), "v"))
     known = materialise(known.groupBy("key", "rule", "longer").agg(F.max("v").alias("v")), "rules")
-    words = bloom.build(known, F.xxhash64("key"), bloom.blocks_for(known.count(), bits_per_key, max_bytes))
+    keys_known = known.count()
+    words = bloom.build(known, F.xxhash64("key"), bloom.blocks_for(keys_known, bits_per_key, max_bytes))
     may_contain = bloom.prober(pages.sparkSession, words)
     # Path lengths that rules have: a short list, one number per length.
     lengths = [r[0] for r in rules.select(F.length("p").alias("n")).distinct().orderBy("n").collect()]
@@ -102,12 +108,14 @@ def judge_urls(
     by_rule = F.flatten(F.transform(_suffixes(F.col("host")), lambda h: F.transform(prefixes, lambda n: _key("r", h, F.substring(F.col("path"), F.lit(1), n)))))
     keys = F.concat(by_rule, F.when(F.col("c") != "", F.array(_key("u", F.col("c"), F.lit("")))).otherwise(F.array().cast("array<string>")))
     asked = one.select("host", "path", "c", F.explode(keys).alias("key"))
-    hits = asked.where(may_contain(F.xxhash64("key"))).join(known, "key")
+    # A short list is broadcast; a longer one meets the keys by their hash.
+    hits = asked.where(may_contain(F.xxhash64("key"))).join(F.broadcast(known) if keys_known <= BROADCAST_KEYS else known.hint("merge"), "key")
     best = hits.groupBy("host", "path", "c").agg(
         F.max(F.when(F.col("rule").isNotNull(), F.struct(F.length("rule").alias("n"), "longer", "rule", "v"))).alias("top"),
         F.max(F.when(F.col("rule").isNull(), F.col("v"))).alias("mark"),
     )
-    # Written, so that the join below exchanges both sides and can be split.
+    # Written, so that the join below exchanges both sides and can be split; it
+    # is no broadcast, since its rows grow with the pages.
     best = materialise(best, "verdicts")
-    out = rows.join(best, ["host", "path", "c"], "left")
+    out = rows.join(best.hint("merge"), ["host", "path", "c"], "left")
     return out.select("page_id", "host", "path", F.col("top.rule").alias("rule"), F.coalesce("top.v", "mark", F.lit(default)).alias("verdict"))

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import materialise, open_shared, scratch_path, small_batches
+from ._shared import materialise, open_shared, scratch_folder, small_batches
 
 #: A file is closed by the record that takes it over this many bytes.
 FILE_BYTES = 32 << 20
@@ -225,11 +225,13 @@ def write_archives(pages: DataFrame, folder: str | None = None, file_bytes: int
     Null html is an empty payload, a null url leaves the target out, a null
     page_id gives an id without number. Repeated rows are records of their
     own; where the largest page_id of a payload repeats, each such row is a
-    response. Other columns are ignored. An empty table gives no file.
+    response. Very long payloads are written whole; the archives stay until
+    the application ends if no ``folder`` is named. Other columns are ignored,
+    whatever their names. An empty table gives no file.
     """
     spark = pages.sparkSession
     small_batches(spark, 200)
-    folder = folder or scratch_path(spark, "warc")
+    folder = folder or scratch_folder(spark, "warc")
     return materialise(with_revisits(pages, least_bytes).mapInPandas(_writer(folder, file_bytes), MANIFEST), "manifest")
 
 
