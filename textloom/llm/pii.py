@@ -59,8 +59,8 @@ CODES_2 = "20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55
 
 _WORD = r"\p{Lu}\p{L}*(?:['’-]\p{L}+){0,3}"
 _END = r"(?![\p{L}\p{N}])"
-#: What marks a match inside a text; texts that hold one are cut otherwise.
-OPEN, CLOSE = "\ufdd0", "\ufdd1"
+#: What marks both ends of a match; texts that hold it are cut otherwise.
+MARK = "\ufdd0"
 
 
 def _any_of(words: list[str]) -> str:
@@ -99,20 +99,24 @@ def kind_of(match: Column, given: dict[str, list[str]] = GIVEN) -> Column:
 
 
 def _tokens(text: Column, pattern: Column) -> Column:
-    """Text between matches and matches in turn: [gap, match, gap, ..., gap].
+    """Text between matches and matches in turn: [gap, match, gap, ..., gap],
+    or null without a match.
 
     One pass puts marks around the matches, a second one cuts at the marks.
     """
-    marked = F.split(F.regexp_replace(text, pattern, F.lit(OPEN + "$0" + CLOSE)), f"[{OPEN}{CLOSE}]", -1)
+    marked = let(F.regexp_replace(text, pattern, F.lit(MARK + "$0" + MARK)), lambda m: F.when(m.contains(MARK), F.split(m, MARK, -1)))
     by_hand = let(
         F.regexp_extract_all(text, pattern, F.lit(0)),
-        lambda found: F.slice(
-            F.flatten(F.zip_with(F.split(text, pattern, F.lit(-1)), F.concat(found, F.array(F.lit(""))), lambda gap, m: F.array(gap, m))),
-            F.lit(1),
-            2 * F.size(found) + 1,
+        lambda found: F.when(
+            F.size(found) > 0,
+            F.slice(
+                F.flatten(F.zip_with(F.split(text, pattern, F.lit(-1)), F.concat(found, F.array(F.lit(""))), lambda gap, m: F.array(gap, m))),
+                F.lit(1),
+                2 * F.size(found) + 1,
+            ),
         ),
     )
-    return F.when(text.contains(OPEN) | text.contains(CLOSE), by_hand).otherwise(marked)
+    return F.when(text.contains(MARK), by_hand).otherwise(marked)
 
 
 def _matches(tokens: Column) -> Column:
@@ -144,21 +148,20 @@ def _gender(match: Column, given: dict[str, list[str]]) -> Column:
 
 def find(text: Column, given: dict[str, list[str]] = GIVEN) -> Column:
     """Tokens of a text, or null if it has no entity. Where it has names, the
-    family names alone, as whole words, are matches too."""
-    every = "|".join(f"(?:{p})" for p in patterns(given).values())
+    family names alone, as whole words or all in capitals, are matches too."""
+    # No entity begins inside a word: one look back spares all others there.
+    every = r"(?<![\p{L}\p{N}])(?:" + "|".join(f"(?:{p})" for p in patterns(given).values()) + ")"
     name = patterns(given)["name"]
 
     def again(tokens: Column) -> Column:
         families = F.array_distinct(F.transform(F.filter(_matches(tokens), lambda m: m.rlike(_whole(name))), _family))
         # The longest first, so that one that begins another is not preferred.
-        ordered = F.transform(F.array_sort(F.transform(families, lambda f: F.struct((-F.length(f)).alias("n"), f.alias("f")))), lambda x: F.concat(F.lit(r"\Q"), x["f"], F.lit(r"\E")))
+        forms = F.array_distinct(F.concat(families, F.transform(families, F.upper)))
+        ordered = F.transform(F.array_sort(F.transform(forms, lambda f: F.struct((-F.length(f)).alias("n"), f.alias("f")))), lambda x: F.concat(F.lit(r"\Q"), x["f"], F.lit(r"\E")))
         bare = F.concat(F.lit(every + r"|(?=\p{Lu})(?<![\p{L}\p{N}])(?:"), F.array_join(ordered, "|"), F.lit(")" + _END))
         return F.when(F.size(families) > 0, _tokens(text, bare)).otherwise(tokens)
 
-    def kept(tokens: Column) -> Column:
-        return F.when(F.size(tokens) > 1, again(tokens))
-
-    return let(_tokens(text, F.lit(every)), kept)
+    return let(_tokens(text, F.lit(every)), lambda tokens: F.when(tokens.isNotNull(), again(tokens)))
 
 
 def canonical(kind: Column, match: Column) -> Column:
