@@ -143,52 +143,76 @@ def test_stories_and_archives(spark, tmp_path):
         files.expand_archive(str(bad), str(tmp_path / "out"))
 
 
-def test_commit_and_every_fault(tmp_path):
-    steps = ["staged", "prepared", "applied", "committed"]
-    for n in range(8):
-        root = tmp_path / str(n)
-        root.mkdir()
-        (root / "a").write_text("old")
-        seen = []
-
-        def probe(name, n=n, seen=seen):
-            seen.append(name.split()[0])
-            if len(seen) == n:
+@pytest.fixture(params=["local", "shared"])
+def fileset(request, spark, tmp_path):
+    return commit.FileSet(commit.LocalStore(tmp_path / "set") if request.param == "local" else commit.SharedStore(spark, f"file://{tmp_path}/set"))
+
+
+def test_versions_publish_all_or_nothing(fileset, tmp_path):
+    assert fileset.commit({"a": "old", "c": "same"}) == 1
+    for stop in ("stored", "publishing"):
+
+        def probe(name, stop=stop):
+            if name.startswith(stop):
                 raise KeyError("stop")
 
-        fs = commit.FileSet(root / "j.json")
-        todo = {str(root / "a"): "new", str(root / "b"): "made"}
-        if n and n <= 6:
-            with pytest.raises(KeyError):
-                fs.commit(todo, probe=probe)
-            done = n == 6
-        else:
-            fs.commit(todo, probe=probe)
-            assert set(seen) == set(steps)
-            done = True
-        assert (root / "a").read_text() == ("new" if done else "old")
-        assert (root / "b").exists() is done and sorted(p.name for p in root.iterdir()) == (["a", "b"] if done else ["a"])
-
-
-def test_commit_refusals(tmp_path):
-    a, j = tmp_path / "a", tmp_path / "j"
-    a.write_text("x")
-    fs = commit.FileSet(j)
+        with pytest.raises(KeyError):
+            fileset.commit({"a": "new", "b": "made"}, probe=probe)
+        assert fileset.version()[0] == 1 and fileset.read("a") == b"old" and "b" not in fileset.version()[1]
+    assert fileset.commit({"a": "new", "d/b": "made", "c": None}, expected={"d/b": None}) == 2
+    assert (fileset.read("a"), fileset.read("a", 1), sorted(fileset.version()[1])) == (b"new", b"old", ["a", "d/b"])
+    assert fileset.checkout(tmp_path / "out") == 2 and fileset.checkout(tmp_path / "out") == 0
+    assert (tmp_path / "out" / "d" / "b").read_text() == "made"
+    assert fileset.collect(keep=1) >= 2 and fileset.faults() == [] and fileset.read("a") == b"new"
+    with pytest.raises(commit.CommitError):
+        fileset.version(1)
+
+
+def test_versions_refuse(fileset):
+    fileset.commit({"a": "x", "b": "y"})
+    for files, expected in [({}, None), ({"../a": "z"}, None), ({"a": "z"}, {"a": "0" * 64}), ({"c": "z"}, {"a": None})]:
+        with pytest.raises(commit.CommitError):
+            fileset.commit(files, expected)
+
+    def other(name, files):
+        if name == "publishing" and not done:
+            done.append(1)
+            fileset.commit(files)
+
+    done = []
+    assert fileset.commit({"a": "mine"}, probe=lambda n: other(n, {"b": "theirs"})) == 3 and fileset.read("b") == b"theirs" and fileset.read("a") == b"mine"
+    done = []
     with pytest.raises(commit.CommitError):
-        fs.commit({str(a): "y"}, expected={str(a): "0" * 64})
-    assert a.read_text() == "x" and not j.exists()
+        fileset.commit({"a": "again"}, probe=lambda n: other(n, {"a": "theirs"}))
+    assert fileset.read("a") == b"theirs"
+    fileset.store.delete(f"data/{fileset.version()[1]['a']}")
+    assert fileset.faults() == ["a", "b"]  # equal contents are one object
+    fileset.store.create("log/000000000009.json", b"{}")
     with pytest.raises(commit.CommitError):
-        fs.commit({str(j): "y"})
+        fileset.version()
 
-    def meddle(name):
-        if name == "prepared":
-            a.write_text("meanwhile")
 
+def test_review_and_settings(fileset):
+    import json
+
+    fileset.commit({"job.json": json.dumps({"status": "imported", "import": {"n": 1}, "layout": 2}), "output": "text"})
+    assert commit.prepare_review(fileset, b"p1") == "prepared" and commit.prepare_review(fileset, b"p1") == "already prepared"
+    record = json.loads(fileset.read("job.json"))
+    assert (record["status"], record["invalidated"], "import" in record) == ("exported", {"import": {"n": 1}, "layout": 2}, False)
+    assert fileset.read("review/baseline") == b"text" and fileset.version()[0] == 2
     with pytest.raises(commit.CommitError):
-        fs.commit({str(a): "y"}, probe=meddle)
-    assert a.read_text() == "meanwhile" and j.exists()
+        commit.prepare_review(fileset, b"p2")
+    fileset.commit({"review/baseline": "other"})
     with pytest.raises(commit.CommitError):
-        commit.FileSet(j).commit({str(a): "z"})
+        commit.prepare_review(fileset, b"p1")
+    assert [commit.positive_setting(v, "n", 7) for v in (None, " ", "12", 3)] == [7, 7, 12, 3]
+    for bad in ("0", "-1", "1.5", True, "x", 99):
+        with pytest.raises(ValueError):
+            commit.positive_setting(bad, "n", 7, most=50)
+    commit.batch_succeeded(0, 2)
+    for pair in ((1, 2), (0, 0), (3, 2)):
+        with pytest.raises(commit.CommitError):
+            commit.batch_succeeded(*pair)
 
 
 def test_job_states(tmp_path):

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from xml.etree import ElementTree
 
-import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -59,83 +59,142 @@ def rule_plan(stories: DataFrame, rules: DataFrame, runs: DataFrame, matches: Da
 
 
 def rule_totals(rules: DataFrame, applied: DataFrame) -> DataFrame:
-    """Per rule: scopes, matches and changes, rules without any included."""
-    sums = applied.groupBy("rule").agg(F.count("*").alias("scopes"), F.sum("matches").alias("matches"), F.sum("changes").alias("changes"))
-    return rules.join(sums, "rule", "left").na.fill(0, ["scopes", "matches", "changes"])
+    """Per rule: scopes, matches, changes and excluded matches (those of a
+    protected scope; a column ``excluded`` of ``applied``, may be absent),
+    rules without any included."""
+    out = F.sum("excluded") if "excluded" in applied.columns else F.lit(0).cast("long")
+    sums = applied.groupBy("rule").agg(F.count("*").alias("scopes"), F.sum("matches").alias("matches"), F.sum("changes").alias("changes"), out.alias("excluded"))
+    return rules.join(sums, "rule", "left").na.fill(0, ["scopes", "matches", "changes", "excluded"])
 
 
-# --- templates --------------------------------------------------------------
+def overflow_totals(pages: DataFrame, declared: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Sums of the rows, links and overflows of partial inventories (one row
+    a call), and whether they are the ``declared`` ones."""
+    cols = ["rows", "links", "overflows"]
+    sums = pages.groupBy(*keys).agg(*(F.sum(c).alias(c) for c in cols))
+    both = sums.join(declared.select(*keys, *(F.col(c).alias(f"_{c}") for c in cols)), list(keys), "full_outer").na.fill(0)
+    same = F.lit(True)
+    for c in cols:
+        same = same & (F.col(c) == F.col(f"_{c}"))
+    return both.select(*keys, *cols, same.alias("complete"))
 
 
-def template_blocks(template: str) -> list[tuple[str, str, str]]:
-    """Building blocks (type, text, delimiter) of a template."""
-    out, at = [], 0
-
-    def literal(piece: str) -> None:
-        if piece:
-            piece = piece.replace("^S", NBSP)
-            if regex.search(r"[<>]|\^[A-Za-z]", piece):
-                raise ValueError(f"unknown template syntax: {piece}")
-            out.append((CUSTOM, piece, ""))
-
-    for m in regex.finditer(r'<(?:fullPara delim="([^"]*)"|(paraText)|(pageNum))\s*/>', template):
-        literal(template[at : m.start()])
-        out.append((FULL, "", m[1]) if m[1] is not None else (PARAGRAPH if m[2] else PAGE, "", ""))
-        at = m.end()
-    literal(template[at:])
-    return out
+def accepted_engine(c: Column, accepted: Sequence[str]) -> Column:
+    """Whether a SHA-256 is one of the accepted ones, in any case."""
+    return F.coalesce(F.upper(text(c)).isin(*(a.upper() for a in accepted)), F.lit(False))
 
 
-def template_pattern(blocks: Column) -> Column:
-    """Anchored Java pattern of an array of blocks (type, text)."""
-    each = lambda b: F.when(b["type"] == CUSTOM, escape_regex(b["text"])).when(b["type"] == PAGE, F.lit("[0-9A-Za-z–-]+")).otherwise(F.lit(r"[^\r\n]+?"))
-    return F.concat(F.lit(r"\A"), F.array_join(F.transform(blocks, each), ""), F.lit(r"\z"))
+# --- templates --------------------------------------------------------------
+
+_LINE_TEXT = r"[^\r\n]+?"
+# Building block and rendered text of each template tag.
+TAGS = {
+    "fullPara": (FULL, _LINE_TEXT),
+    "paraText": (PARAGRAPH, _LINE_TEXT),
+    "pageNum": (PAGE, "[0-9A-Za-z–-]+"),
+}
+# Format names that have a template, and its kind.
+FORMAT_KINDS = {"In the text": "text", "Image": "image", "Credits": "credit"}
+# Layers in their order; body styles and whether they indent.
+LAYERS = ["KDP", "Images", "Body", "Peripheral", "Background"]
+BODY_STYLES = {"Body Text No Indent": False, "Body Text Indented": True}
+_BLOCKS = "array<struct<type:string,text:string,delimiter:string>>"
 
 
-def matches_template(c: Column, blocks: Column) -> Column:
-    return F.regexp_like(text(c), template_pattern(blocks))
+def template_blocks(template: str) -> list[tuple[str, str, str]]:
+    """Building blocks (type, text, delimiter) of a template: its tags, read
+    as elements, and the texts between them with "^S" as a no-break space."""
+    try:
+        root = ElementTree.fromstring(f"<t>{template}</t>")
+    except ElementTree.ParseError as e:
+        raise ValueError(f"unknown template syntax: {template}") from e
+    pieces: list[tuple[str, str, str]] = [(CUSTOM, root.text or "", "")]
+    for tag in root:
+        if tag.tag not in TAGS or set(tag.attrib) - {"delim"} or len(tag) or tag.text:
+            raise ValueError(f"unknown template tag: {tag.tag}")
+        pieces += [(TAGS[tag.tag][0], "", tag.get("delim", "")), (CUSTOM, tag.tail or "", "")]
+    blocks = [(kind, words.replace("^S", NBSP), delim) for kind, words, delim in pieces if kind != CUSTOM or words]
+    if any("^" in words for _, words, _ in blocks):
+        raise ValueError(f"unknown template mark: {template}")
+    return blocks
 
 
 def blocks_literal(template: str) -> Column:
-    return F.array(*(F.struct(F.lit(t).alias("type"), F.lit(x).alias("text"), F.lit(d).alias("delimiter")) for t, x, d in template_blocks(template)))
+    rows = [F.struct(F.lit(t).alias("type"), F.lit(x).alias("text"), F.lit(d).alias("delimiter")) for t, x, d in template_blocks(template)]
+    return F.array(*rows)
 
 
-FORMAT_KINDS = {"In the text": "text", "Image": "image", "Credits": "credit"}
+def matches_template(c: Column, blocks: Column) -> Column:
+    """Whether a rendered text is what the blocks (type, text) can render."""
+    rendered = F.create_map(*(F.lit(x) for pair in TAGS.values() for x in pair))
+    parts = F.transform(blocks, lambda b: F.coalesce(F.try_element_at(rendered, b["type"]), escape_regex(b["text"])))
+    return F.regexp_like(text(c), F.concat(F.lit(r"\A"), F.array_join(parts, ""), F.lit(r"\z")))
+
+
+def _wanted(language: str) -> Column:
+    """Blocks that a format's name asks for, or null."""
+    by_kind = dict(zip(KINDS_OF_TEMPLATE, TEMPLATES[language]))
+    known = F.create_map(*(x for name, kind in FORMAT_KINDS.items() for x in (F.lit(name), blocks_literal(by_kind[kind]))))
+    return F.try_element_at(known, F.col("name"))
+
+
+def document_layout(layers: DataFrame, styles: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """(keys, fault) of documents whose ``layers`` (pos, name) are not LAYERS
+    in order, or whose ``styles`` (name, first_line_indent) lack one of the
+    body styles, repeat it, or indent it otherwise."""
+    order = layers.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "name"))), lambda x: x["name"]).alias("have"))
+    faults = [order.where(F.col("have") != F.array(*map(F.lit, LAYERS))).select(*keys, F.lit("layers in another order").alias("fault"))]
+    for name, indents in BODY_STYLES.items():
+        right = (F.col("first_line_indent") > 0) if indents else (F.col("first_line_indent") == 0)
+        found = styles.where(F.col("name") == name).groupBy(*keys).agg(F.count("*").alias("n"), F.bool_and(F.coalesce(right, F.lit(False))).alias("fine"))
+        every = styles.select(*keys, F.lit(1).alias("_one")).distinct()
+        judged = (every.join(found, list(keys), "left") if keys else every.join(found.withColumn("_one", F.lit(1)), "_one", "left")).where(~F.coalesce((F.col("n") == 1) & F.col("fine"), F.lit(False)))
+        faults.append(judged.select(*keys, F.lit(f"style to be reviewed: {name}").alias("fault")))
+    out = faults[0]
+    for f in faults[1:]:
+        out = out.unionByName(f)
+    return out
 
 
 def layout_plan(formats: DataFrame, blocks: DataFrame, references: DataFrame, language: str, protected: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     """(formats, references) with what must change.
 
-    ``formats`` (format_id, name), ``blocks`` (format_id, pos, type, text,
-    delimiter), ``references`` (ref_id, format_id, text, style). A format in
-    use gets ``action``: keep, edit, protected (all its references are), or
-    an error text: shared with protected content, no template for its name, or
-    another structure. A reference is to be updated if its format is edited
-    or its text does not fit the template.
+    ``formats`` (format_id, name; blocks: how many it declares, may be
+    absent), ``blocks`` (format_id, pos, type, text, delimiter), ``references``
+    (ref_id, format_id, text, style). Every fact about a format in use is a
+    row of its own, and the row of the highest rank names its ``action``:
+    protected (all its references are), an error text (shared with protected
+    content, no template for its name, another count of blocks, another
+    structure), edit, or keep. A reference is to be updated if its format is
+    edited or its text does not fit the template; one whose format is not
+    listed gets the action "format not inspected", one without a style
+    "style not inspected".
     """
-    leaf = F.element_at(F.split("style", "/", -1), -1)
-    refs = references.withColumn("is_protected", leaf.isin(*protected) | F.col("style").isin(*protected) if protected else F.lit(False))
-    used = refs.groupBy("format_id").agg(F.count("*").alias("n"), F.count_if("is_protected").alias("n_protected"))
-    wanted = dict(zip(KINDS_OF_TEMPLATE, TEMPLATES[language]))
-    want = F.lit(None).cast("array<struct<type:string,text:string,delimiter:string>>")
-    for name, kind in FORMAT_KINDS.items():
-        want = F.when(F.col("name") == name, blocks_literal(wanted[kind])).otherwise(want)
-    block = F.struct(text(F.col("type")).alias("type"), text(F.col("text")).alias("text"), text(F.col("delimiter")).alias("delimiter"))
-    have = blocks.groupBy("format_id").agg(F.array_sort(F.collect_list(F.struct("pos", block.alias("b")))).alias("x")).select("format_id", F.transform("x", lambda i: i["b"]).alias("have"))
-    both = formats.join(used, "format_id").join(have, "format_id", "left").withColumn("want", want)
+    block = F.struct(*(text(F.col(c)).alias(c) for c in ("type", "text", "delimiter")))
+    have = blocks.groupBy("format_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", block.alias("b")))), lambda x: x["b"]).alias("have"))
+    guarded = F.coalesce(F.col("style").isin(*protected) | F.substring_index("style", "/", -1).isin(*protected), F.lit(False)) if protected else F.lit(False)
+    refs = references.withColumn("is_protected", guarded)
+    used = refs.groupBy("format_id").agg(F.bool_and("is_protected").alias("all_protected"), F.bool_or("is_protected").alias("any_protected"))
+    declared = F.col("blocks").cast("int") if "blocks" in formats.columns else F.size("have")
+    known = formats.withColumn("want", _wanted(language)).join(have, "format_id", "left").withColumn("have", F.coalesce("have", F.array().cast(_BLOCKS)))
+    known = known.join(used, "format_id")
     shape = lambda a: F.transform(a, lambda b: F.struct(b["type"], b["delimiter"]))
-    action = (
-        F.when(F.col("n_protected") == F.col("n"), "protected")
-        .when(F.col("n_protected") > 0, "shared with protected content")
-        .when(F.col("want").isNull(), "no template for this format")
-        .when(~shape("have").eqNullSafe(shape("want")), "structure differs")
-        .when(F.col("have") == F.col("want"), "keep")
-        .otherwise("edit")
-    )
-    planned = both.withColumn("action", action)
-    stale = refs.join(planned.select("format_id", "action", "want"), "format_id", "left")
-    due = F.when(F.col("action") == "edit", True).when(F.col("action") == "keep", ~matches_template(F.col("text"), F.col("want"))).otherwise(False)
-    return planned.select("format_id", "name", "action"), stale.withColumn("update", due & ~F.col("is_protected")).select("ref_id", "format_id", "action", "update")
+    facts = [
+        (F.col("all_protected"), "protected"),
+        (F.col("any_protected"), "shared with protected content"),
+        (F.col("want").isNull(), "no template for this format"),
+        ((F.size("have") != F.size("want")) | (declared != F.size("have")), "count of blocks differs"),
+        (shape("have") != shape("want"), "structure differs"),
+        (F.col("have") != F.col("want"), "edit"),
+        (F.lit(True), "keep"),
+    ]
+    ranked = F.array(*(F.when(F.coalesce(holds, F.lit(False)), F.lit(name)) for holds, name in facts))
+    planned = known.withColumn("action", F.array_compact(ranked)[0])
+    told = refs.join(planned.select("format_id", "action", "want"), "format_id", "left")
+    action = F.when(F.col("style").isNull() | (F.col("style") == ""), "style not inspected").otherwise(F.coalesce("action", F.lit("format not inspected")))
+    misfit = (F.col("action") == "keep") & ~matches_template(F.col("text"), F.col("want"))
+    due = F.coalesce(((F.col("action") == "edit") | misfit) & ~F.col("is_protected"), F.lit(False))
+    return planned.select("format_id", "name", "action"), told.select("ref_id", "format_id", action.alias("action"), due.alias("update"))
 
 
 def rendered_reference(source: Column, results: Column) -> Column:

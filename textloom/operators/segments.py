@@ -113,8 +113,3 @@ def first_of(rows: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     everything = F.struct(F.col(order).alias("_o"), *rows.columns)
     kept = rows.groupBy(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys))).agg(F.min_by(everything, F.col(order)).alias("_r"))
     return kept.select(*(F.col("_r")[c].alias(c) for c in rows.columns))
-
-
-def fold_runs(pieces: DataFrame, keys: Sequence[str], order: str = "pos") -> DataFrame:
-    """Sorted view for consumers that need rows in order per key."""
-    return pieces.repartition(*keys).sortWithinPartitions(*keys, order)

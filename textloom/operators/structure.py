@@ -360,79 +360,211 @@ def replace_contents(stories: DataFrame, values: DataFrame) -> DataFrame:
 
 # --- reconciliation ---------------------------------------------------------
 
-_LOCAL = {"Table", "Row", "Column", "Cell", "CrossReferenceSource", "TextVariableInstance", "Hyperlink"}
-
-
-def same_objects(before: str, after: str) -> dict[str, str]:
-    """Map of object ids from ``after`` to ``before``: both list the same
-    elements in order, one to one, and only local ids may differ."""
-    seen = [[(m[1], m[2]) for m in regex.finditer(r'<([A-Za-z][\w:]*)\b[^>]*\bSelf="([^"]*)"', x)] for x in (before, after)]
-    if [n for n, _ in seen[0]] != [n for n, _ in seen[1]]:
-        raise ValueError("object inventory or order differs")
-    pairs = list(zip(seen[0], seen[1]))
-    for (name, old), (_, new) in pairs:
-        if old != new and not (name in _LOCAL and regex.fullmatch(r"u\w+", old) and regex.fullmatch(r"u\w+", new)):
-            raise ValueError(f"identity of a shared object differs: {old}")
-    forth = {new: old for (_, old), (_, new) in pairs}
-    if len(forth) != len(pairs) or len(set(forth.values())) != len(pairs):
+#: Elements whose ids the layout program may deal anew.
+RENUMBERED = {"Table", "Row", "Column", "Cell", "CrossReferenceSource", "TextVariableInstance", "Hyperlink"}
+#: Parts of the metadata that it draws anew.
+PREVIEWS = {"xmp:Thumbnails", "xmp:PageInfo"}
+_TAG = regex.compile(rb"""<(?:[^<>"']|"[^"]*"|'[^']*')*>""")
+_LOCAL_ID = regex.compile(r"u\w+")
+_PAGE = regex.compile("[0-9A-Za-z–-]+")
+
+
+@dataclass
+class Node:
+    """Element with its byte offsets: opening tag, content, closing tag.
+    Texts, comments and processing instructions are children as strings."""
+
+    name: str
+    attributes: dict[str, str]
+    start: int
+    inner: int
+    close: int = 0
+    end: int = 0
+    children: list = field(default_factory=list)
+
+    def walk(self):
+        """The elements below, in document order."""
+        for child in self.children:
+            if isinstance(child, Node):
+                yield child
+                yield from child.walk()
+
+    def all(self, name: str) -> list[Node]:
+        return [n for n in self.walk() if n.name == name]
+
+
+def parse_tree(raw: bytes) -> Node:
+    """Tree of a story; ValueError if it is not well formed, too large, too
+    deep, or has a document type."""
+    if len(raw) > MOST_BYTES:
+        raise ValueError("story is over the byte bound")
+    root = Node("", {}, 0, 0, len(raw), len(raw))
+    stack = [root]
+    parser = expat.ParserCreate(encoding="UTF-8")
+
+    def opened(name, attributes):
+        at = parser.CurrentByteIndex
+        node = Node(name, attributes, at, _TAG.match(raw, at).end())
+        stack[-1].children.append(node)
+        stack.append(node)
+        if len(stack) > MOST_DEPTH:
+            raise ValueError("story is nested too deeply")
+
+    def closed(name):
+        node = stack.pop()
+        if raw[node.inner - 2 : node.inner] == b"/>":
+            node.close = node.end = node.inner
+        else:
+            node.close = parser.CurrentByteIndex
+            node.end = raw.index(b">", node.close) + 1
+
+    def refuse(*_):
+        raise ValueError("document types are not accepted")
+
+    def put(piece):
+        stack[-1].children.append(piece)
+
+    parser.StartElementHandler, parser.EndElementHandler, parser.CharacterDataHandler = opened, closed, put
+    parser.StartDoctypeDeclHandler = refuse
+    parser.ProcessingInstructionHandler = lambda target, data: put(f"<?{target} {data}?>")
+    parser.CommentHandler = lambda data: put(f"<!--{data}-->")
+    try:
+        parser.Parse(raw, True)
+    except expat.ExpatError as e:
+        raise ValueError(f"story is not well formed: {e}") from e
+    return root
+
+
+def _renumbering(before: Node, after: Node) -> dict[str, str]:
+    """Ids of ``after`` as they are in ``before``: the elements with an id
+    pair off in order, names agree, and only local ids of renumbered kinds
+    may differ."""
+    mine, theirs = ([n for n in t.walk() if "Self" in n.attributes] for t in (before, after))
+    if [n.name for n in mine] != [n.name for n in theirs]:
+        raise ValueError("objects or their order differ")
+    pairs = [(a.name, a.attributes["Self"], b.attributes["Self"]) for a, b in zip(mine, theirs)]
+    fixed = [a for name, a, b in pairs if a != b and not (name in RENUMBERED and _LOCAL_ID.fullmatch(a) and _LOCAL_ID.fullmatch(b))]
+    if fixed:
+        raise ValueError(f"identity of a shared object differs: {fixed[0]}")
+    forth = {b: a for _, a, b in pairs}
+    if len({a for _, a, _ in pairs}) != len(pairs) or len(forth) != len(pairs):
         raise ValueError("repeated object identity")
     return forth
 
 
-def _references(xml: str) -> dict[str, regex.Match]:
-    found = {}
-    for m in regex.finditer(r'(?s)<CrossReferenceSource\b[^>]*\bName="([^"]*)"[^>]*>(.*?)</CrossReferenceSource>', xml):
-        if m[1] in found or "<CrossReferenceSource" in m[2]:
-            raise ValueError("repeated or nested reference")
-        found[m[1]] = m
-    if len(found) != len(regex.findall(r"<CrossReferenceSource(?=[\s/>])", xml)):
-        raise ValueError("reference without a name or end")
-    return found
+def _by_name(tree: Node) -> dict[str, Node]:
+    """References by name; unnamed, repeated or nested ones are refused."""
+    found = tree.all("CrossReferenceSource")
+    names = [n.attributes.get("Name") for n in found]
+    if not all(names) or len(set(names)) != len(names) or any(n.all("CrossReferenceSource") for n in found):
+        raise ValueError("reference without a name, repeated, or nested")
+    return dict(zip(names, found))
+
 
+def _metadata(tree: Node) -> list:
+    """The metadata packets without previews; attribute order is free."""
 
-def plain_structure(xml: str) -> str:
-    """Story without reference texts, formats, index ids and splits between
-    neighbouring contents: equal for stories that differ in these only."""
-    xml = regex.sub(r"(?s)<CrossReferenceFormat\b.*?</CrossReferenceFormat>", "", xml)
-    xml = regex.sub(r"(?s)(<CrossReferenceSource\b[^>]*>).*?(</CrossReferenceSource>)", r"\1\2", xml)
-    xml = regex.sub(r"<(?:ParagraphStyleRange|Content)\b[^>]*>", lambda m: regex.sub(r'\s+id="[^"]*"', "", m[0]), xml)
-    xml = regex.sub(r"</Content>\s*<Content>", "", regex.sub(r"<Content\s*/>", "<Content></Content>", xml))
-    kept = regex.split(r"(?s)(<Content>.*?</Content>)", xml)
-    return "".join(p if i % 2 else regex.sub(r">\s+<", "><", p.strip()) for i, p in enumerate(kept))
+    def shape(node):
+        return (node.name, node.attributes, [c.strip() if isinstance(c, str) else shape(c) for c in node.children if not (isinstance(c, str) and not c.strip()) and getattr(c, "name", "") not in PREVIEWS])
+
+    return [shape(n) for n in tree.all("x:xmpmeta")]
+
+
+def _heights_agree(before: Node, after: Node) -> None:
+    """Row heights may be computed anew, within what the row allows."""
+    for a, b in zip(before.all("Row"), after.all("Row")):
+        old, new = (n.attributes.get("SingleRowHeight") for n in (a, b))
+        if old != new:
+            try:
+                height, least = float(new), float(b.attributes.get("MinimumHeight", 0))
+            except (TypeError, ValueError):
+                height, least = 0.0, 0.0
+            if not (0 < height < float("inf")) or height < least:
+                raise ValueError("computed row height is not valid")
+
+
+def _skeleton(tree: Node, ids: dict[str, str]) -> list:
+    """Everything that both versions must share, as a flat list: no metadata,
+    no reference texts and formats, no index ids and row heights, no blanks
+    between elements, neighbouring contents as one, no empty unindexed content
+    that follows a table."""
+    out: list = []
+
+    def follows_table(siblings: list, i: int) -> bool:
+        node = siblings[i]
+        if node.name != "Content" or node.attributes or node.children:
+            return False
+        solid = [c for c in siblings if not (isinstance(c, str) and not c.strip())]
+        at = next(k for k, c in enumerate(solid) if c is node)
+        after = solid[at + 1] if at + 1 < len(solid) else None
+        return at > 0 and getattr(solid[at - 1], "name", "") == "Table" and (after is None or getattr(after, "name", "") == "Br")
+
+    def put(node: Node) -> None:
+        if node.name in ("CrossReferenceFormat", "x:xmpmeta"):
+            return
+        dropped = {"ParagraphStyleRange": {"id"}, "Content": {"id"}, "Row": {"SingleRowHeight"}}.get(node.name, set())
+        kept = {k: ids.get(v, v) if k in ("Self", "Source") else v for k, v in node.attributes.items() if k not in dropped}
+        joins = node.name == "Content" and not kept and out and out[-1] == ("end", "Content")
+        if joins:
+            out.pop()
+        else:
+            out.append(("start", node.name, kept))
+        for i, child in enumerate(node.children if node.name != "CrossReferenceSource" else []):
+            if isinstance(child, Node):
+                if not follows_table(node.children, i):
+                    put(child)
+            elif node.name == "Content":
+                if out[-1][0] == "text":
+                    child = out.pop()[1] + child
+                out.append(("text", child))
+            elif child.strip():
+                out.append(("other", child.strip()))
+        out.append(("end", node.name))
+
+    put(tree)
+    return out
 
 
 def reconcile(before: str, after: str, allowed: Sequence[str]) -> str:
     """``before`` with the texts and page numbers that ``after`` gives the
     allowed references. ValueError if anything else differs."""
-    moved = same_objects(before, after)
-    after = regex.sub(r'\b(Self|Source)="([^"]*)"', lambda m: f'{m[1]}="{moved.get(m[2], m[2])}"', after)
-    if plain_structure(before) != plain_structure(after):
+    raws = [before.encode(), after.encode()]
+    old, new = map(parse_tree, raws)
+    if len(old.all("x:xmpmeta")) > 1 or _metadata(old) != _metadata(new):
+        raise ValueError("metadata differs")
+    ids = _renumbering(old, new)
+    _heights_agree(old, new)
+    if _skeleton(old, {}) != _skeleton(new, ids):
         raise ValueError("text or structure outside references differs")
-    old, new = _references(before), _references(after)
-    if set(old) != set(new):
+    mine, theirs = _by_name(old), _by_name(new)
+    if set(mine) != set(theirs):
         raise ValueError("set of references differs")
-    if not set(allowed) <= set(old):
+    if not set(allowed) <= set(mine):
         raise ValueError("allowed reference is not in the story")
-    element = regex.compile(r"(?s)(<Content\b[^>]*>)(.*?)(</Content>)|<Content\b[^>]*/>")
-    number = regex.compile(r'(<TextVariableInstance\b[^>]*\bResultText=")([^"]*)(")')
     edits = []
     for name in dict.fromkeys(allowed):
-        mine, theirs = old[name][0], new[name][0]
-        texts = [m[2] or "" for m in element.finditer(theirs)]
-        pages = [m[2] for m in number.finditer(theirs)]
-        if len(texts) != len(element.findall(mine)) or len(pages) != 1 or len(number.findall(mine)) != 1:
-            raise ValueError(f"shape of reference {name} differs")
-        if not regex.fullmatch("[0-9A-Za-z–-]+", pages[0]) or any(regex.search(r"<(?!!--|\?)", t) for t in texts):
-            raise ValueError(f"unresolved result in reference {name}")
-        feed = iter(texts)
-        put = element.sub(lambda m: m[1] + next(feed) + m[3] if m[1] else (m[0] if not next(feed) else _refuse(name)), mine)
-        put = number.sub(lambda m: m[1] + pages[0] + m[3], put)
-        edits.append((len(before[: old[name].start()].encode()), len(before[: old[name].end()].encode()), put))
-    return splice(before.encode(), edits).decode()
-
-
-def _refuse(name: str):
-    raise ValueError(f"empty segment of reference {name} gained text")
+        edits += _reference_edits(name, mine[name], theirs[name], *raws)
+    return splice(raws[0], sorted(edits)).decode()
+
+
+def _reference_edits(name: str, mine: Node, theirs: Node, raw: bytes, other: bytes) -> list[tuple[int, int, str]]:
+    """Edits of ``raw`` that give a reference the results of its other version."""
+    texts, numbers = ([n.all(kind) for n in (mine, theirs)] for kind in ("Content", "TextVariableInstance"))
+    if len(texts[0]) != len(texts[1]) or [len(n) for n in numbers] != [1, 1]:
+        raise ValueError(f"shape of reference {name} differs")
+    page = numbers[1][0].attributes.get("ResultText", "")
+    if not _PAGE.fullmatch(page) or any(isinstance(c, Node) for t in texts[1] for c in t.children):
+        raise ValueError(f"unresolved result in reference {name}")
+    edits = []
+    for a, b in zip(*texts):
+        put = other[b.inner : b.close].decode()
+        if a.inner == a.end and put:
+            raise ValueError(f"empty segment of reference {name} gained text")
+        edits.append((a.inner, a.close, put))
+    tag = numbers[0][0]
+    at = regex.search(rb'\bResultText="([^"]*)"', raw[tag.start : tag.inner])
+    edits.append((tag.start + at.start(1), tag.start + at.end(1), page))
+    return edits
 
 
 def reconcile_stories(pairs: DataFrame, allowed: Sequence[str]) -> DataFrame:
@@ -496,10 +628,3 @@ def recover_groups(groups: DataFrame) -> DataFrame:
         return pd.DataFrame(rows, columns=["recovered", "error"])
 
     return groups.withColumn("_r", run.asNondeterministic()("composite", "segments")).select(*groups.columns, "_r.*")
-
-
-def escaped(c: Column) -> Column:
-    """Shorthand used by writers: XML escape that keeps markup."""
-    from ..functions.markup import escape_xml
-
-    return escape_xml(c)
