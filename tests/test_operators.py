@@ -14,11 +14,11 @@ def content(spark, rows):
 
 def test_groups_and_orphans(spark):
     t = content(spark, [("", "", "orphan", "lost"), ("Body", " x", "id-1", " "), ("", "", "id-2", "x"), ("Title", "", "id-3", "")])
-    g = segments.content_groups(t).orderBy("group_no").collect()
+    g = segments.content_groups(t, []).orderBy("group_no").collect()
     assert [(r.group_id, r.start_row, r.rows, r.segments) for r in g] == [("group_000001", 2, [2, 3], [" ", "x"]), ("group_000002", 4, [4], [])]
-    assert [r.row_no for r in segments.orphan_rows(t).collect()] == [1]
-    assert [r.psr_content for r in segments.rebuild_composites(t, t).orderBy("row_no").collect()] == ["", " x", "", ""]
-    assert qa.composite_issues(t, t).count() == 0
+    assert [r.row_no for r in segments.orphan_rows(t, []).collect()] == [1]
+    assert [r.psr_content for r in segments.rebuild_composites(t, t, []).orderBy("row_no").collect()] == ["", " x", "", ""]
+    assert qa.composite_issues(t, t, []).count() == 0
 
 
 def entries(spark, rows):
@@ -40,13 +40,36 @@ def test_claims_longest_first_and_folded():
     assert glossary.claims("ir", terms) == [] and glossary.claims("fireé", terms) == []
 
 
-def test_matching_joined_equals_broadcast(spark):
+def test_matching_equals_all_terms_on_all_texts(spark):
     rng = random.Random(5)
     words = ["fire", "team", "Fire", "C.O.", "é", "fireteam", "IR", "ſide", "side", ",", "x-ray", "naïve"]
     c = glossary.compile_entries(entries(spark, [(s, f"t-{s}", "word", "") for s in ["fire", "fire team", "C.O.", "IR", "side", "x-ray", "naïve", "é"]]))
     docs = spark.createDataFrame([(i, " ".join(rng.choice(words) for _ in range(8))) for i in range(60)], "row_no long, content string")
-    key = lambda df: {r.row_no: [tuple(m) for m in r.matches] for r in df.collect()}
-    assert key(glossary.match_terms(docs, c)) == key(glossary.match_terms(docs, c, most_bytes=1))
+    terms = [(r.source, r.contextual, r.allow_ci) for r in glossary.by_length(c).collect()]
+    for r in glossary.match_terms(docs, c).collect():
+        assert [tuple(m) for m in r.matches] == glossary.claims(r.content, terms)
+
+
+def test_matching_of_any_script_and_key(spark):
+    sources = ["кот", "черный кот", "ΟΔΟΣ", "数据", "§", "C++", "a b", "—x"]
+    c = glossary.compile_entries(entries(spark, [(s, f"t-{s}", "word", "") for s in sources]))
+    texts = ["Черный КОТ и кот", "который", "οδος και οδοσ", "数据 数据库", "§ 5", "use C++ now", "A b", "y —x.", "", None]
+    docs = spark.createDataFrame([(None if i % 2 else i % 4, t) for i, t in enumerate(texts)], "row_no long, content string")
+    terms = [(r.source, r.contextual, r.allow_ci) for r in glossary.by_length(c).collect()]
+    got = glossary.match_terms(docs, c).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        assert [tuple(m) for m in r.matches] == (glossary.claims(r.content, terms) if r.content else [])
+    assert sum(len(r.matches) for r in got) >= 7
+    # No token is shared by terms that no text shares: nothing meets all texts.
+    tokens = [r[0] for r in c.select(glossary._term_token(F.col("source"))).collect()]
+    assert len(set(tokens)) >= len(tokens) - 1 and "" not in tokens
+
+
+def test_pairs_between_ascii_boundaries(spark):
+    pairs = spark.createDataFrame([(s, "t") for s in ["the", "кот", "naïve", "-", "m"]], "source string, target string")
+    docs = spark.createDataFrame([(0, "éThe"), (1, "который"), (2, "a NAïVE man"), (3, "x-y"), (4, "5\u212am"), (5, "then")], "k int, t string")
+    assert {(r.k, r.source) for r in glossary.term_pairs(docs, pairs, "k", "t").collect()} == {(0, "the"), (1, "кот"), (2, "naïve"), (4, "m")}
 
 
 def test_terms_that_fold_onto_ascii(spark):
@@ -54,7 +77,7 @@ def test_terms_that_fold_onto_ascii(spark):
     docs = spark.createDataFrame(enumerate(["a star", "a \u017ftar", "one kelvin", "one \u212aelvin", "tar"]), "row_no long, content string")
     key = lambda df: {r.row_no: [m.source for m in r.matches] for r in df.collect()}
     want = {0: ["\u017ftar"], 1: ["\u017ftar"], 2: ["\u212aelvin"], 3: ["\u212aelvin"], 4: []}
-    assert key(glossary.match_terms(docs, c)) == want and key(glossary.match_terms(docs, c, most_bytes=1)) == want
+    assert key(glossary.match_terms(docs, c)) == want
     groups = docs.selectExpr("row_no AS group_id", "content AS source_text", "'' AS target_text")
     queried = {r.group_id for r in glossary.select_for_delta(groups, c).where("queried").collect()}
     assert {1, 3} <= queried and 4 not in queried
@@ -145,8 +168,8 @@ def test_bounded_retention(spark):
 
 def test_table_level_issues(spark):
     t = content(spark, [("p", "", str(i), f"Text number {i} stays") for i in range(12)])
-    pairs = qa.paired(t, t)
-    codes = {r.code for r in qa.table_issues(t, t.where("row_no < 12"), qa.paired(t, t), 12, 11).collect()}
+    pairs = qa.paired(t, t, [])
+    codes = {r.code for r in qa.table_issues(t, t.where("row_no < 12"), qa.paired(t, t, []), 12, 11).collect()}
     assert codes == {"ROW_COUNT_CHANGED", "TRANSLATION_COVERAGE_LOW", "EXPORT_CONTENT_ID_COUNT_MISMATCH"}
     some = qa.row_issues(pairs, language="German", forbidden=[("f", "number 3", "no threes")], preserved=[("n", r"number \d+")])
     assert some.where("code = 'BOOK_INSTRUCTION_FORBIDDEN_TARGET'").count() == 1
@@ -166,12 +189,12 @@ def test_packing(spark):
     rng = random.Random(1)
     sizes = [(rng.randint(1, 9), rng.randint(1, 4)) for _ in range(80)]
     df = spark.createDataFrame([(i, c, s) for i, (c, s) in enumerate(sizes)], "ord long, chars long, segments long")
-    got = [r.batch_no for r in packing.text_batches(df, (20, 5, 8)).orderBy("ord").collect()]
+    got = [r.batch_no for r in packing.text_batches(df, [], (20, 5, 8)).orderBy("ord").collect()]
     assert got == next_fit(sizes, 20, 5, 8)
     scans = spark.createDataFrame([(i, 10, 10) for i in range(17)] + [(99, 500, 10)], "ord long, items long, chars long")
-    assert [r[1] for r in packing.diagram_batches(scans).groupBy("batch_no").count().orderBy("batch_no").collect()] == [8, 8, 1, 1]
+    assert [r[1] for r in packing.diagram_batches(scans, []).groupBy("batch_no").count().orderBy("batch_no").collect()] == [8, 8, 1, 1]
     with pytest.raises(Exception, match="over the limit"):
-        packing.text_batches(df.withColumn("chars", F.lit(50)), (20, 5, 8)).collect()
+        packing.text_batches(df.withColumn("chars", F.lit(50)), [], (20, 5, 8)).collect()
 
 
 def test_recheck_asks_only_for_failures(spark):

@@ -30,5 +30,5 @@ def test_scans_read_what_they_need(spark):
 def test_row_checks_are_one_pass(spark):
     from textloom.operators import qa
 
-    text = plan(qa.row_issues(qa.paired(*queries._content_tables(spark, SF)), language="German"))
+    text = plan(qa.row_issues(qa.paired(*queries._content_tables(spark, SF), []), language="German"))
     assert text.count("FileScan") == 2 and "Generate explode" in text

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .sorted_folds import fold_sorted
 from .text import text
 
 
@@ -22,16 +26,36 @@ def sha256_upper(c: Column) -> Column:
     return F.upper(F.sha2(text(c), 256))
 
 
-def payload_text(rows: DataFrame, order: str = "row_no", tag: str = "content_tag", content: str = "content", keys: tuple[str, ...] = ()) -> DataFrame:
+def payload_text(rows: DataFrame, order: str = "row_no", tag: str = "content_tag", content: str = "content", *, keys: Sequence[str]) -> DataFrame:
     """One text of all rows in order: id, U+001F, text, U+001E. One row per
-    ``keys`` (none: one row), so keys bound what one task holds."""
+    ``keys``: the payload of a key is one value, so it has to fit a task."""
     item = F.struct(F.col(order).alias("o"), F.concat(text(F.col(tag)), F.lit("\x1f"), text(F.col(content)), F.lit("\x1e")).alias("t"))
     joined = F.array_join(F.transform(F.array_sort(F.collect_list(item)), lambda x: x["t"]), "")
     return rows.groupBy(*keys).agg(joined.alias("payload"))
 
 
-def set_hash(files: DataFrame, path: str = "path", digest: str = "sha256", keys: tuple[str, ...] = ()) -> DataFrame:
-    """SHA-256 of the sorted lines path, NUL, hash, LF of a file set."""
-    item = F.struct(F.col(path).alias("p"), F.concat(F.col(path), F.lit("\x00"), F.col(digest), F.lit("\n")).alias("t"))
-    joined = F.array_join(F.transform(F.array_sort(F.collect_list(item)), lambda x: x["t"]), "")
-    return files.groupBy(*keys).agg(F.count("*").alias("n_files"), F.upper(F.sha2(joined, 256)).alias("set_sha256"))
+class _SetHash:
+    """Hash of one set's lines, which arrive in order in pieces: the last
+    column of a row, after the keys and the path."""
+
+    def __init__(self):
+        self.count, self.state, self.key = 0, hashlib.sha256(), ()
+
+    def add(self, rows: list[tuple]) -> list[tuple]:
+        self.key = rows[0][:-2]
+        self.count += len(rows)
+        for row in rows:
+            self.state.update(row[-1].encode("utf-8", "surrogatepass"))
+        return []
+
+    def end(self) -> list[tuple]:
+        return [(*self.key, self.count, self.state.hexdigest().upper())]
+
+
+def set_hash(files: DataFrame, path: str = "path", digest: str = "sha256", *, keys: Sequence[str]) -> DataFrame:
+    """SHA-256 of the sorted lines path, NUL, hash, LF of each file set. The
+    lines of a set pass one task in order and are not held."""
+    line = F.concat(F.col(path), F.lit("\x00"), F.col(digest), F.lit("\n"))
+    narrow = files.select(*keys, F.col(path).alias("path"), line.alias("line")).where(F.col("line").isNotNull())
+    schema = narrow.select(*keys, F.lit(0).cast("long").alias("n_files"), F.lit("").alias("set_sha256")).schema
+    return fold_sorted(narrow, keys, "path", _SetHash, schema)

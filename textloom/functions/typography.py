@@ -33,18 +33,49 @@ LOCALES = {
 }
 # Another name of a language, with its own quotes.
 ALIASES = {"brazilian portuguese": ("Portuguese", "“texto”")}
-# Forms of each month; the first one is written.
+# Forms of each month, as patterns; the first one is written.
 MONTHS = {
-    "English": "Jan|January Feb|February Mar|March Apr|April May Jun|June Jul|July Aug|August Sep|Sept|September Oct|October Nov|November Dec|December",
-    "German": "Jan|Januar Feb|Februar Mär|März Apr|April Mai Jun|Juni Jul|Juli Aug|August Sep|Sept|September Okt|Oktober Nov|November Dez|Dezember",
-    "Spanish": "enero|ene febrero|feb marzo|mar abril|abr mayo|may junio|jun julio|jul agosto|ago septiembre|sep|sept octubre|oct noviembre|nov diciembre|dic",
-    "Portuguese": "janeiro|jan fevereiro|fev março|mar abril|abr maio|mai junho|jun julho|jul agosto|ago setembro|set outubro|out novembro|nov dezembro|dez",
-    "Dutch": "jan|januari feb|februari mrt|maart apr|april mei jun|juni jul|juli aug|augustus sep|september okt|oktober nov|november dec|december",
-    "Italian": "gen|gennaio feb|febbraio mar|marzo apr|aprile mag|maggio giu|giugno lug|luglio ago|agosto set|settembre ott|ottobre nov|novembre dic|dicembre",
-    "Turkish": "Oca|Ocak Şub|Şubat Mar|Mart Nis|Nisan May|Mayıs Haz|Haziran Tem|Temmuz Ağu|Ağustos Eyl|Eylül Eki|Ekim Kas|Kasım Ara|Aralık",
-    "Polish": "sty|stycznia lut|lutego mar|marca kwi|kwietnia maj|maja cze|czerwca lip|lipca sie|sierpnia wrz|września paź|października lis|listopada gru|grudnia",
-    "Swedish": "jan|januari feb|februari mar|mars apr|april maj jun|juni jul|juli aug|augusti sep|september okt|oktober nov|november dec|december",
-    "French": r"janvier|Jan|Janv\.? février|Feb|Fév\.?|Févr\.? mars|Mar\.? avril|Apr|Avr\.? mai|May juin|Jun juillet|Jul|Juil\.? août|Aug septembre|Sep\.?|Sept\.? octobre|Oct\.? novembre|Nov\.? décembre|Dec\.?|Déc\.?",
+    "English": [
+        ["Jan", "January"], ["Feb", "February"], ["Mar", "March"], ["Apr", "April"], ["May"], ["Jun", "June"], ["Jul", "July"],
+        ["Aug", "August"], ["Sep", "Sept", "September"], ["Oct", "October"], ["Nov", "November"], ["Dec", "December"],
+    ],
+    "German": [
+        ["Jan", "Januar"], ["Feb", "Februar"], ["Mär", "März"], ["Apr", "April"], ["Mai"], ["Jun", "Juni"], ["Jul", "Juli"],
+        ["Aug", "August"], ["Sep", "Sept", "September"], ["Okt", "Oktober"], ["Nov", "November"], ["Dez", "Dezember"],
+    ],
+    "Spanish": [
+        ["enero", "ene"], ["febrero", "feb"], ["marzo", "mar"], ["abril", "abr"], ["mayo", "may"], ["junio", "jun"], ["julio", "jul"],
+        ["agosto", "ago"], ["septiembre", "sep", "sept"], ["octubre", "oct"], ["noviembre", "nov"], ["diciembre", "dic"],
+    ],
+    "Portuguese": [
+        ["janeiro", "jan"], ["fevereiro", "fev"], ["março", "mar"], ["abril", "abr"], ["maio", "mai"], ["junho", "jun"], ["julho", "jul"],
+        ["agosto", "ago"], ["setembro", "set"], ["outubro", "out"], ["novembro", "nov"], ["dezembro", "dez"],
+    ],
+    "Dutch": [
+        ["jan", "januari"], ["feb", "februari"], ["mrt", "maart"], ["apr", "april"], ["mei"], ["jun", "juni"], ["jul", "juli"],
+        ["aug", "augustus"], ["sep", "september"], ["okt", "oktober"], ["nov", "november"], ["dec", "december"],
+    ],
+    "Italian": [
+        ["gen", "gennaio"], ["feb", "febbraio"], ["mar", "marzo"], ["apr", "aprile"], ["mag", "maggio"], ["giu", "giugno"],
+        ["lug", "luglio"], ["ago", "agosto"], ["set", "settembre"], ["ott", "ottobre"], ["nov", "novembre"], ["dic", "dicembre"],
+    ],
+    "Turkish": [
+        ["Oca", "Ocak"], ["Şub", "Şubat"], ["Mar", "Mart"], ["Nis", "Nisan"], ["May", "Mayıs"], ["Haz", "Haziran"], ["Tem", "Temmuz"],
+        ["Ağu", "Ağustos"], ["Eyl", "Eylül"], ["Eki", "Ekim"], ["Kas", "Kasım"], ["Ara", "Aralık"],
+    ],
+    "Polish": [
+        ["sty", "stycznia"], ["lut", "lutego"], ["mar", "marca"], ["kwi", "kwietnia"], ["maj", "maja"], ["cze", "czerwca"],
+        ["lip", "lipca"], ["sie", "sierpnia"], ["wrz", "września"], ["paź", "października"], ["lis", "listopada"], ["gru", "grudnia"],
+    ],
+    "Swedish": [
+        ["jan", "januari"], ["feb", "februari"], ["mar", "mars"], ["apr", "april"], ["maj"], ["jun", "juni"], ["jul", "juli"],
+        ["aug", "augusti"], ["sep", "september"], ["okt", "oktober"], ["nov", "november"], ["dec", "december"],
+    ],
+    "French": [
+        ["janvier", "Jan", r"Janv\.?"], ["février", "Feb", r"Fév\.?", r"Févr\.?"], ["mars", r"Mar\.?"], ["avril", "Apr", r"Avr\.?"],
+        ["mai", "May"], ["juin", "Jun"], ["juillet", "Jul", r"Juil\.?"], ["août", "Aug"], ["septembre", r"Sep\.?", r"Sept\.?"],
+        ["octobre", r"Oct\.?"], ["novembre", r"Nov\.?"], ["décembre", r"Dec\.?", r"Déc\.?"],
+    ],
 }
 # Unit symbols that a number is joined to.
 UNITS = "mm cm km mg kg in ft yd mi min MOA mil m g s °C".split()
@@ -89,8 +120,7 @@ def matrix(language: str) -> list[tuple[str, str, str]]:
         ("math_before", rf"(?<=[0-9]) ([{OPERATORS}{FRACTIONS}]){sign}", f"{NBSP}$1"),
         ("math_after", rf"(?<=[{OPERATORS}]) (?=[+−-]?[0-9])", NBSP),
     ]
-    spell = lambda forms: forms.split("|")[0]
-    months = "|".join(spell(m) for m in MONTHS[language].split())
+    months = "|".join(forms[0] for forms in MONTHS[language])
     de = rf"de{_WIDE}+" if language in ("Spanish", "Portuguese") else ""
     day = "([0-9]{1,2}(?:er)?)" if language == "French" else "([0-9]{1,2})"
     joined = NBSP + (f"de{NBSP}" if de else "")
@@ -102,9 +132,9 @@ def matrix(language: str) -> list[tuple[str, str, str]]:
 def steps(language: str) -> tuple[tuple[str, str, str], ...]:
     """All rules of a language in order; the matrix comes last."""
     out: list[tuple[str, str, str]] = []
-    for forms in MONTHS[language].split():
-        spelled = forms.split("|")[0]
-        any_form = f"(?:{'|'.join(forms.split('|'))})"
+    for forms in MONTHS[language]:
+        spelled = forms[0]
+        any_form = f"(?:{'|'.join(forms)})"
         if language == "French":
             end = rf"{_GAP}+{any_form}{_GAP}+([0-9]{{4}}){_TO}"
             out.append(("dates", rf"(?iu){_FROM}0?1(?:er)?{end}", f"1er{NBSP}{spelled}{NBSP}$1"))
@@ -212,6 +242,36 @@ def normalise_by(c: Column, language: Column) -> Column:
     return out
 
 
+_MATCH, _PUT, _DONE = "\ue101", "\ue102", "\ue103"
+
+
+def matrix_run(c: Column, language: str) -> Column:
+    """struct(typeset, counts): the text after the matrix, and (rule, matches,
+    changes) of each of its rules, which run one after the other.
+
+    Each match is put beside its replacement between marks, so that matches
+    and those that their replacement differs from are counted where they are.
+    """
+    name = language_of(language)
+
+    def step(t: Column, rules: list, counts: list) -> Column:
+        if not rules:
+            return F.struct(t.alias("t"), F.array(*counts).alias("counts"))
+        (rule, pattern, put), *rest = rules
+
+        def counted(marked: Column) -> Column:
+            pair = f"{_MATCH}([^{_PUT}]*){_PUT}([^{_DONE}]*){_DONE}"
+            both = [F.regexp_extract_all(marked, F.lit(pair), F.lit(g)) for g in (1, 2)]
+            differ = F.filter(F.zip_with(*both, lambda a, b: a != b), lambda x: x)
+            count = F.struct(F.lit(rule).alias("rule"), F.size(both[0]).cast("long").alias("matches"), F.size(differ).cast("long").alias("changes"))
+            return step(F.regexp_replace(marked, pair, "$2"), rest, [*counts, count])
+
+        return let(F.regexp_replace(t, pattern, f"{_MATCH}$0{_PUT}{put}{_DONE}"), counted)
+
+    run = lambda m: let(step(m["masked"], matrix(name), []), lambda r: F.struct(unmask(r["t"], m["kept"]).alias("typeset"), r["counts"].alias("counts")))
+    return let(mask(text(c)), run)
+
+
 def is_untidy(c: Column, language: str) -> Column:
     """The audit: normalising would change the text."""
     return normalise(c, language) != text(c)
@@ -248,7 +308,7 @@ def _hide(value: str, protected) -> tuple[str, list[str]]:
         kept.append(found)
         return MASK + chr(0xF0000 + len(kept) - 1)
 
-    for term in sorted({p for p in protected or () if p}, key=lambda p: (-len(p), p)):
+    for term in sorted({p for p in (() if protected is None else protected) if p}, key=lambda p: (-len(p), p)):
         if term in value:
             value = _guarded(term).sub(lambda m: put(m[0]), value)
     return _LITERAL.sub(lambda m: put(m[0]), value), kept

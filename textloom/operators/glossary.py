@@ -19,7 +19,7 @@ from pyspark.sql import Window as W
 from ..functions.text import WORD, ascii_term_pattern, count_exact, fold, plain_punctuation, term_pattern, text, trim
 from .segments import first_of
 
-#: Bytes of compiled glossary that are sent to every task at once.
+#: Bytes of a list of terms that may be sent to every task.
 MOST_BYTES = 32 << 20
 
 
@@ -199,77 +199,99 @@ def claims(value: str, terms: Sequence[tuple[str, bool, bool]]) -> list[tuple[st
 _MATCH = "array<struct<source:string,mode:string>>"
 
 
-def _token(c: Column) -> Column:
-    """First run of ASCII letters and digits of a term, folded; else empty."""
-    return F.regexp_extract(F.lower(c), "[a-z0-9]+", 0)
+#: Simple case folds that lower case leaves apart, letter by letter.
+_FOLD_FROM, _FOLD_TO = "ſςµϐϑϕϖϰϱϵẛι", "sσμβθφπκρεṡι"
+_RUN, _MARK = r"[\p{L}\p{N}]+", r"[^\p{L}\p{N}\s]"
 
 
-def _ascii_fold(c: Column) -> Column:
-    """Lower case, with the letters that fold onto ASCII put as ASCII."""
-    return F.lower(F.translate(c, "\u017f\u212a", "sk"))
+def _folded(c: Column) -> Column:
+    """Lower case, and one letter for all that match each other in any case."""
+    return F.translate(F.lower(F.translate(c, "İ", "i")), _FOLD_FROM, _FOLD_TO)
+
+
+def _term_token(c: Column) -> Column:
+    """What a text must have to hold the term: of its runs of letters and
+    digits the longest, folded; without any, its first other character.
+
+    Boundaries stand at both ends of a term that is matched, and what is no
+    letter or digit stands between its runs: so the runs of the term are whole
+    runs of the text.
+    """
+    runs = F.regexp_extract_all(_folded(c), F.lit(_RUN), F.lit(0))
+    longest = F.array_max(F.transform(runs, lambda r: F.struct(F.length(r).alias("n"), r.alias("r"))))["r"]
+    return F.coalesce(longest, F.nullif(F.regexp_extract(c, _MARK, 0), F.lit("")), F.lit(" "))
+
+
+def _text_tokens(texts: DataFrame, key: str, value: Column) -> DataFrame:
+    """(key, _t): the distinct tokens of each text. The text is not repeated."""
+    tokens = F.concat(F.regexp_extract_all(_folded(value), F.lit(_RUN), F.lit(0)), F.regexp_extract_all(value, F.lit(_MARK), F.lit(0)))
+    return texts.select(key, F.explode(F.array_distinct(tokens)).alias("_t"))
 
 
 def candidates(texts: DataFrame, compiled: DataFrame, key: str, value: str, extra: Sequence[str] = ("contextual", "allow_ci")) -> DataFrame:
-    """(key, terms): for each text the terms that could match it, found by an
-    equi-join of the text's tokens with each term's first token. Terms without
-    such a token are candidates of every text; both sides are folded alike."""
-    tokens = _text_tokens(texts, key, _ascii_fold(F.col(value)))
-    # Substrings matter: a term's first token may follow a non-ASCII letter,
-    # where the text's token starts at the same place, so runs agree.
+    """(key, terms): for each text the terms whose token it has, by an
+    equi-join; terms of any script have a token, so none meets every text."""
     item = F.struct(F.length("source").alias("n"), "ord", "source", *extra)
-    named = compiled.select(_token(_ascii_fold(F.col("source"))).alias("_t"), item.alias("e"))
-    return tokens.join(named, "_t").groupBy(key).agg(F.array_sort(F.collect_list("e")).alias("terms"))
+    named = compiled.select(_term_token(F.col("source")).alias("_t"), item.alias("e"))
+    return _text_tokens(texts, key, F.col(value)).join(named, "_t").groupBy(key).agg(F.array_sort(F.collect_list("e")).alias("terms"))
 
 
-def match_terms(texts: DataFrame, compiled: DataFrame, key: str = "row_no", value: str = "content", most_bytes: int = MOST_BYTES) -> DataFrame:
+def match_terms(texts: DataFrame, compiled: DataFrame, key: str = "row_no", value: str = "content") -> DataFrame:
     """``texts`` with ``matches``: the glossary terms that claim a place.
 
-    Glossaries of up to ``most_bytes`` are broadcast once; larger ones reach
-    a text through the candidates join, so no size is assumed.
+    Whatever the glossary's size, a text meets the terms whose token it has
+    and no others. A null key is a key; texts that share one are judged each
+    by its own words.
     """
-    size = compiled.agg(F.sum(F.octet_length("source"))).first()[0] or 0
-    if size <= most_bytes:
-        terms = [(r[0], r[1], r[2]) for r in by_length(compiled).select("source", "contextual", "allow_ci").collect()]
-        shared = texts.sparkSession.sparkContext.broadcast(terms)
-
-        @F.pandas_udf(_MATCH)
-        def run(values: pd.Series) -> pd.Series:
-            return pd.Series([claims(v, shared.value) if v else [] for v in values], dtype=object)
-
-        return texts.withColumn("matches", run.asNondeterministic()(text(F.col(value))))
 
     @F.pandas_udf(_MATCH)
-    def run_own(values: pd.Series, own: pd.Series) -> pd.Series:
+    def run(values: pd.Series, own: pd.Series) -> pd.Series:
         out = []
         for v, terms in zip(values, own):
             ranked = sorted(terms if terms is not None else [], key=lambda e: (-e["n"], e["ord"]))
-            out.append(claims(v, [(e["source"], e["contextual"], e["allow_ci"]) for e in ranked]))
+            out.append(claims(v, [(e["source"], e["contextual"], e["allow_ci"]) for e in ranked]) if v else [])
         return pd.Series(out, dtype=object)
 
-    joined = texts.join(candidates(texts, compiled, key, value), key, "left")
-    return joined.withColumn("matches", run_own.asNondeterministic()(text(F.col(value)), F.col("terms"))).drop("terms")
+    found = candidates(texts, compiled, key, value).withColumnRenamed(key, "_key")
+    joined = texts.join(found, F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")
+    return joined.withColumn("matches", run.asNondeterministic()(text(F.col(value)), F.col("terms"))).drop("terms")
+
+
+_GRAM = 3
+
+
+def _ascii_token(c: Column) -> Column:
+    """What a text must have to hold the term between ASCII boundaries: of its
+    runs of ASCII letters and digits the longest, lower-cased; without any,
+    its first characters, since other letters are boundaries themselves."""
+    runs = F.regexp_extract_all(_ascii_lower(c), F.lit("[a-z0-9]+"), F.lit(0))
+    longest = F.array_max(F.transform(runs, lambda r: F.struct(F.length(r).alias("n"), r.alias("r"))))["r"]
+    return F.coalesce(longest, F.substring(c, 1, _GRAM))
+
+
+def _ascii_lower(c: Column) -> Column:
+    return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
 def term_pairs(texts: DataFrame, pairs: DataFrame, key: str, value: str) -> DataFrame:
     """(key, source, target): every pair whose source occurs in the text
     between ASCII boundaries, in any ASCII case; overlaps are allowed.
 
-    An equi-join of the texts' tokens with each source's first token gives the
+    An equi-join of the texts' tokens with each source's token gives the
     candidates, as narrow rows; only these meet the texts again for the test.
+    Of characters that are no ASCII letters, texts give the runs of the
+    lengths that sources without such letters begin with.
     """
-    named = pairs.withColumn("_t", _token(F.col("source")))
-    found = _text_tokens(texts, key, F.lower(F.col(value))).join(named, "_t").select(key, "source", "target").distinct()
+    named = pairs.where(F.length("source") > 0).withColumn("_t", _ascii_token(F.col("source")))
+    lengths = [r[0] for r in named.where(~F.col("_t").rlike("[a-z0-9]")).select(F.length("_t").alias("n")).distinct().collect()]
+    low = _ascii_lower(F.col(value))
+    tokens = F.concat(F.regexp_extract_all(low, F.lit("[a-z0-9]+"), F.lit(0)), *(F.regexp_extract_all(low, F.lit(rf"(?s)(?=([^a-z0-9]{{{n}}}))"), F.lit(1)) for n in sorted(lengths)))
+    had = texts.select(key, F.explode(F.array_distinct(tokens)).alias("_t"))
+    found = had.join(named, "_t").select(key, "source", "target").distinct()
     hit = F.lower(F.col(value)).contains(F.lower("source")) & F.regexp_like(F.col(value), ascii_term_pattern(F.col("source")))
     return found.join(texts.select(key, value), key).where(hit).select(key, "source", "target").distinct()
 
 
-def _text_tokens(texts: DataFrame, key: str, folded: Column) -> DataFrame:
-    """(key, _t): the distinct tokens of each text, and an empty one for terms
-    that have none. The text itself is not repeated."""
-    every = F.array_distinct(F.concat(F.regexp_extract_all(folded, F.lit("[a-z0-9]+"), F.lit(0)), F.array(F.lit(""))))
-    return texts.select(key, F.explode(every).alias("_t"))
-
-
 def applies(value: Column, source: Column, contextual: Column, allow_ci: Column) -> Column:
     """One entry against one text: exact, or any case where allowed."""
     return ~contextual & (F.regexp_like(value, term_pattern(source, True)) | (allow_ci & F.regexp_like(value, term_pattern(source, False))))
@@ -330,7 +352,9 @@ def replace_terms(value: str, terms: Sequence[tuple[str, str, str]]) -> tuple[st
 
 def replace_in(texts: DataFrame, terms: Sequence[tuple[str, str, str]], value: str = "content") -> DataFrame:
     """``texts`` with ``replaced`` and ``applied``; acronyms go first, then
-    the longest source."""
+    the longest source. ``terms`` is one document's list, at most MOST_BYTES."""
+    if sum(len(s) + len(t) for s, t, _ in terms) > MOST_BYTES:
+        raise ValueError("list of terms is too large to be sent to every task")
     ranked = sorted(((s.strip(), t.strip(), k) for s, t, k in terms if s.strip() and t.strip()), key=lambda e: (e[2] != "acronym", -len(e[0])))
     shared = texts.sparkSession.sparkContext.broadcast(ranked)
 
@@ -416,10 +440,9 @@ def select_for_delta(groups: DataFrame, changed: DataFrame, source: str = "sourc
 
 
 def match_candidates(groups: DataFrame, terms: DataFrame, value: str, key: str = "group_id") -> DataFrame:
-    """Groups beside the terms whose first token they hold: the pairs are made
-    from keys and tokens only, then joined with the groups."""
-    folded = _ascii_fold(F.col(value))
-    found = _text_tokens(groups, key, folded).join(terms.withColumn("_t", _token(_ascii_fold(F.col("source")))), "_t").drop("_t")
+    """Groups beside the terms whose token they have: the pairs are made from
+    keys and tokens only, then joined with the groups."""
+    found = _text_tokens(groups, key, F.col(value)).join(terms.withColumn("_t", _term_token(F.col("source"))), "_t").drop("_t")
     return groups.join(found, key)
 
 

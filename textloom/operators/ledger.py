@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from ..functions.sorted_folds import fold_sorted
 from ..functions.text import file_name_key, is_blank, is_pending, ordinal, text, trim
 
 KINDS = ["prose", "sourceCode"]
@@ -142,33 +143,48 @@ def cursor_match(frames: DataFrame, units: DataFrame) -> DataFrame:
     """(file, id, frame_index, start): each unit at its first place after the
     match before it, across the frames of its file in order; null if there is
     none. Texts are compared with white space collapsed; start is an offset in
-    the collapsed frame. A file's units are one sequence, so one task has
-    them; files spread."""
-    import pandas as pd
-
+    the collapsed frame. A file's units are one sequence, so one task has its
+    frames; files spread."""
     plain = lambda c: trim(F.regexp_replace(text(c), r"(?U)\s+", " "))
-    rows = frames.select("file", F.lit(0).alias("part"), F.col("frame_index").cast("long").alias("n"), F.lit("").alias("id"), plain(F.col("text")).alias("t"))
-    rows = rows.unionByName(units.select("file", F.lit(1).alias("part"), F.col("pos").cast("long").alias("n"), F.col("id"), plain(F.col("plain")).alias("t")))
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["part", "n"], kind="stable")
-        texts = pdf.loc[pdf["part"] == 0, ["n", "t"]].to_numpy().tolist()
-        frame, at, out = 0, 0, []
-        for ident, t in pdf.loc[pdf["part"] == 1, ["id", "t"]].to_numpy().tolist():
-            found = None
-            for f in range(frame, len(texts)):
-                place = texts[f][1].find(t, at if f == frame else 0) if t else -1
-                if place >= 0:
-                    found = (f, place)
-                    break
-            if found is None:
-                out.append((pdf["file"].iat[0], ident, None, None))
+    place = lambda c: F.col(c).cast("long")
+    none = F.lit(None).cast("string")
+    rows = frames.select("file", place("frame_index").alias("o"), none.alias("id"), plain(F.col("text")).alias("t"))
+    # Frames come before units; both are in order.
+    rows = rows.unionByName(units.select("file", (place("pos") + UNITS_FROM).alias("o"), "id", plain(F.col("plain")).alias("t")))
+    schema = rows.select("file", "id", F.col("o").alias("frame_index"), F.col("o").alias("start")).schema
+    return fold_sorted(rows, ["file"], "o", _Cursor, schema)
+
+
+#: Sort numbers of units start here; those of frames stay below.
+UNITS_FROM = 1 << 40
+
+
+class _Cursor:
+    """Frames of one file, and the place after the last match in them."""
+
+    def __init__(self):
+        self.frames: list[tuple[int, str]] = []
+        self.frame = self.at = 0
+
+    def _find(self, t: str) -> tuple[int | None, int | None]:
+        for f in range(self.frame, len(self.frames)) if t else ():
+            found = self.frames[f][1].find(t, self.at if f == self.frame else 0)
+            if found >= 0:
+                self.frame, self.at = f, found + len(t)
+                return self.frames[f][0], found
+        return None, None
+
+    def add(self, rows: list[tuple]) -> list[tuple]:
+        out = []
+        for file, place, ident, t in rows:
+            if place < UNITS_FROM:
+                self.frames.append((place, t))
             else:
-                frame, at = found[0], found[1] + len(t)
-                out.append((pdf["file"].iat[0], ident, int(texts[frame][0]), found[1]))
-        return pd.DataFrame(out, columns=["file", "id", "frame_index", "start"]).astype({"frame_index": "Int64", "start": "Int64"})
+                out.append((file, ident, *self._find(t)))
+        return out
 
-    return rows.groupBy("file").applyInPandas(run, "file string, id string, frame_index long, start long")
+    def end(self) -> list[tuple]:
+        return []
 
 
 # --- captions ---------------------------------------------------------------

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import BREAK, let, line_breaks, text
-from .glossary import claims, pattern_of
+from .glossary import candidates, claims, pattern_of
 
 TOKEN = "⟦[A-Z]_[^⟧]+⟧"
 
@@ -107,17 +107,22 @@ _LOCKS = "array<struct<token:string,source:string,target:string,segment_index:in
 
 
 def prepare_groups(groups: DataFrame, compiled: DataFrame, phrases: Sequence[tuple[str, str]] = ()) -> DataFrame:
-    """``groups`` (group_id, segments) with ``prepared`` and ``locks``. The
-    glossary is broadcast; its size must have been checked by the caller."""
-    rows = compiled.orderBy(F.length("source").desc(), "ord").select("source", "contextual", "allow_ci", "target").collect()
-    shared = groups.sparkSession.sparkContext.broadcast(([tuple(r[:3]) for r in rows], {r[0]: r[3] for r in rows}, list(phrases)))
+    """``groups`` (group_id, segments) with ``prepared`` and ``locks``. A group
+    meets the terms whose token its segments have; the glossary may have any
+    size. ``phrases`` are a book's rules."""
 
     @F.pandas_udf(f"prepared array<string>, locks {_LOCKS}")
-    def run(ids: pd.Series, segments: pd.Series) -> pd.DataFrame:
-        terms, targets, rules = shared.value
-        return pd.DataFrame([prepare_segments(g, list(s), terms, targets, rules) for g, s in zip(ids, segments)], columns=["prepared", "locks"])
-
-    return groups.withColumn("_p", run.asNondeterministic()("group_id", "segments")).select(*groups.columns, "_p.prepared", "_p.locks")
+    def run(ids: pd.Series, segments: pd.Series, own: pd.Series) -> pd.DataFrame:
+        rows = []
+        for g, s, terms in zip(ids, segments, own):
+            ranked = sorted(terms if terms is not None else [], key=lambda e: (-e["n"], e["ord"]))
+            rows.append(prepare_segments(g, list(s), [(e["source"], e["contextual"], e["allow_ci"]) for e in ranked], {e["source"]: e["target"] for e in ranked}, phrases))
+        return pd.DataFrame(rows, columns=["prepared", "locks"])
+
+    words = groups.select("group_id", F.array_join("segments", "\n").alias("_text"))
+    found = candidates(words, compiled, "group_id", "_text", ("contextual", "allow_ci", "target")).withColumnRenamed("terms", "_terms")
+    joined = groups.join(found, "group_id", "left")
+    return joined.withColumn("_p", run.asNondeterministic()("group_id", "segments", "_terms")).select(*groups.columns, "_p.prepared", "_p.locks")
 
 
 def token_faults(answer: Column, group_id: Column, locks: Column) -> Column:

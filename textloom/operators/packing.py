@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from ..functions.sorted_folds import fold_sorted
 from ..functions.text import ordinal
 
 # Default limits (characters, groups, segments; diagrams, items,
@@ -17,56 +18,66 @@ DIAGRAM_LIMITS = (8, 160, 24_000)
 CAPTION_LIMITS = (40, 12_000)
 
 
-def next_fit(rows: DataFrame, order: str, sizes: Sequence[str], limits: Sequence[int], most_rows: int, keys: Sequence[str] = (), oversize: str = "error") -> DataFrame:
+class _Packer:
+    """Greedy packing of one key's rows, which arrive in order in pieces: the
+    last columns of a row are its sizes."""
+
+    def __init__(self, limits: Sequence[int], most_rows: int):
+        self.limits, self.most_rows = limits, most_rows
+        self.batch, self.rows, self.held = 0, 0, [0] * len(limits)
+
+    def add(self, rows: list[tuple]) -> list[tuple]:
+        out = []
+        for row in rows:
+            rest, new = row[: -len(self.limits)], row[-len(self.limits) :]
+            grown = [a + b for a, b in zip(self.held, new)]
+            if not self.rows or self.rows >= self.most_rows or any(a > b for a, b in zip(grown, self.limits)):
+                self.batch, self.rows, grown = self.batch + 1, 0, list(new)
+            self.rows, self.held = self.rows + 1, grown
+            out.append((*rest, self.batch))
+        return out
+
+    def end(self) -> list[tuple]:
+        return []
+
+
+def next_fit(rows: DataFrame, order: str, sizes: Sequence[str], limits: Sequence[int], most_rows: int, keys: Sequence[str], oversize: str = "error") -> DataFrame:
     """``rows`` with ``batch_no``, packed in order within ``keys``.
 
     A row joins the open batch unless it would pass one of the ``limits`` of
     its ``sizes``, or the batch has ``most_rows``. A row beyond a limit by
-    itself is an error, or stands alone (``oversize="alone"``). The fold needs
-    a key's rows in one list of small numbers, so pack per document or job.
+    itself is an error, or stands alone (``oversize="alone"``). Each decision
+    needs the one before, so a key's rows pass one task in order; it sees keys,
+    order and sizes only, and holds one Arrow batch of them at a time. ``keys``
+    are not null; without any, all rows are one sequence.
     """
     if len(sizes) != len(limits) or min([most_rows, *limits]) <= 0:
         raise ValueError("limits must be positive, one for each size")
-    item = F.struct(F.col(order).alias("o"), *(F.col(s).cast("long").alias(f"s{i}") for i, s in enumerate(sizes)))
-    zero = F.struct(F.lit(0).alias("b"), F.lit(0).alias("n"), *(F.lit(0).cast("long").alias(f"s{i}") for i in range(len(sizes))), F.array().cast("array<struct<o:bigint,b:int>>").alias("out"))
-
-    def step(acc: Column, x: Column) -> Column:
-        over = F.lit(False)
-        for i, most in enumerate(limits):
-            over = over | (acc[f"s{i}"] + x[f"s{i}"] > most)
-        opens = (acc["n"] == 0) | (acc["n"] >= most_rows) | over
-        b = acc["b"] + F.when(opens, 1).otherwise(0)
-        return F.struct(
-            b.alias("b"),
-            F.when(opens, 1).otherwise(acc["n"] + 1).alias("n"),
-            *(F.when(opens, x[f"s{i}"]).otherwise(acc[f"s{i}"] + x[f"s{i}"]).alias(f"s{i}") for i in range(len(sizes))),
-            F.concat(acc["out"], F.array(F.struct(x["o"].cast("long").alias("o"), b.alias("b")))).alias("out"),
-        )
-
     checked = rows
     if oversize == "error":
         for s, most in zip(sizes, limits):
             checked = checked.withColumn(s, F.when(F.col(s) <= most, F.col(s)).otherwise(F.raise_error(F.concat(F.lit(f"{s} over the limit of {most}: "), F.col(order)))))
-    lists = checked.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("x"))
-    dealt = lists.select(*keys, F.explode(F.aggregate("x", zero, step, lambda acc: acc["out"])).alias("d")).select(*keys, F.col("d.o").alias(order), F.col("d.b").alias("batch_no"))
+    narrow = checked.select(*keys, order, *(F.col(s).cast("long").alias(s) for s in sizes))
+    dealt = fold_sorted(narrow, keys, order, lambda: _Packer(limits, most_rows), narrow.select(*keys, order, F.lit(0).alias("batch_no")).schema)
     return rows.join(dealt, [*keys, order])
 
 
-def text_batches(groups: DataFrame, limits: tuple[int, int, int] = TEXT_LIMITS, keys: Sequence[str] = ()) -> DataFrame:
+def text_batches(groups: DataFrame, keys: Sequence[str], limits: tuple[int, int, int] = TEXT_LIMITS, oversize: str = "error") -> DataFrame:
     """Groups (ord, chars, segments) with batch_no and batch_id; a group over
-    the limits is an error."""
+    the limits is an error, or stands alone (``oversize="alone"``)."""
     chars, most, segments = limits
-    out = next_fit(groups, "ord", ["chars", "segments"], [chars, segments], most, keys)
+    out = next_fit(groups, "ord", ["chars", "segments"], [chars, segments], most, keys, oversize)
     return out.withColumn("batch_id", ordinal("batch_", 4, F.col("batch_no")))
 
 
-def diagram_batches(scans: DataFrame, limits: tuple[int, int, int] = DIAGRAM_LIMITS, keys: Sequence[str] = ()) -> DataFrame:
+def diagram_batches(scans: DataFrame, keys: Sequence[str], limits: tuple[int, int, int] = DIAGRAM_LIMITS) -> DataFrame:
     """Scans (ord, items, chars) that have items; an oversize one stands alone."""
     most, items, chars = limits
     return next_fit(scans.where("items > 0"), "ord", ["items", "chars"], [items, chars], most, keys, oversize="alone")
 
 
-def caption_batches(rows: DataFrame, limits: tuple[int, int] = CAPTION_LIMITS, keys: Sequence[str] = ()) -> DataFrame:
+def caption_batches(rows: DataFrame, keys: Sequence[str], limits: tuple[int, int] = CAPTION_LIMITS) -> DataFrame:
+    """Captions (ord, chars) in batches; an oversize one stands alone."""
     most, chars = limits
     return next_fit(rows, "ord", ["chars"], [chars], most, keys, oversize="alone")
 
@@ -112,17 +123,31 @@ def status_changes(log: DataFrame, allowed: Sequence[tuple[str, str]], keys: Seq
 
 # Status changes of a job.
 TRANSITIONS = [
-    (a, b)
-    for b, sources in {
-        "translating": "exported translating translation_failed qa_failed ready_for_import",
-        "translation_failed": "translating",
-        "translated": "translating",
-        "qa_failed": "translated ready_for_import qa_failed imported",
-        "ready_for_import": "translated ready_for_import qa_failed imported",
-        "imported": "translated ready_for_import qa_failed imported",
-        "exported": "complete imported translated ready_for_import qa_failed",
-        "complete": "imported complete",
-        "archived": "imported",
-    }.items()
-    for a in sources.split()
+    ("exported", "translating"),
+    ("translating", "translating"),
+    ("translation_failed", "translating"),
+    ("qa_failed", "translating"),
+    ("ready_for_import", "translating"),
+    ("translating", "translation_failed"),
+    ("translating", "translated"),
+    ("translated", "qa_failed"),
+    ("ready_for_import", "qa_failed"),
+    ("qa_failed", "qa_failed"),
+    ("imported", "qa_failed"),
+    ("translated", "ready_for_import"),
+    ("ready_for_import", "ready_for_import"),
+    ("qa_failed", "ready_for_import"),
+    ("imported", "ready_for_import"),
+    ("translated", "imported"),
+    ("ready_for_import", "imported"),
+    ("qa_failed", "imported"),
+    ("imported", "imported"),
+    ("complete", "exported"),
+    ("imported", "exported"),
+    ("translated", "exported"),
+    ("ready_for_import", "exported"),
+    ("qa_failed", "exported"),
+    ("imported", "complete"),
+    ("complete", "complete"),
+    ("imported", "archived"),
 ]

@@ -40,18 +40,21 @@ RULES = {
     "GLOSSARY_TARGET_MISSING": ("error", 4),
     "COMPOSITE_MISMATCH": ("error", 2),
 }
+TAG_COLUMN = 3
 UNCHANGED_LEAST, UNCHANGED_SHARE = 10, 0.2
 
 
-def paired(source: DataFrame, output: DataFrame, keys: Sequence[str] = (), protected: DataFrame | None = None, panel: DataFrame | None = None) -> DataFrame:
+def paired(source: DataFrame, output: DataFrame, keys: Sequence[str], protected: DataFrame | None = None, panel: DataFrame | None = None) -> DataFrame:
     """Positional join over the common rows, with the normalised id, the row
     that had it first, and the protected and panel texts."""
     cells = ["psr_id", "psr_content", "content_tag", "content"]
     s = source.select(*keys, "row_no", *(text(F.col(c)).alias(f"s_{c}") for c in cells))
     o = output.select(*keys, "row_no", *(text(F.col(c)).alias(f"o_{c}") for c in cells))
     both = s.join(o, [*keys, "row_no"]).withColumn("content_id", content_id(F.col("s_content_tag")))
-    first = F.min("row_no").over(W.partitionBy(*keys, "content_id"))
-    both = both.withColumn("first_row", F.when(F.col("content_id") != "", first))
+    # The first row of an id comes from a grouping, combined before the
+    # shuffle, so that rows without an id are no group of their own.
+    firsts = both.where("content_id <> ''").groupBy(*keys, "content_id").agg(F.min("row_no").alias("first_row"))
+    both = both.join(firsts, [*keys, "content_id"], "left")
     none = F.lit(None).cast("string")
     if protected is not None:
         both = both.join(protected.select(content_id(F.col("content_id")).alias("content_id"), F.lit(True).alias("is_protected")).distinct(), "content_id", "left")
@@ -78,11 +81,11 @@ def row_issues(pairs: DataFrame, keys: Sequence[str] = (), language: str | Colum
     a column of names; rows of an unknown one have no typography rule."""
     s, o = F.col("s_content"), F.col("o_content")
     free = ~F.col("is_protected") & F.col("panel_text").isNull()
-    checks: list[tuple[str, Column, Column]] = [
+    checks: list[tuple] = [  # code, condition, message, and a column other than the rule's
         ("MISSING_CONTENT_ID", F.col("content_id") == "", F.lit("row has no content id")),
         ("DUPLICATE_CONTENT_ID", F.col("first_row") < F.col("row_no"), F.concat(F.lit("content id of row "), F.col("first_row").cast("string"))),
         ("PROTECTED_FIELD_CHANGED", F.col("s_psr_id") != F.col("o_psr_id"), F.lit("paragraph id differs")),
-        ("PROTECTED_FIELD_CHANGED", F.col("s_content_tag") != F.col("o_content_tag"), F.lit("content tag differs")),
+        ("PROTECTED_FIELD_CHANGED", F.col("s_content_tag") != F.col("o_content_tag"), F.lit("content tag differs"), TAG_COLUMN),
         ("PANEL_REFERENCE_CACHE_CHANGED", F.col("panel_text").isNotNull() & (o != F.col("panel_text")), F.lit("generated reference text differs")),
         ("PROTECTED_SOURCE_TEXT_CHANGED", F.col("is_protected") & (s != o), F.lit("protected text differs")),
         ("BLANK_TRANSLATION", ~is_blank(s) & is_blank(o), F.lit("translation is blank")),
@@ -103,14 +106,14 @@ def row_issues(pairs: DataFrame, keys: Sequence[str] = (), language: str | Colum
         changed = F.exists(phrases, lambda p: count_exact(o, p) != F.size(F.filter(F.regexp_extract_all(s, F.lit(pattern), F.lit(0)), lambda q: q == p)))
         checks.append(("BOOK_SOURCE_NAME_CHANGED", free & changed, F.lit(f"protected name of {rule} differs")))
     made = [
-        F.when(bad, F.struct(F.lit(RULES[code][0]).alias("severity"), F.lit(3 if "tag" in str(message) else RULES[code][1]).alias("column_no"), F.lit(code).alias("code"), message.alias("message")))
-        for code, bad, message in checks
+        F.when(bad, F.struct(F.lit(RULES[code][0]).alias("severity"), F.lit(column[0] if column else RULES[code][1]).alias("column_no"), F.lit(code).alias("code"), message.alias("message")))
+        for code, bad, message, *column in checks
     ]
     found = pairs.select(*keys, "row_no", F.col("s_content_tag").alias("content_id"), F.explode(F.filter(F.array(*made), lambda x: x.isNotNull())).alias("i"))
     return found.select(*keys, "row_no", "i.column_no", "content_id", "i.severity", "i.code", "i.message")
 
 
-def composite_issues(source: DataFrame, output: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+def composite_issues(source: DataFrame, output: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Group heads whose composite is not the text of the group's rows."""
     bounds = source.select(*keys, "row_no", F.col("psr_id").alias("_id"), text(F.col("content_tag")).alias("_tag"))
     rows = output.drop("psr_id").join(bounds, [*keys, "row_no"]).withColumnRenamed("_id", "psr_id")
@@ -162,11 +165,33 @@ def table_issues(source: DataFrame, output: DataFrame, pairs: DataFrame, expecte
     return found.select(F.lit(None).cast("long").alias("row_no"), F.lit(None).cast("int").alias("column_no"), F.lit("").alias("content_id"), F.lit("error").alias("severity"), "i.code", "i.message")
 
 
+def row_mismatches(rows: DataFrame, table: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Rows (row_no, content_id, content, o_content) whose source is a two-cell
+    glossary row and whose output is not that row as the glossary has it."""
+    from .glossary import expected_table_rows
+
+    wrong = expected_table_rows(rows, table).where("expected is not null and expected <> o_content")
+    return wrong.select(*keys, "row_no", F.lit(4).alias("column_no"), "content_id", F.lit("error").alias("severity"), F.lit("GLOSSARY_TABLE_ROW_MISMATCH").alias("code"), F.lit("row differs from the glossary's").alias("message"))
+
+
+def policy_issues(jobs: DataFrame, policy_sha256: str) -> DataFrame:
+    """Issues of jobs (job_id, prepared_sha256, reviewed_sha256) that were
+    prepared under another policy, or whose review under the present one is
+    not complete. Jobs prepared without a policy have none."""
+    say = lambda bad, code, words: F.when(bad, F.struct(F.lit(code).alias("code"), F.lit(words).alias("message")))
+    prepared = F.col("prepared_sha256").isNotNull()
+    checks = F.array(
+        say(prepared & (F.col("prepared_sha256") != policy_sha256), "EDITORIAL_POLICY_CHANGED", "the policy changed since the review was prepared"),
+        say(prepared & ~F.col("reviewed_sha256").eqNullSafe(F.lit(policy_sha256)), "EDITORIAL_REVIEW_INCOMPLETE", "no complete review under the present policy"),
+    )
+    return jobs.select("job_id", F.explode(F.array_compact(checks)).alias("i")).select("job_id", F.lit("error").alias("severity"), "i.code", "i.message")
+
+
 def totals(issues: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return issues.groupBy(*keys).agg(F.count_if(F.col("severity") == "error").alias("errors"), F.count_if(F.col("severity") == "warning").alias("warnings"), F.count("*").alias("total"))
 
 
-def retained(issues: DataFrame, most: int, keys: Sequence[str] = (), order: str = "ord") -> DataFrame:
+def retained(issues: DataFrame, most: int, keys: Sequence[str], order: str = "ord") -> DataFrame:
     """At most ``most`` issues per key, with their ``slot``: the first ones,
     except that the k-th later error takes the slot of the k-th last warning
     among these."""
@@ -177,7 +202,7 @@ def retained(issues: DataFrame, most: int, keys: Sequence[str] = (), order: str
     late = late.withColumn("k", F.row_number().over(by))
     cols = [*keys, *[c for c in issues.columns if c not in keys]]
     taken = late.drop("slot").join(head.where("k is not null").select(*keys, "k", "slot"), [*keys, "k"]).select(*cols, "slot")
-    kept = head.join(late.select(*keys, "k"), [*keys, "k"], "left_anti") if keys else head.join(late.select("k"), "k", "left_anti")
+    kept = head.join(late.select(*keys, "k"), [*keys, "k"], "left_anti")
     return kept.select(*cols, "slot").unionByName(taken)
 
 

@@ -20,7 +20,7 @@ def _upto(keys: Sequence[str], order: str = "row_no") -> W:
     return W.partitionBy(*keys).orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)
 
 
-def number_groups(rows: DataFrame, keys: Sequence[str] = (), boundary: Column | None = None) -> DataFrame:
+def number_groups(rows: DataFrame, keys: Sequence[str], boundary: Column | None = None) -> DataFrame:
     """``rows`` with ``group_no``: boundaries so far; 0 before the first."""
     starts = has_content(F.col("psr_id")) if boundary is None else boundary
     return rows.withColumn("group_no", F.sum(F.when(starts, 1).otherwise(0)).over(_upto(keys)))
@@ -32,7 +32,7 @@ def ordered_text(order: str, value: Column, separator: str = "") -> Column:
     return F.array_join(F.transform(pairs, lambda x: x["v"]), separator)
 
 
-def content_groups(rows: DataFrame, keys: Sequence[str] = (), boundary: Column | None = None) -> DataFrame:
+def content_groups(rows: DataFrame, keys: Sequence[str], boundary: Column | None = None) -> DataFrame:
     """One row for each group: its rows, its segments (content that is not
     empty) and the composite stated at its head. Orphans are left out."""
     numbered = number_groups(rows, keys, boundary).where("group_no > 0")
@@ -51,13 +51,13 @@ def content_groups(rows: DataFrame, keys: Sequence[str] = (), boundary: Column |
     )
 
 
-def composites(rows: DataFrame, keys: Sequence[str] = (), boundary: Column | None = None) -> DataFrame:
+def composites(rows: DataFrame, keys: Sequence[str], boundary: Column | None = None) -> DataFrame:
     """(keys, group_no, start_row, composite): contents of all rows joined."""
     numbered = number_groups(rows, keys, boundary).where("group_no > 0")
     return numbered.groupBy(*keys, "group_no").agg(F.min("row_no").alias("start_row"), ordered_text("row_no", text(F.col("content"))).alias("composite"))
 
 
-def rebuild_composites(source: DataFrame, output: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+def rebuild_composites(source: DataFrame, output: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``output`` with psr_content anew: the composite at each group head of
     ``source``, empty elsewhere."""
     bounds = source.select(*keys, "row_no", F.col("psr_id").alias("_id"))
@@ -66,7 +66,7 @@ def rebuild_composites(source: DataFrame, output: DataFrame, keys: Sequence[str]
     return output.join(heads, [*keys, "row_no"], "left").withColumn("psr_content", F.coalesce("composite", F.lit(""))).select(*output.columns)
 
 
-def orphan_rows(rows: DataFrame, keys: Sequence[str] = (), boundary: Column | None = None) -> DataFrame:
+def orphan_rows(rows: DataFrame, keys: Sequence[str], boundary: Column | None = None) -> DataFrame:
     """Rows before the first boundary that hold anything."""
     cells = ["psr_id", "psr_content", "content_tag", "content"]
     filled = F.exists(F.array(*(text(F.col(c)) for c in cells)), lambda c: c != "")
@@ -85,7 +85,7 @@ def style_runs(rows: DataFrame, kind: str, value: str, keys: Sequence[str], orde
     return marked.groupBy(*keys, "run_no", kind).agg(F.min(order).alias("first"), F.max(order).alias("last"), F.count("*").alias("n"), ordered_text(order, text(F.col(value))).alias("text"))
 
 
-def fill_down(rows: DataFrame, columns: Sequence[str], keys: Sequence[str] = (), order: str = "row_no") -> DataFrame:
+def fill_down(rows: DataFrame, columns: Sequence[str], keys: Sequence[str], order: str = "row_no") -> DataFrame:
     """Blank cells take the last value above them."""
     w = _upto(keys, order)
     for c in columns:
@@ -93,19 +93,39 @@ def fill_down(rows: DataFrame, columns: Sequence[str], keys: Sequence[str] = (),
     return rows
 
 
-def section_of(rows: DataFrame, is_heading: Column, keys: Sequence[str] = (), order: str = "row_no") -> DataFrame:
+def section_of(rows: DataFrame, is_heading: Column, keys: Sequence[str], order: str = "row_no") -> DataFrame:
     """``rows`` with ``in_section``: true from the heading row on."""
     return rows.withColumn("in_section", F.max(F.when(is_heading, 1).otherwise(0)).over(_upto(keys, order)) == 1)
 
 
+#: Ranges of the upper level of a prefix sum.
+RANGES = 256
+
+
+def prefix_sums(rows: DataFrame, order: str, values: Sequence[str]) -> DataFrame:
+    """(order, one column ``before_<value>`` each): sums over all rows before,
+    for rows with distinct numbers in ``order``.
+
+    Two levels: rows are cut into ranges of about equal count, each summed by
+    its own task, and only the totals of the ranges are summed in one place.
+    """
+    cuts = rows.agg(F.percentile_approx(order, [k / RANGES for k in range(1, RANGES)], F.lit(10_000))).first()[0] or []
+    bounds = F.array(*(F.lit(c) for c in sorted(set(cuts)))) if cuts else F.array().cast("array<long>")
+    placed = rows.select(order, *values, F.size(F.filter(bounds, lambda c: c < F.col(order))).alias("_range"))
+    inside = W.partitionBy("_range").orderBy(order).rowsBetween(W.unboundedPreceding, -1)
+    lower = placed.select(order, "_range", *(F.coalesce(F.sum(v).over(inside), F.lit(0)).alias(f"_{v}") for v in values))
+    totals = placed.groupBy("_range").agg(*(F.sum(v).alias(v) for v in values))
+    earlier = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)  # at most RANGES rows
+    upper = totals.select("_range", *(F.coalesce(F.sum(v).over(earlier), F.lit(0)).alias(f"_upto_{v}") for v in values))
+    return lower.join(F.broadcast(upper), "_range").select(order, *((F.col(f"_{v}") + F.col(f"_upto_{v}")).alias(f"before_{v}") for v in values))
+
+
 def global_ids(rows: DataFrame, file_no: str = "file_no", order: str = "pos", width: int = 5, name: str = "global_id") -> DataFrame:
-    """Ids over all files from per-file counts and a prefix sum of these: the
-    only window without partition runs over one row per file."""
-    counts = rows.groupBy(file_no).agg(F.count("*").alias("_n"))
-    before = W.orderBy(file_no).rowsBetween(W.unboundedPreceding, -1)
-    offsets = counts.select(file_no, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    """Ids over all files, in the order of their numbers, from per-file counts
+    and a prefix sum of these."""
+    counts = rows.groupBy(file_no).agg(F.count("*").alias("n"))
     place = F.row_number().over(W.partitionBy(file_no).orderBy(order))
-    return rows.withColumn("_place", place).join(offsets, file_no).withColumn(name, F.format_string(f"%0{width}d", F.col("_before") + F.col("_place"))).drop("_place", "_before")
+    return rows.withColumn("_place", place).join(prefix_sums(counts, file_no, ["n"]), file_no).withColumn(name, F.format_string(f"%0{width}d", F.col("before_n") + F.col("_place"))).drop("_place", "before_n")
 
 
 def first_of(rows: DataFrame, keys: Sequence[str], order: str) -> DataFrame:

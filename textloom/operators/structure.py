@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import content_id, text
 from ..functions.typography import language_of, matrix_report
-from .segments import ordered_text
+from .segments import ordered_text, prefix_sums
 
 MOST_BYTES, MOST_DEPTH = 8 << 20, 256
 SPACES = "    "
@@ -284,10 +284,8 @@ def index_stories(stories: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(content rows, numbered stories) of stories (file_no, file_name, xml).
 
     Ids run over all files: each file is counted once, a prefix sum over the
-    counts (one row per file) gives its first numbers.
+    counts gives its first numbers.
     """
-    from pyspark.sql import Window as W
-
     @F.pandas_udf("array<struct<paragraph:int,content:int,text:string>>")
     def rows_of(xmls: pd.Series) -> pd.Series:
         return pd.Series([index_story(x) for x in xmls], dtype=object)
@@ -297,9 +295,8 @@ def index_stories(stories: DataFrame) -> tuple[DataFrame, DataFrame]:
         return pd.Series([number_story(x, int(a), int(b)) for x, a, b in zip(xmls, p, c)], dtype=object)
 
     found = stories.withColumn("_r", rows_of.asNondeterministic()("xml"))
-    before = W.orderBy("file_no").rowsBetween(W.unboundedPreceding, -1)
     sizes = found.select("file_no", F.size("_r").alias("c"), F.size(F.array_distinct(F.transform("_r", lambda r: r["paragraph"]))).alias("p"))
-    firsts = sizes.select("file_no", F.coalesce(F.sum("p").over(before), F.lit(0)).alias("_p"), F.coalesce(F.sum("c").over(before), F.lit(0)).alias("_c"))
+    firsts = prefix_sums(sizes, "file_no", ["p", "c"]).select("file_no", F.col("before_p").alias("_p"), F.col("before_c").alias("_c"))
     joined = found.join(firsts, "file_no")
     each = joined.select("file_no", "file_name", "_p", "_c", F.explode("_r").alias("r"))
     key = F.col("_p") + F.col("r.paragraph")

@@ -74,7 +74,7 @@ def typography_dates_by_locale(spark, sf_dir):
     o = spread(table(spark, sf_dir, "orders")).select("o_orderkey", F.dayofmonth("o_orderdate").alias("d"), F.month("o_orderdate").alias("m"), F.year("o_orderdate").alias("y"))
 
     def spelled(language, form):
-        names = [x.split("|")[form if "|" in x else 0].replace("\\.?", "") for x in typography.MONTHS[language].split()]
+        names = [forms[min(form, len(forms) - 1)].replace("\\.?", "") for forms in typography.MONTHS[language]]
         return F.get(F.array(*map(F.lit, names)), F.col("m") - 1)
 
     german = F.concat(F.lit("sent "), "d", F.lit(" "), spelled("German", 1), F.lit(" "), "y", F.lit("."))
@@ -121,17 +121,19 @@ def typography_math(spark, sf_dir):
 @query("""
 WITH r(place, language, rule) AS (VALUES (1, 'French', 'fr_punctuation'), (2, 'French', 'fr_em_dash'), (3, 'French', 'fr_open_quote'), (4, 'French', 'fr_close_quote'), (5, 'All', 'unit_nbsp'), (6, 'All', 'math_before'), (7, 'All', 'math_after'),
   (8, 'English', 'date_english'), (9, 'French', 'date_french'), (10, 'German', 'date_german'), (11, 'Spanish', 'date_spanish'), (12, 'Portuguese', 'date_portuguese'), (13, 'Dutch', 'date_dutch'), (14, 'Italian', 'date_italian'), (15, 'Turkish', 'date_turkish'), (16, 'Polish', 'date_polish'), (17, 'Swedish', 'date_swedish')),
-n AS (SELECT count(*) AS n FROM lineitem)
+n AS (SELECT count(*) AS n, count(*) FILTER (l_linenumber % 2 = 0) AS even FROM lineitem)
 SELECT place, language, rule, language IN ('All', 'English') AS applies,
-  CASE WHEN rule IN ('unit_nbsp', 'math_before', 'math_after') THEN n ELSE 0 END AS matches FROM r, n
+  CASE WHEN rule = 'unit_nbsp' THEN n WHEN rule IN ('math_before', 'math_after') THEN even ELSE 0 END AS matches, CASE WHEN rule = 'unit_nbsp' THEN n WHEN rule IN ('math_before', 'math_after') THEN even ELSE 0 END AS changes FROM r, n
 """)
 def grep_rule_report(spark, sf_dir):
-    """Matches of each rule of the matrix, also of those without any."""
-    l = spread(table(spark, sf_dir, "lineitem")).select(F.concat(whole("l_quantity"), F.lit(" km "), "l_linenumber", F.lit(" + "), "l_linenumber").alias("s"))
-    counted = l.agg(*(F.sum(F.regexp_count("s", F.lit(p))).alias(k) for k, p, _ in typography.matrix("English")))
-    long = counted.select(F.explode(F.array(*(F.struct(F.lit(k).alias("rule"), F.col(k).cast("long").alias("matches"), F.lit(0).cast("long").alias("changes")) for k, _, _ in typography.matrix("English")))).alias("x")).select("x.*")
+    """The matrix run over every order line: matches and changes of each rule,
+    also of those without any. Every second line has one space that is set
+    already."""
+    after = F.when(F.col("l_linenumber") % 2 == 0, F.lit(" ")).otherwise(F.lit(NBSP))
+    l = spread(table(spark, sf_dir, "lineitem")).select(F.concat(whole("l_quantity"), F.lit(" km "), "l_linenumber", F.lit(" +"), after, "l_linenumber").alias("s"))
+    ran = l.select(F.explode(typography.matrix_run(F.col("s"), "English")["counts"]).alias("x")).select("x.*")
     rules = typography.rules_for(typography.rule_table(spark), "English")
-    return audit.rule_totals(rules, long).select("place", "language", "rule", "applies", "matches")
+    return audit.rule_totals(rules, ran).select("place", "language", "rule", "applies", "matches", "changes")
 
 
 @query("""
@@ -291,12 +293,12 @@ def fingerprint_sha256(spark, sf_dir):
 
 
 @query("""
-SELECT source, count(*) AS n_files, upper(sha256(string_agg(p || chr(0) || sha256(text) || chr(10), '' ORDER BY p))) AS set_sha256 FROM (SELECT source, text, printf('d/%08d', doc_id) AS p FROM documents) GROUP BY source
+SELECT source, book, count(*) AS n_files, upper(sha256(string_agg(p || chr(0) || sha256(text) || chr(10), '' ORDER BY p))) AS set_sha256 FROM (SELECT source, doc_id // 1000 AS book, text, printf('d/%08d', doc_id) AS p FROM documents) GROUP BY source, book
 """)
 def set_hash(spark, sf_dir):
-    """Ordered hash of the files of each source."""
-    d = table(spark, sf_dir, "documents").select("source", F.format_string("d/%08d", "doc_id").alias("path"), F.sha2("text", 256).alias("sha256"))
-    return hashing.set_hash(d, keys=("source",))
+    """Ordered hash of the files of each book: a thousand ids of a source."""
+    d = table(spark, sf_dir, "documents").select("source", F.expr("doc_id div 1000").alias("book"), F.format_string("d/%08d", "doc_id").alias("path"), F.sha2("text", 256).alias("sha256"))
+    return hashing.set_hash(d, keys=("source", "book"))
 
 
 @query("""
@@ -318,68 +320,80 @@ def _mutated(base):
     return base, out
 
 
-def _content_tables(spark, sf_dir, t=None):
-    """Content of the whole texts, or of a column of theirs, and its mutated copy."""
-    d = spread(table(spark, sf_dir, "documents")).select("doc_id", "lang", (F.coalesce("text", F.lit("")) if t is None else t).alias("t"))
+def _content_tables(spark, sf_dir):
+    """Content of the whole texts, and its mutated copy."""
+    d = spread(table(spark, sf_dir, "documents")).select("doc_id", "lang", F.coalesce("text", F.lit("")).alias("t"))
     return _mutated(d.select("lang", F.col("doc_id").alias("row_no"), F.when(F.col("doc_id") % 5 == 0, F.concat(F.lit("p"), "doc_id")).otherwise("").alias("psr_id"), F.lit("").alias("psr_content"), F.format_string("%06d", F.col("doc_id") - F.when(F.col("doc_id") % 100 == 7, 1).otherwise(0)).alias("content_tag"), F.concat(F.lit("Text "), "t", F.lit("<b/>")).alias("content")))
 
 
-_PAIRS = """WITH b AS (SELECT doc_id AS k, lang, 'Text ' || trim(substr(regexp_replace(text, '[^A-Za-z ]', '', 'g'), 1, 80)) || '<b/>' AS s, doc_id - CASE WHEN doc_id % 100 = 7 THEN 1 ELSE 0 END AS tag FROM documents),
-p AS (SELECT *, min(k) OVER (PARTITION BY tag) AS first_row, CASE WHEN k % 7 = 0 THEN ' ' WHEN k % 11 = 0 THEN s || '<i/>' WHEN k % 13 = 0 THEN s || ' ' WHEN k % 17 = 0 THEN '&amp;lt; ' || s WHEN k % 19 = 0 THEN '<?x?>' || s WHEN k % 23 = 0 THEN 'a' || chr(10) || s WHEN k % 3 = 0 THEN s ELSE 'Neu ' || s END AS o FROM b)"""
+# What the row rules are given.
+QA_LANGUAGES = {"de": "German", "en": "English", "es": "Spanish", "fr": "French"}
+QA_FORBIDDEN = [("no_new", "Neu", "not to be used")]
+QA_PRESERVED = [("head", "Text")]
+
+
+_PAIRS = r"""WITH b AS (SELECT doc_id AS k, lang, 'Text ' || coalesce(text, '') || '<b/>' AS s, CASE WHEN doc_id % 199 = 5 THEN NULL ELSE doc_id - CASE WHEN doc_id % 100 = 7 THEN 1 ELSE 0 END END AS tag FROM documents),
+q AS (SELECT *, min(k) OVER (PARTITION BY tag) AS first_row, CASE WHEN k % 7 = 0 THEN ' ' WHEN k % 11 = 0 THEN s || '<i/>' WHEN k % 13 = 0 THEN s || ' ' WHEN k % 17 = 0 THEN '&amp;lt; ' || s WHEN k % 19 = 0 THEN '<?x?>' || s WHEN k % 23 = 0 THEN 'a' || chr(10) || s WHEN k % 3 = 0 THEN s ELSE 'Neu ' || s END AS o FROM b),
+prot AS (SELECT DISTINCT tag FROM b WHERE k % 29 = 0 AND tag IS NOT NULL), pan AS (SELECT tag, s AS panel FROM b WHERE k % 31 = 0 AND tag IS NOT NULL),
+p AS (SELECT q.*, prot.tag IS NOT NULL AS guarded, panel, prot.tag IS NULL AND panel IS NULL AS free,
+  length(regexp_replace(regexp_replace(regexp_replace(replace(s, 'Text', ' '), '<\?(?s:.*?)\?>', '', 'g'), '&(?:amp|lt|gt|quot|apos|#[0-9]+|#x[0-9A-Fa-f]+);|(?i:<Br\b[^>]*/>)', ' ', 'g'), '[^A-Za-zÀ-ÖØ-öø-ÿ]', '', 'g')) >= 4 AS worded
+  FROM q LEFT JOIN prot ON prot.tag = q.tag LEFT JOIN pan ON pan.tag = q.tag)"""
+
+
+def _row_pairs(spark, sf_dir):
+    """Whole documents beside their mutated copy, with ids, protection and
+    panel texts; some rows have no content id."""
+    k = F.col("row_no")
+    tag = F.when(k % 199 == 5, "").otherwise(F.col("content_tag"))
+    s, o = (t.withColumn("content_tag", tag) for t in _content_tables(spark, sf_dir))
+    ids = s.where("content_tag <> ''").withColumnRenamed("content_tag", "content_id")
+    # Ids, protection and panel are found on narrow rows; then each text moves once.
+    bare = [x.withColumn("content", F.lit("")) for x in (s, o)]
+    facts = qa.paired(*bare, keys=(), protected=ids.where(k % 29 == 0).select("content_id"), panel=ids.where(k % 31 == 0).select("content_id", F.col("content").alias("text")))
+    # The source and its copy come from one row, so one join brings both.
+    both = s.select("row_no", "lang", F.col("content").alias("s_content")), o.select("row_no", F.col("content").alias("o_content"))
+    return facts.drop("s_content", "o_content").join(both[0], "row_no").join(both[1], "row_no")
 
 
-@query(_PAIRS + """
+@query(_PAIRS + r"""
 , i AS (
-  SELECT 'DUPLICATE_CONTENT_ID' AS code, 'error' AS severity FROM p WHERE first_row < k
+  SELECT 'MISSING_CONTENT_ID' AS code, 'error' AS severity FROM p WHERE tag IS NULL
+  UNION ALL SELECT 'DUPLICATE_CONTENT_ID', 'error' FROM p WHERE tag IS NOT NULL AND first_row < k
   UNION ALL SELECT 'PROTECTED_FIELD_CHANGED', 'error' FROM p WHERE k % 50 = 0
+  UNION ALL SELECT 'PANEL_REFERENCE_CACHE_CHANGED', 'error' FROM p WHERE o <> panel
+  UNION ALL SELECT 'PROTECTED_SOURCE_TEXT_CHANGED', 'error' FROM p WHERE guarded AND s <> o
   UNION ALL SELECT 'BLANK_TRANSLATION', 'error' FROM p WHERE trim(o) = ''
-  UNION ALL SELECT 'PROCESSING_INSTRUCTION_CHANGED', 'error' FROM p WHERE contains(o, '<?')
-  UNION ALL SELECT 'MARKUP_CHANGED', 'error' FROM p WHERE len(regexp_extract_all(o, '<[bi]/>')) <> 1
-  UNION ALL SELECT 'LINE_BREAK_CHANGED', 'error' FROM p WHERE contains(o, chr(10))
+  UNION ALL SELECT 'PROCESSING_INSTRUCTION_CHANGED', 'error' FROM p WHERE regexp_extract_all(s, '<\?(?s:.*?)\?>') <> regexp_extract_all(o, '<\?(?s:.*?)\?>')
+  UNION ALL SELECT 'MARKUP_CHANGED', 'error' FROM p WHERE regexp_extract_all(s, '</?[A-Za-z][^>]*>') <> regexp_extract_all(o, '</?[A-Za-z][^>]*>')
+  UNION ALL SELECT 'LINE_BREAK_CHANGED', 'error' FROM p WHERE regexp_extract_all(s, '\r\n|[\r\n\x{2028}\x{2029}]') <> regexp_extract_all(o, '\r\n|[\r\n\x{2028}\x{2029}]')
   UNION ALL SELECT 'BOUNDARY_WHITESPACE_CHANGED', 'error' FROM p WHERE ends_with(o, ' ')
-  UNION ALL SELECT 'DOUBLE_ESCAPED_ENTITY', 'error' FROM p WHERE contains(o, '&amp;lt;')
-  UNION ALL SELECT 'UNCHANGED_SOURCE_TEXT', 'warning' FROM p WHERE trim(o) = s AND length(regexp_replace(s, '<b/>| ', '', 'g')) >= 4)
+  UNION ALL SELECT 'DOUBLE_ESCAPED_ENTITY', 'error' FROM p WHERE regexp_matches(o, '(?i)&amp;(?:amp|lt|gt|quot|apos|#[0-9]+|#x[0-9A-Fa-f]+);')
+  UNION ALL SELECT 'UNCHANGED_SOURCE_TEXT', 'warning' FROM p WHERE free AND worded AND trim(o) = s
+  UNION ALL SELECT 'BOOK_INSTRUCTION_FORBIDDEN_TARGET', 'error' FROM p WHERE free AND contains(o, 'Neu')
+  UNION ALL SELECT 'BOOK_SOURCE_NAME_CHANGED', 'error' FROM p WHERE free AND len(string_split(s, 'Text')) <> len(string_split(o, 'Text')))
 SELECT code, severity, count(*) AS n FROM i GROUP BY ALL
 """)
 def qa_issue_counts(spark, sf_dir):
-    """Issues of nine row rules between the first 80 letters and blanks of each
-    document and a mutated copy. The SQL fixes that prefix: it counts a line
-    break only where the copy has one, so it cannot state the result for texts
-    with breaks of their own. ``qa_all_row_rules`` reads the whole texts."""
-    prefix = F.trim(F.substring(F.regexp_replace("text", "[^A-Za-z ]", ""), 1, 80))
-    pairs = qa.paired(*_content_tables(spark, sf_dir, prefix))
-    return qa.row_issues(pairs).groupBy("code", "severity").agg(F.count("*").alias("n"))
-
-
-# What the rules of qa_all_row_rules are given.
-QA_LANGUAGES = {"de": "German", "en": "English", "es": "Spanish", "fr": "French"}
-QA_FORBIDDEN = [("no_new", "Neu", "not to be used")]
-QA_PRESERVED = [("head", "Text")]
+    """Issues of all row rules but typography on whole documents."""
+    found = qa.row_issues(_row_pairs(spark, sf_dir), forbidden=QA_FORBIDDEN, preserved=QA_PRESERVED)
+    return found.groupBy("code", "severity").agg(F.count("*").alias("n"))
 
 
 @query()
 def qa_all_row_rules(spark, sf_dir):
     """Issues of all row rules on whole documents, by language; some rows have
     no content id, some are protected, and some show a panel's text."""
-    k = F.col("row_no")
-    tag = F.when(k % 199 == 5, "").otherwise(F.col("content_tag"))
-    s, o = (t.withColumn("content_tag", tag) for t in _content_tables(spark, sf_dir))
-    ids = s.where("content_tag <> ''").withColumnRenamed("content_tag", "content_id")
-    # Ids, protection and panel are found on narrow rows; then each text moves once.
-    bare = [x.withColumn("content", F.lit("")) for x in (s, o)]
-    facts = qa.paired(*bare, protected=ids.where(k % 29 == 0).select("content_id"), panel=ids.where(k % 31 == 0).select("content_id", F.col("content").alias("text")))
-    pairs = facts.drop("s_content", "o_content").join(s.select("row_no", "lang", F.col("content").alias("s_content")), "row_no").join(o.select("row_no", F.col("content").alias("o_content")), "row_no")
     language = F.create_map(*(F.lit(x) for kv in QA_LANGUAGES.items() for x in kv))[F.col("lang")]
-    return qa.row_issues(pairs, ["lang"], language, QA_FORBIDDEN, QA_PRESERVED).groupBy("lang", "code", "severity").agg(F.count("*").alias("n"))
+    return qa.row_issues(_row_pairs(spark, sf_dir), ["lang"], language, QA_FORBIDDEN, QA_PRESERVED).groupBy("lang", "code", "severity").agg(F.count("*").alias("n"))
 
 
-@query(_PAIRS + """
-SELECT lang, count(*) AS eligible, count(*) FILTER (trim(o) = s) AS unchanged, round(count(*) FILTER (trim(o) = s) / count(*), 6) AS share, count(*) FILTER (trim(o) = s) >= 10 AND count(*) FILTER (trim(o) = s) / count(*) >= 0.2 AS low FROM p GROUP BY lang
+@query(_PAIRS.replace("replace(s, 'Text', ' ')", "s") + """
+SELECT lang, count(*) FILTER (worded) AS eligible, count(*) FILTER (worded AND trim(o) = s) AS unchanged, round(count(*) FILTER (worded AND trim(o) = s) / count(*) FILTER (worded), 6) AS share, count(*) FILTER (worded AND trim(o) = s) >= 10 AND count(*) FILTER (worded AND trim(o) = s) / count(*) FILTER (worded) >= 0.2 AS low FROM p GROUP BY lang
 """)
 def qa_coverage_by_lang(spark, sf_dir):
     """Share of unchanged text by language."""
     s, o = _content_tables(spark, sf_dir)
-    pairs = qa.paired(s, o.drop("lang")).join(s.select("row_no", "lang"), "row_no")
+    pairs = qa.paired(s, o.drop("lang"), ()).join(s.select("row_no", "lang"), "row_no")
     return qa.coverage_of(pairs, ["lang"]).withColumn("share", F.round("share", 6))
 
 
@@ -480,7 +494,27 @@ def glossary_match_pairs(spark, sf_dir):
     return glossary.term_pairs(table(spark, sf_dir, "documents").select("doc_id", "text"), pairs, "doc_id", "text")
 
 
-@query()
+def _claims_sql() -> str:
+    """Blanks each term that claims a place, exactly first and then in any
+    case, the longest term first: one step of SQL for each term and form."""
+    ranked = sorted(TERMS, key=lambda t: (-len(t), TERMS.index(t)))
+    ctes, last, found = ["s0 AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)"], 0, []
+    edge = r"[^\p{L}\p{M}\p{N}_]"
+    for mode, flag in (("exact", ""), ("case-insensitive-unique", "(?i)")):
+        for k, term in enumerate(ranked):
+            pattern = f"(^|{edge}){flag}{term}($|{edge})" if not flag else f"(^|{edge})(?i:{term})($|{edge})"
+            blank = " " * len(term)
+            free = "true" if mode == "exact" else f"NOT m{k}"
+            once = f"regexp_replace(t, '{pattern}', '\\1{blank}\\2', 'g')"
+            twice = f"regexp_replace({once}, '{pattern}', '\\1{blank}\\2', 'g')"
+            name = f"m{k}" if mode == "exact" else f"c{k}"
+            ctes.append(f"s{last + 1} AS (SELECT * EXCLUDE (t), {free} AND regexp_matches(t, '{pattern}') AS {name}, CASE WHEN {free} THEN {twice} ELSE t END AS t FROM s{last})")
+            found.append(f"SELECT doc_id, '{term}' AS source, '{mode}' AS mode FROM last WHERE {name}")
+            last += 1
+    return "WITH " + ",\n".join(ctes) + f",\nlast AS MATERIALIZED (SELECT * FROM s{last})\n" + "\nUNION ALL ".join(found)
+
+
+@query(_claims_sql())
 def glossary_match_claims(spark, sf_dir):
     """Terms that claim a place in each document, the longest first."""
     rows = [(t, f"x-{t}", "word", "", i) for i, t in enumerate(TERMS)]
@@ -535,33 +569,34 @@ def protected_partition(spark, sf_dir):
     return packing.partition_protected(d, protected).groupBy("lang", "is_protected").agg(F.count("*").alias("n"))
 
 
-_PACK = """WITH RECURSIVE g AS (SELECT source, doc_id, (n_chars % 6000 + 1)::BIGINT AS c, (n_chars % 40 + 1)::BIGINT AS s, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS i FROM documents),
-f AS (SELECT source, doc_id, i, c, s, 1 AS n, 1 AS b FROM g WHERE i = 1
-  UNION ALL SELECT g.source, g.doc_id, g.i,
+_PACK = """WITH RECURSIVE g AS (SELECT source, doc_id // 5000 AS job, doc_id, n_chars AS c, (len(string_split(text, chr(10))))::BIGINT AS s, row_number() OVER (PARTITION BY source, doc_id // 5000 ORDER BY doc_id) AS i FROM documents),
+f AS (SELECT source, job, doc_id, i, c, s, 1 AS n, 1 AS b FROM g WHERE i = 1
+  UNION ALL SELECT g.source, g.job, g.doc_id, g.i,
     CASE WHEN f.c + g.c > 24000 OR f.n >= 20 OR f.s + g.s > 300 THEN g.c ELSE f.c + g.c END,
     CASE WHEN f.c + g.c > 24000 OR f.n >= 20 OR f.s + g.s > 300 THEN g.s ELSE f.s + g.s END,
     CASE WHEN f.c + g.c > 24000 OR f.n >= 20 OR f.s + g.s > 300 THEN 1 ELSE f.n + 1 END,
     f.b + CASE WHEN f.c + g.c > 24000 OR f.n >= 20 OR f.s + g.s > 300 THEN 1 ELSE 0 END
-  FROM f JOIN g ON g.source = f.source AND g.i = f.i + 1)"""
+  FROM f JOIN g ON g.source = f.source AND g.job = f.job AND g.i = f.i + 1)"""
 
 
 def _packed(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").select("source", F.col("doc_id").alias("ord"), (F.col("n_chars") % 6000 + 1).alias("chars"), (F.col("n_chars") % 40 + 1).alias("segments"))
-    return packing.text_batches(d, (24_000, 20, 300), ["source"])
+    """Jobs of 5,000 ids of a source; a longer document stands alone."""
+    d = table(spark, sf_dir, "documents").select("source", F.expr("doc_id div 5000").alias("job"), F.col("doc_id").alias("ord"), F.col("n_chars").alias("chars"), F.size(F.split("text", "\n", -1)).alias("segments"))
+    return packing.text_batches(d, ["source", "job"], (24_000, 20, 300), oversize="alone")
 
 
-@query(_PACK + "SELECT source, doc_id, b AS batch_no, printf('batch_%04d', b) AS batch_id FROM f")
+@query(_PACK + "SELECT source, job, doc_id, b AS batch_no, printf('batch_%04d', b) AS batch_id FROM f")
 def batch_packing(spark, sf_dir):
     """Greedy batches of each source's documents, in order."""
-    return _packed(spark, sf_dir).select("source", F.col("ord").alias("doc_id"), "batch_no", "batch_id")
+    return _packed(spark, sf_dir).select("source", "job", F.col("ord").alias("doc_id"), "batch_no", "batch_id")
 
 
-@query(_PACK + "SELECT source, b AS batch_no, count(*) AS n, sum(g.c)::BIGINT AS chars FROM f JOIN g USING (source, doc_id) WHERE b % 3 <> 0 GROUP BY ALL")
+@query(_PACK + "SELECT source, job, b AS batch_no, count(*) AS n, sum(g.c)::BIGINT AS chars FROM f JOIN g USING (source, job, doc_id) WHERE b % 3 <> 0 GROUP BY ALL")
 def batch_resume(spark, sf_dir):
     """Batches that have no result yet: every third one has."""
-    b = _packed(spark, sf_dir).withColumn("key", F.concat_ws("/", "source", "batch_id"))
+    b = _packed(spark, sf_dir).withColumn("key", F.concat_ws("/", "source", "job", "batch_id"))
     done = b.where("batch_no % 3 = 0").select("key")
-    return packing.remaining(b, done, "key").groupBy("source", "batch_no").agg(F.count("*").alias("n"), F.sum("chars").alias("chars"))
+    return packing.remaining(b, done, "key").groupBy("source", "job", "batch_no").agg(F.count("*").alias("n"), F.sum("chars").alias("chars"))
 
 
 @query("""
@@ -704,7 +739,6 @@ def recover_segments(spark, sf_dir):
 
 
 
-
 # --- contracts and reconciliation -------------------------------------------
 
 
@@ -819,3 +853,6 @@ def text_repairs(spark, sf_dir):
     """Repaired encodings, and escapes that keep markup."""
     n = table(spark, sf_dir, "nation")
     return n.select(F.col("n_nationkey").alias("k"), tx.repair_mojibake(F.concat(F.lit("Ã©"), "n_name")).alias("repaired"), markup.escape_xml(F.concat(F.lit("a < b & <b>"), "n_name", F.lit("</b>&amp;"))).alias("escaped"))
+
+
+from . import contract_queries  # noqa: E402, F401 - registers its queries here

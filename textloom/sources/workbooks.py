@@ -111,6 +111,20 @@ def workbook_faults(found: DataFrame, headers: Sequence[str] = CONTENT_HEADERS)
     )
 
 
+def header_issues(found: DataFrame, headers: Sequence[str] = CONTENT_HEADERS) -> DataFrame:
+    """Issue rows of workbooks without a data row, and of each header cell
+    that is not the contract's."""
+    good = found.where("error is null")
+    head = good.where("row = 1").groupBy("path").agg(F.map_from_entries(F.collect_list(F.struct("column", trim(F.col("value"))))).alias("h"))
+    shape = good.groupBy("path").agg(F.max("row").alias("n")).join(head, "path", "left").withColumn("h", F.coalesce("h", F.create_map().cast("map<int,string>")))
+    cell_of = lambda i: F.coalesce(F.try_element_at("h", F.lit(i + 1)), F.lit(""))
+    say = lambda column, code, message: F.struct(F.lit(column).cast("int").alias("column_no"), F.lit(code).alias("code"), message.alias("message"))
+    changed = [F.when((F.col("n") >= 2) & (cell_of(i) != name), say(i + 1, "HEADER_CHANGED", F.concat(F.lit(f"header must be {name}, found "), cell_of(i)))) for i, name in enumerate(headers)]
+    empty = F.when(F.col("n") < 2, say(None, "WORKBOOK_EMPTY", F.lit("no data rows")))
+    each = shape.select("path", F.explode(F.array_compact(F.array(empty, *changed))).alias("i"))
+    return each.select("path", F.lit(1).cast("long").alias("row_no"), "i.column_no", F.lit("").alias("content_id"), F.lit("error").alias("severity"), "i.code", "i.message")
+
+
 def glossary_sheet(found: DataFrame, kind: str) -> tuple[DataFrame, DataFrame]:
     """(glossary, faults) of a sheet whose first column is the source and
     whose first row names the fields; blank rows are skipped. Faults: blank
@@ -132,7 +146,7 @@ def published_sheet(rows: DataFrame, book: str, languages: Sequence[str], cells_
     first cell is the English term, the second its definition, then two or
     three cells (term, definition, combined) for each language. From a row
     that is ``heading`` on, kinds are words."""
-    marked = section_of(rows, F.lower(trim(F.get("cells", F.lit(0)))) == (heading or "\x00").lower())
+    marked = section_of(rows, F.lower(trim(F.get("cells", F.lit(0)))) == (heading or "\x00").lower(), ())  # the rows of one sheet
     at = lambda i: trim(F.get("cells", F.lit(i)))
     entry = lambda i: F.struct(*(at(2 + i * cells_per_language + k).alias(n) if k < cells_per_language else F.lit("").alias(n) for k, n in enumerate(["term", "definition", "combined_definition"])))
     maps = F.map_from_arrays(F.array(*map(F.lit, languages)), F.array(*(entry(i) for i in range(len(languages)))))
@@ -151,7 +165,7 @@ def typography_matrix(rows: DataFrame, languages: Sequence[str], books: Sequence
     """Long form of a size matrix given as (row_no, trim_size, style_tree1,
     style_tree2, paragraph_style, sizes array): three levels are filled down,
     one row for each size cell; a cell of another form is an error."""
-    filled = fill_down(rows, ["trim_size", "style_tree1", "style_tree2"])
+    filled = fill_down(rows, ["trim_size", "style_tree1", "style_tree2"], ())  # the rows of one sheet
     each = filled.where(~is_blank(F.col("paragraph_style"))).select("*", F.posexplode("sizes").alias("i", "raw")).where(~is_blank(F.col("raw")))
     pair = F.coalesce(size_pair(F.col("raw")), F.raise_error(F.concat(F.lit("no size and leading: "), F.col("raw"))).cast("struct<size:double,leading:double,alternatives:array<double>>"))
     name = lambda names: F.get(F.array(*map(F.lit, names)), F.col("i"))
