@@ -7,19 +7,17 @@ from textloom.llm import pii, poisson_mix, queries, secrets
 SF = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("make", [poisson_mix.mix, secrets.secret_spans, pii.pseudonymise])
+@pytest.mark.parametrize("make", [poisson_mix.mix, secrets.secret_spans, lambda df: pii.pseudonymise(df, "k")], ids=["mix", "secrets", "pii"])
 def test_native(make, spark, monkeypatch):
-    import importlib
-
     seen = []
-    module = importlib.import_module(make.__module__)
-    real = module.materialise
+    real = pii.materialise
 
     def watched(df, name):
         seen.append(df)
         return real(df, name)
 
-    monkeypatch.setattr(module, "materialise", watched)
+    for module in (pii, poisson_mix, secrets):
+        monkeypatch.setattr(module, "materialise", watched)
     seen.append(make(queries._read(spark, SF, "documents")))
     assert len(seen) > 2
     for df in seen:
@@ -31,3 +29,18 @@ def test_native(make, spark, monkeypatch):
 def test_no_products(name, spark):
     text = queries.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+
+
+def test_entities_are_searched_once(spark, monkeypatch):
+    """Of all plans that the operator runs, one searches the documents."""
+    plans = []
+    real = pii.materialise
+
+    def watched(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return real(df, name)
+
+    monkeypatch.setattr(pii, "materialise", watched)
+    out = pii.pseudonymise(queries._read(spark, SF, "documents"), "k")
+    plans.append(out._jdf.queryExecution().executedPlan().toString())
+    assert sum("documents.parquet" in p for p in plans) == 1

@@ -207,108 +207,6 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     return fit_rows(*training_rows(documents, labels, sample))
 
 
-def score(self, index: np.ndarray) -> float:
-        return float(1 / (1 + np.exp(-np.clip(self.slope * self.margin(index) + self.shift, -30, 30))))
-
-
-def log_ratios(rows: list[np.ndarray], y: np.ndarray, smooth: float = 1.0) -> np.ndarray:
-    """Log ratio of the smoothed shares of each feature in both classes."""
-    counts = []
-    for label in (1, -1):
-        mine = [r for r, t in zip(rows, y) if t == label]
-        c = np.bincount(np.concatenate(mine), minlength=DIM).astype(float) if mine else np.zeros(DIM)
-        counts.append((c + smooth) / (len(mine) + 2 * smooth))
-    return np.log(counts[0] / counts[1])
-
-
-def dual_descent(rows: list[np.ndarray], scale: np.ndarray, y: np.ndarray, cost: float = 0.1, rounds: int = 12, seed: int = 5) -> np.ndarray:
-    """Weights of the L2-regularised hinge-loss model, by coordinate descent
-    in the dual: one multiplier in [0, cost] for each row."""
-    w, alpha = np.zeros(DIM + 1), np.zeros(len(rows))
-    values = [scale[r] for r in rows]
-    norm = np.array([float(v @ v) + 1 for v in values])
-    order = np.random.Generator(np.random.PCG64(seed))
-    for _ in range(rounds):
-        moved = 0.0
-        for i in order.permutation(len(rows)):
-            r, v = rows[i], values[i]
-            slope = y[i] * (float(w[r] @ v) + w[DIM]) - 1
-            new = min(max(alpha[i] - slope / norm[i], 0.0), cost)
-            step = (new - alpha[i]) * y[i]
-            if step:
-                w[r] += step * v
-                w[DIM] += step
-                moved = max(moved, abs(step))
-                alpha[i] = new
-        if moved < 1e-4 * cost:
-            break
-    return w
-
-
-def _platt(margins: np.ndarray, y: np.ndarray, rounds: int = 50) -> tuple[float, float]:
-    """Slope and shift of the logistic curve through the margins."""
-    up, down = (y > 0).sum(), (y <= 0).sum()
-    target = np.where(y > 0, (up + 1) / (up + 2), 1 / (down + 2))
-    a, b = 1.0, 0.0
-    for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(a * margins + b, -30, 30)))
-        g = np.array([((p - target) * margins).sum(), (p - target).sum()])
-        q = p * (1 - p)
-        h = np.array([[(q * margins**2).sum(), (q * margins).sum()], [(q * margins).sum(), q.sum()]]) + 1e-6 * np.eye(2)
-        step = np.linalg.solve(h, g)
-        a, b = a - step[0], b - step[1]
-        if np.abs(step).max() < 1e-6:
-            break
-    return max(float(a), 1e-3), float(b)
-
-
-def fit_rows(rows: list[np.ndarray], labels: np.ndarray) -> Model:
-    """Model of feature rows with labels 0 and 1. Every fifth row is kept for
-    the curve; with one class only, the score is its smoothed share."""
-    y = np.where(labels > 0, 1, -1)
-    share = (float((y > 0).sum()) + 1) / (len(y) + 2)
-    if len(set(y.tolist())) < 2:
-        return Model(np.zeros(DIM + 1), 1.0, float(np.log(share / (1 - share))))
-    late = np.arange(len(y)) % 5 == 4
-    if len(set(y[late].tolist())) < 2 or len(set(y[~late].tolist())) < 2:
-        late[:] = False
-    early = [r for r, x in zip(rows, late) if not x]
-    ratio = log_ratios(early, y[~late])
-    w = dual_descent(early, ratio, y[~late])
-    weights = np.append(w[:DIM] * ratio, w[DIM])
-    held = [i for i in range(len(y)) if late[i]] or list(range(len(y)))
-    margins = np.array([weights[rows[i]].sum() + weights[DIM] for i in held])
-    return Model(weights, *_platt(margins, y[held]))
-
-
-def training_rows(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[list[np.ndarray], np.ndarray]:
-    """Features and labels of at most ``sample`` labelled documents."""
-    known = labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("quality").alias("quality"))
-    known = known.where(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3)) != 1)
-    # At most ``sample`` rows of two numbers, so the broadcast is bounded.
-    chosen = F.broadcast(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
-
-    def run(batches):
-        for pdf in batches:
-            for first, raws in text_batches(pdf["text"].array):
-                part = pdf.iloc[first : first + len(raws)]
-                yield pd.DataFrame({"doc_id": part["doc_id"], "quality": part["quality"], "f": [r.tobytes() for r in features(raws)]})
-
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(chosen, "doc_id")
-    rows = docs.mapInPandas(run, "doc_id long, quality int, f binary").toPandas()
-    rows = rows.drop_duplicates("doc_id")
-    # In an order of no meaning that is the same each time.
-    rows = rows.iloc[np.argsort(mix64(rows["doc_id"].to_numpy(dtype=np.int64).view(np.uint64)), kind="stable")]
-    return [np.frombuffer(f, dtype=np.int32) for f in rows["f"]], rows["quality"].to_numpy()
-
-
-def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
-    """Model from ``labels`` (doc_id, quality) whose crc32(doc_id) mod 3 is
-    not 1. ``sample`` bounds the rows used, hence the driver's memory."""
-    small_batches(documents.sparkSession)
-    return fit_rows(*training_rows(documents, labels, sample))
-
-
 def score(documents: DataFrame, model: Model) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row; only the text is
     read for the score. Null and empty texts have the score of no features,

@@ -174,7 +174,7 @@ WITH docs AS (
   SELECT * FROM base UNION ALL
   SELECT * FROM spans s WHERE kind = 3 AND regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]') AND length(v) <= 200
     AND length(v) * length(v) >= 9 * list_sum(list_transform(list_distinct(string_split(v, '')), lambda c: (length(v) - length(replace(v, c, ''))) ** 2))
-    AND 4 * len(regexp_extract_all(v, '[a-z]+|[A-Z]+|[0-9]+|[+/_-]+')) >= length(v)
+    AND 4 * len(regexp_extract_all(regexp_replace(v, '[+/_-]', '', 'g'), '[a-z]+|[A-Z]+|[0-9]+')) >= length(regexp_replace(v, '[+/_-]', '', 'g'))
     AND NOT EXISTS (SELECT 1 FROM base x WHERE x.rid = s.rid AND x.a < s.b AND x.b > s.a)
 ), owners AS (
   SELECT v, count(DISTINCT owner) AS owners, count(DISTINCT (owner, repo)) AS repos FROM found GROUP BY v

@@ -26,7 +26,7 @@ HEX = r"[0-9a-f]{24,}"
 GENERIC = r"[A-Za-z0-9+/_-]{20,}"
 KINDS = ["assign", "access", "hex", "owned"]
 #: Runs of one class of characters; characters of the longest generic key.
-RUNS = r"[a-z]+|[A-Z]+|[0-9]+|[+/_-]+"
+RUNS = r"[a-z]+|[A-Z]+|[0-9]+"
 LONGEST = 200
 
 
@@ -35,16 +35,17 @@ def key_like(value: Column) -> Column:
 
     It has a letter and a digit and is no longer than LONGEST. Two characters
     drawn from it agree with p <= 1/9 (collision entropy of log2(9) bits), and
-    a run of equal classes (lower, upper, digit, other) is at most four
-    characters long on average.
+    without separators, a run of equal classes (lower, upper, digit) is at
+    most four characters long on average.
     """
     n = F.length(value)
     agree = let(
         F.array_distinct(F.split(value, "")),
         lambda letters: F.aggregate(letters, F.lit(0).cast("long"), lambda acc, c: acc + F.pow(F.length(value) - F.length(F.replace(value, c, F.lit(""))), F.lit(2)).cast("long")),
     )
-    runs = F.size(F.regexp_extract_all(value, F.lit(RUNS), F.lit(0)))
-    return value.rlike("[0-9]") & value.rlike("[A-Za-z]") & (n <= LONGEST) & (n.cast("long") * n >= 9 * agree) & (4 * runs >= n)
+    plain = F.regexp_replace(value, "[+/_-]", "")
+    runs = F.size(F.regexp_extract_all(plain, F.lit(RUNS), F.lit(0)))
+    return value.rlike("[0-9]") & value.rlike("[A-Za-z]") & (n <= LONGEST) & (n.cast("long") * n >= 9 * agree) & (4 * runs >= F.length(plain))
 
 
 def _spans(text: Column) -> Column:
