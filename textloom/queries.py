@@ -43,6 +43,11 @@ def spread(df: DataFrame) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
+def _named(spark, sf_dir) -> DataFrame:
+    """Customers as numbered names in parts."""
+    return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"), F.col("c_name").alias("name"), F.col("c_nationkey").alias("part"))
+
+
 def whole(c: str):
     """A double column as a whole number."""
     return F.col(c).cast("int")
@@ -224,14 +229,14 @@ def fill_down_matrix(spark, sf_dir):
 
 
 @query("""
-WITH l AS (SELECT n_regionkey, n_nationkey AS row_no, n_name FROM nation),
-h AS (SELECT n_regionkey, row_no, n_name, max(CASE WHEN row_no % 3 = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY n_regionkey ORDER BY row_no) = 1 AS in_section FROM l)
-SELECT n_regionkey, row_no, n_name, in_section FROM h
+WITH l AS (SELECT part, k AS row_no, name FROM (SELECT c_custkey AS k, c_name AS name, c_nationkey AS part FROM customer) named),
+h AS (SELECT part, row_no, name, max(CASE WHEN row_no % 3 = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY part ORDER BY row_no) = 1 AS in_section FROM l)
+SELECT part, row_no, name, in_section FROM h
 """)
 def section_mode(spark, sf_dir):
-    """Nations of a region listed after its first heading row."""
-    n = table(spark, sf_dir, "nation").select("n_regionkey", F.col("n_nationkey").alias("row_no"), "n_name")
-    return segments.section_of(n, F.col("row_no") % 3 == 0, ["n_regionkey"])
+    """Customers of a nation listed after its first heading row."""
+    n = _named(spark, sf_dir).select("part", F.col("k").alias("row_no"), "name")
+    return segments.section_of(n, F.col("row_no") % 3 == 0, ["part"])
 
 
 @query(_TURNS + """
@@ -429,17 +434,17 @@ def qa_bounded_report(spark, sf_dir):
 # --- glossaries -------------------------------------------------------------
 
 
-def _nation_glossary(spark, sf_dir):
-    n = table(spark, sf_dir, "nation")
-    fields = F.array(*(F.struct(F.lit(f).alias("field"), v.alias("value")) for f, v in [("English Definition", F.concat(F.lit("about "), "n_name")), ("French", F.concat("n_name", F.lit("-fr"))), ("French Definition", F.when(F.col("n_nationkey") % 3 == 0, "").otherwise(F.concat(F.lit("de "), "n_name")))]))
-    kind = F.when(F.col("n_nationkey") % 2 == 0, "acronyms").otherwise("words")
-    return n.select(kind.alias("kind"), F.col("n_name").alias("source"), F.explode(fields).alias("f"), F.col("n_nationkey").cast("long").alias("ord")).select("kind", "source", "f.field", "f.value", "ord")
+def _name_glossary(spark, sf_dir):
+    n = _named(spark, sf_dir)
+    fields = F.array(*(F.struct(F.lit(f).alias("field"), v.alias("value")) for f, v in [("English Definition", F.concat(F.lit("about "), "name")), ("French", F.concat("name", F.lit("-fr"))), ("French Definition", F.when(F.col("k") % 3 == 0, "").otherwise(F.concat(F.lit("de "), "name")))]))
+    kind = F.when(F.col("k") % 2 == 0, "acronyms").otherwise("words")
+    return n.select(kind.alias("kind"), F.col("name").alias("source"), F.explode(fields).alias("f"), F.col("k").cast("long").alias("ord")).select("kind", "source", "f.field", "f.value", "ord")
 
 
-_NATION = """WITH g AS (SELECT n_nationkey AS k, n_name AS source, CASE WHEN n_nationkey % 2 = 0 THEN 'acronyms' ELSE 'words' END AS kind, 'about ' || n_name AS ed, n_name || '-fr' AS fr, CASE WHEN n_nationkey % 3 = 0 THEN '' ELSE 'de ' || n_name END AS fd FROM nation)"""
+_NAMES_SQL = """WITH g AS (SELECT k, name AS source, CASE WHEN k % 2 = 0 THEN 'acronyms' ELSE 'words' END AS kind, 'about ' || name AS ed, name || '-fr' AS fr, CASE WHEN k % 3 = 0 THEN '' ELSE 'de ' || name END AS fd FROM (SELECT c_custkey AS k, c_name AS name, c_nationkey AS part FROM customer) named)"""
 
 
-@query(_NATION + """
+@query(_NAMES_SQL + """
 , p AS (SELECT *, CASE WHEN k % 5 = 0 THEN 'sense' WHEN k % 5 = 1 THEN 'new-' || source END AS term FROM g WHERE k % 5 < 3),
 o AS (SELECT g.kind, g.source, g.ed AS ed, CASE WHEN p.k IS NULL THEN g.fr WHEN p.k % 5 = 0 THEN '' ELSE coalesce(p.term, g.fr) END AS fr, CASE WHEN p.k IS NOT NULL AND p.k % 5 = 0 THEN '' ELSE g.fd END AS fd FROM g LEFT JOIN p USING (k))
 SELECT kind, source, 'English Definition' AS field, ed AS value FROM o UNION ALL SELECT kind, source, 'French', fr FROM o UNION ALL SELECT kind, source, 'French Definition', fd FROM o
@@ -447,11 +452,11 @@ SELECT kind, source, 'English Definition' AS field, ed AS value FROM o UNION ALL
 def glossary_overlay(spark, sf_dir):
     """A published glossary laid over a base: new terms, blanks that keep,
     and sources with two senses."""
-    base = _nation_glossary(spark, sf_dir)
-    n = table(spark, sf_dir, "nation").where("n_nationkey % 5 < 3").withColumn("i", F.explode(F.when(F.col("n_nationkey") % 5 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
-    term = F.when(F.col("n_nationkey") % 5 == 0, F.concat(F.lit("sense"), "i")).when(F.col("n_nationkey") % 5 == 1, F.concat(F.lit("new-"), "n_name")).otherwise("")
+    base = _name_glossary(spark, sf_dir)
+    n = _named(spark, sf_dir).where("k % 5 < 3").withColumn("i", F.explode(F.when(F.col("k") % 5 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    term = F.when(F.col("k") % 5 == 0, F.concat(F.lit("sense"), "i")).when(F.col("k") % 5 == 1, F.concat(F.lit("new-"), "name")).otherwise("")
     entry = F.struct(term.alias("term"), F.lit("").alias("definition"), F.lit("").alias("combined_definition"))
-    pub = n.select(F.lit("b").alias("book"), (F.col("n_nationkey") * 2 + F.col("i")).cast("int").alias("row"), F.when(F.col("n_nationkey") % 2 == 0, "acronyms").otherwise("words").alias("kind"), F.lower("n_name").alias("english"), F.lit("").alias("english_definition"), F.create_map(F.lit("French"), entry).alias("translations"))
+    pub = n.select(F.lit("b").alias("book"), (F.col("k") * 2 + F.col("i")).cast("int").alias("row"), F.when(F.col("k") % 2 == 0, "acronyms").otherwise("words").alias("kind"), F.lower("name").alias("english"), F.lit("").alias("english_definition"), F.create_map(F.lit("French"), entry).alias("translations"))
     out, _ = glossary.overlay(base, pub, {"French": "French"})
     return out.select("kind", "source", "field", "value")
 
@@ -470,13 +475,13 @@ def glossary_compile(spark, sf_dir):
 
 
 @query("""
-WITH s AS (SELECT n_name AS source FROM nation UNION ALL SELECT upper(n_name) FROM nation UNION ALL SELECT lower(n_name) FROM nation WHERE n_nationkey % 2 = 0 UNION ALL SELECT r_name FROM region)
+WITH s AS (SELECT name AS source FROM (SELECT c_custkey AS k, c_name AS name, c_nationkey AS part FROM customer) named UNION ALL SELECT upper(name) FROM (SELECT c_custkey AS k, c_name AS name, c_nationkey AS part FROM customer) named UNION ALL SELECT lower(name) FROM (SELECT c_custkey AS k, c_name AS name, c_nationkey AS part FROM customer) named WHERE k % 2 = 0 UNION ALL SELECT r_name FROM region)
 SELECT lower(source) AS folded, array_to_string(list_sort(list_distinct(list(source))), ',') AS sources FROM s GROUP BY 1 HAVING count(DISTINCT source) > 1
 """)
 def casefold_collisions(spark, sf_dir):
     """Spellings that differ by case only."""
-    n, r = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
-    s = n.select(F.col("n_name").alias("source")).union(n.select(F.upper("n_name"))).union(n.where("n_nationkey % 2 = 0").select(F.lower("n_name"))).union(r.select("r_name"))
+    n, r = _named(spark, sf_dir), table(spark, sf_dir, "region")
+    s = n.select(F.col("name").alias("source")).union(n.select(F.upper("name"))).union(n.where("k % 2 = 0").select(F.lower("name"))).union(r.select("r_name"))
     return glossary.case_collisions(s).withColumn("sources", F.array_join("sources", ","))
 
 
@@ -523,12 +528,12 @@ def glossary_match_claims(spark, sf_dir):
     return m.select("doc_id", F.explode("matches").alias("m")).select("doc_id", "m.source", "m.mode")
 
 
-@query(_NATION + """
+@query(_NAMES_SQL + """
 SELECT kind, count(*) AS n_sources, 0::BIGINT AS missing_terms, count(*) FILTER (fd = '') AS missing_definitions FROM g GROUP BY kind
 """)
 def profile_coverage(spark, sf_dir):
     """Missing terms and definitions by kind."""
-    return glossary.coverage(_nation_glossary(spark, sf_dir), "French", "French Definition")
+    return glossary.coverage(_name_glossary(spark, sf_dir), "French", "French Definition")
 
 
 @query("""
@@ -706,14 +711,14 @@ def caption_update(spark, sf_dir):
 
 
 def _stories(spark, sf_dir):
-    n = table(spark, sf_dir, "nation")
+    n = _named(spark, sf_dir)
     para = lambda x: F.concat(F.lit('<ParagraphStyleRange AppliedParagraphStyle="ParagraphStyle/Body"><Content>'), x, F.lit("</Content><Content /></ParagraphStyleRange>"))
-    return n.select(F.col("n_nationkey").alias("file_no"), F.concat("n_name", F.lit(".icml")).alias("file_name"), F.concat(F.lit("<Story>"), para(F.concat("n_nationkey", F.lit(" km &amp; 3 + 4"))), para(F.col("n_name")), F.lit("</Story>")).alias("xml"))
+    return n.select(F.col("k").alias("file_no"), F.concat("name", F.lit(".icml")).alias("file_name"), F.concat(F.lit("<Story>"), para(F.concat("k", F.lit(" km &amp; 3 + 4"))), para(F.col("name")), F.lit("</Story>")).alias("xml"))
 
 
 @query("""
-WITH n AS (SELECT n_nationkey AS f, n_name, unnest(range(0, 4)) AS i FROM nation)
-SELECT f AS file_no, f * 4 + i + 1 AS row_no, CASE WHEN i % 2 = 0 THEN printf('%05d', f * 2 + i // 2) ELSE '' END AS psr_id, CASE i WHEN 0 THEN f || ' km &amp; 3 + 4' WHEN 2 THEN n_name ELSE '' END AS psr_content, printf('%05d', f * 4 + i) AS content_tag, CASE i WHEN 0 THEN f || ' km &amp; 3 + 4' WHEN 2 THEN n_name ELSE '' END AS content FROM n
+WITH n AS (SELECT k AS f, name, unnest(range(0, 4)) AS i FROM (SELECT c_custkey AS k, c_name AS name, c_nationkey AS part FROM customer) named)
+SELECT f AS file_no, f * 4 + i + 1 AS row_no, CASE WHEN i % 2 = 0 THEN printf('%05d', f * 2 + i // 2) ELSE '' END AS psr_id, CASE i WHEN 0 THEN f || ' km &amp; 3 + 4' WHEN 2 THEN name ELSE '' END AS psr_content, printf('%05d', f * 4 + i) AS content_tag, CASE i WHEN 0 THEN f || ' km &amp; 3 + 4' WHEN 2 THEN name ELSE '' END AS content FROM n
 """)
 def story_index(spark, sf_dir):
     """Content rows of marked-up stories, ids running over all files."""
@@ -722,7 +727,7 @@ def story_index(spark, sf_dir):
 
 
 @query("""
-SELECT n_nationkey AS file_no, true AS changed, '<Story><ParagraphStyleRange AppliedParagraphStyle="ParagraphStyle/Body"><Content>' || n_nationkey || chr(160) || 'km &amp; 3' || chr(160) || '+' || chr(160) || '4</Content><Content /></ParagraphStyleRange><ParagraphStyleRange AppliedParagraphStyle="ParagraphStyle/Body"><Content>' || n_name || '</Content><Content /></ParagraphStyleRange></Story>' AS typeset FROM nation
+SELECT k AS file_no, true AS changed, '<Story><ParagraphStyleRange AppliedParagraphStyle="ParagraphStyle/Body"><Content>' || k || chr(160) || 'km &amp; 3' || chr(160) || '+' || chr(160) || '4</Content><Content /></ParagraphStyleRange><ParagraphStyleRange AppliedParagraphStyle="ParagraphStyle/Body"><Content>' || name || '</Content><Content /></ParagraphStyleRange></Story>' AS typeset FROM (SELECT c_custkey AS k, c_name AS name, c_nationkey AS part FROM customer) named
 """)
 def story_typography(spark, sf_dir):
     """The typography matrix applied inside marked-up stories, in place."""
@@ -730,11 +735,11 @@ def story_typography(spark, sf_dir):
 
 
 @query("""
-SELECT n_nationkey AS k, n_name || '|=' || n_nationkey || '|x' AS recovered FROM nation
+SELECT k, name || '|=' || k || '|x' AS recovered FROM (SELECT c_custkey AS k, c_name AS name, c_nationkey AS part FROM customer) named
 """)
 def recover_segments(spark, sf_dir):
     """Segments whose equation a spreadsheet replaced by an error value."""
-    n = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("k"), F.concat("n_name", F.lit("="), "n_nationkey", F.lit("x")).alias("composite"), F.array(F.col("n_name"), F.lit("#NAME?"), F.lit("x")).alias("segments"))
+    n = _named(spark, sf_dir).select("k", F.concat("name", F.lit("="), "k", F.lit("x")).alias("composite"), F.array(F.col("name"), F.lit("#NAME?"), F.lit("x")).alias("segments"))
     return structure.recover_groups(n).select("k", F.array_join("recovered", "|").alias("recovered"))
 
 
@@ -835,24 +840,24 @@ def alias_round_trip(spark, sf_dir):
 
 
 @query("""
-SELECT n_nationkey::VARCHAR AS key, f AS fault FROM (SELECT n_nationkey, unnest(list_filter([CASE WHEN n_nationkey % 3 = 0 THEN 'untrimmed cell' END, CASE WHEN n_nationkey % 4 = 0 THEN 'unknown kind' END, CASE WHEN n_nationkey % 5 = 0 THEN 'error literal' END], lambda x: x IS NOT NULL)) AS f FROM nation)
+SELECT k::VARCHAR AS key, f AS fault FROM (SELECT k, unnest(list_filter([CASE WHEN k % 3 = 0 THEN 'untrimmed cell' END, CASE WHEN k % 4 = 0 THEN 'unknown kind' END, CASE WHEN k % 5 = 0 THEN 'error literal' END], lambda x: x IS NOT NULL)) AS f FROM (SELECT c_custkey AS k, c_name AS name, c_nationkey AS part FROM customer) named)
 """)
 def publication_contract(spark, sf_dir):
     """Faults of published glossary rows."""
-    n = table(spark, sf_dir, "nation")
-    k = F.col("n_nationkey")
+    n = _named(spark, sf_dir)
+    k = F.col("k")
     entry = F.struct(F.when(k % 3 == 0, " x").otherwise("x").alias("term"), F.when(k % 5 == 0, "#N/A").otherwise("").alias("definition"), F.lit("").alias("combined_definition"))
-    p = n.select(F.lit("b").alias("book"), k.cast("int").alias("row"), F.when(k % 4 == 0, "verbs").otherwise("words").alias("kind"), F.col("n_name").alias("english"), F.lit("").alias("english_definition"), F.create_map(F.lit("French"), entry).alias("translations"))
+    p = n.select(F.lit("b").alias("book"), k.cast("int").alias("row"), F.when(k % 4 == 0, "verbs").otherwise("words").alias("kind"), F.col("name").alias("english"), F.lit("").alias("english_definition"), F.create_map(F.lit("French"), entry).alias("translations"))
     return validation.published_faults(p, ["French"]).select(F.regexp_replace("key", "^b#", "").alias("key"), "fault")
 
 
 @query("""
-SELECT n_nationkey AS k, 'é' || n_name AS repaired, 'a &lt; b &amp; <b>' || n_name || '</b>&amp;' AS escaped FROM nation
+SELECT k, 'é' || name AS repaired, 'a &lt; b &amp; <b>' || name || '</b>&amp;' AS escaped FROM (SELECT c_custkey AS k, c_name AS name, c_nationkey AS part FROM customer) named
 """)
 def text_repairs(spark, sf_dir):
     """Repaired encodings, and escapes that keep markup."""
-    n = table(spark, sf_dir, "nation")
-    return n.select(F.col("n_nationkey").alias("k"), tx.repair_mojibake(F.concat(F.lit("Ã©"), "n_name")).alias("repaired"), markup.escape_xml(F.concat(F.lit("a < b & <b>"), "n_name", F.lit("</b>&amp;"))).alias("escaped"))
+    n = _named(spark, sf_dir)
+    return n.select("k", tx.repair_mojibake(F.concat(F.lit("Ã©"), "name")).alias("repaired"), markup.escape_xml(F.concat(F.lit("a < b & <b>"), "name", F.lit("</b>&amp;"))).alias("escaped"))
 
 
 from . import contract_queries  # noqa: E402, F401 - registers its queries here
