@@ -7,6 +7,10 @@ seeded by arithmetic on a key, and the SQL states the result independently.
 
 from __future__ import annotations
 
+import io
+import zipfile
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -1029,3 +1033,109 @@ def size_matrix(spark, sf_dir):
     k = F.col("p_partkey")
     rows = p.select(k.alias("row_no"), F.when(every(k, 3), cat("T", k)).otherwise("").alias("trim_size"), F.lit("B").alias("style_tree1"), F.lit("x").alias("style_tree2"), F.col("p_name").alias("paragraph_style"), F.array(cat(k % 5 + 8, " pt / 12.5 pt"), F.when(every(k, 2), "9 pt/11").otherwise("")).alias("sizes"))
     return workbooks.typography_matrix(rows, ["English", "French"], ["Default", "B1"]).select("trim_size", "paragraph_style", "language", "size", "leading", "source_cell")
+
+
+def _bound(rows: DataFrame, size: int, key: str, *cells: Column) -> DataFrame:
+    """(book, rows): ``size`` keys a book, their cells in order."""
+    each = rows.select(F.expr(f"{key} div {size}").alias("book"), F.col(key).alias("k"), F.array(*cells).alias("c"))
+    return each.groupBy("book").agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "c"))), lambda x: x["c"]).alias("rows"))
+
+
+@query("""
+SELECT c_custkey // 200 AS book, c_custkey % 200 + 1 AS row_no, CASE WHEN c_custkey % 5 = 0 THEN 'p' || c_custkey ELSE '' END AS psr_id, ' ' || c_name || chr(10) || 'é <&> ' AS content FROM customer
+""")
+def workbook_round_trip(spark, sf_dir):
+    """Content workbooks of two hundred rows written as files and read back."""
+    from .schemas import CONTENT_HEADERS
+    from .sources import files, workbooks
+
+    k = F.col("c_custkey")
+    books = _bound(table(spark, sf_dir, "customer"), 200, "c_custkey", F.when(every(k, 5), cat("p", k)).otherwise(""), F.lit(""), k.cast("string"), cat(" ", F.col("c_name"), "\r\né <&> "))
+    folder = files.shared_folder(spark, "books")
+    head = F.array(F.array(*map(F.lit, CONTENT_HEADERS)))
+    workbooks.write_workbooks(books.select(cat("book_", F.col("book"), ".xlsx").alias("name"), F.concat(head, "rows").alias("rows")), folder)
+    found = workbooks.cells(spark, folder)
+    rows = workbooks.content_table(found.join(workbooks.workbook_faults(found).select("path").distinct(), "path", "left_anti"))
+    return rows.select(F.regexp_extract("path", "book_([0-9]+)", 1).cast("long").alias("book"), "row_no", "psr_id", "content")
+
+
+_BOOKS = """WITH b AS (SELECT doc_id // 50 AS book, string_agg(coalesce(text, ''), chr(10) ORDER BY doc_id) AS body FROM documents GROUP BY 1)
+"""
+
+
+def _document_files(spark, sf_dir):
+    """Files of fifty documents each, written by the tasks; their folder."""
+    from .sources import files
+
+    d = table(spark, sf_dir, "documents").withColumn("text", F.coalesce("text", F.lit("")))
+    books = _bound(d, 50, "doc_id", F.col("text"))
+    folder = files.shared_folder(spark, "stories")
+    body = F.array_join(F.transform("rows", lambda r: r[0]), "\n")
+    files.write_files(books.select(cat("part/Page_", F.col("book"), ".icml").alias("name"), F.encode(F.concat(F.lit("\ufeff"), body), "UTF-8").alias("content")), folder)
+    return folder
+
+
+@query(_BOOKS + """
+SELECT row_number() OVER (ORDER BY book) - 1 AS file_no, 'Page_' || book || '.icml' AS file_name, sha256(body) AS digest FROM b
+""")
+def story_files(spark, sf_dir):
+    """Story files in the order of their pages, byte-order marks dropped."""
+    from .sources import files
+
+    found = files.stories(spark, _document_files(spark, sf_dir))
+    return found.select(F.col("file_no").cast("long").alias("file_no"), "file_name", F.sha2("xml", 256).alias("digest"))
+
+
+@query(_BOOKS + """
+SELECT 'Page_' || book || '.icml' AS file_name, octet_length(encode(body))::BIGINT + 3 AS bytes, sha256(encode(chr(65279) || body)) AS sha256 FROM b WHERE book % 10 < 8 AND book % 10 <> 1
+""")
+def hashed_inventory(spark, sf_dir):
+    """Hashes and sizes of files, some left out by name."""
+    from .sources import files
+
+    found = files.hashed_files(spark, _document_files(spark, sf_dir), pattern=r"/part/Page_[0-9]*[0-7]\.", without=r"Page_[0-9]*[1]\.")
+    return found.select(F.regexp_extract("path", r"([^/]+)\z", 1).alias("file_name"), "bytes", "sha256")
+
+
+@query("""
+SELECT doc_id // 50 AS book, 'd/' || doc_id || '.txt' AS member, sha256(coalesce(text, '')) AS digest, false AS refused FROM documents WHERE doc_id // 50 % 4 <> 1
+UNION ALL SELECT DISTINCT doc_id // 50, NULL, NULL, true FROM documents WHERE doc_id // 50 % 4 = 1
+""")
+def archive_members(spark, sf_dir):
+    """Members of archives; an archive that a member leaves is refused."""
+    from .sources import files
+
+    d = table(spark, sf_dir, "documents")
+    books = _bound(d, 50, "doc_id", F.col("doc_id").cast("string"), F.coalesce("text", F.lit("")))
+
+    @F.pandas_udf("binary")
+    def packed(numbers: pd.Series, rows: pd.Series) -> pd.Series:
+        out = []
+        for n, book in zip(numbers, rows):
+            held = io.BytesIO()
+            with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as z:
+                for ident, body in book:
+                    z.writestr(f"{'../' if n % 4 == 1 else ''}d/{ident}.txt", body)
+            out.append(held.getvalue())
+        return pd.Series(out, dtype=object)
+
+    folder = files.shared_folder(spark, "archives")
+    files.write_files(books.select(cat("b_", F.col("book"), ".zip").alias("name"), packed.asNondeterministic()("book", "rows").alias("content")), folder)
+    found = files.archive_members(spark, folder)
+    return found.select(F.regexp_extract("path", "b_([0-9]+)", 1).cast("long").alias("book"), "member", F.sha2("content", 256).alias("digest"), F.col("error").isNotNull().alias("refused"))
+
+
+@query("""
+SELECT c_name AS source, f AS field, CASE f WHEN 'French' THEN 'f' || c_custkey ELSE 'about "' || c_mktsegment || '"' END AS value FROM customer, (VALUES ('French'), ('English Definition')) v(f)
+""")
+def json_glossary(spark, sf_dir):
+    """Glossaries read from files of JSON objects."""
+    from .sources import files
+
+    c = table(spark, sf_dir, "customer")
+    fields = F.create_map(F.lit("French"), cat("f", F.col("c_custkey")), F.lit("English Definition"), cat('about "', F.col("c_mktsegment"), '"'))
+    each = c.select(F.expr("c_custkey div 500").alias("book"), F.struct(F.col("c_name").alias("key"), fields.alias("value")).alias("e"))
+    books = each.groupBy("book").agg(F.to_json(F.map_from_entries(F.collect_list("e"))).alias("json"))
+    folder = files.shared_folder(spark, "glossaries")
+    files.write_files(books.select(cat(F.col("book"), ".json").alias("name"), F.encode(F.concat(F.lit("\ufeff"), "json"), "UTF-8").alias("content")), folder)
+    return files.glossary_json(spark, folder, "words").select("source", "field", "value")

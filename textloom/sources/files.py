@@ -1,8 +1,14 @@
-"""Text, JSON and archive sources, all through Spark's own readers."""
+"""Text, JSON and archive sources through Spark's own readers, and small
+files written by its tasks."""
 
 from __future__ import annotations
 
+import atexit
 import io
+import os
+import shutil
+import tempfile
+import uuid
 import zipfile
 from pathlib import Path, PurePosixPath
 
@@ -96,3 +102,62 @@ def inside(candidate: str, parent: str) -> bool:
     """Strictly inside, links resolved."""
     a, b = Path(candidate).resolve(), Path(parent).resolve()
     return a != b and b in a.parents
+
+
+# --- writing ----------------------------------------------------------------
+
+_LOCAL: dict[str, str] = {}
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder that driver and executors see, below
+    ``spark.checkpoint.dir``; it is deleted when the application ends. Where
+    that is unset, a local master gets a folder of its own and any other
+    master is refused."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        app = spark.sparkContext.applicationId
+        if app not in _LOCAL:
+            _LOCAL[app] = tempfile.mkdtemp(prefix="textloom-files-")
+            atexit.register(shutil.rmtree, _LOCAL[app], ignore_errors=True)
+        base = f"file://{_LOCAL[app]}"
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    system.mkdirs(where)
+    system.deleteOnExit(where)
+    return path
+
+
+def _put(url: str, data: bytes) -> None:
+    """Write a whole file beside its place and move it there."""
+    if "://" in url and not url.startswith("file:"):
+        from pyarrow import fs
+
+        store, path = fs.FileSystem.from_uri(url)
+        staged = f"{path}.{uuid.uuid4().hex}.tmp"
+        with store.open_output_stream(staged) as out:
+            out.write(data)
+        store.move(staged, path)
+        return
+    target = "/" + url.split(":", 1)[1].lstrip("/") if url.startswith("file:") else url
+    os.makedirs(os.path.dirname(target), exist_ok=True)
+    staged = f"{target}.{uuid.uuid4().hex}.tmp"
+    with open(staged, "wb") as out:
+        out.write(data)
+    os.replace(staged, target)
+
+
+def write_files(files: DataFrame, folder: str) -> int:
+    """Write the rows (name, content) as files of ``folder``, each whole by one
+    task; returns how many. A task that runs again writes the same bytes."""
+
+    def run(batches):
+        for pdf in batches:
+            for name, content in zip(pdf["name"], pdf["content"]):
+                _put(f"{folder}/{name}", bytes(content))
+            yield pd.DataFrame({"n": [len(pdf)]})
+
+    return files.select("name", "content").mapInPandas(run, "n long").agg(F.sum("n")).first()[0] or 0

@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from ..functions.text import cell, is_blank, is_error_literal, size_pair, text, trim
 from ..operators.segments import fill_down, section_of
 from ..schemas import CONTENT_HEADERS
+from .files import write_files
 
 _MAIN = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
@@ -195,3 +196,57 @@ def rich_value(value: object) -> str:
 
 def to_frame(spark: SparkSession, rows: Sequence[tuple], ddl: str) -> DataFrame:
     return spark.createDataFrame(list(rows), T._parse_datatype_string(ddl))
+
+
+# --- writing ----------------------------------------------------------------
+
+_PARTS = {
+    "[Content_Types].xml": '<Types xmlns="http://schemas.openxmlformats.org/package/2006/content-types"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/><Default Extension="xml" ContentType="application/xml"/><Override PartName="/xl/workbook.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.sheet.main+xml"/><Override PartName="/xl/worksheets/sheet1.xml" ContentType="application/vnd.openxmlformats-officedocument.spreadsheetml.worksheet+xml"/></Types>',
+    "_rels/.rels": f'<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships"><Relationship Id="r1" Type="{_REL[1:-1]}/officeDocument" Target="xl/workbook.xml"/></Relationships>',
+    "xl/_rels/workbook.xml.rels": f'<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships"><Relationship Id="r1" Type="{_REL[1:-1]}/worksheet" Target="worksheets/sheet1.xml"/></Relationships>',
+}
+
+
+def _address(row: int, column: int) -> str:
+    letters = ""
+    while column:
+        column, rest = divmod(column - 1, 26)
+        letters = chr(65 + rest) + letters
+    return f"{letters}{row}"
+
+
+def literal_workbook(rows: Sequence[Sequence[str | None]], sheet: str = "Sheet1") -> bytes:
+    """A workbook of one sheet whose cells are all literal text: nothing in it
+    is a formula, a number or a date. Empty and null cells are left out.
+    ValueError for characters that XML forbids."""
+    root = ElementTree.Element(f"{_MAIN}worksheet")
+    data = ElementTree.SubElement(root, f"{_MAIN}sheetData")
+    for r, cells_ in enumerate(rows, 1):
+        line = ElementTree.SubElement(data, f"{_MAIN}row", r=str(r))
+        for c, value in enumerate(cells_, 1):
+            if value:
+                if re.search("[\x00-\x08\x0b\x0c\x0e-\x1f\ufffe\uffff]", value):
+                    raise ValueError(f"character that no workbook holds in {_address(r, c)}")
+                text_ = ElementTree.SubElement(ElementTree.SubElement(ElementTree.SubElement(line, f"{_MAIN}c", r=_address(r, c), t="inlineStr"), f"{_MAIN}is"), f"{_MAIN}t")
+                text_.set("{http://www.w3.org/XML/1998/namespace}space", "preserve")
+                text_.text = value
+    book = ElementTree.Element(f"{_MAIN}workbook")
+    ElementTree.SubElement(ElementTree.SubElement(book, f"{_MAIN}sheets"), f"{_MAIN}sheet", {"name": sheet, "sheetId": "1", f"{_REL}id": "r1"})
+    held = io.BytesIO()
+    with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as z:
+        parts = {**_PARTS, "xl/workbook.xml": ElementTree.tostring(book, encoding="unicode"), "xl/worksheets/sheet1.xml": ElementTree.tostring(root, encoding="unicode")}
+        for name, body in parts.items():
+            # A fixed date, so that equal rows give equal bytes.
+            z.writestr(zipfile.ZipInfo(name, (1980, 1, 1, 0, 0, 0)), body.encode("utf-8"))
+    return held.getvalue()
+
+
+def write_workbooks(books: DataFrame, folder: str) -> int:
+    """Write books (name, rows: arrays of cells in order) as literal workbooks
+    into a shared folder; returns how many."""
+
+    @F.pandas_udf("binary")
+    def made(rows: pd.Series) -> pd.Series:
+        return pd.Series([literal_workbook([list(r) for r in book]) for book in rows], dtype=object)
+
+    return write_files(books.select("name", made.asNondeterministic()("rows").alias("content")), folder)
