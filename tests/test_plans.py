@@ -6,7 +6,11 @@ from textloom import queries
 
 SF = "/root/testdata/sf0.001"
 #: Queries whose operators run Arrow functions.
-PYTHON = {"glossary_match_claims", "qa_glossary_targets", "story_index", "story_typography", "recover_segments"}
+PYTHON = {
+    "archive_members", "batch_packing", "batch_resume", "caption_packing", "content_replacement", "diagram_packing",
+    "glossary_match_claims", "glossary_replacement", "lock_groups", "panel_reconciliation", "qa_glossary_targets", "recover_segments",
+    "set_hash", "story_index", "story_typography", "text_scalars_more", "typography_protected", "unit_positions", "workbook_round_trip",
+}
 
 
 def plan(df):

@@ -51,10 +51,10 @@ def paired(source: DataFrame, output: DataFrame, keys: Sequence[str], protected:
     s = source.select(*keys, "row_no", *(text(F.col(c)).alias(f"s_{c}") for c in cells))
     o = output.select(*keys, "row_no", *(text(F.col(c)).alias(f"o_{c}") for c in cells))
     both = s.join(o, [*keys, "row_no"]).withColumn("content_id", content_id(F.col("s_content_tag")))
-    # The first row of an id comes from a grouping, combined before the
-    # shuffle, so that rows without an id are no group of their own.
-    firsts = both.where("content_id <> ''").groupBy(*keys, "content_id").agg(F.min("row_no").alias("first_row"))
-    both = both.join(firsts, [*keys, "content_id"], "left")
+    # Rows without an id are groups of one, so that they are no hot group.
+    alone = F.when(F.col("content_id") == "", F.col("row_no"))
+    first = F.min("row_no").over(W.partitionBy(*keys, "content_id", alone))
+    both = both.withColumn("first_row", F.when(F.col("content_id") != "", first))
     none = F.lit(None).cast("string")
     if protected is not None:
         both = both.join(protected.select(content_id(F.col("content_id")).alias("content_id"), F.lit(True).alias("is_protected")).distinct(), "content_id", "left")
