@@ -59,3 +59,14 @@ def test_rule_table(spark):
     rules = ty.rules_for(ty.rule_table(spark), "French")
     assert rules.count() == 17 and rules.where("applies").count() == 8
     assert rules.where("not applies and reason is null").count() == 0
+
+
+def test_native_run_equals_the_reports(spark):
+    texts = ["12 km + 3 = 4", "a : b ; « c » — d", "4 oct. 2010 et 3 <a b=\"3 km\"> 5 kg", "1 octobre 2010 !", "", None, "x — y—z", "3 + +4 × −2 %"]
+    df = spark.createDataFrame(enumerate(texts), "i int, t string")
+    for language in ("French", "English", "Spanish"):
+        for r in df.select("i", ty.matrix_run(F.col("t"), language).alias("r")).collect():
+            want, counts = ty.matrix_report(texts[r.i], language)
+            assert r.r.typeset == want and [tuple(x) for x in r.r.counts] == counts
+    with pytest.raises(Exception, match="reserved"):
+        spark.createDataFrame([("a\ue102",)], "t string").select(ty.matrix_run(F.col("t"), "English")).collect()

@@ -269,7 +269,8 @@ def matrix_run(c: Column, language: str) -> Column:
         return let(F.regexp_replace(t, pattern, f"{_MATCH}$0{_PUT}{put}{_DONE}"), counted)
 
     run = lambda m: let(step(m["masked"], matrix(name), []), lambda r: F.struct(unmask(r["t"], m["kept"]).alias("typeset"), r["counts"].alias("counts")))
-    return let(mask(text(c)), run)
+    reserved = F.raise_error(F.lit("reserved mark in input"))
+    return let(F.when(text(c).rlike(f"[{_MATCH}-{_DONE}]"), reserved).otherwise(text(c)), lambda t: let(mask(t), run))
 
 
 def is_untidy(c: Column, language: str) -> Column:
