@@ -1139,3 +1139,81 @@ def json_glossary(spark, sf_dir):
     folder = files.shared_folder(spark, "glossaries")
     files.write_files(books.select(cat(F.col("book"), ".json").alias("name"), F.encode(F.concat(F.lit("\ufeff"), "json"), "UTF-8").alias("content")), folder)
     return files.glossary_json(spark, folder, "words").select("source", "field", "value")
+
+
+# --- small contracts --------------------------------------------------------
+
+
+@query("""
+SELECT c_mktsegment AS file, c_custkey AS pos, '{"id":"' || c_name || '","kind":"prose","plain":"say \\"' || c_custkey || '\\""' || CASE WHEN c_custkey % 4 = 0 THEN ',"translations":{"German":"de ' || c_custkey || '"}' ELSE '' END || '}' AS line FROM customer
+""")
+def ledger_json_lines(spark, sf_dir):
+    """Units as JSON lines in order."""
+    k = F.col("c_custkey")
+    done = F.when(every(k, 4), F.create_map(F.lit("German"), cat("de ", k)))
+    units = table(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("file"), k.alias("pos"), F.col("c_name").alias("id"), F.lit("prose").alias("kind"), cat('say "', k, '"').alias("plain"), done.alias("translations"))
+    return ledger.ledger_lines(units)
+
+
+@query("""
+SELECT DISTINCT p_brand AS source, 'T' || p_size % 3 AS target, min(p_partkey) AS ord FROM part WHERE p_brand <> 'Brand#7' GROUP BY ALL
+""")
+def glossary_distinct_pairs(spark, sf_dir):
+    """Entries without the excluded sources, each pair once."""
+    p = table(spark, sf_dir, "part").select(F.col("p_brand").alias("source"), cat("T", F.col("p_size") % 3).alias("target"), F.col("p_partkey").alias("ord"))
+    return glossary.distinct_pairs(glossary.without(p, spark.createDataFrame([("BRAND#7",)], "term string")))
+
+
+@query("SELECT true AS same, false AS other")
+def set_equality(spark, sf_dir):
+    """A table against a copy in another order, and against one with a change."""
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    changed = c.withColumn("c_name", F.when(F.col("c_custkey") == 3, "x").otherwise(F.col("c_name")))
+    return spark.createDataFrame([(relational.same_set(c, c.orderBy(F.desc("c_name"))), relational.same_set(c, changed))], "same boolean, other boolean")
+
+
+@query("SELECT DISTINCT c_mktsegment AS name FROM customer WHERE c_mktsegment = 'BUILDING'")
+def named_entry(spark, sf_dir):
+    """The one entry of a name, in any case."""
+    names = table(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("name")).distinct()
+    return relational.exactly_one(names, F.lit("Building"))
+
+
+@query("""
+SELECT c_custkey, 'é' AS repaired, c_name || 'x' AS name, 'a' || chr(10) || c_custkey AS first, 'v' AS value FROM customer
+""")
+def request_values(spark, sf_dir):
+    """Every text in a nested value as it may leave the system."""
+    c = table(spark, sf_dir, "customer")
+    nested = F.struct(F.lit("Ã©").alias("a"), F.array(cat("a\r\n", F.col("c_custkey"))).alias("b"), F.create_map(F.lit("k"), F.lit("v\x01")).alias("c"), F.struct(cat(F.col("c_name"), "\x02x").alias("d"), F.lit(1).alias("e")).alias("f"))
+    rows = c.select("c_custkey", nested.alias("n"))
+    out = rows.select("c_custkey", validation.request_values(F.col("n"), rows.schema["n"].dataType, repair=True).alias("n"))
+    return out.select("c_custkey", F.col("n.a").alias("repaired"), F.col("n.f.d").alias("name"), F.col("n.b")[0].alias("first"), F.col("n.c")["k"].alias("value"))
+
+
+@query("""
+SELECT c_custkey, replace(c_name, '#', '_') || '.' || substr(sha1('a/b/' || c_name || '.ai'), 1, 12) AS stem, 'x_' || c_custkey AS part, c_custkey % 2 = 0 AS invalid FROM customer
+""")
+def safe_names(spark, sf_dir):
+    """Stems of work files, path components, and texts that XML forbids."""
+    c = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    return c.select("c_custkey", tx.file_stem(cat("a/b/", F.col("c_name"), ".ai")).alias("stem"), tx.path_part(cat(" x é ", k, "?")).alias("part"), markup.invalid_xml(F.when(every(k, 2), "a\x0bb").otherwise("ab")).alias("invalid"))
+
+
+@query("""
+SELECT c_custkey AS batch_no FROM customer WHERE c_custkey % 3 <> 0 ORDER BY 1 LIMIT 25
+""")
+def next_batches(spark, sf_dir):
+    """The next twenty-five batches without a result: the limit is the
+    feature."""
+    b = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("batch_no"), cat("b", F.col("c_custkey")).alias("batch_id"))
+    return packing.remaining(b, b.where("batch_no % 3 = 0").select("batch_id"), limit=25).select("batch_no")
+
+
+@query("""
+SELECT * FROM (VALUES ('English', 'en', '.'), ('French', 'fr', ','), ('German', 'de', ','), ('Spanish', 'es', ','), ('Portuguese', 'pt', ','), ('Dutch', 'nl', ','), ('Italian', 'it', ','), ('Turkish', 'tr', ','), ('Polish', 'pl', ','), ('Swedish', 'sv', ',')) v(language, code, "decimal")
+""")
+def locale_settings(spark, sf_dir):
+    """Languages that have typography, with code and decimal mark."""
+    return typography.locale_table(spark).select("language", "code", "decimal")
