@@ -6,11 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontam import contamination
+from .divergence import divergence
+from .exact_index import exact_duplicates
 from .minhash import near_duplicates
 from .nbsvm import fit, score
 from .pii import pseudonymise
 from .poisson_mix import mix
 from .quality_rules import quality
+from .search import search
 from .secrets import secret_spans
 from .token_counts import token_counts
 from .urlfilter import judge_urls
@@ -109,6 +112,21 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty highest-scoring documents of every benchmark item."""
+    return search(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources of each language against each other and the language."""
+    return divergence(_read(spark, sf_dir, "documents"))
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The row that stays for every document, by its whole normalised text."""
+    return exact_duplicates(_read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_poisson_mix": op1_poisson_mix,
     "op2_minhash_dedup": op2_minhash_dedup,
@@ -120,6 +138,9 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_quality_rules": op9_quality_rules,
     "op10_warc": op10_warc,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_exact_dedup": op13_exact_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {}
@@ -272,3 +293,66 @@ WITH b AS (
 SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN words USING (rid) LEFT JOIN items USING (rid)
 """
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLE_SQL["op11_lexical_search"] = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({_LOWER}, '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+') AS ws FROM documents
+), total AS (
+  SELECT count(*)::BIGINT AS N, sum(len(ws))::BIGINT AS L FROM d WHERE len(ws) > 0
+), m AS (
+  SELECT rid, doc_id, ws, 75 + (25 * len(ws) * N) // L AS m FROM d, total WHERE len(ws) > 0
+), asked AS (
+  SELECT iid, item_id, t, count(*)::BIGINT AS q FROM (
+    SELECT row_number() OVER () AS iid, item_id, unnest(regexp_extract_all({_LOWER}, '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+')) AS t FROM benchmark) GROUP BY ALL
+), held AS (
+  SELECT rid, t, count(*)::BIGINT AS tf FROM (SELECT rid, unnest(ws) AS t FROM m) WHERE t IN (SELECT t FROM asked) GROUP BY ALL
+), weights AS (
+  SELECT t, floor(1000 * ln((2 * N + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w FROM (SELECT t, count(*) AS df FROM held GROUP BY t), total
+), scored AS (
+  SELECT iid, item_id, doc_id, sum(q * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+  FROM asked JOIN held USING (t) JOIN weights USING (t) JOIN m USING (rid) GROUP BY iid, item_id, rid, doc_id
+)
+SELECT item_id, row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 20
+"""
+
+ORACLE_SQL["op12_source_divergence"] = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all({_LOWER}, '[a-z\\x{{80}}-\\x{{10FFFF}}]+') AS ws FROM documents
+), tf AS (
+  SELECT rid, lang, source, t, count(*) AS n FROM (SELECT rid, lang, source, unnest(ws) AS t FROM d) GROUP BY ALL
+), kept AS (
+  SELECT lang, t, sum(n) AS n FROM tf GROUP BY lang, t HAVING count(*) >= 3
+), lg AS (
+  SELECT lang, count(*) AS V, sum(n) AS N FROM kept GROUP BY lang
+), grp AS (
+  SELECT lang, source, t, sum(tf.n) AS n FROM tf JOIN kept USING (lang, t) GROUP BY ALL
+), g AS (
+  SELECT lang, source, coalesce(N, 0) AS N FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN (SELECT lang, source, sum(n) AS N FROM grp GROUP BY ALL) USING (lang, source)
+), p AS (
+  SELECT g.lang, g.source, kept.t, 1 + (1000000000::HUGEINT * (coalesce(grp.n, 0) + 1)) // (g.N + lg.V) AS p, coalesce(grp.n, 0) AS own,
+    1 + (1000000000::HUGEINT * (kept.n + 1)) // (lg.N + lg.V) AS q
+  FROM g JOIN lg USING (lang) JOIN kept USING (lang) LEFT JOIN grp ON grp.lang = g.lang AND grp.source = g.source AND grp.t = kept.t
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.t = b.t AND a.source <> b.source GROUP BY ALL
+), parts AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', t, (((p - q) * (p - q)) // q)::BIGINT FROM p WHERE own > 0 AND p > q
+)
+SELECT lang, source, part, item, value, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+FROM parts QUALIFY part = 'pair' OR rank <= 200
+"""
+
+ORACLE_SQL["op13_exact_dedup"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents
+), w AS (
+  SELECT doc_id, sha256(t) AS text_sha256, count(*) OVER (PARTITION BY t) AS group_size,
+    first_value(doc_id) OVER (PARTITION BY t ORDER BY doc_id, rid) AS keep_id, row_number() OVER (PARTITION BY t ORDER BY doc_id, rid) = 1 AS kept FROM d
+)
+SELECT doc_id, keep_id, group_size, kept, text_sha256, 1 AS chain FROM w
+"""
