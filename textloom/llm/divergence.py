@@ -195,7 +195,8 @@ def divergence(documents: DataFrame, least: int = 3, ranks: int = 200, cells: in
     rows = documents.select(blank("lang"), blank("source"), blank("text"))
     terms = kept_counts(rows, least, cells)
 
-    languages = terms.groupBy("lang").agg(F.count("*").alias("kept"), F.sum("n").alias("total"))
+    # Written, so that joins know how small it is before terms are exchanged.
+    languages = materialise(terms.groupBy("lang").agg(F.count("*").alias("kept"), F.sum("n").alias("total")), "languages")
     each = terms.select("lang", "term", F.explode("sources").alias("x")).select("lang", "term", "x.source", "x.n")
     sizes = each.groupBy("lang", "source").agg(F.sum("n").alias("own"), F.count("*").alias("held"))
     every = rows.groupBy("lang", "source").agg(F.lit(1).alias("one")).drop("one")
