@@ -12,7 +12,6 @@ enter through sums over equal counts.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections import Counter
 
@@ -24,8 +23,9 @@ from pyspark.sql import Window as W
 
 from ._shared import materialise, mix64, small_batches, word_hashes
 
-#: A term in lower-cased UTF-8: letters of ASCII and all characters above it.
-TERM = re.compile(rb"[a-z\x80-\xff]+")
+#: Bytes of UTF-8 to those of terms: A-Z lower-cased, and all but letters of
+#: ASCII and the bytes of characters above it as spaces.
+LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 #: Cells of the sketch in each of its rows, and cells that travel together.
 CELLS, PART = 1 << 24, 1 << 16
 #: Odd numbers that give each row of the sketch its own hash.
@@ -36,15 +36,15 @@ HELD = 400_000
 
 def terms_of(text: str | None) -> list[bytes]:
     """The terms of a text, only A-Z lower-cased; null has none."""
-    return TERM.findall(text.encode("utf-8", "surrogatepass").lower()) if text else []
+    return text.encode("utf-8", "surrogatepass").translate(LETTERS).split() if text else []
 
 
 def places(lang: str, terms: list[bytes], cells: int) -> np.ndarray:
     """Cell of each term of a language in each row of the sketch."""
     ends = np.cumsum(np.fromiter(map(len, terms), dtype=np.int64, count=len(terms)))
     starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
-    name = np.uint64(zlib.crc32(lang.encode("utf-8", "surrogatepass")))
-    hashed = mix64(word_hashes(np.frombuffer(b"".join(terms), dtype=np.uint8), starts, ends) + name * np.uint64(ROWS[0]))
+    name = np.uint64(zlib.crc32(lang.encode("utf-8", "surrogatepass")) * ROWS[0] % 2**64)
+    hashed = mix64(word_hashes(np.frombuffer(b"".join(terms), dtype=np.uint8), starts, ends) + name)
     return np.stack([(mix64(hashed * np.uint64(r)) & np.uint64(cells - 1)).astype(np.int64) for r in ROWS])
 
 
@@ -158,7 +158,10 @@ def kept_counts(documents: DataFrame, least: int = 3, cells: int = CELLS) -> Dat
     least ``least`` documents of its language hold, exactly counted."""
     shared = documents.sparkSession.sparkContext.broadcast(document_sketch(documents, least, cells))
     survivors = documents.mapInArrow(_count(shared, least), "lang string, source string, term string, n long, docs long")
-    exact = survivors.groupBy("lang", "term", "source").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    # Tasks have added up their rows already: dealt out first, they are not
+    # grouped once more before the exchange.
+    dealt = survivors.repartition("lang", "term", "source")
+    exact = dealt.groupBy("lang", "term", "source").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
     terms = exact.groupBy("lang", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"), F.collect_list(F.struct("source", "n")).alias("sources"))
     return materialise(terms.where(F.col("docs") >= least).drop("docs"), "terms")
 
