@@ -2,12 +2,12 @@
 
 import pytest
 
-from textloom.llm import pii, poisson_mix, queries, secrets
+from textloom.llm import exact_index, pii, poisson_mix, queries, secrets
 
 SF = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("make", [poisson_mix.mix, secrets.secret_spans, lambda df: pii.pseudonymise(df, "k")], ids=["mix", "secrets", "pii"])
+@pytest.mark.parametrize("make", [poisson_mix.mix, secrets.secret_spans, lambda df: pii.pseudonymise(df, "k"), exact_index.exact_duplicates], ids=["mix", "secrets", "pii", "index"])
 def test_native(make, spark, monkeypatch):
     seen = []
     real = pii.materialise
@@ -16,7 +16,7 @@ def test_native(make, spark, monkeypatch):
         seen.append(df)
         return real(df, name)
 
-    for module in (pii, poisson_mix, secrets):
+    for module in (exact_index, pii, poisson_mix, secrets):
         monkeypatch.setattr(module, "materialise", watched)
     seen.append(make(queries._read(spark, SF, "documents")))
     assert len(seen) > 2
