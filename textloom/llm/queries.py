@@ -35,8 +35,12 @@ def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Secret spans of every document; repositories are its sources."""
-    return secret_spans(_read(spark, sf_dir, "documents")).drop("labels")
+    """Secret spans of every document. A source is an owner, its documents of
+    one language are one of its repositories, and a value that an owner keeps
+    in three or more of them is no live credential."""
+    blank = lambda c: F.coalesce(F.col(c), F.lit(""))
+    documents = _read(spark, sf_dir, "documents").withColumn("repository", F.concat(blank("source"), F.lit("/"), blank("lang")))
+    return secret_spans(documents, "repository", "source", live_repositories=2).drop("labels")
 
 
 #: Ranks of the public byte-pair vocabulary, and an id above all of its own.
@@ -172,7 +176,7 @@ SELECT doc_id, text, lang, source, n_chars, n_copies, unnest(range(1, n_copies +
 
 ORACLE_SQL["op3_secret_scan"] = r"""
 WITH docs AS (
-  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text, split_part(coalesce(source, ''), '/', 1) AS owner, coalesce(source, '') AS repo FROM documents
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text, coalesce(source, '') AS owner, coalesce(source, '') || '/' || coalesce(lang, '') AS repo FROM documents
 ), hits AS (
   SELECT rid, owner, repo, 0 AS kind, regexp_split_to_array(text, p) AS pieces, regexp_extract_all(text, p, 0) AS ms, regexp_extract_all(text, p, 2) AS vs
   FROM docs, (SELECT '((?i:password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)' AS p)
@@ -193,7 +197,7 @@ WITH docs AS (
   SELECT * FROM spans WHERE (kind = 0 AND length(v) >= 6) OR (kind = 1 AND length(v) >= 20) OR kind = 2
 ), found AS (
   SELECT * FROM base UNION ALL
-  SELECT * FROM spans s WHERE kind = 3 AND regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]') AND length(v) <= 200
+  SELECT * FROM spans s WHERE kind = 3 AND regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]')
     AND length(v) * length(v) >= 9 * list_sum(list_transform(list_distinct(string_split(v, '')), lambda c: (length(v) - length(replace(v, c, ''))) ** 2))
     AND 4 * len(regexp_extract_all(regexp_replace(v, '[+/_-]', '', 'g'), '[a-z]+|[A-Z]+|[0-9]+')) >= length(regexp_replace(v, '[+/_-]', '', 'g'))
     AND NOT EXISTS (SELECT 1 FROM base x WHERE x.rid = s.rid AND x.a < s.b AND x.b > s.a)
@@ -201,11 +205,11 @@ WITH docs AS (
   SELECT v, count(DISTINCT owner) AS owners, count(DISTINCT (owner, repo)) AS repos FROM found GROUP BY v
 ), shown AS (
   SELECT f.*, owners, repos, ['assign', 'access', 'hex', 'owned'][kind + 1] || ':' || a || ':' || b AS span FROM found f JOIN owners USING (v)
-  WHERE kind < 3 OR (owners = 1 AND repos <= 5)
+  WHERE kind < 3 OR (owners = 1 AND repos <= 2)
 ), per AS (
   SELECT rid, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
     string_agg(span, ',' ORDER BY a, kind) FILTER (kind < 3) AS base, string_agg(span, ',' ORDER BY a, kind) AS spans,
-    count(*) FILTER (kind < 3 AND owners = 1 AND repos <= 5) AS n_live, count(*) FILTER (kind < 3 AND owners >= 3) AS n_copied,
+    count(*) FILTER (kind < 3 AND owners = 1 AND repos <= 2) AS n_live, count(*) FILTER (kind < 3 AND owners >= 3) AS n_copied,
     max(repos) FILTER (kind < 3) AS n_repositories
   FROM shown GROUP BY rid
 )

@@ -14,6 +14,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from ._native import let, match_spans
 from ._shared import materialise
@@ -25,16 +26,14 @@ HEX = r"[0-9a-f]{24,}"
 #: Runs that may be a credential of an unknown kind.
 GENERIC = r"[A-Za-z0-9+/_-]{20,}"
 KINDS = ["assign", "access", "hex", "owned"]
-#: Runs of one class of characters; characters of the longest generic key.
+#: Runs of one class of characters.
 RUNS = r"[a-z]+|[A-Z]+|[0-9]+"
-LONGEST = 200
 
 
 def key_like(value: Column) -> Column:
     """Whether a string has the form of a random key, in whole numbers.
 
-    It has a letter and a digit and is no longer than LONGEST. Two characters
-    drawn from it agree with p <= 1/9 (collision entropy of log2(9) bits), and
+    It has a letter and a digit. Two characters drawn from it agree with p <= 1/9 (collision entropy of log2(9) bits), and
     without separators, a run of equal classes (lower, upper, digit) is at
     most four characters long on average.
     """
@@ -45,7 +44,7 @@ def key_like(value: Column) -> Column:
     )
     plain = F.regexp_replace(value, "[+/_-]", "")
     runs = F.size(F.regexp_extract_all(plain, F.lit(RUNS), F.lit(0)))
-    return value.rlike("[0-9]") & value.rlike("[A-Za-z]") & (n <= LONGEST) & (n.cast("long") * n >= 9 * agree) & (4 * runs >= F.length(plain))
+    return value.rlike("[0-9]") & value.rlike("[A-Za-z]") & (n.cast("long") * n >= 9 * agree) & (4 * runs >= F.length(plain))
 
 
 def _spans(text: Column) -> Column:
@@ -57,8 +56,20 @@ def _spans(text: Column) -> Column:
     access = F.when(text.contains("AKIA"), F.filter(match_spans(text, ACCESS), lambda x: F.length(x["value"]) >= 20)).otherwise(none)
     hexes = F.when(text.rlike(HEX), match_spans(text, HEX)).otherwise(none)
     generic = F.when(text.rlike(GENERIC), F.filter(match_spans(text, GENERIC), lambda x: key_like(x["value"]))).otherwise(none)
-    base = F.concat(*(_of_kind(k, a) for k, a in enumerate((assign, access, hexes))))
-    return let(base, lambda b: F.concat(b, F.filter(_of_kind(3, generic), lambda x: ~F.exists(b, lambda y: (y["start"] < x["end"]) & (y["end"] > x["start"])))))
+    return F.concat(*(_of_kind(k, a) for k, a in enumerate((assign, access, hexes, generic))))
+
+
+def _outside(each: DataFrame) -> DataFrame:
+    """Base spans, and generic ones that meet no base span of their row: none
+    that starts before them ends inside, and none starts inside. Sorted once,
+    so the cost of a row is that of sorting its spans."""
+    order = W.partitionBy("rid").orderBy("start", "kind")
+    base = lambda c: F.when(F.col("kind") < 3, F.col(c))
+    before = F.max(base("end")).over(order.rowsBetween(W.unboundedPreceding, W.currentRow))
+    after = F.lead(base("start"), ignorenulls=True).over(order)
+    marked = each.withColumn("before", before).withColumn("after", after)
+    meets = (F.coalesce("before", F.lit(0)) > F.col("start")) | (F.coalesce(F.col("after") < F.col("end"), F.lit(False)))
+    return marked.where((F.col("kind") < 3) | ~meets).drop("before", "after")
 
 
 def _of_kind(k: int, spans: Column) -> Column:
@@ -99,7 +110,8 @@ def secret_spans(documents: DataFrame, repository: str = "source", owner: str |
 
     Null and empty texts have no spans, null repositories and owners count as
     one of their own, repeated rows are counted again as occurrences but not
-    as owners. Very long texts are searched whole. Spans that start at one
+    as owners. Very long texts are searched whole, and keys of any
+    length are reported. Spans that start at one
     place are listed by kind. Other columns are ignored, whatever their names.
     An empty table gives no rows.
     """
@@ -110,13 +122,14 @@ def secret_spans(documents: DataFrame, repository: str = "source", owner: str |
     rows = documents.select("doc_id", repo.alias("repo"), own.alias("owner"), _spans(text).alias("found"), F.monotonically_increasing_id().alias("rid"))
     rows = materialise(rows, "spans")
 
-    each = rows.where(F.size("found") > 0).select("rid", "repo", "owner", F.explode("found").alias("x"))
-    held = each.groupBy(F.col("x.value").alias("value"), "owner", "repo").agg(F.count("*").alias("n"))
+    each = rows.where(F.size("found") > 0).select("rid", "repo", "owner", F.explode("found").alias("x")).select("rid", "repo", "owner", "x.*")
+    each = materialise(_outside(each), "candidates")
+    held = each.groupBy("value", "owner", "repo").agg(F.count("*").alias("n"))
     held = held.groupBy("value", "owner").agg(F.count("*").alias("repos"), F.sum("n").alias("n"))
     held = held.groupBy("value").agg(F.count("*").alias("owners"), F.sum("repos").alias("repositories"), F.sum("n").alias("occurrences"))
     held = materialise(held, "owners")
 
-    known = each.select("rid", F.col("x.start").alias("start"), F.col("x.end").alias("end"), F.col("x.kind").alias("kind"), F.col("x.value").alias("value")).join(held, "value")
+    known = each.select("rid", "start", "end", "kind", "value").join(held, "value")
     label = F.struct("start", "end", "kind", F.col("value").alias("value_sha256"), "repositories", "owners", "occurrences")
     known = materialise(known.groupBy("rid").agg(F.collect_list(label).alias("labels")), "labels")
 

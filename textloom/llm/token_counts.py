@@ -11,6 +11,7 @@ stitches documents that cross block boundaries.
 from __future__ import annotations
 
 import base64
+import re
 import uuid
 from functools import lru_cache
 
@@ -32,6 +33,10 @@ GROUP = 256
 # Fixed value: how a text is cut before byte pairs are merged.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
+#: Blank runs of this length are taken out of a text: the pattern looks back
+#: over a whole run, on the stack. The class is that of the pattern's \s.
+LONG_BLANKS = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{4096,}")
+
 
 def dtype_for(ids: int) -> np.dtype:
     return np.dtype("<u2" if ids <= 1 << 16 else "<u4")
@@ -47,6 +52,22 @@ def encoder(path: str):
     return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+def encode(vocabulary: str, text: str) -> list[int]:
+    """Ids of a text of any length.
+
+    A long blank run is one piece of the pattern, but for its last character
+    before a word, which starts the next piece or is one of its own; the text
+    is cut there, so the ids are those of the whole text.
+    """
+    bpe, ids, at = encoder(vocabulary), [], 0
+    for run in LONG_BLANKS.finditer(text):
+        end = run.end() - (run.end() < len(text))
+        ids += bpe.encode_ordinary(text[at : run.start()])
+        ids += bpe._encode_single_piece(text[run.start() : end])
+        at = end
+    return ids + bpe.encode_ordinary(text[at:])
+
+
 def _writer(folder: str, vocabulary: str, eod: int, file_bytes: int, file_rows: int):
     def run(batches):
         kind = dtype_for(eod + 1)
@@ -60,7 +81,7 @@ def _writer(folder: str, vocabulary: str, eod: int, file_bytes: int, file_rows:
                 if out is None:
                     name, ids, size = f"{folder}/{uuid.uuid4().hex}.tokens", [], 0
                     out = open_shared(name, "wb")
-                tokens = encoder(vocabulary).encode_ordinary(text)
+                tokens = encode(vocabulary, text)
                 tokens.append(eod)
                 raw = np.array(tokens, dtype=kind).tobytes()
                 out.write(raw)

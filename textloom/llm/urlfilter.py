@@ -2,8 +2,8 @@
 
 Rules are (host, path, verdict): a rule fits its host and all subdomains if
 the path starts with the rule's. Listed URLs are matched whole, in canonical
-form. Every key that could match a URL - each host suffix with each rule-path
-length, and the canonical URL itself - probes one blocked Bloom filter of all
+form. Every key that could match a URL - each host suffix of as many labels as a
+rule has with each rule-path length, and the canonical URL itself - probes one blocked Bloom filter of all
 rules and listed URLs; keys that may be in it are joined exactly.
 """
 
@@ -57,11 +57,16 @@ def _key(kind: str, host_: Column, path_: Column) -> Column:
     return F.concat(F.lit(kind), host_, F.lit("\n"), path_)
 
 
-def _suffixes(host_: Column) -> Column:
-    """The host and all its parent domains (none for an empty host)."""
-    parts = F.split(host_, r"\.", -1)
-    every = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "."))
-    return F.when(host_ == "", F.array().cast("array<string>")).otherwise(F.filter(every, lambda s: s != ""))
+def _labels(host_: Column) -> Column:
+    return F.length(host_) - F.length(F.replace(host_, F.lit("."), F.lit(""))) + 1
+
+
+def _suffixes(host_: Column, sizes: list[int]) -> Column:
+    """Of the host and its parent domains those of so many labels (none for an
+    empty host). A host of very many labels gives no more than any other."""
+    none = F.lit(None).cast("string")
+    every = F.array(*(F.when(_labels(host_) >= n, F.substring_index(host_, ".", -n)) for n in sizes), none)
+    return F.filter(every, lambda s: s.isNotNull() & (s != ""))
 
 
 def judge_urls(
@@ -97,19 +102,21 @@ def judge_urls(
     keys_known = known.count()
     words = bloom.build(known, F.xxhash64("key"), bloom.blocks_for(keys_known, bits_per_key, max_bytes))
     may_contain = bloom.prober(pages.sparkSession, words)
-    # Path lengths that rules have: a short list, one number per length.
+    # Path lengths that rules have, and numbers of labels: short lists.
     lengths = [r[0] for r in rules.select(F.length("p").alias("n")).distinct().orderBy("n").collect()]
+    sizes = [r[0] for r in rules.select(_labels(F.col("h")).alias("n")).distinct().orderBy("n").collect()]
 
     url = F.col("url").cast("string")
     rows = pages.select(F.col("page_id"), host(url).alias("host"), path(url).alias("path"), F.coalesce(canonical_url(url), F.lit("")).alias("c"))
     # Equal URLs are judged once.
     one = rows.select("host", "path", "c").distinct()
     prefixes = F.filter(F.array(*map(F.lit, lengths)), lambda n: n <= F.length("path")) if lengths else F.array().cast("array<int>")
-    by_rule = F.flatten(F.transform(_suffixes(F.col("host")), lambda h: F.transform(prefixes, lambda n: _key("r", h, F.substring(F.col("path"), F.lit(1), n)))))
+    by_rule = F.flatten(F.transform(_suffixes(F.col("host"), sizes), lambda h: F.transform(prefixes, lambda n: _key("r", h, F.substring(F.col("path"), F.lit(1), n)))))
     keys = F.concat(by_rule, F.when(F.col("c") != "", F.array(_key("u", F.col("c"), F.lit("")))).otherwise(F.array().cast("array<string>")))
     asked = one.select("host", "path", "c", F.explode(keys).alias("key"))
-    # A short list is broadcast; a longer one meets the keys by their hash.
-    hits = asked.where(may_contain(F.xxhash64("key"))).join(F.broadcast(known) if keys_known <= BROADCAST_KEYS else known.hint("merge"), "key")
+    # A short list is broadcast; a longer one is dealt out by the
+    # keys' hash and met in hash tables.
+    hits = asked.where(may_contain(F.xxhash64("key"))).join(F.broadcast(known) if keys_known <= BROADCAST_KEYS else known.hint("shuffle_hash"), "key")
     best = hits.groupBy("host", "path", "c").agg(
         F.max(F.when(F.col("rule").isNotNull(), F.struct(F.length("rule").alias("n"), "longer", "rule", "v"))).alias("top"),
         F.max(F.when(F.col("rule").isNull(), F.col("v"))).alias("mark"),
