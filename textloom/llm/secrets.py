@@ -64,9 +64,8 @@ def _outside(each: DataFrame) -> DataFrame:
     that starts before them ends inside, and none starts inside. Sorted once,
     so the cost of a row is that of sorting its spans."""
     order = W.partitionBy("rid").orderBy("start", "kind")
-    base = lambda c: F.when(F.col("kind") < 3, F.col(c))
-    before = F.max(base("end")).over(order.rowsBetween(W.unboundedPreceding, W.currentRow))
-    after = F.lead(base("start"), ignorenulls=True).over(order)
+    before = F.max(F.when(F.col("kind") < 3, F.col("end"))).over(order.rowsBetween(W.unboundedPreceding, W.currentRow))
+    after = F.expr("lead(CASE WHEN kind < 3 THEN start END) IGNORE NULLS OVER (PARTITION BY rid ORDER BY start, kind)")
     marked = each.withColumn("before", before).withColumn("after", after)
     meets = (F.coalesce("before", F.lit(0)) > F.col("start")) | (F.coalesce(F.col("after") < F.col("end"), F.lit(False)))
     return marked.where((F.col("kind") < 3) | ~meets).drop("before", "after")
