@@ -7,8 +7,9 @@ by case fold only where that is unambiguous.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import pandas as pd
 import regex
@@ -16,8 +17,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from ..functions.text import WORD, ascii_term_pattern, count_exact, fold, plain_punctuation, term_pattern, text, trim
+from ..functions.text import WORD, count_exact, fold, plain_punctuation, term_pattern, text, trim
 from .segments import first_of
+from .term_automaton import FOLD_FROM, FOLD_TO, Applying, AsciiPairs, Claims
 
 #: Bytes of a list of terms that may be sent to every task.
 MOST_BYTES = 32 << 20
@@ -199,14 +201,12 @@ def claims(value: str, terms: Sequence[tuple[str, bool, bool]]) -> list[tuple[st
 _MATCH = "array<struct<source:string,mode:string>>"
 
 
-#: Simple case folds that lower case leaves apart, letter by letter.
-_FOLD_FROM, _FOLD_TO = "ſςµϐϑϕϖϰϱϵẛι", "sσμβθφπκρεṡι"
 _RUN, _MARK = r"[\p{L}\p{N}]+", r"[^\p{L}\p{N}\s]"
 
 
 def _folded(c: Column) -> Column:
     """Lower case, and one letter for all that match each other in any case."""
-    return F.translate(F.lower(F.translate(c, "İ", "i")), _FOLD_FROM, _FOLD_TO)
+    return F.translate(F.lower(F.translate(c, "İ", "i")), FOLD_FROM, FOLD_TO)
 
 
 def _term_token(c: Column) -> Column:
@@ -236,13 +236,56 @@ def candidates(texts: DataFrame, compiled: DataFrame, key: str, value: str, extr
     return _text_tokens(texts, key, F.col(value)).join(named, "_t").groupBy(key).agg(F.array_sort(F.collect_list("e")).alias("terms"))
 
 
+#: Automata of this worker, by the key of their list of terms.
+_BUILT: dict[str, object] = {}
+
+
+def _built(shared, make):
+    """What ``make`` builds of a broadcast (key, terms), once per worker."""
+    key, terms = shared.value
+    if key not in _BUILT:
+        while len(_BUILT) > 1:
+            del _BUILT[next(iter(_BUILT))]
+        _BUILT[key] = make(terms)
+    return _BUILT[key]
+
+
+def _shards(rows: DataFrame, *sizes: str):
+    """Broadcast lists of the rows of ``rows``, in its order; the strings of
+    one list have at most MOST_BYTES. There is one list at least."""
+    def sent(held):
+        return rows.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, held))
+
+    held, size, given = [], 0, False
+    for r in rows.toLocalIterator():
+        long = sum(len((r[c] or "").encode("utf-8", "surrogatepass")) for c in sizes)
+        if held and size + long > MOST_BYTES:
+            yield sent(held)
+            held, size, given = [], 0, True
+        held.append(tuple(r))
+        size += long
+    if held or not given:
+        yield sent(held)
+
+
 def match_terms(texts: DataFrame, compiled: DataFrame, key: str = "row_no", value: str = "content") -> DataFrame:
     """``texts`` with ``matches``: the glossary terms that claim a place.
 
-    Whatever the glossary's size, a text meets the terms whose token it has
-    and no others. A null key is a key; texts that share one are judged each
-    by its own words.
+    One automaton over the words of all terms reads each text once; texts are
+    not moved. A glossary of over MOST_BYTES is not sent to all tasks: there a
+    text meets the terms whose token it has, joined to it once. A null key is
+    a key; texts that share one are judged each by its own words.
     """
+    bytes_ = compiled.agg(F.coalesce(F.sum(F.octet_length("source")), F.lit(0))).first()[0]
+    if bytes_ <= MOST_BYTES:
+        (shared,) = _shards(by_length(compiled).select("source", "contextual", "allow_ci"), "source")
+
+        @F.pandas_udf(_MATCH)
+        def claimed(values: pd.Series) -> pd.Series:
+            find = _built(shared, lambda terms: Claims(terms, pattern_of))
+            return pd.Series([find(v) for v in values], dtype=object)
+
+        return texts.withColumn("matches", claimed.asNondeterministic()(text(F.col(value))))
 
     @F.pandas_udf(_MATCH)
     def run(values: pd.Series, own: pd.Series) -> pd.Series:
@@ -257,39 +300,25 @@ def match_terms(texts: DataFrame, compiled: DataFrame, key: str = "row_no", valu
     return joined.withColumn("matches", run.asNondeterministic()(text(F.col(value)), F.col("terms"))).drop("terms")
 
 
-_GRAM = 3
-
-
-def _ascii_token(c: Column) -> Column:
-    """What a text must have to hold the term between ASCII boundaries: of its
-    runs of ASCII letters and digits the longest, lower-cased; without any,
-    its first characters, since other letters are boundaries themselves."""
-    runs = F.regexp_extract_all(_ascii_lower(c), F.lit("[a-z0-9]+"), F.lit(0))
-    longest = F.array_max(F.transform(runs, lambda r: F.struct(F.length(r).alias("n"), r.alias("r"))))["r"]
-    return F.coalesce(longest, F.substring(c, 1, _GRAM))
-
-
-def _ascii_lower(c: Column) -> Column:
-    return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-
-
 def term_pairs(texts: DataFrame, pairs: DataFrame, key: str, value: str) -> DataFrame:
     """(key, source, target): every pair whose source occurs in the text
     between ASCII boundaries, in any ASCII case; overlaps are allowed.
 
-    An equi-join of the texts' tokens with each source's token gives the
-    candidates, as narrow rows; only these meet the texts again for the test.
-    Of characters that are no ASCII letters, texts give the runs of the
-    lengths that sources without such letters begin with.
+    Texts are read by one automaton for each MOST_BYTES of sources, and only
+    (key, source) leaves them.
     """
-    named = pairs.where(F.length("source") > 0).withColumn("_t", _ascii_token(F.col("source")))
-    lengths = [r[0] for r in named.where(~F.col("_t").rlike("[a-z0-9]")).select(F.length("_t").alias("n")).distinct().collect()]
-    low = _ascii_lower(F.col(value))
-    tokens = F.concat(F.regexp_extract_all(low, F.lit("[a-z0-9]+"), F.lit(0)), *(F.regexp_extract_all(low, F.lit(rf"(?s)(?=([^a-z0-9]{{{n}}}))"), F.lit(1)) for n in sorted(lengths)))
-    had = texts.select(key, F.explode(F.array_distinct(tokens)).alias("_t"))
-    found = had.join(named, "_t").select(key, "source", "target").distinct()
-    hit = F.lower(F.col(value)).contains(F.lower("source")) & F.regexp_like(F.col(value), ascii_term_pattern(F.col("source")))
-    return found.join(texts.select(key, value), key).where(hit).select(key, "source", "target").distinct()
+    def hits(shared) -> DataFrame:
+        @F.pandas_udf("array<string>")
+        def run(values: pd.Series) -> pd.Series:
+            names = shared.value[1]
+            find = _built(shared, lambda terms: AsciiPairs([t[0] for t in terms]))
+            return pd.Series([[names[k][0] for k in find(v)] if v else [] for v in values], dtype=object)
+
+        return texts.select(key, F.explode(run.asNondeterministic()(text(F.col(value)))).alias("source"))
+
+    sources = pairs.where(F.length("source") > 0).select("source").distinct()
+    found = reduce(DataFrame.unionByName, [hits(shared) for shared in _shards(sources, "source")])
+    return found.join(pairs.select("source", "target"), "source").select(key, "source", "target").distinct()
 
 
 def applies(value: Column, source: Column, contextual: Column, allow_ci: Column) -> Column:
@@ -432,20 +461,25 @@ def changed_entries(new: DataFrame, old: DataFrame) -> DataFrame:
 
 def select_for_delta(groups: DataFrame, changed: DataFrame, source: str = "source_text", target: str = "target_text") -> DataFrame:
     """Groups with ``queried``: some changed entry applies to the source text
-    while its target is missing from the present translation."""
-    found = match_candidates(groups, changed, source)
-    needs = applies(F.col(source), F.col("source"), F.col("contextual"), F.col("allow_ci")) & ~F.regexp_like(text(F.col(target)), term_pattern(F.col("target")))
-    hit = found.where(needs).select("group_id").distinct().withColumn("queried", F.lit(True))
+    while its target is missing from the present translation. A group is read
+    by one automaton for each MOST_BYTES of entries."""
+    def needs(shared) -> Column:
+        @F.pandas_udf("array<string>")
+        def run(values: pd.Series) -> pd.Series:
+            targets = [t[3] for t in shared.value[1]]
+            find = _built(shared, lambda terms: Applying([t[:3] for t in terms], pattern_of))
+            return pd.Series([[targets[k] for k in find(v)] if v else [] for v in values], dtype=object)
+
+        missing = lambda t: ~F.regexp_like(text(F.col(target)), term_pattern(t))
+        return F.coalesce(F.exists(run.asNondeterministic()(text(F.col(source))), missing), F.lit(False))
+
+    lists = list(_shards(changed.select("source", "contextual", "allow_ci", "target"), "source", "target"))
+    if len(lists) == 1:
+        return groups.withColumn("queried", needs(lists[0]))
+    hit = reduce(DataFrame.union, [groups.where(needs(shared)).select("group_id") for shared in lists]).distinct().withColumn("queried", F.lit(True))
     return groups.join(hit, "group_id", "left").withColumn("queried", F.coalesce("queried", F.lit(False)))
 
 
-def match_candidates(groups: DataFrame, terms: DataFrame, value: str, key: str = "group_id") -> DataFrame:
-    """Groups beside the terms whose token they have: the pairs are made from
-    keys and tokens only, then joined with the groups."""
-    found = _text_tokens(groups, key, F.col(value)).join(terms.withColumn("_t", _term_token(F.col("source"))), "_t").drop("_t")
-    return groups.join(found, key)
-
-
 def preserved_counts(rows: DataFrame, rules: Sequence[tuple[str, str]], source: str = "source", target: str = "target") -> DataFrame:
     """For each rule (id, pattern) and distinct phrase it finds in the source:
     how often it stands there and, literally, in the target."""

@@ -6,7 +6,7 @@ line break. Tokens carry the group id and a running number.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import pandas as pd
 import regex
@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import BREAK, let, line_breaks, text
-from .glossary import candidates, claims, pattern_of
+from .glossary import MOST_BYTES, _built, _shards, by_length, candidates, claims, pattern_of
+from .term_automaton import Claims
 
 TOKEN = "⟦[A-Z]_[^⟧]+⟧"
 
@@ -79,9 +80,10 @@ def restore_acronyms(value: Column, locks: Column) -> Column:
 # --- groups -----------------------------------------------------------------
 
 
-def prepare_segments(group_id: str, segments: Sequence[str], terms: Sequence[tuple[str, bool, bool]], targets: dict[str, str], phrases: Sequence[tuple[str, str]]) -> tuple[list[str], list[tuple]]:
+def prepare_segments(group_id: str, segments: Sequence[str], claim: Callable[[str], list[tuple[str, str]]], targets: dict[str, str], phrases: Sequence[tuple[str, str]]) -> tuple[list[str], list[tuple]]:
     """Anchored, locked segments and the locks (token, source, target,
-    segment, kind) of a group: phrases first, terms next, breaks last."""
+    segment, kind) of a group: phrases first, terms next, breaks last.
+    ``claim`` gives the (source, mode) of the terms that claim a place."""
     out, locks, count = [], [], {"B": 0, "G": 0}
     breaks = regex.compile("\r\n|[\r\n  ]")
     for i, value in enumerate(segments):
@@ -94,7 +96,7 @@ def prepare_segments(group_id: str, segments: Sequence[str], terms: Sequence[tup
 
         for _, pattern in phrases:
             value = regex.sub(pattern, lambda m: token("B", m[0], m[0]), value)
-        for source, mode in claims(value, terms):
+        for source, mode in claim(value):
             value = pattern_of(source, mode == "exact").sub(lambda m, s=source: token("G", s, targets[s]), value)
         own = []
         value = breaks.sub(lambda m: own.append(m[0]) or f"⟦L_{group_id}_{i + 1}_{len(own)}⟧", value)
@@ -107,16 +109,28 @@ _LOCKS = "array<struct<token:string,source:string,target:string,segment_index:in
 
 
 def prepare_groups(groups: DataFrame, compiled: DataFrame, phrases: Sequence[tuple[str, str]] = ()) -> DataFrame:
-    """``groups`` (group_id, segments) with ``prepared`` and ``locks``. A group
-    meets the terms whose token its segments have; the glossary may have any
-    size. ``phrases`` are a book's rules."""
-
-    @F.pandas_udf(f"prepared array<string>, locks {_LOCKS}")
+    """``groups`` (group_id, segments) with ``prepared`` and ``locks``. One
+    automaton over all terms reads each segment once; with a glossary of over
+    MOST_BYTES a group meets the terms whose token its segments have.
+    ``phrases`` are a book's rules."""
+    kind = f"prepared array<string>, locks {_LOCKS}"
+    if compiled.agg(F.coalesce(F.sum(F.octet_length("source") + F.octet_length("target")), F.lit(0))).first()[0] <= MOST_BYTES:
+        (shared,) = _shards(by_length(compiled).select("source", "contextual", "allow_ci", "target"), "source", "target")
+
+        @F.pandas_udf(kind)
+        def claimed(ids: pd.Series, segments: pd.Series) -> pd.DataFrame:
+            claim, targets = _built(shared, lambda terms: (Claims([t[:3] for t in terms], pattern_of), {t[0]: t[3] for t in terms}))
+            return pd.DataFrame([prepare_segments(g, list(s), claim, targets, phrases) for g, s in zip(ids, segments)], columns=["prepared", "locks"])
+
+        return groups.withColumn("_p", claimed.asNondeterministic()("group_id", "segments")).select(*groups.columns, "_p.prepared", "_p.locks")
+
+    @F.pandas_udf(kind)
     def run(ids: pd.Series, segments: pd.Series, own: pd.Series) -> pd.DataFrame:
         rows = []
         for g, s, terms in zip(ids, segments, own):
             ranked = sorted(terms if terms is not None else [], key=lambda e: (-e["n"], e["ord"]))
-            rows.append(prepare_segments(g, list(s), [(e["source"], e["contextual"], e["allow_ci"]) for e in ranked], {e["source"]: e["target"] for e in ranked}, phrases))
+            ordered = [(e["source"], e["contextual"], e["allow_ci"]) for e in ranked]
+            rows.append(prepare_segments(g, list(s), lambda v, t=ordered: claims(v, t), {e["source"]: e["target"] for e in ranked}, phrases))
         return pd.DataFrame(rows, columns=["prepared", "locks"])
 
     words = groups.select("group_id", F.array_join("segments", "\n").alias("_text"))
