@@ -7,8 +7,9 @@ from textloom import queries
 SF = "/root/testdata/sf0.001"
 #: Queries whose operators run Arrow functions.
 PYTHON = {
-    "archive_members", "batch_packing", "batch_resume", "caption_packing", "content_replacement", "diagram_packing",
-    "glossary_match_claims", "glossary_replacement", "lock_groups", "panel_reconciliation", "qa_glossary_targets", "recover_segments",
+    "archive_members", "batch_packing", "batch_resume", "caption_packing", "content_replacement", "corpus_packing",
+    "corpus_profile_delta", "corpus_term_claims", "corpus_term_pairs", "diagram_packing", "glossary_match_claims",
+    "glossary_match_pairs", "glossary_replacement", "profile_delta", "sense_contexts", "lock_groups", "panel_reconciliation", "qa_glossary_targets", "recover_segments",
     "set_hash", "story_index", "story_typography", "text_scalars_more", "typography_protected", "unit_positions", "workbook_round_trip",
 }
 
@@ -21,7 +22,7 @@ def plan(df):
 def test_plan(name, spark):
     text = plan(queries.QUERIES[name](spark, SF))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
-    assert any(x in text for x in ("ArrowEvalPython", "MapInPandas")) == (name in PYTHON)
+    assert any(x in text for x in ("ArrowEvalPython", "MapInPandas", "FlatMapGroups")) == (name in PYTHON)
 
 
 def test_scans_read_what_they_need(spark):

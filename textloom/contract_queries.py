@@ -18,6 +18,7 @@ from .functions import markup, typography
 from .functions import text as tx
 from .functions.text import NBSP
 from .operators import audit, glossary, ledger, locks, packing, qa, relational, structure, validation
+from .operators.orders import ranked
 from .queries import query, spread, table
 
 
@@ -622,14 +623,14 @@ def stage_prompts(spark, sf_dir):
 
 
 @query("""
-WITH r AS (SELECT n_regionkey::VARCHAR AS rule_type, CASE WHEN n_nationkey % 5 = 0 THEN ' ' WHEN n_nationkey % 7 = 0 THEN 'same' ELSE n_name END AS id, n_nationkey % 4 = 0 AS broken FROM nation)
+WITH r AS (SELECT c_nationkey::VARCHAR AS rule_type, CASE WHEN c_custkey % 5 = 0 THEN ' ' WHEN c_custkey % 7 = 0 THEN 'same' ELSE c_name END AS id, c_custkey % 4 = 0 AS broken FROM customer)
 SELECT rule_type, id, 'blank or repeated id' AS fault FROM r GROUP BY ALL HAVING count(*) > 1 OR id = ' ' UNION ALL SELECT DISTINCT rule_type, id, 'pattern does not compile' FROM r WHERE broken
 """)
 def rule_pattern_faults(spark, sf_dir):
     """Rules with a blank or repeated id, or a pattern that does not compile."""
-    n = table(spark, sf_dir, "nation")
-    k = F.col("n_nationkey")
-    rules = n.select(F.col("n_regionkey").cast("string").alias("rule_type"), F.when(every(k, 5), " ").when(every(k, 7), "same").otherwise(F.col("n_name")).alias("id"), F.when(every(k, 4), "(x").otherwise("x+").alias("pattern"))
+    c = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    rules = c.select(F.col("c_nationkey").cast("string").alias("rule_type"), F.when(every(k, 5), " ").when(every(k, 7), "same").otherwise(F.col("c_name")).alias("id"), F.when(every(k, 4), "(x").otherwise("x+").alias("pattern"))
     return relational.pattern_faults(rules)
 
 
@@ -681,10 +682,8 @@ def vocabulary_merge(spark, sf_dir):
     base = c.where("c_custkey % 3 <> 0").select(F.col("c_name").alias("value"), F.col("c_custkey").alias("ord"))
     more = c.select(F.upper("c_name").alias("value"), F.col("c_custkey").alias("ord"))
     both = relational.merge_strings(base, more)
-    from pyspark.sql import Window as W
-
     old = F.when(F.col("value") == F.upper("value"), 1).otherwise(0)
-    return both.select("value", F.row_number().over(W.orderBy(old, "ord")).cast("long").alias("place"))
+    return ranked(both.select("value", "ord", old.alias("old")), ["old", "ord"], "place").select("value", "place")
 
 
 @query("""

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from ..functions.sorted_folds import fold_sorted
 from ..functions.text import ordinal
+from ..sources.files import written
+from .orders import ranked
 
 # Default limits (characters, groups, segments; diagrams, items,
 # characters; rows, characters).
@@ -18,48 +21,127 @@ DIAGRAM_LIMITS = (8, 160, 24_000)
 CAPTION_LIMITS = (40, 12_000)
 
 
-class _Packer:
-    """Greedy packing of one key's rows, which arrive in order in pieces: the
-    last columns of a row are its sizes."""
+#: Rows of a chunk of the order that one task packs at once.
+CHUNK = 1 << 15
 
-    def __init__(self, limits: Sequence[int], most_rows: int):
-        self.limits, self.most_rows = limits, most_rows
-        self.batch, self.rows, self.held = 0, 0, [0] * len(limits)
 
-    def add(self, rows: list[tuple]) -> list[tuple]:
+class _Chunk:
+    """Rows of one chunk in order, and the first ones of the next.
+
+    ``rank`` counts all rows of all keys from 0; ``first`` marks the first row
+    of a key. ``succ`` is, for each row, where the next batch begins if one
+    begins there: found by searching the prefix sums of each size.
+    """
+
+    def __init__(self, pdf: pd.DataFrame, sizes: Sequence[str], limits: Sequence[int], most_rows: int, chunk: int):
+        self.pdf = pdf = pdf.sort_values("rank", ignore_index=True)
+        n = len(pdf)
+        at = np.arange(n)
+        self.base = int(pdf["chunk"].iloc[0]) * chunk
+        self.own = int((pdf["rank"].to_numpy() < self.base + chunk).sum())
+        self.first = pdf["first"].to_numpy(dtype=bool)
+        succ = np.minimum(at + most_rows, n)
+        for size, most in zip(sizes, limits):
+            total = np.concatenate([[0], np.cumsum(pdf[size].to_numpy(dtype=np.int64))])
+            succ = np.minimum(succ, np.searchsorted(total[1:], total[:-1] + most, side="right"))
+        # A row beyond a limit stands alone; a batch ends with its key.
+        succ = np.maximum(succ, at + 1)
+        firsts = np.append(np.flatnonzero(self.first), n)
+        self.succ = np.minimum(succ, firsts[np.searchsorted(firsts, at, side="right")])
+
+    def walk(self, entry: int) -> list[int]:
+        """Own rows at which a batch begins, if one begins at ``entry``."""
         out = []
-        for row in rows:
-            rest, new = row[: -len(self.limits)], row[-len(self.limits) :]
-            grown = [a + b for a, b in zip(self.held, new)]
-            if not self.rows or self.rows >= self.most_rows or any(a > b for a, b in zip(grown, self.limits)):
-                self.batch, self.rows, grown = self.batch + 1, 0, list(new)
-            self.rows, self.held = self.rows + 1, grown
-            out.append((*rest, self.batch))
+        while entry < self.own:
+            out.append(entry)
+            entry = int(self.succ[entry])
         return out
 
-    def end(self) -> list[tuple]:
-        return []
+    def exits(self, most_rows: int) -> list[tuple[int, int, bool]]:
+        """For each entry (next entry, batches since a key began or else since
+        the entry, whether a key began)."""
+        n = self.own
+        leave, many, began = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64), np.zeros(n, dtype=bool)
+        for i in range(n - 1, -1, -1):
+            j = int(self.succ[i])
+            if j >= n:
+                leave[i], many[i] = j - n, 1
+            else:
+                leave[i], began[i] = leave[j], began[j] or self.first[j]
+                many[i] = many[j] + (0 if began[i] else 1)
+        out = []
+        for entry in range(most_rows):
+            if entry >= n:  # a batch that jumps over a short last chunk
+                out.append((entry - n, 0, False))
+            else:
+                out.append((int(leave[entry]), int(many[entry]), bool(began[entry] or self.first[entry])))
+        return out
 
 
-def next_fit(rows: DataFrame, order: str, sizes: Sequence[str], limits: Sequence[int], most_rows: int, keys: Sequence[str], oversize: str = "error") -> DataFrame:
+def next_fit(rows: DataFrame, order: str, sizes: Sequence[str], limits: Sequence[int], most_rows: int, keys: Sequence[str], oversize: str = "error", chunk: int | None = None) -> DataFrame:
     """``rows`` with ``batch_no``, packed in order within ``keys``.
 
     A row joins the open batch unless it would pass one of the ``limits`` of
     its ``sizes``, or the batch has ``most_rows``. A row beyond a limit by
-    itself is an error, or stands alone (``oversize="alone"``). Each decision
-    needs the one before, so a key's rows pass one task in order; it sees keys,
-    order and sizes only, and holds one Arrow batch of them at a time. ``keys``
-    are not null; without any, all rows are one sequence.
+    itself is an error, or stands alone (``oversize="alone"``). Sizes are not
+    negative; ``keys`` are not null and may be none; (keys, order) is unique.
+
+    No task sees a whole key. All rows are numbered in the order of (keys,
+    order) and cut into chunks. A batch has at most ``most_rows`` rows, so the
+    batches that reach a chunk begin the next ones at one of its first
+    ``most_rows`` rows: a chunk is a map from such entries to those of the
+    next. Maps of 1, 2, 4, ... chunks are composed until each chunk's entry is
+    known; then all chunks are packed at the same time.
     """
     if len(sizes) != len(limits) or min([most_rows, *limits]) <= 0:
         raise ValueError("limits must be positive, one for each size")
+    spark = rows.sparkSession
+    chunk = max(chunk or CHUNK, most_rows)
     checked = rows
     if oversize == "error":
         for s, most in zip(sizes, limits):
             checked = checked.withColumn(s, F.when(F.col(s) <= most, F.col(s)).otherwise(F.raise_error(F.concat(F.lit(f"{s} over the limit of {most}: "), F.col(order)))))
     narrow = checked.select(*keys, order, *(F.col(s).cast("long").alias(s) for s in sizes))
-    dealt = fold_sorted(narrow, keys, order, lambda: _Packer(limits, most_rows), narrow.select(*keys, order, F.lit(0).alias("batch_no")).schema)
-    return rows.join(dealt, [*keys, order])
+    placed = ranked(narrow, [*keys, order]).withColumn("rank", F.col("rank") - 1)
+    placed = written(placed, "packing")
+    heads = placed.groupBy(*keys).agg(F.min("rank").alias("rank")) if keys else placed.agg(F.min("rank").alias("rank")).where("rank is not null")
+    marked = placed.join(heads.select("rank", F.lit(True).alias("first")), "rank", "left").withColumn("first", F.coalesce("first", F.lit(False)))
+    own = F.expr(f"rank div {chunk}")
+    reach = F.when((F.col("rank") % chunk < most_rows) & (F.col("rank") >= chunk), F.array(own, own - 1)).otherwise(F.array(own))
+    dealt = written(marked.select("rank", "first", *sizes, F.explode(reach).alias("chunk")), "packing")
+
+    def maps(pdf: pd.DataFrame) -> pd.DataFrame:
+        c = _Chunk(pdf, sizes, limits, most_rows, chunk)
+        out = pd.DataFrame([(i, *x) for i, x in enumerate(c.exits(most_rows))], columns=["entry", "leave", "many", "began"])
+        return out.assign(chunk=pdf["chunk"].iloc[0])
+
+    step = written(dealt.groupBy("chunk").applyInPandas(maps, "entry long, leave long, many long, began boolean, chunk long"), "packing")
+    last = placed.agg(F.coalesce(F.max("rank"), F.lit(-1))).first()[0] // chunk
+    known = spark.createDataFrame([(0, 0, 0)], "chunk long, entry long, many long")
+    span = 1
+    while span <= last:
+        reached = known.join(step, ["chunk", "entry"]).where(F.col("chunk") + span <= last)
+        new = reached.select((F.col("chunk") + span).alias("chunk"), F.col("leave").alias("entry"), F.when(step["began"], step["many"]).otherwise(known["many"] + step["many"]).alias("many"))
+        known = written(known.unionByName(new), "packing")
+        span *= 2
+        if span <= last:
+            after = step.select((F.col("chunk") - span // 2).alias("chunk"), F.col("entry").alias("leave"), F.col("leave").alias("_leave"), F.col("many").alias("_many"), F.col("began").alias("_began"))
+            many = F.when(F.col("_began"), F.col("_many")).otherwise(F.col("many") + F.col("_many"))
+            step = written(step.join(after, ["chunk", "leave"]).select("chunk", "entry", F.col("_leave").alias("leave"), many.alias("many"), (F.col("began") | F.col("_began")).alias("began")), "packing")
+
+    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
+        c = _Chunk(pdf, sizes, limits, most_rows, chunk)
+        begins = np.zeros(c.own, dtype=np.int64)
+        begins[c.walk(int(pdf["entry"].iloc[0]))] = 1
+        number = np.cumsum(begins) + int(pdf["many"].iloc[0])
+        # The first row of a key begins batch 1.
+        firsts = np.flatnonzero(c.first[: c.own])
+        base = np.concatenate([[0], number[firsts] - 1])
+        return pd.DataFrame({"rank": c.base + np.arange(c.own), "batch_no": number - base[np.searchsorted(firsts, np.arange(c.own), side="right")]})
+
+    entries = known.select("chunk", "entry", "many")
+    numbered = dealt.join(entries, "chunk").groupBy("chunk").applyInPandas(pack, "rank long, batch_no int")
+    return rows.join(placed.select(*keys, order, "rank").join(numbered, "rank").drop("rank"), [*keys, order])
 
 
 def text_batches(groups: DataFrame, keys: Sequence[str], limits: tuple[int, int, int] = TEXT_LIMITS, oversize: str = "error") -> DataFrame:

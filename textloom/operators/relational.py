@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import content_id, decode_style, style_leaf, text
+from .orders import ranked
 from .segments import first_of
 
 
@@ -93,13 +94,9 @@ def merge_rules(base: DataFrame, more: DataFrame, key: str = "id", order: str =
     b = more.select(key, F.col(order).alias("_b"), *(F.col(c).alias(f"_b_{c}") for c in rest), F.lit(True).alias("_in_b"))
     both = a.join(b, key, "full_outer")
     cols = [F.when(F.col("_in_b"), F.col(f"_b_{c}")).otherwise(F.col(f"_a_{c}")).alias(c) for c in rest]
-    return both.select(key, F.struct(F.coalesce("_in_a", F.lit(False)).alias("old"), F.coalesce("_a", "_b").alias("n")).alias("_o"), *cols).withColumn(order, F.row_number().over(_place())).drop("_o").select(*base.columns)
-
-
-def _place():
-    from pyspark.sql import Window as W
-
-    return W.orderBy(F.col("_o.old").desc(), "_o.n")
+    # Rules of the base first, in its order; then new ones in theirs.
+    placed = both.select(key, F.coalesce(~F.col("_in_a"), F.lit(True)).alias("_new"), F.coalesce("_a", "_b").alias("_n"), *cols)
+    return ranked(placed, ["_new", "_n", key], order).withColumn(order, F.col(order).cast("int")).select(*base.columns)
 
 
 def rule_set(rules: DataFrame, book: str, language: str) -> DataFrame:
@@ -133,14 +130,10 @@ def pattern_faults(rules: DataFrame) -> DataFrame:
     (tested by the engine that will run it)."""
     counted = rules.groupBy("rule_type", "id").agg(F.count("*").alias("n"))
     bad = counted.where("n > 1 or trim(id) = ''").select("rule_type", "id", F.lit("blank or repeated id").alias("fault"))
-    jvm = rules.sparkSession._jvm
-    wrong = []
-    for kind, ident, pattern in rules.select("rule_type", "id", "pattern").distinct().collect():
-        try:
-            jvm.java.util.regex.Pattern.compile(pattern)
-        except Exception:
-            wrong.append((kind, ident, "pattern does not compile"))
-    return bad.union(rules.sparkSession.createDataFrame(wrong, "rule_type string, id string, fault string"))
+    # The engine itself tries each pattern, in the tasks.
+    known = rules.select("rule_type", "id", "pattern").distinct()
+    wrong = known.where(F.try_reflect(F.lit("java.util.regex.Pattern"), F.lit("compile"), F.col("pattern")).isNull()).select("rule_type", "id", F.lit("pattern does not compile").alias("fault"))
+    return bad.union(wrong)
 
 
 def inventory_faults(inventory: DataFrame, files: DataFrame) -> DataFrame:

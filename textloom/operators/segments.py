@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ..functions.text import has_content, ordinal, text
+from .orders import filled_down
 
 
 def _upto(keys: Sequence[str], order: str = "row_no") -> W:
@@ -86,16 +87,26 @@ def style_runs(rows: DataFrame, kind: str, value: str, keys: Sequence[str], orde
 
 
 def fill_down(rows: DataFrame, columns: Sequence[str], keys: Sequence[str], order: str = "row_no") -> DataFrame:
-    """Blank cells take the last value above them."""
+    """Blank cells take the last value above them, within ``keys`` or, without
+    any, in the order of all rows (by ranges, not in one task)."""
+    blank = lambda c: F.nullif(F.trim(c), F.lit(""))
+    if not keys:
+        held = filled_down(rows.withColumns({c: blank(c) for c in columns}), columns, order)
+        return held.withColumns({c: F.coalesce(c, F.lit("")) for c in columns})
     w = _upto(keys, order)
     for c in columns:
-        rows = rows.withColumn(c, F.coalesce(F.last(F.nullif(F.trim(c), F.lit("")), ignorenulls=True).over(w), F.lit("")))
+        rows = rows.withColumn(c, F.coalesce(F.last(blank(c), ignorenulls=True).over(w), F.lit("")))
     return rows
 
 
 def section_of(rows: DataFrame, is_heading: Column, keys: Sequence[str], order: str = "row_no") -> DataFrame:
-    """``rows`` with ``in_section``: true from the heading row on."""
-    return rows.withColumn("in_section", F.max(F.when(is_heading, 1).otherwise(0)).over(_upto(keys, order)) == 1)
+    """``rows`` with ``in_section``: true from the heading row on. Without
+    ``keys`` all rows are one document, and its first heading is looked up."""
+    if not keys:
+        first = rows.where(is_heading).agg(F.min(order)).first()[0]
+        return rows.withColumn("in_section", F.lit(False) if first is None else F.coalesce(F.col(order) >= F.lit(first), F.lit(False)))
+    w = _upto(keys, order)
+    return rows.withColumn("in_section", F.max(F.when(is_heading, 1).otherwise(0)).over(w) == 1)
 
 
 #: Ranges of the upper level of a prefix sum.

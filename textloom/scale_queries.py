@@ -6,7 +6,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from .operators import glossary
+from .operators import glossary, intervals, packing
+from .operators.orders import filled_down, ranked
 from .queries import query, table
 
 # --- terms ------------------------------------------------------------------
@@ -72,3 +73,86 @@ def corpus_profile_delta(spark, sf_dir):
     old = entry(F.when(F.length("source") % 2 == 0, F.concat("source", F.lit("x"))).otherwise("other"))
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("group_id"), F.col("text").alias("source_text"), F.when(F.col("doc_id") % 2 == 0, "a thex").otherwise("").alias("target_text"))
     return glossary.select_for_delta(docs, glossary.changed_entries(new, old)).select(F.col("group_id").alias("doc_id"), "queried")
+
+
+# --- intervals --------------------------------------------------------------
+
+_SPANS = """
+WITH m AS (
+  SELECT l_orderkey, l_linenumber, l_suppkey % 50 AS story, date_diff('day', DATE '1970-01-01', l_shipdate::DATE) AS "start", date_diff('day', DATE '1970-01-01', l_shipdate::DATE) + l_linenumber AS "end", l_partkey % 9 = 0 AS credit FROM lineitem
+), r AS (
+  SELECT s_suppkey, s_suppkey % 50 AS story, 8000 + (s_suppkey * 7919) % 3000 AS "start", 8000 + (s_suppkey * 7919) % 3000 + (s_suppkey * s_suppkey) % 40 AS "end" FROM supplier
+)
+"""
+
+
+def _spans(spark, sf_dir):
+    """Matches of all order lines, and protected ranges of all suppliers."""
+    days = F.unix_date(F.to_date("l_shipdate"))
+    matches = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", (F.col("l_suppkey") % 50).alias("story"), days.alias("start"), (days + F.col("l_linenumber")).alias("end"), F.when(F.col("l_partkey") % 9 == 0, "Credits").otherwise("Body").alias("style"))
+    k = F.col("s_suppkey")
+    begin = 8000 + (k * 7919) % 3000
+    ranges = table(spark, sf_dir, "supplier").select("s_suppkey", (k % 50).alias("story"), begin.alias("start"), (begin + (k * k) % 40).alias("end"))
+    return matches, ranges
+
+
+@query(_SPANS + """
+SELECT l_orderkey, l_linenumber, m.story, CASE WHEN credit THEN 'style' WHEN EXISTS (SELECT 1 FROM r WHERE r.story = m.story AND r."start" < m."end" AND m."start" < r."end") THEN 'reference' END AS reason FROM m
+""")
+def match_range_protection(spark, sf_dir):
+    """Why matches may not change: style, or a range of another table."""
+    matches, ranges = _spans(spark, sf_dir)
+    return intervals.protected_matches(matches, ranges, ["story"], ["Credits"]).select("l_orderkey", "l_linenumber", "story", "reason")
+
+
+@query("""
+WITH e AS (SELECT event_id, user_id, epoch_us(ts) // 1000000 AS a, epoch_us(ts) // 1000000 + 1 + event_id % 7 * 3600 + CASE WHEN event_id % 101 = 0 THEN 5000000 ELSE 0 END AS b FROM events)
+SELECT x.event_id, count(*) AS n FROM e x JOIN e y ON x.user_id = y.user_id AND x.a < y.b AND y.a < x.b GROUP BY x.event_id
+""")
+def event_overlaps(spark, sf_dir):
+    """How many events of its user each event overlaps, short ones and some
+    of two months."""
+    a = F.unix_date(F.to_date("ts")).cast("long") * 86_400 + F.hour("ts") * 3600 + F.minute("ts") * 60 + F.second("ts")
+    k = F.col("event_id")
+    e = table(spark, sf_dir, "events").select("event_id", "user_id", a.alias("start"), (a + 1 + k % 7 * 3600 + F.when(k % 101 == 0, 5_000_000).otherwise(0)).alias("end"))
+    return intervals.overlap_counts(e, e, ["user_id"], ["event_id"]).select("event_id", "n")
+
+
+# --- orders -----------------------------------------------------------------
+
+
+@query("""
+SELECT doc_id, lang, n_chars, row_number() OVER (ORDER BY n_chars, lang, doc_id) AS place, coalesce(sum(n_chars) OVER (ORDER BY n_chars, lang, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before FROM documents
+""")
+def document_places(spark, sf_dir):
+    """Place of every document in an order of three columns, and the
+    characters before it."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
+    return ranked(d, ["n_chars", "lang", "doc_id"], "place", ["n_chars"]).select("doc_id", "lang", "n_chars", "place", F.col("before_n_chars").cast("long").alias("before"))
+
+
+@query("""
+SELECT o_orderkey, last_value(CASE WHEN o_custkey % 40 = 0 THEN o_orderpriority END IGNORE NULLS) OVER (ORDER BY o_orderkey) AS priority FROM orders
+""")
+def order_fill_down(spark, sf_dir):
+    """Sparse cells of one very long sheet, filled down."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.when(F.col("o_custkey") % 40 == 0, F.col("o_orderpriority")).alias("priority"))
+    return filled_down(o, ["priority"], "o_orderkey")
+
+
+# --- packing ----------------------------------------------------------------
+
+
+@query("""
+WITH RECURSIVE g AS (SELECT doc_id, n_chars AS c, len(string_split(text, chr(10)))::BIGINT AS s, row_number() OVER (ORDER BY doc_id) AS i FROM documents),
+f AS (SELECT doc_id, i, c, s, 1 AS n, 1 AS b FROM g WHERE i = 1
+  UNION ALL SELECT g.doc_id, g.i, CASE WHEN f.c + g.c > 24000 OR f.n >= 20 OR f.s + g.s > 300 THEN g.c ELSE f.c + g.c END, CASE WHEN f.c + g.c > 24000 OR f.n >= 20 OR f.s + g.s > 300 THEN g.s ELSE f.s + g.s END,
+    CASE WHEN f.c + g.c > 24000 OR f.n >= 20 OR f.s + g.s > 300 THEN 1 ELSE f.n + 1 END, f.b + CASE WHEN f.c + g.c > 24000 OR f.n >= 20 OR f.s + g.s > 300 THEN 1 ELSE 0 END
+  FROM f JOIN g ON g.i = f.i + 1)
+SELECT doc_id, b AS batch_no FROM f
+""")
+def corpus_packing(spark, sf_dir):
+    """All documents as one sequence, packed in order by many tasks."""
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("ord"), F.col("n_chars").alias("chars"), F.size(F.split("text", "\n", -1)).alias("segments"))
+    out = packing.next_fit(d, "ord", ["chars", "segments"], [24_000, 300], 20, [], oversize="alone", chunk=256)
+    return out.select(F.col("ord").alias("doc_id"), "batch_no")

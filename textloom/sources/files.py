@@ -18,19 +18,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import page_of
+from ..operators.orders import ranked
 
 
 def stories(spark: SparkSession, path: str, glob: str = "*.icml") -> DataFrame:
-    """(file_no, file_name, xml) of story files, numbered by page and name;
-    the byte-order mark is dropped."""
-    from pyspark.sql import Window as W
-
+    """(file_no, file_name, xml) of story files, numbered by page, name and
+    path; the byte-order mark is dropped. Files of one name in several folders
+    are files of their own."""
     found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(path)
     xml = F.regexp_replace(F.decode("content", "UTF-8"), r"\A\x{FEFF}", "")
-    named = found.select(F.element_at(F.split("path", "/"), -1).alias("file_name"), xml.alias("xml"))
-    # Numbers come from the names alone: one short row per file.
-    order = named.select("file_name").withColumn("file_no", F.row_number().over(W.orderBy(F.coalesce(page_of(F.col("file_name")), F.lit(999_999)), "file_name")) - 1)
-    return named.join(order, "file_name").select("file_no", "file_name", "xml")
+    name = F.element_at(F.split("path", "/"), -1)
+    # Numbers come from the paths alone.
+    named = found.select("path", name.alias("file_name"), F.coalesce(page_of(name), F.lit(999_999)).alias("page"))
+    order = ranked(named, ["page", "file_name", "path"], "file_no").select("path", "file_name", (F.col("file_no") - 1).cast("int").alias("file_no"))
+    return found.select("path", xml.alias("xml")).join(order, "path").select("file_no", "file_name", "xml")
 
 
 def hashed_files(spark: SparkSession, path: str, glob: str = "*", pattern: str | None = None, without: str | None = None) -> DataFrame:
@@ -131,6 +132,14 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return path
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Cut the lineage: write ``df`` to the shared folder and read it again.
+    Unlike a cached block, it survives the loss of an executor."""
+    path = shared_folder(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _put(url: str, data: bytes) -> None:
     """Write a whole file beside its place and move it there."""
     if "://" in url and not url.startswith("file:"):
