@@ -251,3 +251,12 @@ def test_rich_values():
     assert workbooks.rich_value({"richText": [{"text": "a"}, {"text": "b"}]}) == "ab"
     assert workbooks.rich_value({"result": 3}) == "3" and workbooks.rich_value(None) == ""
     assert workbooks.fill_right(["a", "", "b", ""]) == ["a", "a", "b", "b"]
+
+
+def test_stories_of_one_name_in_two_folders(spark, tmp_path):
+    for folder, text in (("a", "one"), ("b", "two")):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "Page_1.icml").write_text(text)
+    (tmp_path / "b" / "Page_0.icml").write_text("zero")
+    got = files.stories(spark, str(tmp_path)).orderBy("file_no").collect()
+    assert [(r.file_no, r.file_name, r.xml) for r in got] == [(0, "Page_0.icml", "zero"), (1, "Page_1.icml", "one"), (2, "Page_1.icml", "two")]

@@ -268,7 +268,7 @@ def rule_run_plan(spark, sf_dir):
 _FORMAT_NAMES = ["Image", "In the text", "Credits", "Other"]
 
 
-def _layout(spark, sf_dir):
+def _layout(spark, sf_dir, include=None):
     c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("format_id"))
     k = F.col("format_id")
     name = F.get(F.array(*map(F.lit, _FORMAT_NAMES)), (k % 4).cast("int"))
@@ -277,7 +277,7 @@ def _layout(spark, sf_dir):
     formats = c.select("format_id", name.alias("name"), F.size(literal).alias("blocks"))
     each = c.select("format_id", F.size(literal).alias("n"), F.posexplode(literal).alias("pos", "b")).where(~(every(k, 7) & (F.col("pos") == F.col("n") - 1)))
     custom = F.col("b.type") == audit.CUSTOM
-    blocks = each.select("format_id", "pos", F.col("b.type").alias("type"), F.when(every(k, 5) & custom, "old").otherwise(F.col("b.text")).alias("text"), F.when(every(k, 11) & ~custom, "x").otherwise(F.col("b.delimiter")).alias("delimiter"))
+    blocks = each.select("format_id", "pos", F.col("b.type").alias("type"), F.when(every(k, 5) & custom, "old").otherwise(F.col("b.text")).alias("text"), F.when(every(k, 11) & ~custom, "x").otherwise(F.col("b.delimiter")).alias("delimiter"), *([include.alias("include_delimiter")] if include is not None else []))
     fits = F.when(k % 4 >= 2, "Bild:").otherwise(f"(Siehe Bild, S.{NBSP}3.)")
     both = F.array(F.struct((k * 2).alias("ref_id"), fits.alias("text"), F.when(every(k, 6), "p/Credits").otherwise("s").alias("style")), F.struct((k * 2 + 1).alias("ref_id"), F.lit("wrong").alias("text"), F.when(k % 6 <= 1, "p/Credits").otherwise("s").alias("style")))
     refs = c.select("format_id", F.explode(both).alias("r")).select("r.ref_id", "format_id", "r.text", "r.style")
@@ -485,16 +485,15 @@ def collision_contract(spark, sf_dir):
 
 
 @query("""
-SELECT 'length' AS list, p_name || ' ' || p_partkey AS source FROM (FROM part ORDER BY length(p_name || ' ' || p_partkey) DESC, p_partkey LIMIT 20)
-UNION ALL SELECT 'kind', p_name || ' ' || p_partkey FROM (FROM part ORDER BY p_partkey % 2 = 0 DESC, length(p_name || ' ' || p_partkey) DESC, p_partkey LIMIT 20)
+SELECT p_name || ' ' || p_partkey AS source, row_number() OVER (ORDER BY length(p_name || ' ' || p_partkey) DESC, p_partkey) AS by_length,
+  row_number() OVER (ORDER BY p_partkey % 2 = 0 DESC, length(p_name || ' ' || p_partkey) DESC, p_partkey) AS by_kind FROM part
 """)
 def glossary_orders(spark, sf_dir):
-    """The first twenty sources of each order of replacement: the top of the
-    list is the feature."""
+    """Place of every source in both orders of replacement."""
     p = table(spark, sf_dir, "part")
     rows = p.select(cat(F.col("p_name"), " ", F.col("p_partkey")).alias("source"), F.when(every(F.col("p_partkey"), 2), "acronym").otherwise("word").alias("kind"), F.col("p_partkey").alias("ord"))
-    first = lambda df, name: df.limit(20).select(F.lit(name).alias("list"), "source")
-    return first(glossary.by_length(rows), "length").union(first(glossary.replacement_order(rows), "kind"))
+    out = glossary.placed(glossary.placed(rows, "by_length"), "by_kind", acronyms_first=True)
+    return out.select("source", "by_length", "by_kind")
 
 
 @query(_PART + """
@@ -545,11 +544,11 @@ def default_profiles(spark, sf_dir):
 
 
 @query("""
-SELECT p_brand AS family, array_to_string(list_sort(list_distinct(list('S' || p_size % 2))), ',') AS signatures FROM part WHERE p_partkey % 2 = 0 GROUP BY 1 HAVING count(DISTINCT p_size % 2) > 1
+SELECT p_brand AS family, array_to_string(list_sort(list_distinct(list('S' || p_size % 2))), ',') AS signatures FROM part GROUP BY 1 HAVING count(DISTINCT p_size % 2) > 1
 """)
 def family_signatures(spark, sf_dir):
     """Families that are declared with several signatures."""
-    p = table(spark, sf_dir, "part").where("p_partkey % 2 = 0").select(F.col("p_brand").alias("family"), cat("S", F.col("p_size") % 2).alias("signature"))
+    p = table(spark, sf_dir, "part").select(F.col("p_brand").alias("family"), cat("S", F.col("p_size") % 2).alias("signature"))
     return validation.signature_conflicts(p).withColumn("signatures", F.array_join("signatures", ","))
 
 
@@ -1211,8 +1210,11 @@ def next_batches(spark, sf_dir):
 
 
 @query("""
-SELECT * FROM (VALUES ('English', 'en', '.'), ('French', 'fr', ','), ('German', 'de', ','), ('Spanish', 'es', ','), ('Portuguese', 'pt', ','), ('Dutch', 'nl', ','), ('Italian', 'it', ','), ('Turkish', 'tr', ','), ('Polish', 'pl', ','), ('Swedish', 'sv', ',')) v(language, code, "decimal")
+WITH v(language, code, "decimal") AS (VALUES ('English', 'en', '.'), ('French', 'fr', ','), ('German', 'de', ','), ('Spanish', 'es', ','), ('Portuguese', 'pt', ','), ('Dutch', 'nl', ','), ('Italian', 'it', ','), ('Turkish', 'tr', ','), ('Polish', 'pl', ','), ('Swedish', 'sv', ','))
+SELECT language, code, "decimal", count(doc_id) AS n_documents, coalesce(sum(n_chars), 0)::BIGINT AS n_chars FROM v LEFT JOIN documents ON lang = code GROUP BY ALL
 """)
 def locale_settings(spark, sf_dir):
-    """Languages that have typography, with code and decimal mark."""
-    return typography.locale_table(spark).select("language", "code", "decimal")
+    """Languages that have typography, and the documents each applies to."""
+    d = table(spark, sf_dir, "documents").groupBy(F.col("lang").alias("code")).agg(F.count("*").alias("n_documents"), F.sum("n_chars").alias("n_chars"))
+    locales = typography.locale_table(spark).select("language", "code", "decimal")
+    return locales.join(d, "code", "left").na.fill(0, ["n_documents", "n_chars"]).select("language", "code", "decimal", "n_documents", "n_chars")

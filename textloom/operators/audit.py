@@ -160,7 +160,10 @@ def layout_plan(formats: DataFrame, blocks: DataFrame, references: DataFrame, la
     """(formats, references) with what must change.
 
     ``formats`` (format_id, name; blocks: how many it declares, may be
-    absent), ``blocks`` (format_id, pos, type, text, delimiter), ``references``
+    absent), ``blocks`` (format_id, pos, type, text, delimiter, and
+    include_delimiter, which may be absent: a block with a delimiter must not
+    include it, "false" in the column, else it is of another structure),
+    ``references``
     (ref_id, format_id, text, style). Every fact about a format in use is a
     row of its own, and the row of the highest rank names its ``action``:
     protected (all its references are), an error text (shared with protected
@@ -171,7 +174,9 @@ def layout_plan(formats: DataFrame, blocks: DataFrame, references: DataFrame, la
     "style not inspected".
     """
     block = F.struct(*(text(F.col(c)).alias(c) for c in ("type", "text", "delimiter")))
-    have = blocks.groupBy("format_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", block.alias("b")))), lambda x: x["b"]).alias("have"))
+    keeps = text(F.col("include_delimiter").cast("string")) if "include_delimiter" in blocks.columns else F.lit("false")
+    listed = F.array_sort(F.collect_list(F.struct("pos", block.alias("b"), keeps.alias("include"))))
+    have = blocks.groupBy("format_id").agg(F.transform(listed, lambda x: x["b"]).alias("have"), F.transform(listed, lambda x: x["include"]).alias("included"))
     guarded = F.coalesce(F.col("style").isin(*protected) | F.substring_index("style", "/", -1).isin(*protected), F.lit(False)) if protected else F.lit(False)
     refs = references.withColumn("is_protected", guarded)
     used = refs.groupBy("format_id").agg(F.bool_and("is_protected").alias("all_protected"), F.bool_or("is_protected").alias("any_protected"))
@@ -185,6 +190,7 @@ def layout_plan(formats: DataFrame, blocks: DataFrame, references: DataFrame, la
         (F.col("want").isNull(), "no template for this format"),
         ((F.size("have") != F.size("want")) | (declared != F.size("have")), "count of blocks differs"),
         (shape("have") != shape("want"), "structure differs"),
+        (F.exists(F.zip_with("want", "included", lambda b, x: (b["delimiter"] != "") & (x != "false")), lambda bad: bad), "structure differs"),
         (F.col("have") != F.col("want"), "edit"),
         (F.lit(True), "keep"),
     ]

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ..functions.text import WORD, count_exact, fold, plain_punctuation, term_pattern, text, trim
+from .orders import ranked
 from .segments import first_of
 from .term_automaton import FOLD_FROM, FOLD_TO, Applying, AsciiPairs, Claims
 
@@ -90,6 +91,13 @@ def replacement_order(rows: DataFrame) -> DataFrame:
     return rows.orderBy((F.col("kind") == "acronym").desc(), F.length("source").desc(), "ord")
 
 
+def placed(rows: DataFrame, name: str, acronyms_first: bool = False) -> DataFrame:
+    """``rows`` with the place (1, 2, ...) of each in the order of
+    ``by_length`` or ``replacement_order``, by ranges and not in one task."""
+    keyed = rows.withColumn("_kind", F.col("kind") != "acronym" if acronyms_first else F.lit(False)).withColumn("_short", -F.length("source"))
+    return ranked(keyed, ["_kind", "_short", "ord"], name).drop("_kind", "_short")
+
+
 def ambiguities(compiled: DataFrame) -> DataFrame:
     """Case folds with several sources."""
     pair = F.array_sort(F.collect_list(F.struct("source", "target")))

@@ -78,6 +78,22 @@ def select_styles(paragraphs: DataFrame, selectors: Sequence[str]) -> tuple[Data
     return found, faults.where("fault is not null").select("selector", "fault")
 
 
+def catalog_choice(catalog: DataFrame, wanted: DataFrame, key: str = "slug") -> DataFrame:
+    """(key, state) of each wanted entry: "chosen" if the ``catalog`` (key,
+    visibility, upgrade) lists it exactly once, visibly and without a successor;
+    else "absent", "repeated", "hidden" or "superseded". No other entry takes
+    the place of one that is not chosen."""
+    listed = catalog.groupBy(key).agg(F.count("*").alias("n"), F.min("visibility").alias("visibility"), F.max(text(F.col("upgrade"))).alias("upgrade"))
+    state = (
+        F.when(F.col("n").isNull(), "absent")
+        .when(F.col("n") > 1, "repeated")
+        .when(~F.col("visibility").eqNullSafe(F.lit("list")), "hidden")
+        .when(F.col("upgrade") != "", "superseded")
+        .otherwise("chosen")
+    )
+    return wanted.select(key).distinct().join(listed, key, "left").select(key, state.alias("state"))
+
+
 # --- rule sets --------------------------------------------------------------
 
 

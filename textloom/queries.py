@@ -860,4 +860,4 @@ def text_repairs(spark, sf_dir):
     return n.select("k", tx.repair_mojibake(F.concat(F.lit("Ã©"), "name")).alias("repaired"), markup.escape_xml(F.concat(F.lit("a < b & <b>"), "name", F.lit("</b>&amp;"))).alias("escaped"))
 
 
-from . import contract_queries, scale_queries  # noqa: E402, F401 - register their queries here
+from . import contract_queries, entry_queries, scale_queries  # noqa: E402, F401 - register their queries here

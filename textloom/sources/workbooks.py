@@ -194,6 +194,15 @@ def rich_value(value: object) -> str:
     return str(value)
 
 
+def rich_text(cell: Column) -> Column:
+    """Flattened text of a cell given as JSON: runs of rich text joined, else
+    the text of a link or the result of a formula; other cells as they are."""
+    value = F.from_json(cell, "struct<richText:array<struct<text:string>>,text:string,result:string>")
+    runs = F.array_join(F.transform(value["richText"], lambda r: F.coalesce(r["text"], F.lit(""))), "")
+    flat = F.when(value["richText"].isNotNull(), runs).otherwise(F.coalesce(value["text"], value["result"], F.lit("")))
+    return F.when(F.ltrim(cell).startswith("{"), flat).otherwise(F.coalesce(cell, F.lit("")))
+
+
 def to_frame(spark: SparkSession, rows: Sequence[tuple], ddl: str) -> DataFrame:
     return spark.createDataFrame(list(rows), T._parse_datatype_string(ddl))
 
