@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 # White space as the text contracts define it (Unicode space
 # separators, line and paragraph separators, no-break space, byte-order mark).
 SPACE = r"\t\n\x0B\f\r \x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}"
+#: The same as characters, for built-in trimming, which looks at the ends only.
+SPACES = "\t\n\x0b\f\r \xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000\ufeff"
 WORD = r"\p{L}\p{M}\p{N}_"
 BREAK = r"\r\n|[\r\n\x{2028}\x{2029}]"
 ERROR_LITERALS = ["#NULL!", "#DIV/0!", "#VALUE!", "#REF!", "#NAME?", "#NUM!", "#N/A"]
@@ -46,7 +48,7 @@ def has_content(c: Column) -> Column:
 
 def trim(c: Column) -> Column:
     """Trim all of SPACE, not only U+0020."""
-    return F.regexp_replace(text(c), rf"\A[{SPACE}]+|[{SPACE}]+\z", "")
+    return F.btrim(text(c), F.lit(SPACES))
 
 
 def trimmed_cell(c: Column) -> Column:
@@ -102,17 +104,21 @@ def is_pending(source: Column, target: Column) -> Column:
 def outer_whitespace(c: Column) -> Column:
     """struct(leading, core, trailing) that concatenates to the text."""
     t = text(c)
-    lead = F.regexp_extract(t, rf"\A[{SPACE}]*", 0)
-    rest = F.substring(t, F.length(lead) + 1, F.length(t))
-    tail = F.regexp_extract(rest, rf"[{SPACE}]*\z", 0)
-    core = F.substring(rest, F.lit(1), F.length(rest) - F.length(tail))
-    return F.struct(lead.alias("leading"), core.alias("core"), tail.alias("trailing"))
+    lead, tail = _ends(t, SPACES)
+    return F.struct(lead.alias("leading"), trim(t).alias("core"), F.when(trim(t) == "", F.lit("")).otherwise(tail).alias("trailing"))
+
+
+def _ends(t: Column, chars: str) -> tuple[Column, Column]:
+    """What ``t`` begins and ends with of these characters."""
+    lead = F.length(t) - F.length(F.ltrim(t, F.lit(chars)))
+    tail = F.length(t) - F.length(F.rtrim(t, F.lit(chars)))
+    return F.substring(t, F.lit(1), lead), F.substring(t, F.length(t) - tail + 1, tail)
 
 
 def boundary_whitespace(c: Column) -> Column:
     """struct(leading, trailing) of ASCII blanks and breaks only."""
-    t = text(c)
-    return F.struct(F.regexp_extract(t, r"\A[ \t\r\n]*", 0).alias("leading"), F.regexp_extract(t, r"[ \t\r\n]*\z", 0).alias("trailing"))
+    lead, tail = _ends(text(c), " \t\r\n")
+    return F.struct(lead.alias("leading"), tail.alias("trailing"))
 
 
 # --- line breaks ------------------------------------------------------------
@@ -123,6 +129,15 @@ def line_breaks(c: Column) -> Column:
     return F.regexp_extract_all(text(c), F.lit(BREAK), F.lit(0))
 
 
+def same_breaks(a: Column, b: Column) -> Column:
+    """Whether the separators of two texts are equal. Where both have line
+    feeds only, their numbers tell."""
+    a, b = text(a), text(b)
+    other = lambda t: t.contains("\r") | t.contains("\u2028") | t.contains("\u2029")
+    feeds = lambda t: F.length(t) - F.length(F.replace(t, F.lit("\n"), F.lit("")))
+    return F.when(a == b, True).when(other(a) | other(b), line_breaks(a) == line_breaks(b)).otherwise(feeds(a) == feeds(b))
+
+
 def to_lf(c: Column) -> Column:
     return F.regexp_replace(text(c), r"\r\n?", "\n")
 

@@ -8,6 +8,7 @@ strings of its own, and is what the column form is tested against.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import lru_cache
 
 import pandas as pd
@@ -83,7 +84,7 @@ MATRIX_UNITS = "mm cm m km mg g kg in ft yd mi s min MOA mil".split()
 OPERATORS = "+−×÷=≠≈<>≤≥±"
 FRACTIONS = "½⅓⅔¼¾⅕⅖⅗⅘⅙⅚⁄"
 #: Literal syntax that no rule may touch.
-LITERAL = r"(?s:<\?.*?\?>)|</?[A-Za-z][^>]*>|&(?:#[0-9]+|#x[0-9A-Fa-f]+|[A-Za-z]+);" rf"|(?:https?://|www\.)[^{SPACE}<>]+|[A-Za-z0-9_.+-]+@[A-Za-z0-9_.-]+\.[A-Za-z]+|⟦[^⟧]+⟧|__lock_[A-Za-z0-9_]+__"
+LITERAL = r"(?s:<\?.*?\?>)|</?[A-Za-z][^>]*>|&(?:#[0-9]+|#x[0-9A-Fa-f]+|[A-Za-z]+);" rf"|(?:https?://|www\.)[^{SPACE}<>]+|(?<![A-Za-z0-9_.+-])[A-Za-z0-9_.+-]++@[A-Za-z0-9_.-]+\.[A-Za-z]+|⟦[^⟧]+⟧|__lock_[A-Za-z0-9_]+__"
 MASK = "\ue100"
 
 _GAP, _WIDE = r"[ \x{A0}\x{202F}]", r"[ \x{A0}\x{2009}\x{202F}]"
@@ -234,10 +235,12 @@ def _normalised(t: Column, language: str) -> Column:
     return F.when(~relevant, t).when(literal, with_mask).otherwise(ruled(t))
 
 
-def normalise_by(c: Column, language: Column) -> Column:
-    """Typography by a language column; unknown languages keep the text."""
+def normalise_by(c: Column, language: Column, languages: Sequence[str] | None = None) -> Column:
+    """Typography by a language column; unknown languages keep the text.
+    ``languages`` may name those that occur: the others' rules then are no
+    part of the expression."""
     out = text(c)
-    for name in LOCALES:
+    for name in LOCALES if languages is None else map(language_of, languages):
         out = F.when(F.lower(F.trim(language)) == name.lower(), normalise(c, name)).otherwise(out)
     return out
 

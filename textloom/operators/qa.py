@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ..functions import markup
-from ..functions.text import boundary_whitespace, content_id, count_exact, is_blank, line_breaks, text, trim
+from ..functions.text import boundary_whitespace, content_id, count_exact, is_blank, same_breaks, text, trim
 from ..functions.typography import is_untidy, normalise_by
 from .glossary import contains_target
 from .segments import composites
@@ -76,11 +76,15 @@ def eligible(pairs: DataFrame, phrases: Sequence[str] = ()) -> Column:
     return ~F.col("is_protected") & F.col("panel_text").isNull() & (F.length(markup.visible_letters(seen)) >= 4)
 
 
-def row_issues(pairs: DataFrame, keys: Sequence[str] = (), language: str | Column | None = None, forbidden: Sequence[tuple[str, str, str]] = (), preserved: Sequence[tuple[str, str]] = ()) -> DataFrame:
+def row_issues(pairs: DataFrame, keys: Sequence[str] = (), language: str | Column | None = None, forbidden: Sequence[tuple[str, str, str]] = (), preserved: Sequence[tuple[str, str]] = (), languages: Sequence[str] | None = None) -> DataFrame:
     """Issues of all rules that look at one row pair. ``language`` is a name, or
-    a column of names; rows of an unknown one have no typography rule."""
+    a column of names, of which ``languages`` may list those that occur; rows of
+    an unknown one have no typography rule."""
     s, o = F.col("s_content"), F.col("o_content")
     free = ~F.col("is_protected") & F.col("panel_text").isNull()
+    # Inventories are taken of texts that differ only, and letters are counted
+    # of texts that do not.
+    differ = s != o
     checks: list[tuple] = [  # code, condition, message, and a column other than the rule's
         ("MISSING_CONTENT_ID", F.col("content_id") == "", F.lit("row has no content id")),
         ("DUPLICATE_CONTENT_ID", F.col("first_row") < F.col("row_no"), F.concat(F.lit("content id of row "), F.col("first_row").cast("string"))),
@@ -89,15 +93,15 @@ def row_issues(pairs: DataFrame, keys: Sequence[str] = (), language: str | Colum
         ("PANEL_REFERENCE_CACHE_CHANGED", F.col("panel_text").isNotNull() & (o != F.col("panel_text")), F.lit("generated reference text differs")),
         ("PROTECTED_SOURCE_TEXT_CHANGED", F.col("is_protected") & (s != o), F.lit("protected text differs")),
         ("BLANK_TRANSLATION", ~is_blank(s) & is_blank(o), F.lit("translation is blank")),
-        ("PROCESSING_INSTRUCTION_CHANGED", markup.instructions(s) != markup.instructions(o), F.lit("processing instructions differ")),
-        ("MARKUP_CHANGED", markup.tags(s) != markup.tags(o), F.lit("markup elements differ")),
-        ("LINE_BREAK_CHANGED", line_breaks(s) != line_breaks(o), F.lit("line breaks differ")),
-        ("BOUNDARY_WHITESPACE_CHANGED", boundary_whitespace(s) != boundary_whitespace(o), F.lit("outer white space differs")),
-        ("DOUBLE_ESCAPED_ENTITY", markup.double_escaped(o), F.lit("entity is escaped twice")),
-        ("UNCHANGED_SOURCE_TEXT", eligible(pairs, [p for _, p in preserved]) & (trim(s) == trim(o)), F.lit("text is unchanged")),
+        ("PROCESSING_INSTRUCTION_CHANGED", differ & (s.contains("<?") | o.contains("<?")) & (markup.instructions(s) != markup.instructions(o)), F.lit("processing instructions differ")),
+        ("MARKUP_CHANGED", differ & (s.contains("<") | o.contains("<")) & (markup.tags(s) != markup.tags(o)), F.lit("markup elements differ")),
+        ("LINE_BREAK_CHANGED", differ & ~same_breaks(s, o), F.lit("line breaks differ")),
+        ("BOUNDARY_WHITESPACE_CHANGED", differ & (boundary_whitespace(s) != boundary_whitespace(o)), F.lit("outer white space differs")),
+        ("DOUBLE_ESCAPED_ENTITY", o.contains("&") & markup.double_escaped(o), F.lit("entity is escaped twice")),
+        ("UNCHANGED_SOURCE_TEXT", (trim(s) == trim(o)) & eligible(pairs, [p for _, p in preserved]), F.lit("text is unchanged")),
     ]
     if language is not None:
-        untidy = normalise_by(o, language) != o if isinstance(language, Column) else is_untidy(o, language)
+        untidy = normalise_by(o, language, languages) != o if isinstance(language, Column) else is_untidy(o, language)
         checks.append(("EDITORIAL_TYPOGRAPHY", free & untidy, F.lit("typography differs from the language's")))
     for rule, pattern, message in forbidden:
         checks.append(("BOOK_INSTRUCTION_FORBIDDEN_TARGET", free & o.rlike(pattern), F.lit(message or f"forbidden by {rule}")))

@@ -389,7 +389,7 @@ def qa_all_row_rules(spark, sf_dir):
     """Issues of all row rules on whole documents, by language; some rows have
     no content id, some are protected, and some show a panel's text."""
     language = F.create_map(*(F.lit(x) for kv in QA_LANGUAGES.items() for x in kv))[F.col("lang")]
-    return qa.row_issues(_row_pairs(spark, sf_dir), ["lang"], language, QA_FORBIDDEN, QA_PRESERVED).groupBy("lang", "code", "severity").agg(F.count("*").alias("n"))
+    return qa.row_issues(_row_pairs(spark, sf_dir), ["lang"], language, QA_FORBIDDEN, QA_PRESERVED, list(QA_LANGUAGES.values())).groupBy("lang", "code", "severity").agg(F.count("*").alias("n"))
 
 
 @query(_PAIRS.replace("replace(s, 'Text', ' ')", "s") + """
