@@ -125,3 +125,24 @@ def catalog_choices(spark, sf_dir):
     times = F.when(every(k, 6), F.array().cast("array<int>")).when(every(k, 6, 1), F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
     catalog = c.select(name, F.when(every(k, 6, 2), "hide").otherwise("list").alias("visibility"), F.when(every(k, 6, 3), "m9").alias("upgrade"), F.explode(times))
     return relational.catalog_choice(catalog.drop("col"), c.select(name))
+
+
+@query("""
+SELECT c_custkey // 500 AS book, c_custkey % 500 + 2 AS "row", 2 AS "column", 'text' AS kind, c_name AS value FROM customer WHERE c_custkey % 500 < 399 AND (c_custkey // 500) % 3 <> 2
+UNION ALL SELECT c_custkey // 500, c_custkey % 500 + 2, 1, 'text', 'p' || c_custkey FROM customer WHERE c_custkey % 500 < 399 AND (c_custkey // 500) % 3 <> 2
+""")
+def sheet_cells(spark, sf_dir):
+    """Cells of the first 400 rows of the sheets of one name, in workbooks that
+    tasks wrote; the name and the bound reach the source."""
+    from .contract_queries import _bound
+    from .sources.sheet_source import sheets
+
+    k = F.col("c_custkey")
+    books = _bound(table(spark, sf_dir, "customer"), 500, "c_custkey", cat("p", k), F.col("c_name"))
+    folder = files.shared_folder(spark, "sheets")
+    head = F.array(F.array(F.lit("id"), F.lit("name")))
+    for name, at in (("Sheet1", [0, 1]), ("Other", [2])):
+        made = books.where((F.col("book") % 3).isin(at)).select(cat("book_", F.col("book"), ".xlsx").alias("name"), F.concat(head, "rows").alias("rows"))
+        workbooks.write_workbooks(made, folder, sheet=name)
+    found = sheets(spark, folder).where("sheet = 'Sheet1' AND row <= 400 AND row > 1")
+    return found.select(F.regexp_extract("path", "book_([0-9]+)", 1).cast("long").alias("book"), F.col("row").cast("long").alias("row"), "column", "kind", "value")

@@ -250,12 +250,12 @@ def literal_workbook(rows: Sequence[Sequence[str | None]], sheet: str = "Sheet1"
     return held.getvalue()
 
 
-def write_workbooks(books: DataFrame, folder: str) -> int:
+def write_workbooks(books: DataFrame, folder: str, sheet: str = "Sheet1") -> int:
     """Write books (name, rows: arrays of cells in order) as literal workbooks
     into a shared folder; returns how many."""
 
     @F.pandas_udf("binary")
     def made(rows: pd.Series) -> pd.Series:
-        return pd.Series([literal_workbook([list(r) for r in book]) for book in rows], dtype=object)
+        return pd.Series([literal_workbook([list(r) for r in book], sheet) for book in rows], dtype=object)
 
     return write_files(books.select("name", made.asNondeterministic()("rows").alias("content")), folder)
