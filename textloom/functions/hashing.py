@@ -59,3 +59,34 @@ def set_hash(files: DataFrame, path: str = "path", digest: str = "sha256", *, ke
     narrow = files.select(*keys, F.col(path).alias("path"), line.alias("line")).where(F.col("line").isNotNull())
     schema = narrow.select(*keys, F.lit(0).cast("long").alias("n_files"), F.lit("").alias("set_sha256")).schema
     return fold_sorted(narrow, keys, "path", _SetHash, schema)
+
+
+def set_tree(files: DataFrame, path: str = "path", digest: str = "sha256", leaf_bits: int = 12, *, keys: Sequence[str]) -> DataFrame:
+    """(keys, leaf, n_files, sha256): file sets as trees of two levels, beside
+    the flat hash. A file's leaf is given by the first ``leaf_bits`` bits (up
+    to 16) of its path's SHA-256, so a file that comes or goes changes one
+    leaf. A leaf's hash is that of its sorted lines path, NUL, hash, LF; many
+    tasks make the leaves of one set. Rows without a path or hash are left out.
+    """
+    line = F.concat(F.col(path), F.lit("\x00"), F.col(digest), F.lit("\n"))
+    leaf = F.shiftright(F.conv(F.substring(F.sha2(F.col(path), 256), 1, 4), 16, 10).cast("int"), 16 - leaf_bits)
+    narrow = files.select(*keys, leaf.alias("leaf"), line.alias("line")).where(F.col("line").isNotNull())
+    lines = F.array_join(F.array_sort(F.collect_list("line")), "")
+    return narrow.groupBy(*keys, "leaf").agg(F.count("*").alias("n_files"), F.upper(F.sha2(lines, 256)).alias("sha256"))
+
+
+def tree_roots(tree: DataFrame, *, keys: Sequence[str]) -> DataFrame:
+    """(keys, n_files, set_sha256): the hash of each set's sorted lines leaf,
+    NUL, hash, LF; at most one line for each leaf."""
+    item = F.struct("leaf", F.concat(F.col("leaf").cast("string"), F.lit("\x00"), F.col("sha256"), F.lit("\n")).alias("line"))
+    lines = F.array_join(F.transform(F.array_sort(F.collect_list(item)), lambda x: x["line"]), "")
+    return tree.groupBy(*keys).agg(F.sum("n_files").alias("n_files"), F.upper(F.sha2(lines, 256)).alias("set_sha256"))
+
+
+def changed_leaves(old: DataFrame, new: DataFrame, *, keys: Sequence[str]) -> DataFrame:
+    """(keys, leaf, state): leaves that only one of two trees has (added,
+    removed) or whose hashes differ (changed); only their files need be read
+    again."""
+    a, b = (t.select(*keys, "leaf", F.col("sha256").alias(n)) for t, n in ((old, "_old"), (new, "_new")))
+    state = F.when(F.col("_old").isNull(), "added").when(F.col("_new").isNull(), "removed").when(F.col("_old") != F.col("_new"), "changed")
+    return a.join(b, [*keys, "leaf"], "full_outer").select(*keys, "leaf", state.alias("state")).where("state is not null")

@@ -6,6 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .functions import hashing
 from .operators import glossary, intervals, packing
 from .operators.orders import filled_down, ranked
 from .queries import query, table
@@ -156,3 +157,35 @@ def corpus_packing(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("ord"), F.col("n_chars").alias("chars"), F.size(F.split("text", "\n", -1)).alias("segments"))
     out = packing.next_fit(d, "ord", ["chars", "segments"], [24_000, 300], 20, [], oversize="alone", chunk=256)
     return out.select(F.col("ord").alias("doc_id"), "batch_no")
+
+
+# --- trees of hashes --------------------------------------------------------
+
+_TREE = """
+WITH f AS (SELECT o_custkey % 5 AS book, 'part/' || o_orderkey || '.ai' AS path, sha256(o_orderkey::VARCHAR || '{0}') AS h FROM orders WHERE {1}),
+l AS (SELECT book, ('0x' || substr(sha256(path), 1, 2))::INT AS leaf, count(*) AS n, upper(sha256(string_agg(path || chr(0) || h || chr(10), '' ORDER BY path))) AS h FROM f GROUP BY 1, 2)
+"""
+
+
+def _tree(spark, sf_dir, tail="", keep="true"):
+    o = table(spark, sf_dir, "orders").where(keep)
+    f = o.select((F.col("o_custkey") % 5).alias("book"), F.concat(F.lit("part/"), "o_orderkey", F.lit(".ai")).alias("path"), F.sha2(F.concat(F.col("o_orderkey").cast("string"), F.lit(tail)), 256).alias("sha256"))
+    return hashing.set_tree(f, leaf_bits=8, keys=["book"])
+
+
+@query(_TREE.format("", "true") + """
+SELECT book, sum(n)::BIGINT AS n_files, upper(sha256(string_agg(leaf || chr(0) || h || chr(10), '' ORDER BY leaf))) AS set_sha256 FROM l GROUP BY book
+""")
+def set_tree_hash(spark, sf_dir):
+    """Hashes of five large file sets, each from the leaves of a tree."""
+    return hashing.tree_roots(_tree(spark, sf_dir), keys=["book"])
+
+
+@query("""
+WITH f AS (SELECT o_custkey % 5 AS book, ('0x' || substr(sha256('part/' || o_orderkey || '.ai'), 1, 2))::INT AS leaf, o_orderkey % 997 = 3 AS gone FROM orders),
+g AS (SELECT book, leaf, bool_or(gone) AS hit, bool_and(gone) AS whole FROM f GROUP BY 1, 2)
+SELECT book, leaf, CASE WHEN whole THEN 'removed' ELSE 'changed' END AS state FROM g WHERE hit
+""")
+def set_tree_changes(spark, sf_dir):
+    """Leaves to read again after some files of the sets have gone."""
+    return hashing.changed_leaves(_tree(spark, sf_dir), _tree(spark, sf_dir, keep="o_orderkey % 997 <> 3"), keys=["book"])
