@@ -63,14 +63,10 @@ class TermAutomaton:
         if by_words:
             self.automaton.make_automaton()
 
-    def cut(self, text: str) -> tuple[list[int], list[int], list[int]]:
-        """Numbers of the text's words (0: in no term), starts and ends."""
-        numbers, starts, ends = [], [], []
-        for m in self.words.finditer(self.fold(text)):
-            numbers.append(self.numbers.get(m[0], 0))
-            starts.append(m.start())
-            ends.append(m.end())
-        return numbers, starts, ends
+    def cut(self, text: str) -> tuple[list[int], list[int]]:
+        """Numbers of the text's words (0: in no term), and where they begin."""
+        found, number = list(self.words.finditer(self.fold(text))), self.numbers.get
+        return [number(m[0], 0) for m in found], [m.start() for m in found]
 
     def hits(self, numbers: Sequence[int], starts: Sequence[int]) -> Iterator[tuple[int, int]]:
         """(term, offset at which it would begin) of every run of words that
@@ -106,7 +102,7 @@ class Claims:
         if not text:
             return []
         a = self.automaton
-        numbers, starts, ends = a.cut(text)
+        numbers, starts = a.cut(text)
         places: dict[int, set[int]] = {}
         for term, at in a.hits(numbers, starts):
             places.setdefault(term, set()).add(max(at, 0))
@@ -131,18 +127,18 @@ class Claims:
                     pieces += [left[end:b], " " * (e - b)]
                     end = e
                 left = "".join(pieces) + left[end:]
-                for term in self._joined(left, spans, numbers, starts, ends, places):
+                for term in self._joined(spans, numbers, starts, places):
                     if term > k:
                         heapq.heappush(queue, term)
         return out
 
-    def _joined(self, left, spans, numbers, starts, ends, places) -> list[int]:
+    def _joined(self, spans, numbers, starts, places) -> list[int]:
         """Blank the words of claimed places; terms that the words around them
         make, now that they follow each other, get their offsets."""
         a, new = self.automaton, []
         for b, e in spans:
             i, j = bisect_left(starts, b), bisect_left(starts, e)
-            del numbers[i:j], starts[i:j], ends[i:j]
+            del numbers[i:j], starts[i:j]
             lo, hi = max(0, i - a.longest + 1), i + a.longest - 1
             for term, at in a.hits(numbers[lo:hi], starts[lo:hi]):
                 known = places.setdefault(term, set())
@@ -161,7 +157,7 @@ class Applying:
 
     def __call__(self, text: str) -> list[int]:
         out: set[int] = set()
-        numbers, starts, _ = self.automaton.cut(text)
+        numbers, starts = self.automaton.cut(text)
         hits = [*self.automaton.hits(numbers, starts), *((k, -1) for k in self.automaton.wordless)]
         for k, at in hits:
             source, contextual, allow_ci = self.terms[k]
@@ -182,7 +178,7 @@ class AsciiPairs:
         self.automaton = TermAutomaton(terms, ascii_folded, ASCII_WORDS)
 
     def __call__(self, text: str) -> list[int]:
-        numbers, starts, _ = self.automaton.cut(text)
+        numbers, starts = self.automaton.cut(text)
         side = lambda i: 0 <= i < len(text) and _ASCII_SIDE.match(text, i)
         return sorted({k for k, at in self.automaton.hits(numbers, starts) if not side(at - 1) and not side(at + self.long[k])})
 

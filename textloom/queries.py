@@ -496,7 +496,7 @@ SELECT doc_id, t.source, 'x-' || t.source AS target FROM documents, t WHERE rege
 def glossary_match_pairs(spark, sf_dir):
     """Every term in every document, overlaps allowed, ASCII boundaries."""
     pairs = spark.createDataFrame([(t, f"x-{t}") for t in TERMS], "source string, target string")
-    return glossary.term_pairs(table(spark, sf_dir, "documents").select("doc_id", "text"), pairs, "doc_id", "text")
+    return glossary.term_pairs(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), pairs, "doc_id", "text")
 
 
 def _claims_sql() -> str:
@@ -524,7 +524,7 @@ def glossary_match_claims(spark, sf_dir):
     """Terms that claim a place in each document, the longest first."""
     rows = [(t, f"x-{t}", "word", "", i) for i, t in enumerate(TERMS)]
     c = glossary.compile_entries(spark.createDataFrame(rows, "source string, target string, kind string, source_term string, ord long"))
-    m = glossary.match_terms(table(spark, sf_dir, "documents").select("doc_id", "text"), c, "doc_id", "text")
+    m = glossary.match_terms(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), c, "doc_id", "text")
     return m.select("doc_id", F.explode("matches").alias("m")).select("doc_id", "m.source", "m.mode")
 
 
@@ -545,7 +545,7 @@ def profile_delta(spark, sf_dir):
     make = lambda rows: spark.createDataFrame([(s, t, "word", "", i) for i, (s, t) in enumerate(rows)], "source string, target string, kind string, source_term string, ord long")
     new = glossary.compile_entries(make([("the", "y"), ("token", "x"), ("version", "z"), ("disgusting", "q")]))
     old = make([("the", "x"), ("token", "x"), ("version", "x")])
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("group_id"), F.col("text").alias("source_text"), F.lit("").alias("target_text"))
+    docs = spread(table(spark, sf_dir, "documents")).select(F.col("doc_id").alias("group_id"), F.col("text").alias("source_text"), F.lit("").alias("target_text"))
     return glossary.select_for_delta(docs, glossary.changed_entries(new, old)).select(F.col("group_id").alias("doc_id"), "queried")
 
 
@@ -754,7 +754,7 @@ UNION ALL SELECT doc_id, 'disgusting' FROM documents WHERE regexp_matches(text,
 def qa_glossary_targets(spark, sf_dir):
     """Documents whose translation lacks the target of a term they hold."""
     c = glossary.compile_entries(spark.createDataFrame([("token", "jeton", "word", "", 0), ("disgusting", "répugné", "definition", "", 1)], "source string, target string, kind string, source_term string, ord long"))
-    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("row_no"), F.col("doc_id").cast("string").alias("content_id"), F.col("text").alias("content"), F.when(F.col("doc_id") % 2 == 1, "le Jeton").otherwise("jetons, répugnant").alias("o_content"))
+    d = spread(table(spark, sf_dir, "documents")).select(F.col("doc_id").alias("row_no"), F.col("doc_id").cast("string").alias("content_id"), F.col("text").alias("content"), F.when(F.col("doc_id") % 2 == 1, "le Jeton").otherwise("jetons, répugnant").alias("o_content"))
     m = glossary.match_terms(d, c)
     found = qa.glossary_issues(m, c, "French")
     return found.select(F.col("row_no").alias("doc_id"), F.regexp_extract("message", r"for (\w+)", 1).alias("source"))

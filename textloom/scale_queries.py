@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from .functions import hashing
 from .operators import glossary, intervals, packing
 from .operators.orders import filled_down, ranked
-from .queries import query, table
+from .queries import query, spread, table
 
 # --- terms ------------------------------------------------------------------
 
@@ -42,14 +42,14 @@ SELECT source, count(DISTINCT doc_id) AS n_documents FROM place JOIN s ON s.ts =
 def corpus_term_pairs(spark, sf_dir):
     """Documents of every term of a large glossary, overlaps allowed."""
     pairs = _corpus_terms(spark, sf_dir).withColumn("target", F.concat(F.lit("x-"), "source"))
-    return glossary.term_pairs(table(spark, sf_dir, "documents").select("doc_id", "text"), pairs, "doc_id", "text").groupBy("source").agg(F.count("*").alias("n_documents"))
+    return glossary.term_pairs(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), pairs, "doc_id", "text").groupBy("source").agg(F.count("*").alias("n_documents"))
 
 
 def corpus_claims(spark, sf_dir):
     """(documents with ``matches``, compiled glossary)."""
     rows = _corpus_terms(spark, sf_dir).select("source", F.concat(F.lit("x-"), "source").alias("target"), F.lit("word").alias("kind"), F.lit("").alias("source_term"), F.xxhash64("source").alias("ord"))
     compiled = glossary.compile_entries(rows)
-    return glossary.match_terms(table(spark, sf_dir, "documents").select("doc_id", "text"), compiled, "doc_id", "text"), compiled
+    return glossary.match_terms(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), compiled, "doc_id", "text"), compiled
 
 
 @query()
@@ -72,7 +72,7 @@ def corpus_profile_delta(spark, sf_dir):
     entry = lambda target: w.select("source", target.alias("target"), F.lit("word").alias("kind"), F.lit("").alias("source_term"), F.xxhash64("source").alias("ord"))
     new = glossary.compile_entries(entry(F.concat("source", F.lit("x"))))
     old = entry(F.when(F.length("source") % 2 == 0, F.concat("source", F.lit("x"))).otherwise("other"))
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("group_id"), F.col("text").alias("source_text"), F.when(F.col("doc_id") % 2 == 0, "a thex").otherwise("").alias("target_text"))
+    docs = spread(table(spark, sf_dir, "documents")).select(F.col("doc_id").alias("group_id"), F.col("text").alias("source_text"), F.when(F.col("doc_id") % 2 == 0, "a thex").otherwise("").alias("target_text"))
     return glossary.select_for_delta(docs, glossary.changed_entries(new, old)).select(F.col("group_id").alias("doc_id"), "queried")
 
 
