@@ -131,7 +131,7 @@ print("version", write_set(df, {str(tmp_path / "set")!r}))
 
 def stories(spark, n):
     para = lambda *c: "<ParagraphStyleRange>" + "".join(f"<Content>{x}</Content>" for x in c) + "</ParagraphStyleRange>"
-    return spark.createDataFrame([(i, f"Page_{i}.icml", "<Story>" + para(f"=A{i}", " x &amp; y\r\n") + para("") + para(f"last {i}\t") + "</Story>") for i in range(n)], "file_no int, file_name string, xml string")
+    return spark.createDataFrame([(i, f"Page_{i}.icml", "<Story>" + para(f"=A{i}", " x &amp; y\r\n") + para("") + para() + para(f"last {i}\t") + "</Story>") for i in range(n)], "file_no int, file_name string, xml string")
 
 
 def test_package(spark, tmp_path):
@@ -161,11 +161,13 @@ def test_package(spark, tmp_path):
         rows += [tuple(at.get((r, c), "") for c in (1, 2, 3, 4)) for r in range(2, last + 1)]
     want = []
     for i in range(30):
-        p, c = 3 * i, 4 * i
-        want += [(f"{p:05d}", f"=A{i} x &amp; y\n", f"{c:05d}", f"=A{i}"), ("", "", f"{c + 1:05d}", " x &amp; y\n"), (f"{p + 1:05d}", "", f"{c + 2:05d}", ""), (f"{p + 2:05d}", f"last {i}\t", f"{c + 3:05d}", f"last {i}\t")]
+        p, c = 4 * i, 4 * i
+        want += [(f"{p:05d}", f"=A{i} x &amp; y\n", f"{c:05d}", f"=A{i}"), ("", "", f"{c + 1:05d}", " x &amp; y\n"), (f"{p + 1:05d}", "", f"{c + 2:05d}", ""), (f"{p + 3:05d}", f"last {i}\t", f"{c + 3:05d}", f"last {i}\t")]
     assert rows == want
+    story = held.read("Text/Page_2.icml").decode()
+    assert story == '<Story><ParagraphStyleRange id="00008"><Content id="00008">=A2</Content><Content id="00009"> x &amp; y\n</Content></ParagraphStyleRange><ParagraphStyleRange id="00009"><Content id="00010"></Content></ParagraphStyleRange><ParagraphStyleRange id="00010"></ParagraphStyleRange><ParagraphStyleRange id="00011"><Content id="00011">last 2\t</Content></ParagraphStyleRange></Story>'
     assert packages.package_faults(spark, folder).count() == 0
-    assert sheets(spark, f"{folder}/data", "*").where("error is null and column = 3 and row > 1").count() == 120
+    assert sheets(spark, f"{folder}/data", names=[files[b] for b in books]).where("error is null and column = 3 and row > 1").count() == 120
 
 
 def test_package_faults(spark, tmp_path):

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from .contract_queries import _layout, cat, every
 from .functions import text as tx
 from .operators import audit, ledger, relational
-from .queries import query, table
-from .sources import files, workbooks
+from .queries import _stories, query, table
+from .sources import file_sets, files, packages, sheet_source, workbooks
 
 
 @query("SELECT c_custkey AS k, c_name AS name, c_nationkey AS nation FROM customer")
@@ -146,3 +146,40 @@ def sheet_cells(spark, sf_dir):
         workbooks.write_workbooks(made, folder, sheet=name)
     found = sheets(spark, folder).where("sheet = 'Sheet1' AND row <= 400 AND row > 1")
     return found.select(F.regexp_extract("path", "book_([0-9]+)", 1).cast("long").alias("book"), F.col("row").cast("long").alias("row"), "column", "kind", "value")
+
+
+# --- packages ---------------------------------------------------------------
+
+_STORY = """'<Story><ParagraphStyleRange id="' || printf('%05d', k * 2) || '" AppliedParagraphStyle="ParagraphStyle/Body"><Content id="' || printf('%05d', k * 4) || '">' || k || ' km &amp; 3 + 4</Content><Content id="' || printf('%05d', k * 4 + 1) || '" /></ParagraphStyleRange><ParagraphStyleRange id="' || printf('%05d', k * 2 + 1) || '" AppliedParagraphStyle="ParagraphStyle/Body"><Content id="' || printf('%05d', k * 4 + 2) || '">' || name || '</Content><Content id="' || printf('%05d', k * 4 + 3) || '" /></ParagraphStyleRange></Story>'"""
+
+
+@query(f"""
+WITH n AS (SELECT c_custkey AS k, c_name AS name FROM customer), s AS (SELECT name, sha256({_STORY}) AS h FROM n),
+c AS (SELECT k * 4 AS r, printf('%05d', k * 2) || '|' || k || ' km &amp; 3 + 4|' || printf('%05d', k * 4) || '|' || k || ' km &amp; 3 + 4' AS v FROM n
+  UNION ALL SELECT k * 4 + 1, '||' || printf('%05d', k * 4 + 1) || '|' FROM n
+  UNION ALL SELECT k * 4 + 2, printf('%05d', k * 2 + 1) || '|' || name || '|' || printf('%05d', k * 4 + 2) || '|' || name FROM n
+  UNION ALL SELECT k * 4 + 3, '||' || printf('%05d', k * 4 + 3) || '|' FROM n)
+SELECT 'story' AS part, 'Text/' || name || '.icml' AS name, h AS value FROM s
+UNION ALL SELECT 'member', 'Text/' || name || '.icml', h FROM s
+UNION ALL SELECT 'row', (r + 1)::VARCHAR, v FROM c
+""")
+def source_package(spark, sf_dir):
+    """A package of all customers' stories, published by tasks and read back:
+    hashes of the stories and of the archives' members, rows of the workbooks."""
+    folder = files.shared_folder(spark, "package")
+    packages.build_package(_stories(spark, sf_dir), folder, volume=1 << 20, sheet_rows=20_000)
+    found = file_sets.set_files(spark, folder, archives=r"\.zip$")
+    story = F.col("member").isNull()
+    hashes = found.where("error is null and (member is not null or name like 'Text/%')").select(F.when(story, "story").otherwise("member").alias("part"), F.coalesce("member", "name").alias("name"), F.sha2("content", 256).alias("value"))
+    return hashes.union(_package_rows(spark, folder))
+
+
+def _package_rows(spark, folder):
+    """(part, name, value) of the content rows of a package's workbooks."""
+    books = {sha: n for n, sha in file_sets.opened_set(folder).version()[1].items() if n.endswith(".xlsx")}
+    number = F.regexp_extract(F.create_map(*(F.lit(x) for pair in books.items() for x in pair))[F.element_at(F.split("path", "/"), -1)], "-([0-9]+)[.]xlsx", 1)
+    nth = F.when(number == "", 0).otherwise(number.try_cast("long") - 1)
+    cells = sheet_source.sheets(spark, f"{folder}/data", names=list(books)).where("error is null and row > 1")
+    at = [F.coalesce(F.max(F.when(F.col("column") == i, F.col("value"))), F.lit("")) for i in (1, 2, 3, 4)]
+    rows = cells.groupBy((nth * 20_000 + F.col("row") - 1).alias("n")).agg(F.concat_ws("|", *at).alias("value"))
+    return rows.select(F.lit("row").alias("part"), F.col("n").cast("string").alias("name"), "value")

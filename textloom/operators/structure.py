@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import content_id, text
 from ..functions.typography import language_of, matrix_report
+from ..sources.files import written
 from .segments import ordered_text, prefix_sums
 
 MOST_BYTES, MOST_DEPTH = 8 << 20, 256
@@ -223,10 +224,10 @@ def typeset_stories(stories: DataFrame, language: str, protected_ids: Sequence[s
 _TOKENS = regex.compile(r"<(/?)(ParagraphStyleRange|Content)\b([^>]*?)(/?)>")
 
 
-def index_story(xml: str) -> list[tuple[int, int, str]]:
-    """(paragraph, content, text) of each Content, both numbered in the file;
-    paragraphs within a table stay in the outer one, empty texts are kept."""
-    rows, depth, paragraph, skip = [], 0, -1, 0
+def _marks(xml: str):
+    """(tag, text) of each outer paragraph (text None) and each Content, in
+    order; what lies in a Content is its text."""
+    depth = skip = 0
     for m in _TOKENS.finditer(xml):
         if m.start() < skip:
             continue
@@ -237,47 +238,46 @@ def index_story(xml: str) -> list[tuple[int, int, str]]:
                 if depth < 0:
                     raise ValueError("paragraph closes twice")
             elif not empty:
-                paragraph += depth == 0
                 depth += 1
+                if depth == 1:
+                    yield m, None
         elif not close:
             if not depth:
                 raise ValueError("Content outside a paragraph")
             end = m.end() if empty else xml.find("</Content>", m.end())
             if end < 0:
                 raise ValueError("Content does not end")
-            rows.append((paragraph, len(rows), xml[m.end() : end].replace("\r\n", "\n")))
             skip = end
+            yield m, xml[m.end() : end].replace("\r\n", "\n")
     if depth:
         raise ValueError("paragraph does not end")
-    return rows
 
 
-def number_story(xml: str, first_paragraph: int, first_content: int) -> str:
-    """Story with ids on its outer paragraphs and contents."""
-    count = {"p": first_paragraph, "c": first_content, "depth": 0}
-
-    def put(m):
-        close, name, rest, empty = m.groups()
-        if name == "ParagraphStyleRange":
-            if close:
-                count["depth"] -= 1
-                return m[0]
-            if empty:
-                return m[0]
-            count["depth"] += 1
-            if count["depth"] > 1:
-                return m[0]
-            key = "p"
-        elif close:
-            return m[0]
+def index_story(xml: str) -> tuple[int, list[tuple[int, int, str]]]:
+    """Number of outer paragraphs, and (paragraph, content, text) of each
+    Content, both numbered in the file; paragraphs within a table stay in the
+    outer one, empty texts are kept."""
+    rows, paragraphs = [], 0
+    for _, value in _marks(xml):
+        if value is None:
+            paragraphs += 1
         else:
-            key = "c"
-        ident = f' id="{count[key]:05d}"'
-        count[key] += 1
-        new, n = regex.subn(r'\sid\s*=\s*"[^"]*"', ident, rest, count=1)
-        return f"<{name}{new if n else ident + rest}{empty}>"
+            rows.append((paragraphs - 1, len(rows), value))
+    return paragraphs, rows
+
 
-    return _TOKENS.sub(put, xml)
+def number_story(xml: str, first_paragraph: int, first_content: int) -> str:
+    """Story with ids on its outer paragraphs and contents, line ends of
+    contents as line feeds."""
+    out, last, p, c = [], 0, first_paragraph, first_content
+    for m, value in _marks(xml):
+        _, name, rest, empty = m.groups()
+        ident = f' id="{p if value is None else c:05d}"'
+        p, c = (p + 1, c) if value is None else (p, c + 1)
+        new, n = regex.subn(r'\sid\s*=\s*"[^"]*"', ident, rest, count=1)
+        out += [xml[last : m.start()], f"<{name}{new if n else ident + rest}{empty}>", value or ""]
+        last = m.end() if value is None or empty else xml.find("</Content>", m.end())
+    return "".join([*out, xml[last:]])
 
 
 def index_stories(stories: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -286,19 +286,20 @@ def index_stories(stories: DataFrame) -> tuple[DataFrame, DataFrame]:
     Ids run over all files: each file is counted once, a prefix sum over the
     counts gives its first numbers.
     """
-    @F.pandas_udf("array<struct<paragraph:int,content:int,text:string>>")
-    def rows_of(xmls: pd.Series) -> pd.Series:
-        return pd.Series([index_story(x) for x in xmls], dtype=object)
+    @F.pandas_udf("paragraphs int, rows array<struct<paragraph:int,content:int,text:string>>")
+    def rows_of(xmls: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([index_story(x) for x in xmls], columns=["paragraphs", "rows"])
 
     @F.pandas_udf("string")
     def numbered(xmls: pd.Series, p: pd.Series, c: pd.Series) -> pd.Series:
         return pd.Series([number_story(x, int(a), int(b)) for x, a, b in zip(xmls, p, c)], dtype=object)
 
     found = stories.withColumn("_r", rows_of.asNondeterministic()("xml"))
-    sizes = found.select("file_no", F.size("_r").alias("c"), F.size(F.array_distinct(F.transform("_r", lambda r: r["paragraph"]))).alias("p"))
-    firsts = prefix_sums(sizes, "file_no", ["p", "c"]).select("file_no", F.col("before_p").alias("_p"), F.col("before_c").alias("_c"))
+    sizes = found.select("file_no", F.size("_r.rows").alias("c"), F.col("_r.paragraphs").alias("p"))
+    # Written, because a prefix sum reads its rows several times.
+    firsts = prefix_sums(written(sizes, "sizes"), "file_no", ["p", "c"]).select("file_no", F.col("before_p").alias("_p"), F.col("before_c").alias("_c"))
     joined = found.join(firsts, "file_no")
-    each = joined.select("file_no", "file_name", "_p", "_c", F.explode("_r").alias("r"))
+    each = joined.select("file_no", "file_name", "_p", "_c", F.explode("_r.rows").alias("r"))
     key = F.col("_p") + F.col("r.paragraph")
     flat = each.select("file_no", "file_name", key.alias("paragraph"), (F.col("_c") + F.col("r.content")).alias("pos"), F.col("r.text").alias("content"))
     heads = flat.groupBy("paragraph").agg(F.min("pos").alias("pos"), ordered_text("pos", F.col("content")).alias("psr_content"))

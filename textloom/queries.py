@@ -711,7 +711,7 @@ def caption_update(spark, sf_dir):
 
 
 def _stories(spark, sf_dir):
-    n = _named(spark, sf_dir)
+    n = spread(_named(spark, sf_dir))
     para = lambda x: F.concat(F.lit('<ParagraphStyleRange AppliedParagraphStyle="ParagraphStyle/Body"><Content>'), x, F.lit("</Content><Content /></ParagraphStyleRange>"))
     return n.select(F.col("k").alias("file_no"), F.concat("name", F.lit(".icml")).alias("file_name"), F.concat(F.lit("<Story>"), para(F.concat("k", F.lit(" km &amp; 3 + 4"))), para(F.col("name")), F.lit("</Story>")).alias("xml"))
 

@@ -269,7 +269,9 @@ def write_set(files: DataFrame, folder: str, overwrite: bool = False, record: st
     spark = files.sparkSession
     spark.dataSource.register(FileSetSink)
     rows = files.select("name", "member", F.col("seq").cast("long").alias("seq"), F.col("content").cast("binary").alias("content"))
-    out = rows.repartition("name").sortWithinPartitions("name", "member", "seq").write.format(FORMAT)
+    # A stated number, so that small files are not all left to one task.
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    out = rows.repartition(n, "name").sortWithinPartitions("name", "member", "seq").write.format(FORMAT)
     if record:
         out = out.option("record", record).option("facts", json.dumps(facts or {}))
     out.mode("overwrite" if overwrite else "append").save(folder)
@@ -307,10 +309,18 @@ def set_files(spark: SparkSession, folder: str, version: int | None = None, arch
             yield name, None, None, str(e)
 
     def run(batches):
+        held, size = [], 0
+        frame = lambda: pd.DataFrame(held, columns=["name", "member", "content", "error"])
         for pdf in batches:
             for row in pdf.itertuples(index=False):
                 for r in one(*row):
-                    yield pd.DataFrame([r], columns=["name", "member", "content", "error"])
+                    held.append(r)
+                    size += len(r[2] or b"")
+                    if size >= BLOCK or len(held) >= 1024:
+                        yield frame()
+                        held, size = [], 0
+        if held:
+            yield frame()
 
     n = max(1, min(len(listed), int(spark.conf.get("spark.sql.shuffle.partitions"))))
     return rows.repartition(n, "name").mapInPandas(run, "name string, member string, content binary, error string")

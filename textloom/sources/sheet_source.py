@@ -10,6 +10,7 @@ Conditions on the sheet's name and an upper bound of the row reach the reader.
 from __future__ import annotations
 
 import fnmatch
+import json
 import os
 import re
 import zipfile
@@ -121,8 +122,8 @@ class _Sheet(InputPartition):
 
 
 class _Reader(DataSourceReader):
-    def __init__(self, folder: str, glob: str):
-        self.folder, self.glob = folder, glob
+    def __init__(self, folder: str, glob: str, files: str | None = None):
+        self.folder, self.glob, self.files = folder, glob, files
         self.names: set[str] | None = None
         self.last_row: int | None = None
 
@@ -143,7 +144,8 @@ class _Reader(DataSourceReader):
 
     def partitions(self):
         out = []
-        for path in _listed(self.folder, self.glob):
+        named = [f"{self.folder.rstrip('/')}/{n}" for n in json.loads(self.files)] if self.files else _listed(self.folder, self.glob)
+        for path in named:
             try:
                 with _opened(path) as raw, zipfile.ZipFile(raw) as archive:
                     out += [_Sheet(path, *s) for s in sheet_parts(archive) if self.names is None or s[0] in self.names]
@@ -179,7 +181,8 @@ class _Reader(DataSourceReader):
 
 
 class SheetSource(DataSource):
-    """Options: path (a folder or file), glob (default ``*.xlsx``)."""
+    """Options: path (a folder or file), glob (default ``*.xlsx``), files
+    (JSON list of names in the folder, which is then not listed)."""
 
     @classmethod
     def name(cls) -> str:
@@ -189,14 +192,15 @@ class SheetSource(DataSource):
         return SCHEMA
 
     def reader(self, schema) -> _Reader:
-        return _Reader(self.options["path"], self.options.get("glob", "*.xlsx"))
+        return _Reader(self.options["path"], self.options.get("glob", "*.xlsx"), self.options.get("files"))
 
 
-def sheets(spark: SparkSession, path: str, glob: str = "*.xlsx") -> DataFrame:
-    """Cells of all sheets below ``path``: (path, sheet, row, column, kind,
-    value, error). A workbook, or sheet, that cannot be read gives a row with
+def sheets(spark: SparkSession, path: str, glob: str = "*.xlsx", names: list[str] | None = None) -> DataFrame:
+    """Cells of all sheets below ``path``, or of the files ``names`` in it:
+    (path, sheet, row, column, kind, value, error). A workbook, or sheet, that cannot be read gives a row with
     its error (after the cells before the fault). Folders of stores that only
     Spark reads go through ``workbooks.cells`` instead."""
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(SheetSource)
-    return spark.read.format(FORMAT).option("glob", glob).load(path)
+    reader = spark.read.format(FORMAT).option("glob", glob)
+    return (reader if names is None else reader.option("files", json.dumps(names))).load(path)
