@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .functions import hashing
-from .operators import glossary, intervals, packing
+from .operators import code_maps, glossary, intervals, packing
 from .operators.orders import filled_down, ranked
 from .queries import query, spread, table
 
@@ -189,3 +189,22 @@ SELECT book, leaf, CASE WHEN whole THEN 'removed' ELSE 'changed' END AS state FR
 def set_tree_changes(spark, sf_dir):
     """Leaves to read again after some files of the sets have gone."""
     return hashing.changed_leaves(_tree(spark, sf_dir), _tree(spark, sf_dir, keep="o_orderkey % 997 <> 3"), keys=["book"])
+
+
+# --- code maps --------------------------------------------------------------
+
+
+@query("""
+WITH t AS (SELECT doc_id, coalesce(source, '') AS source, regexp_replace(text, '[^\\n\\x20-\\x7D\\x{A0}-\\x{FF}]', '', 'g') AS x FROM documents)
+SELECT doc_id, replace(CASE WHEN length(source) % 2 = 0 THEN lower(x) ELSE translate(x, ' abcdefghijklmnopqrstuvwxyz', '_bcdefghijklmnopqrstuvwxyz{') END, chr(10), 'fi') AS text FROM t
+""")
+def code_map_texts(spark, sf_dir):
+    """Whole texts of documents as two-byte codes, decoded with the map of
+    their source's font: capitals as small letters, or letters moved by one."""
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", F.coalesce("source", F.lit("")).alias("font"), "text"))
+    common = "beginbfchar <000A> <00660069> <0061> <003F> endbfchar beginbfrange <0020> <007D> <0020> <00A0> <00FF> <00A0> "
+    even = common + "<0041> <005A> <0061> <00C0><00D6><00E0> <00D8> <00DE> <00F8> endbfrange"
+    odd = common + "<0061> <007A> <0062> <0020> <0020> <005F> endbfrange"
+    fonts = docs.select("font").distinct().select("font", F.lit(2).alias("bytes_per_code"), F.when(F.length("font") % 2 == 0, even).otherwise(odd).alias("cmap"))
+    codes = docs.select("doc_id", "font", F.encode("text", "UTF-16BE").alias("data"))
+    return code_maps.decoded(codes, fonts).select("doc_id", "text")
