@@ -10,7 +10,7 @@ PYTHON = {
     "archive_members", "batch_packing", "batch_resume", "caption_packing", "content_replacement", "corpus_packing",
     "corpus_profile_delta", "corpus_term_claims", "corpus_term_pairs", "diagram_packing", "glossary_match_claims",
     "glossary_match_pairs", "glossary_replacement", "profile_delta", "sense_contexts", "lock_groups", "panel_reconciliation", "qa_glossary_targets", "recover_segments",
-    "set_hash", "story_index", "story_typography", "text_scalars_more", "typography_protected", "unit_positions", "workbook_round_trip",
+    "set_hash", "source_package", "story_index", "story_typography", "text_scalars_more", "typography_protected", "unit_positions", "workbook_round_trip",
 }
 
 
