@@ -52,6 +52,19 @@ def test_terms_made_by_blanking():
     assert Claims(terms, pattern_of)("x-+-y") == claims("x-+-y", terms) == [("-+-", "exact"), ("X   Y", "case-insensitive-unique")]
 
 
+def test_claims_of_many_texts_without_patterns():
+    """Texts go through the terms together, and plain hits need no pattern."""
+    def refused(*_):
+        raise AssertionError("a pattern was made")
+
+    terms = [("red  bolt", False, True), ("red bolt", False, True), ("bolt", False, True), ("Red", True, False), ("Customer#7", False, True), ("a", False, True)]
+    texts = ["a RED bolt, red bolt", "", "bolt_ bolt-bolt", "(a)b customer#7 Customer#77", "red x bolt", None]
+    got = list(Claims(terms, refused).many(texts))
+    assert got == [claims(t or "", terms) for t in texts] and sum(map(len, got)) == 7
+    long = " ".join(["bolt", "red  bolt", "x"] * 200_000)  # more than a block
+    assert list(Claims(terms, refused).many([long, "a", long]))[1] == [("a", "exact")]
+
+
 def test_a_large_glossary_on_whole_texts(spark):
     found, compiled = scale_queries.corpus_claims(spark, SF)
     terms = [(r.source, r.contextual, r.allow_ci) for r in glossary.by_length(compiled).collect()]
