@@ -187,3 +187,52 @@ def test_package_faults(spark, tmp_path):
         packages.build_package(stories(spark, 2).withColumn("xml", F.replace("xml", F.lit("last"), F.lit("\x01"))), folder)
     assert held.version()[0] == 2
 
+
+def test_a_long_list_is_never_held(spark, tmp_path, monkeypatch):
+    """Lists in parts: written as runs, published as parts, read by tasks; the
+    driver never asks for a version's whole list."""
+    import pyarrow as pa
+
+    from textloom.plans import commit
+
+    def refused(*_):
+        raise AssertionError("the whole list is held")
+
+    folder = str(tmp_path / "set")
+    rows = [(f"n{k:04d} é\n", None, 0, str(k).encode()) for k in range(1500)]
+
+    def write(rows, overwrite=False, record=None, facts=None):
+        """As tasks and the driver do, in this process; two tasks."""
+        writer = file_sets._Writer(folder, overwrite, record, facts)
+        tasks = [[r for i, r in enumerate(rows) if i % 2 == k] for k in (0, 1)]
+        batches = [pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*t), (pa.string(), pa.string(), pa.int64(), pa.binary()))], names=["name", "member", "seq", "content"]) for t in tasks if t]
+        messages = [writer.write(iter([b])) for b in batches]
+        writer.commit(messages)
+        return writer, messages
+
+    with monkeypatch.context() as m:
+        m.setattr(commit, "PART", 400)
+        m.setattr(file_sets, "RUN", 300)
+        m.setattr(file_sets, "READ", 1000)
+        m.setattr(FileSet, "version", refused)
+        _, messages = write(rows, True, "r.json", '{"a": 1}')
+        assert [(len(t.files), len(t.runs)) for t in messages] == [(0, 3), (0, 3)]
+        write([(rows[0][0], None, 0, b"new"), ("zz", None, 0, b"z")])
+        assert FileSet(folder).newest() == 2
+        found = {r.name: bytes(r.content) for r in file_sets.set_files(spark, folder).where("error is null").collect()}
+        log = json.loads((tmp_path / "set" / "log" / "000000000002.json").read_text())
+    want = {r[0]: r[3] for r in rows}
+    record = json.loads(found.pop("r.json"))
+    assert found == {**want, rows[0][0]: b"new", "zz": b"z"} and len(log["parts"]) == 4 and "files" not in log
+    assert record["a"] == 1 and list(record["files"]) == sorted(want) and {v["bytes"] for v in record["files"].values()} == {1, 2, 3, 4}
+    held = FileSet(LocalStore(tmp_path / "set"))
+    assert len(held.version(1)[1]) == 1501 and held.read(rows[0][0], 1) == b"0" and held.read(rows[0][0]) == b"new" and not held.faults()
+    assert not list((tmp_path / "set" / "staged").glob("*.run"))
+    late = file_sets._Writer(folder, True, None, None)
+    write([("zz", None, 0, b"y")])
+    with pytest.raises(CommitError, match="another writer"):
+        late.commit([file_sets._Stored([("zz", held.version()[1]["zz"], 1)])])
+    write([("one", None, 0, b"1")], True)
+    assert held.newest() == 4 and list(held.version()[1]) == ["one"]
+    held.collect(keep=2)
+    assert len(held.version(3)[1]) == 1502 and not held.faults(3)

@@ -168,7 +168,7 @@ def source_package(spark, sf_dir):
     hashes of the stories and of the archives' members, rows of the workbooks."""
     folder = files.shared_folder(spark, "package")
     packages.build_package(_stories(spark, sf_dir), folder, volume=1 << 20, sheet_rows=20_000)
-    found = file_sets.set_files(spark, folder, archives=r"\.zip$")
+    found = file_sets.set_files(spark, folder, archives=r"\.zip$", only="name like 'Text/%' or name like '%.zip'")
     story = F.col("member").isNull()
     hashes = found.where("error is null and (member is not null or name like 'Text/%')").select(F.when(story, "story").otherwise("member").alias("part"), F.coalesce("member", "name").alias("name"), F.sha2("content", 256).alias("value"))
     return hashes.union(_package_rows(spark, folder))
@@ -176,7 +176,7 @@ def source_package(spark, sf_dir):
 
 def _package_rows(spark, folder):
     """(part, name, value) of the content rows of a package's workbooks."""
-    books = {sha: n for n, sha in file_sets.opened_set(folder).version()[1].items() if n.endswith(".xlsx")}
+    books = {r.sha: r.name for r in file_sets.set_entries(spark, folder).where("name like '%.xlsx'").collect()}
     number = F.regexp_extract(F.create_map(*(F.lit(x) for pair in books.items() for x in pair))[F.element_at(F.split("path", "/"), -1)], "-([0-9]+)[.]xlsx", 1)
     nth = F.when(number == "", 0).otherwise(number.try_cast("long") - 1)
     cells = sheet_source.sheets(spark, f"{folder}/data", names=list(books)).where("error is null and row > 1")

@@ -2,8 +2,9 @@
 
 ``df.write.format("textloom_file_set").save(folder)`` adds a version to the
 ``plans.commit.FileSet`` in a folder. Tasks stream each file into the set,
-whether plain or an archive with its directory, and hand the driver its name
-and hash only; one step of the driver publishes them all. A task that fails or
+whether plain or an archive with its directory, and put names and hashes into
+sorted runs; one step of the driver merges the runs, entry by entry, and
+publishes them all. A task that fails or
 runs again leaves contents that no version names, and a job that fails
 publishes nothing.
 """
@@ -11,6 +12,7 @@ publishes nothing.
 from __future__ import annotations
 
 import hashlib
+import heapq
 import json
 import os
 import re
@@ -18,14 +20,14 @@ import uuid
 import zipfile
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
-from itertools import chain, groupby
+from itertools import chain, groupby, islice
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
-from ..plans.commit import CommitError, FileSet, LocalStore
+from ..plans.commit import CommitError, FileSet, LocalStore, part_entries
 from .sheet_source import _opened, _store
 
 FORMAT = "textloom_file_set"
@@ -33,6 +35,9 @@ SCHEMA = "name string, member string, seq long, content binary"
 #: A fixed date, so that equal members give equal bytes.
 DATE = (1980, 1, 1, 0, 0, 0)
 BLOCK = 1 << 20
+#: Files that a task names in its message; more go into runs of at most RUN,
+#: of which READ bytes are held at a time.
+TOLD, RUN, READ = 256, 1 << 16, 1 << 16
 
 
 class ArrowStore:
@@ -201,16 +206,40 @@ def stored(rows: Iterable[tuple], folder: str) -> Iterator[tuple[str, str, int]]
             raise
 
 
+def _put_run(rows: list[tuple[str, str, int]], folder: str) -> str:
+    """Write a sorted run of (name, hash, bytes); its name in the set."""
+    store, root = _store(folder.rstrip("/"))
+    name, body = f"staged/{uuid.uuid4().hex}.run", "".join(json.dumps(r) + "\n" for r in sorted(rows)).encode()
+    with open(f"{root}/{name}", "wb") if store is None else store.open_output_stream(f"{root}/{name}") as out:
+        out.write(body)
+    return name
+
+
+def _run_rows(folder: str, name: str) -> Iterator[tuple[str, str, int]]:
+    """Rows of a run, read by blocks; the file is open only while one is read."""
+    at, rest = 0, b""
+    while True:
+        with _opened(f"{folder.rstrip('/')}/{name}") as raw:
+            raw.seek(at)
+            block = raw.read(READ)
+        if not block:
+            return
+        at += len(block)
+        *lines, rest = (rest + block).split(b"\n")
+        for line in lines:
+            yield tuple(json.loads(line))
+
+
 @dataclass
 class _Stored(WriterCommitMessage):
     files: list = field(default_factory=list)
+    runs: list = field(default_factory=list)
 
 
 class _Writer(DataSourceArrowWriter):
     def __init__(self, folder: str, overwrite: bool, record: str | None, facts: str | None):
         self.folder, self.overwrite, self.record, self.facts = folder, overwrite, record, facts
-        held = opened_set(folder)
-        self.began = held.version()[0]
+        self.began = opened_set(folder).newest()
 
     def write(self, iterator):
         def rows():
@@ -219,22 +248,54 @@ class _Writer(DataSourceArrowWriter):
                 for i in range(batch.num_rows):
                     yield tuple(c[i].as_py() for c in columns)
 
-        return _Stored(list(stored(rows(), self.folder)))
+        files = stored(rows(), self.folder)
+        told = list(islice(files, TOLD + 1))
+        if len(told) <= TOLD:
+            return _Stored(told)
+        files, runs = chain(told, files), []
+        while held := list(islice(files, RUN)):
+            runs.append(_put_run(held, self.folder))
+        return _Stored([], runs)
+
+    def _fresh(self, messages) -> Iterator[tuple[str, str, int]]:
+        """Files of all tasks by name; only a block of each run is held."""
+        told = sorted(f for m in messages for f in m.files)
+        last = None
+        for f in heapq.merge(told, *(_run_rows(self.folder, r) for m in messages for r in m.runs)):
+            if f[0] == last:
+                raise CommitError("a file came from two tasks, or not in order")
+            last = f[0]
+            yield f
+
+    def _put_record(self, messages) -> str:
+        facts = {k: v for k, v in json.loads(self.facts or "{}").items() if k != "files"}
+        out = _Content(self.folder)
+        try:
+            out.write((json.dumps(facts, ensure_ascii=False)[:-1] + ", " * bool(facts) + '"files": {').encode())
+            between = ""
+            for name, sha, size in self._fresh(messages):
+                out.write(f"{between}{json.dumps(name, ensure_ascii=False)}: {json.dumps({'bytes': size, 'sha256': sha})}".encode())
+                between = ", "
+            out.write(b"}}")
+            return out.keep()
+        except BaseException:
+            if not out.raw.closed:
+                out.drop()
+            raise
 
     def commit(self, messages):
-        found = [f for m in messages if m is not None for f in m.files]
-        hashes = {name: sha for name, sha, _ in found}
-        if len(hashes) < len(found):
-            raise CommitError("a file came from two tasks, or not in order")
+        messages = [m for m in messages if m is not None]
         held = opened_set(self.folder)
-        if self.record:
-            facts = json.loads(self.facts or "{}")
-            body = json.dumps({**facts, "files": {n: {"bytes": size, "sha256": sha} for n, sha, size in sorted(found)}}, ensure_ascii=False)
-            hashes[self.record] = held.put(body.encode())
-        before = held.version(self.began)[1]
-        gone = dict.fromkeys(set(before) - set(hashes)) if self.overwrite else {}
-        if hashes or gone:
-            held.publish({**hashes, **gone}, began=self.began)
+        record = [(self.record, self._put_record(messages))] if self.record else []
+
+        def fresh():
+            files = ((name, sha) for name, sha, _ in self._fresh(messages) if name != self.record)
+            return heapq.merge(record, files)
+
+        held.publish_sorted(fresh, self.began, self.overwrite)
+        for m in messages:
+            for run in m.runs:
+                held.store.delete(run)
 
     def abort(self, messages):
         """Nothing to undo: no version names what was stored."""
@@ -264,7 +325,7 @@ def write_set(files: DataFrame, folder: str, overwrite: bool = False, record: st
     null) or of a member of the archive ``name``. Null contents are empty. A
     file is written by one task in bounded memory, so what may grow goes into
     several files. Another version published meanwhile is an error if it
-    touches the same files. The driver gets a name and hash a file.
+    touches the same files. The driver merges names and hashes as a stream.
     """
     spark = files.sparkSession
     spark.dataSource.register(FileSetSink)
@@ -275,7 +336,7 @@ def write_set(files: DataFrame, folder: str, overwrite: bool = False, record: st
     if record:
         out = out.option("record", record).option("facts", json.dumps(facts or {}))
     out.mode("overwrite" if overwrite else "append").save(folder)
-    return opened_set(folder).version()[0]
+    return opened_set(folder).newest()
 
 
 def _hash_of(url: str) -> str:
@@ -286,13 +347,31 @@ def _hash_of(url: str) -> str:
     return sha.hexdigest()
 
 
-def set_files(spark: SparkSession, folder: str, version: int | None = None, archives: str = r"\.(zip|xlsx)$") -> DataFrame:
-    """(name, member, content, error) of a version's files, read by tasks and
-    checked against their hashes; names that match ``archives`` give a row a
+def set_entries(spark: SparkSession, folder: str, version: int | None = None) -> DataFrame:
+    """(name, sha) of a version's files; parts of a long list are read by
+    tasks."""
+    root = folder.rstrip("/")
+    files, parts = opened_set(folder).listing(version)
+    if not parts:
+        return spark.createDataFrame(list(files.items()), "name string, sha string")
+
+    def run(batches):
+        for pdf in batches:
+            for part in pdf["part"]:
+                with _opened(f"{root}/data/{part}") as raw:
+                    yield pd.DataFrame(part_entries(raw.read(), part), columns=["name", "sha"])
+
+    listed = spark.createDataFrame([(p,) for p in parts], "part string")
+    return listed.repartition(len(parts), "part").mapInPandas(run, "name string, sha string")
+
+
+def set_files(spark: SparkSession, folder: str, version: int | None = None, archives: str = r"\.(zip|xlsx)$", only: str = "true") -> DataFrame:
+    """(name, member, content, error) of a version's files whose name meets
+    the condition ``only``, read by tasks and checked against their hashes; names that match ``archives`` give a row a
     member. A missing or damaged content is a row with its error."""
     root = folder.rstrip("/")
-    listed = [(name, f"{root}/data/{sha}", sha) for name, sha in opened_set(folder).version(version)[1].items()]
-    rows = spark.createDataFrame(listed, "name string, url string, sha string")
+    entries = set_entries(spark, folder, version).where(only)
+    rows = entries.select("name", F.concat(F.lit(f"{root}/data/"), "sha").alias("url"), "sha")
 
     def one(name, url, sha):
         try:
@@ -322,5 +401,5 @@ def set_files(spark: SparkSession, folder: str, version: int | None = None, arch
         if held:
             yield frame()
 
-    n = max(1, min(len(listed), int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return rows.repartition(n, "name").mapInPandas(run, "name string, member string, content binary, error string")
